@@ -28,9 +28,12 @@ from tillroll.session import materialize
 
 RANGE = "range"
 WINDOW = "window"
-# Default strategy for global ranks. "window" is the single-task form, kept for
-# small inputs and as the reference the distributed form is tested against.
-DEFAULT_STRATEGY = RANGE
+AUTO = "auto"
+# Session setting that overrides the strategy for every global rank.
+STRATEGY_CONF = "tillroll.rank.strategy"
+# Largest row count ranked in a single task under "auto". A sort of this many
+# narrow rows fits one task's memory; above it the range form is used.
+WINDOW_MAX_ROWS = 2_000_000
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition index << 33 | position
 
@@ -39,15 +42,30 @@ def _sort_cols(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(c).asc() if isinstance(c, str) else c for c in order]
 
 
+def resolve_strategy(df: DataFrame, strategy: str | None, rows: int | None = None) -> str:
+    """Pick "window" or "range".
+
+    Explicit argument first, then the session setting, else "auto": the
+    single-task window when the row count is known (``rows``, e.g. from a
+    materialized table where counting reads only file footers) and small,
+    the distributed range form otherwise.
+    """
+    chosen = strategy or df.sparkSession.conf.get(STRATEGY_CONF, AUTO)
+    if chosen == AUTO:
+        return WINDOW if rows is not None and rows <= WINDOW_MAX_ROWS else RANGE
+    return chosen
+
+
 def global_row_number(
     df: DataFrame,
     order: Sequence[Column | str],
     rn_col: str = "rn",
     n_col: str = "n",
     strategy: str | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Add ``rn_col`` (1..n, unique, following ``order``) and ``n_col`` (row count)."""
-    strategy = strategy or DEFAULT_STRATEGY
+    strategy = resolve_strategy(df, strategy, rows)
     cols = _sort_cols(order)
     if strategy == WINDOW:
         return df.withColumn(rn_col, F.row_number().over(Window.orderBy(*cols))).withColumn(
@@ -62,7 +80,7 @@ def global_row_number(
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
     )
-    tagged = materialize(tagged)
+    tagged = materialize(tagged, "ranked")
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(

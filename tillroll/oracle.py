@@ -45,6 +45,12 @@ def _rank_bucket(rn: str, n: str) -> str:
     return f"CAST(greatest(1, (5 * ({rn} - 1) + {n} - 2) // ({n} - 1)) AS INTEGER)"
 
 
+def _rank_bucket_sum() -> str:
+    return (
+        f"(6 - {_rank_bucket('rn_r', 'n')} + {_rank_bucket('rn_f', 'n')} + {_rank_bucket('rn_m', 'n')})"
+    )
+
+
 # --- customer RFM ----------------------------------------------------------
 
 def _rfm_ctes(clean: bool = False) -> str:
@@ -132,3 +138,183 @@ SQL: dict[str, str] = {}
 
 SQL["customer_rfm"] = q([rfm_cte()], "SELECT * FROM rfm")
 SQL["rfm_exploration"] = q([rfm_cte(clean=True)], "SELECT * FROM rfm")
+
+
+# --- product RFM -----------------------------------------------------------
+
+PRODUCT_CTE = f"""
+pr_lines AS (
+  SELECT *, price * quantity AS amount FROM orders_v
+  WHERE customer_id IS NOT NULL AND quantity > 0 AND price > 0
+),
+pr_desc AS (
+  SELECT stock_code, arg_min(description, (first_d, first_inv, description)) AS product_name
+  FROM (SELECT stock_code, description, min(invoice_date) AS first_d,
+               arg_min(invoice, (invoice_date, invoice)) AS first_inv
+        FROM pr_lines WHERE description IS NOT NULL GROUP BY stock_code, description) d
+  GROUP BY stock_code
+),
+pr_agg AS (
+  SELECT stock_code, max(invoice_date) AS last_d,
+         CAST(count(DISTINCT customer_id) AS INTEGER) AS total_customers,
+         CAST(sum(amount) AS DECIMAL(38,4)) AS monetary,
+         CAST(sum(price) AS DOUBLE) / CAST(count(price) AS DOUBLE) AS avg_price,
+         CAST(sum(quantity) AS BIGINT) AS total_quantity
+  FROM pr_lines GROUP BY stock_code
+),
+pr_m AS (
+  SELECT a.*, d.product_name,
+         CAST(date_sub('day', last_d, (SELECT max(last_d) FROM pr_agg)) AS INTEGER) AS recency
+  FROM pr_agg a LEFT JOIN pr_desc d USING (stock_code)
+),
+pr_rk AS (
+  SELECT *,
+         row_number() OVER (ORDER BY recency, stock_code) AS rn_r,
+         row_number() OVER (ORDER BY total_customers, stock_code) AS rn_f,
+         row_number() OVER (ORDER BY monetary, stock_code) AS rn_m,
+         count(*) OVER () AS n
+  FROM pr_m
+),
+products AS (
+  SELECT stock_code, product_name, recency, total_customers AS frequency, monetary,
+         6 - {_rank_bucket('rn_r', 'n')} AS r_score,
+         {_rank_bucket('rn_f', 'n')} AS f_score,
+         {_rank_bucket('rn_m', 'n')} AS m_score,
+         total_customers, avg_price, total_quantity,
+         CASE WHEN {_rank_bucket_sum()} >= 12 THEN 'Star'
+              WHEN {_rank_bucket_sum()} >= 9 THEN 'Strong'
+              WHEN {_rank_bucket_sum()} >= 6 THEN 'Stable'
+              ELSE 'Orphan' END AS performance
+  FROM pr_rk
+)"""
+
+# --- churn -----------------------------------------------------------------
+
+CHURN_CTE = f"""
+ch_pc AS (
+  SELECT customer_id, max(invoice_date) AS last_d,
+         CAST(count(invoice_date) AS INTEGER) AS frequency, min(invoice_date) AS first_d
+  FROM orders_v WHERE customer_id IS NOT NULL GROUP BY customer_id
+),
+ch_m AS (
+  SELECT customer_id,
+         CAST(date_sub('day', last_d, (SELECT max(last_d) FROM ch_pc)) AS INTEGER) AS recency,
+         frequency,
+         CAST(date_sub('day', first_d, (SELECT max(first_d) FROM ch_pc)) AS INTEGER) AS days_since_first_purchase
+  FROM ch_pc
+),
+ch_m2 AS (
+  SELECT *, CAST(floor(days_since_first_purchase / 30.0) AS INTEGER) AS months_active,
+         CAST(frequency AS DOUBLE) / (CASE WHEN days_since_first_purchase = 0 THEN 1.0
+              ELSE CAST(days_since_first_purchase AS DOUBLE) / 30.0 END) AS purchase_frequency_per_month
+  FROM ch_m
+),
+ch_e AS (
+  SELECT quantile_cont(CAST(recency AS DOUBLE), {Q5}) AS re,
+         quantile_cont(purchase_frequency_per_month, {Q5}) AS fe
+  FROM ch_m2
+),
+ch_w AS (
+  SELECT m.*,
+         [20, 40, 60, 80, 95][{_bucket('recency', 're')} + {_dup_check('re', 'recency')}] AS rw,
+         [80, 60, 40, 20, 5][{_bucket('purchase_frequency_per_month', 'fe')} + {_dup_check('fe', 'rate')}] AS fw
+  FROM ch_m2 m, ch_e
+),
+churn AS (
+  SELECT customer_id, recency, frequency, days_since_first_purchase, purchase_frequency_per_month,
+         months_active, CAST((6 * rw + 4 * fw) / 10 AS DOUBLE) AS churn_score,
+         CASE WHEN (6 * rw + 4 * fw) / 10 >= 80 THEN '🔴 High'
+              WHEN (6 * rw + 4 * fw) / 10 >= 60 THEN '🟠 Medium'
+              WHEN (6 * rw + 4 * fw) / 10 >= 40 THEN '🟡 Low'
+              ELSE '🟢 Very Low' END AS churn_risk,
+         CASE WHEN (6 * rw + 4 * fw) / 10 >= 80 THEN '🎯 Win-back campaign + special offer'
+              WHEN (6 * rw + 4 * fw) / 10 >= 60 THEN '📧 Engagement email + coupon'
+              WHEN (6 * rw + 4 * fw) / 10 >= 40 THEN '💌 Regular newsletter'
+              ELSE '🎉 VIP loyalty program' END AS recommendation
+  FROM ch_w
+)"""
+
+# --- geography -------------------------------------------------------------
+
+GEO_CTE = """
+ge_lines AS (
+  SELECT *, price * quantity AS amount FROM orders_v
+  WHERE customer_id IS NOT NULL AND quantity > 0 AND price > 0
+),
+ge_ref AS (SELECT max(invoice_date) AS ref_d FROM ge_lines),
+ge_cc AS (
+  SELECT country, customer_id,
+         CAST(date_sub('day', max(invoice_date), (SELECT ref_d FROM ge_ref)) AS INTEGER) AS rec,
+         count(DISTINCT invoice) AS freq, CAST(sum(amount) AS DECIMAL(38,4)) AS mon
+  FROM ge_lines WHERE country IS NOT NULL GROUP BY country, customer_id
+),
+ge_c AS (
+  SELECT country, count(*) AS total_customers, CAST(sum(mon) AS DECIMAL(38,4)) AS total_revenue,
+         CAST(trunc(CAST(sum(rec) AS DOUBLE) / CAST(count(rec) AS DOUBLE)) AS INTEGER) AS recency_avg,
+         CAST(sum(freq) AS DOUBLE) / CAST(count(freq) AS DOUBLE) AS frequency_avg,
+         CAST(sum(mon) AS DOUBLE) / CAST(count(mon) AS DOUBLE) AS monetary_avg
+  FROM ge_cc GROUP BY country
+),
+ge_o AS (
+  SELECT country, count(DISTINCT invoice) AS total_orders FROM ge_lines
+  WHERE country IS NOT NULL GROUP BY country
+),
+ge_j AS (
+  SELECT c.*, o.total_orders,
+         CAST(c.total_revenue AS DOUBLE) / CAST(o.total_orders AS DOUBLE) AS avg_order_value,
+         CAST(c.total_revenue AS DOUBLE) / CAST(c.total_customers AS DOUBLE) AS avg_customer_value
+  FROM ge_c c JOIN ge_o o USING (country)
+),
+ge_q AS (
+  SELECT quantile_cont(CAST(total_revenue AS DOUBLE), 0.75) AS rev75,
+         quantile_cont(CAST(recency_avg AS DOUBLE), 0.25) AS rec25,
+         quantile_cont(CAST(recency_avg AS DOUBLE), 0.5) AS rec50
+  FROM ge_j
+),
+geo AS (
+  SELECT country, total_customers, total_orders, total_revenue, avg_order_value, avg_customer_value,
+         recency_avg, frequency_avg, monetary_avg,
+         CASE WHEN CAST(total_revenue AS DOUBLE) >= rev75 AND recency_avg <= rec25 THEN '🟢 Established Leader'
+              WHEN CAST(total_revenue AS DOUBLE) >= rev75 THEN '🟠 Declining'
+              WHEN recency_avg <= rec50 THEN '🟡 Growing Opportunity'
+              ELSE '🔴 Emerging Market' END AS market_growth_potential,
+         CAST(row_number() OVER (ORDER BY total_revenue DESC, country) AS INTEGER) AS priority_rank
+  FROM ge_j, ge_q
+)"""
+
+# --- lifetime value --------------------------------------------------------
+
+CLV_CTE = """
+cl_pc AS (
+  SELECT customer_id, CAST(sum(price * quantity) AS DECIMAL(38,4)) AS historical_value,
+         min(invoice_date) AS first_d, max(invoice_date) AS last_d
+  FROM orders_v WHERE customer_id IS NOT NULL AND quantity > 0 AND price > 0
+  GROUP BY customer_id
+),
+cl_j AS (
+  SELECT r.customer_id, r.segment, p.historical_value,
+         greatest(1.0, CAST(date_sub('day', p.first_d, p.last_d) AS DOUBLE) / 30.0) AS months,
+         coalesce(CASE r.segment
+            WHEN 'Champions' THEN 1.15 WHEN 'Clients Fidèles' THEN 1.10
+            WHEN 'Nouveaux Clients' THEN 1.20 WHEN 'Clients Potentiels' THEN 1.08
+            WHEN 'À Risque' THEN 0.85 WHEN 'Perdus' THEN 0.50
+            WHEN 'À Réactiver' THEN 1.05 WHEN 'Moyens' THEN 1.00 END::DOUBLE, 1.0::DOUBLE) AS growth_rate
+  FROM rfm r JOIN cl_pc p USING (customer_id)
+),
+clv AS (
+  SELECT customer_id, segment, historical_value,
+         CAST(historical_value AS DOUBLE) / months AS avg_monthly_value,
+         CAST(historical_value AS DOUBLE) / months * 12.0 * growth_rate AS clv_12months,
+         CAST(historical_value AS DOUBLE) / months * 24.0 * growth_rate AS clv_24months,
+         growth_rate,
+         CASE WHEN historical_value < 100 THEN '🟡 Low'
+              WHEN months < 3 THEN '🟡 Medium'
+              WHEN months >= 12 THEN '🟢 High'
+              ELSE '🟡 Medium' END AS forecast_confidence
+  FROM cl_j
+)"""
+
+SQL["product_rfm"] = q([PRODUCT_CTE], "SELECT * FROM products")
+SQL["churn_risk"] = q([CHURN_CTE], "SELECT * FROM churn")
+SQL["geographic_analysis"] = q([GEO_CTE], "SELECT * FROM geo")
+SQL["clv_forecast"] = q([rfm_cte(), CLV_CTE], "SELECT * FROM clv")

@@ -25,14 +25,25 @@ def with_amount(df: DataFrame) -> DataFrame:
     return df.withColumn("amount", money.amount())
 
 
-def require_rows(df: DataFrame, what: str) -> DataFrame:
-    """Fail the query (lazily, on the executors) when ``df`` has no rows.
+def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row frame (a global aggregate) to every row.
 
-    Implemented as a scalar count folded into a filter that is always true
-    when rows exist, so no separate job is started by the library.
+    The one-row side is broadcast: its size is one row by construction, so the
+    join is a nested loop over a single build row, not a cartesian product.
+    Referencing the values as columns keeps the plan linear in size (a scalar
+    subquery would be copied into every expression that uses it).
     """
-    n = df.agg(F.count(F.lit(1))).scalar()
-    return df.where(F.when(n > 0, F.lit(True)).otherwise(F.raise_error(F.lit(f"no rows for {what}"))))
+    return df.crossJoin(F.broadcast(one_row))
+
+
+def require_rows(one_row_count: DataFrame, count_col: str, what: str) -> DataFrame:
+    """Turn a one-row count into a guard: raises (on the executors) when 0."""
+    return one_row_count.withColumn(
+        count_col,
+        F.when(F.col(count_col) > 0, F.col(count_col)).otherwise(
+            F.raise_error(F.lit(f"no rows for {what}"))
+        ),
+    )
 
 
 def rank_bins(
@@ -41,9 +52,12 @@ def rank_bins(
     out: str,
     labels: list[int],
     strategy: str | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Quintile of the unique rank along ``order`` -> ``out`` label."""
-    ranked = ranking.global_row_number(df, order, rn_col="_rn", n_col="_n", strategy=strategy)
+    ranked = ranking.global_row_number(
+        df, order, rn_col="_rn", n_col="_n", strategy=strategy, rows=rows
+    )
     return binning.add_rank_bins(ranked, "_rn", "_n", out, labels).drop("_rn", "_n")
 
 
@@ -56,6 +70,7 @@ def value_bins(
     key: str,
     on_duplicate_edges: str = binning.RAISE,
     strategy: str | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Quintile by value edges -> ``out`` label.
 
@@ -68,9 +83,11 @@ def value_bins(
         edges = quantiles.percentile_edges(df, value, probs)
         base = df
     else:
-        base = ranking.global_row_number(df, [value, key], rn_col="_rn", n_col="_n", strategy=strategy)
+        base = ranking.global_row_number(
+            df, [value, key], rn_col="_rn", n_col="_n", strategy=strategy, rows=rows
+        )
         edges = quantiles.ranked_edges(base, value, probs, rn="_rn", n="_n")
         base = base.drop("_rn", "_n")
-    e = edges.select("edges").scalar()
-    bucket = binning.bin_by_edges(F.col(value), e, 5, on_duplicate_edges, what=value)
-    return base.withColumn(out, binning.label(bucket, labels))
+    joined = with_scalars(base, edges.select(F.col("edges").alias("_edges")))
+    bucket = binning.bin_by_edges(F.col(value), F.col("_edges"), 5, on_duplicate_edges, what=value)
+    return joined.withColumn(out, binning.label(bucket, labels)).drop("_edges")

@@ -19,8 +19,16 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import dates, labels, money
 from tillroll.operators import binning
+from tillroll.session import materialize
 from tillroll.plans import cleaning
-from tillroll.plans.common import rank_bins, require_rows, valid_customer, value_bins, with_amount
+from tillroll.plans.common import (
+    rank_bins,
+    require_rows,
+    valid_customer,
+    value_bins,
+    with_amount,
+    with_scalars,
+)
 
 RFM_COLUMNS = [
     "customer_id",
@@ -35,37 +43,55 @@ RFM_COLUMNS = [
 ]
 
 
-def customer_metrics(lines: DataFrame, reference_shift_days: int = 0) -> DataFrame:
+def customer_metrics(lines: DataFrame, reference_shift_days: int = 0) -> tuple[DataFrame, int]:
     """Per customer: recency (whole days to the reference date), frequency
     (distinct invoices), monetary (exact sum of price x quantity).
 
-    One aggregation; the reference date is a scalar subquery over the same
-    aggregate (the latest last-purchase is the latest line date), so the lines
-    are scanned once.
+    One aggregation over the lines, written once at customer grain
+    (:func:`materialize`): the reference date (latest last-purchase = latest
+    line date), the ranks and the quintile edges all read that table, so the
+    line scan and join run exactly once. An empty input fails the query.
     """
     lines = with_amount(lines)
-    per_customer = lines.groupBy("customer_id").agg(
-        F.max("invoice_date").alias("_last"),
-        F.count_distinct("invoice").cast("int").alias("frequency"),
-        money.money_sum(F.col("amount")).alias("monetary"),
+    per_customer = materialize(
+        lines.groupBy("customer_id").agg(
+            F.max("invoice_date").alias("_last"),
+            F.count_distinct("invoice").cast("int").alias("frequency"),
+            money.money_sum(F.col("amount")).alias("monetary"),
+        ),
+        "customers",
     )
-    ref = per_customer.agg(F.max("_last")).scalar()
+    ref = F.col("_ref")
     if reference_shift_days:
         ref = dates.plus_days(ref, reference_shift_days)
-    return per_customer.select(
+    one_row = require_rows(
+        per_customer.agg(F.max("_last").alias("_ref"), F.count(F.lit(1)).alias("_cnt")),
+        "_cnt",
+        "customer RFM",
+    )
+    metrics = with_scalars(per_customer, one_row).select(
         "customer_id",
         dates.whole_days(F.col("_last"), ref).alias("recency"),
         "frequency",
         "monetary",
     )
+    return metrics, per_customer.count()
 
 
-def score_rfm(metrics: DataFrame, strategy: str | None = None, on_duplicate_edges: str = binning.RAISE) -> DataFrame:
-    """R, F, M scores (1..5) and the concatenated ``rfm_score``."""
-    df = rank_bins(metrics, ["frequency", "customer_id"], "f_score", binning.DIRECT, strategy)
+def score_rfm(
+    metrics: DataFrame,
+    strategy: str | None = None,
+    on_duplicate_edges: str = binning.RAISE,
+    rows: int | None = None,
+) -> DataFrame:
+    """R, F, M scores (1..5) and the concatenated ``rfm_score``.
+
+    ``rows`` is an upper bound on the row count when known (picks the rank form).
+    """
+    df = rank_bins(metrics, ["frequency", "customer_id"], "f_score", binning.DIRECT, strategy, rows)
     df = value_bins(
         df, "monetary", "m_score", binning.DIRECT, bounded_domain=False, key="customer_id",
-        on_duplicate_edges=on_duplicate_edges, strategy=strategy,
+        on_duplicate_edges=on_duplicate_edges, strategy=strategy, rows=rows,
     )
     df = value_bins(
         df, "recency", "r_score", binning.INVERTED, bounded_domain=True, key="customer_id",
@@ -81,8 +107,8 @@ def score_rfm(metrics: DataFrame, strategy: str | None = None, on_duplicate_edge
 
 def customer_rfm(orders: DataFrame, strategy: str | None = None, on_duplicate_edges: str = binning.RAISE) -> DataFrame:
     """The customer RFM table (one row per customer with net monetary > 0)."""
-    metrics = customer_metrics(require_rows(valid_customer(orders), "customer RFM"))
-    scored = score_rfm(metrics.where(F.col("monetary") > 0), strategy, on_duplicate_edges)
+    metrics, rows = customer_metrics(valid_customer(orders))
+    scored = score_rfm(metrics.where(F.col("monetary") > 0), strategy, on_duplicate_edges, rows)
     return scored.withColumn(
         "segment", labels.customer_segment(F.col("r_score"), F.col("f_score"), F.col("m_score"))
     ).select(*RFM_COLUMNS)
@@ -91,8 +117,8 @@ def customer_rfm(orders: DataFrame, strategy: str | None = None, on_duplicate_ed
 def rfm_exploration(orders: DataFrame, strategy: str | None = None, on_duplicate_edges: str = binning.RAISE) -> DataFrame:
     """Exploratory RFM on cleaned lines, reference date = latest date + 1 day."""
     clean = cleaning.clean_orders(orders)
-    metrics = customer_metrics(clean, reference_shift_days=1)
-    scored = score_rfm(metrics.where(F.col("monetary") > 0), strategy, on_duplicate_edges)
+    metrics, rows = customer_metrics(clean, reference_shift_days=1)
+    scored = score_rfm(metrics.where(F.col("monetary") > 0), strategy, on_duplicate_edges, rows)
     return scored.withColumn(
         "segment", labels.exploration_segment(F.col("r_score"), F.col("f_score"))
     ).select(*RFM_COLUMNS)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll import oracle as _oracle
-from tillroll.plans import rfm
+from tillroll.plans import churn, clv, geo, product, rfm
 from tillroll.sources.testdata import orders_view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,5 +33,26 @@ def _rfm_exploration(spark, sf_dir):
     return rfm.rfm_exploration(orders_view(spark, sf_dir))
 
 
+@register("product_rfm")
+def _product_rfm(spark, sf_dir):
+    return product.product_rfm(orders_view(spark, sf_dir))
+
+
+@register("churn_risk")
+def _churn_risk(spark, sf_dir):
+    return churn.churn_risk(orders_view(spark, sf_dir))
+
+
+@register("geographic_analysis")
+def _geographic_analysis(spark, sf_dir):
+    return geo.geographic_analysis(orders_view(spark, sf_dir))
+
+
+@register("clv_forecast")
+def _clv_forecast(spark, sf_dir):
+    orders = orders_view(spark, sf_dir)
+    return clv.clv_forecast(rfm.customer_rfm(orders), orders)
+
+
 def oracle() -> dict[str, str]:
     return {k: v for k, v in _oracle.SQL.items() if k in QUERIES}

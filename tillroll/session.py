@@ -23,6 +23,7 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.exchange.reuse": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -82,15 +83,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     )
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable, eager checkpoint: cuts lineage and pins partition contents.
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once as a parquet table under the shared checkpoint folder
+    and return a frame reading it back.
 
-    Never a local checkpoint: the files live in the shared checkpoint folder,
-    so a lost executor does not force a recomputation that could partition
-    rows differently.
+    This cuts lineage like a reliable checkpoint and pins the values every later
+    read sees, but runs a single job (``Dataset.checkpoint`` on an unpersisted
+    plan computes it twice: once to count, once to write) and stores columnar,
+    compressed files. Never a local checkpoint or machine-local folder: a lost
+    executor must not force a recomputation that could produce different rows
+    or partitions.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
