@@ -318,3 +318,141 @@ SQL["product_rfm"] = q([PRODUCT_CTE], "SELECT * FROM products")
 SQL["churn_risk"] = q([CHURN_CTE], "SELECT * FROM churn")
 SQL["geographic_analysis"] = q([GEO_CTE], "SELECT * FROM geo")
 SQL["clv_forecast"] = q([rfm_cte(), CLV_CTE], "SELECT * FROM clv")
+
+
+# --- dashboard datasets ------------------------------------------------------
+
+def _r(expr: str, d: int) -> str:
+    """round(x * 10^d) / 10^d on the double value (half away from zero)."""
+    s = f"{10 ** d}.0"
+    return f"(round(CAST({expr} AS DOUBLE) * {s}) / {s})"
+
+
+def _mean(expr: str) -> str:
+    return f"(CAST(sum({expr}) AS DOUBLE) / CAST(count({expr}) AS DOUBLE))"
+
+
+def _hist(src: str, value: str, bins: int, by: str | None, out: str) -> str:
+    byc = f"{by}, " if by else ""
+    return f"""
+SELECT {byc}bin, lo + bin * (hi - lo) / {bins}.0 AS bin_start, lo + (bin + 1) * (hi - lo) / {bins}.0 AS bin_end,
+       count(*) AS {out}
+FROM (
+  SELECT {byc}lo, hi,
+         CASE WHEN hi - lo = 0 THEN 0
+              ELSE least({bins - 1}, CAST(floor((CAST({value} AS DOUBLE) - lo) * {bins}.0 / (hi - lo)) AS INTEGER)) END AS bin
+  FROM {src}, (SELECT min(CAST({value} AS DOUBLE)) AS lo, max(CAST({value} AS DOUBLE)) AS hi FROM {src} WHERE {value} IS NOT NULL) b
+  WHERE {value} IS NOT NULL
+) x
+GROUP BY {byc}bin, lo, hi"""
+
+
+RFM = [rfm_cte()]
+PRODUCTS = [PRODUCT_CTE]
+CHURN = [CHURN_CTE]
+GEO = [GEO_CTE]
+CLV = [rfm_cte(), CLV_CTE]
+
+SQL["kpis"] = q([], """SELECT count(DISTINCT invoice) AS total_orders, count(DISTINCT customer_id) AS total_customers,
+  CAST(sum(CASE WHEN quantity > 0 THEN price * quantity END) AS DECIMAL(38,4)) AS total_revenue,
+  count(DISTINCT stock_code) AS total_products FROM orders_v""")
+SQL["top_countries"] = q([], """SELECT country, count(DISTINCT customer_id) AS nb_clients FROM orders_v
+  WHERE customer_id IS NOT NULL GROUP BY country ORDER BY nb_clients DESC, country NULLS LAST LIMIT 10""")
+SQL["monthly_revenue"] = q([], """SELECT CAST(date_trunc('month', invoice_date) AS TIMESTAMP) AS mois,
+  CAST(sum(price * quantity) AS DECIMAL(38,4)) AS revenue FROM orders_v WHERE quantity > 0 GROUP BY 1 ORDER BY 1""")
+SQL["rfm_filtered"] = q(RFM, """SELECT * FROM rfm WHERE segment IN ('Champions', 'Clients Fidèles', 'À Risque')
+  AND recency BETWEEN 30 AND 400 AND monetary BETWEEN 1000 AND 200000""")
+SQL["segment_kpis"] = q(RFM, """SELECT count_if(segment = 'Champions') AS champions, count_if(segment = 'À Risque') AS at_risk,
+  count_if(segment = 'Perdus') AS lost FROM rfm""")
+SQL["segment_distribution"] = q(RFM, """SELECT segment, count(*) AS customers,
+  CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER () AS DOUBLE) AS share FROM rfm GROUP BY segment""")
+SQL["segment_stats"] = q(RFM, f"""SELECT segment, count(*) AS clients, {_r(_mean('recency'), 1)} AS recence_moy,
+  {_r(_mean('frequency'), 1)} AS frequence_moy, {_r(_mean('monetary'), 1)} AS montant_moy,
+  {_r('sum(monetary)', 1)} AS montant_total FROM rfm GROUP BY segment""")
+SQL["rfm_points"] = q(RFM, "SELECT customer_id, recency, frequency, monetary, segment FROM rfm")
+SQL["recency_histogram"] = q(RFM, _hist("rfm", "recency", 50, "segment", "customers"))
+SQL["monetary_histogram"] = q(RFM, _hist("rfm", "monetary", 50, "segment", "customers"))
+SQL["rf_heatmap"] = q(RFM, """SELECT g.r_score, """ + ", ".join(f"coalesce(c.f_{v}, 0) AS f_{v}" for v in range(1, 6)) + """
+  FROM (SELECT * FROM (VALUES (5), (4), (3), (2), (1)) t(r_score)) g
+  LEFT JOIN (SELECT r_score, """ + ", ".join(f"count_if(f_score = {v}) AS f_{v}" for v in range(1, 6)) + """
+             FROM rfm GROUP BY r_score) c USING (r_score)""")
+SQL["rfm_detail"] = q(RFM, """SELECT customer_id AS "ID", recency AS "Récence (j)", frequency AS "Fréquence",
+  monetary AS "Montant (€)", r_score AS "R", f_score AS "F", m_score AS "M", rfm_score AS "RFM", segment AS "Segment"
+  FROM rfm""")
+SQL["product_kpis"] = q(PRODUCTS, """SELECT count_if(performance = 'Star') AS stars, count_if(performance = 'Orphan') AS orphans,
+  count(*) AS total_products FROM products""")
+SQL["performance_distribution"] = q(PRODUCTS, "SELECT performance, count(*) AS products FROM products GROUP BY performance")
+SQL["top_products"] = q(PRODUCTS, """SELECT stock_code, product_name, performance, monetary, total_customers FROM products
+  ORDER BY monetary DESC, stock_code LIMIT 10""")
+SQL["product_listing"] = q(PRODUCTS, """SELECT stock_code, product_name, performance, recency, total_customers, monetary,
+  avg_price, total_quantity, r_score, f_score, m_score FROM products""")
+SQL["churn_bands"] = q(CHURN, """SELECT count_if(churn_score >= 80) AS high, count_if(churn_score >= 60 AND churn_score < 80) AS medium,
+  count_if(churn_score >= 40 AND churn_score < 60) AS low, count_if(churn_score < 40) AS very_low FROM churn""")
+SQL["churn_histogram"] = q(CHURN, _hist("churn", "churn_score", 30, None, "customers"))
+SQL["churn_high_risk"] = q(CHURN, "SELECT * FROM churn WHERE churn_score >= 80 ORDER BY churn_score DESC, customer_id LIMIT 50")
+SQL["market_class_counts"] = q(GEO, """SELECT count_if(contains(market_growth_potential, 'Established')) AS established,
+  count_if(contains(market_growth_potential, 'Growing')) AS growing,
+  count_if(contains(market_growth_potential, 'Emerging')) AS emerging FROM geo""")
+SQL["top_markets"] = q(GEO, "SELECT * FROM geo ORDER BY priority_rank LIMIT 10")
+SQL["market_listing"] = q(GEO, "SELECT * FROM geo")
+SQL["clv_totals"] = q(CLV, f"""SELECT {_r('sum(clv_12months)', 2)} AS total_clv_12, {_r('sum(clv_24months)', 2)} AS total_clv_24,
+  {_r('avg(clv_12months)', 2)} AS avg_clv_12, count_if(forecast_confidence = '🟢 High') AS high_confidence FROM clv""")
+SQL["clv_by_segment"] = q(CLV, f"""SELECT segment, count(*) AS customers, {_r('sum(clv_12months)', 2)} AS clv_12_total,
+  {_r('sum(clv_24months)', 2)} AS clv_24_total FROM clv GROUP BY segment""")
+SQL["clv_top"] = q(CLV, "SELECT * FROM clv ORDER BY clv_24months DESC, customer_id LIMIT 30")
+SQL["churn_summary"] = q(CHURN, "SELECT count_if(churn_risk = '🔴 High') AS high_risk_customers FROM churn")
+SQL["geo_top3"] = q(GEO, "SELECT priority_rank, country, total_revenue FROM geo ORDER BY priority_rank LIMIT 3")
+SQL["clv_summary"] = q(CLV, f"""SELECT {_r('sum(clv_24months)', 2)} AS total_clv_24, {_r('avg(clv_12months)', 2)} AS avg_clv_12 FROM clv""")
+
+# --- query library -------------------------------------------------------------
+
+SQL["lib_star_products"] = q(PRODUCTS, """SELECT stock_code, product_name, performance, total_customers, total_quantity,
+  monetary, r_score, f_score, m_score FROM products WHERE performance = 'Star' ORDER BY monetary DESC, stock_code LIMIT 10""")
+SQL["lib_orphan_products"] = q(PRODUCTS, """SELECT p.stock_code, p.product_name, p.performance, p.total_customers, p.monetary,
+  CAST((SELECT count(*) FROM orders_v o WHERE o.stock_code = p.stock_code) AS BIGINT) AS total_sales
+  FROM products p WHERE p.performance = 'Orphan' ORDER BY p.total_customers ASC, p.stock_code LIMIT 20""")
+SQL["lib_performance_summary"] = q(PRODUCTS, f"""SELECT performance, count(*) AS product_count, {_mean('monetary')} AS avg_revenue,
+  CAST(sum(monetary) AS DECIMAL(38,4)) AS total_revenue, {_mean('total_customers')} AS avg_customers
+  FROM products GROUP BY performance""")
+SQL["lib_revenue_rank"] = q(PRODUCTS, """SELECT * FROM (SELECT CAST(rank() OVER (ORDER BY monetary DESC) AS INTEGER) AS rank,
+  stock_code, product_name, monetary, total_customers, performance FROM products) r ORDER BY rank, stock_code LIMIT 20""")
+SQL["lib_high_risk_customers"] = q(CHURN, """SELECT customer_id, churn_score, churn_risk, recency, frequency, recommendation
+  FROM churn WHERE churn_score >= 80 ORDER BY churn_score DESC, customer_id LIMIT 50""")
+SQL["lib_churn_distribution"] = q(CHURN, f"""SELECT churn_risk, count(*) AS customer_count, {_r('avg(churn_score)', 1)} AS avg_score,
+  min(churn_score) AS min_score, max(churn_score) AS max_score FROM churn GROUP BY churn_risk""")
+SQL["lib_recommendation_breakdown"] = q(CHURN, f"""SELECT recommendation, count(*) AS customer_count,
+  {_r('avg(churn_score)', 1)} AS avg_score FROM churn GROUP BY recommendation""")
+SQL["lib_long_inactive"] = q(CHURN, """SELECT customer_id, recency, frequency, months_active, purchase_frequency_per_month, churn_score
+  FROM churn WHERE recency > 180 AND frequency < 5 ORDER BY recency DESC, customer_id LIMIT 30""")
+SQL["lib_medium_risk_targets"] = q(CHURN, """SELECT customer_id, churn_score, recency, frequency, recommendation FROM churn
+  WHERE churn_score BETWEEN 60 AND 79 ORDER BY churn_score DESC, customer_id LIMIT 100""")
+SQL["lib_top_countries"] = q(GEO, """SELECT priority_rank, country, total_customers, total_orders, total_revenue, avg_order_value,
+  avg_customer_value, market_growth_potential FROM geo ORDER BY priority_rank LIMIT 5""")
+SQL["lib_growth_opportunities"] = q(GEO, """SELECT priority_rank, country, total_customers, total_revenue, market_growth_potential,
+  recency_avg, frequency_avg, monetary_avg FROM geo
+  WHERE market_growth_potential IN ('🟡 Growing Opportunity', '🔴 Emerging Market')""")
+SQL["lib_declining_markets"] = q(GEO, """SELECT country, total_customers, total_revenue, market_growth_potential,
+  recency_avg AS days_since_last_order FROM geo WHERE market_growth_potential = '🟠 Declining'""")
+SQL["lib_countries_ranked"] = q(GEO, f"""SELECT priority_rank, country, total_customers AS cust_count, total_orders AS orders,
+  CAST(round(total_revenue, 2) AS DECIMAL(38,2)) AS revenue, {_r('avg_customer_value', 2)} AS avg_cust_value,
+  market_growth_potential FROM geo""")
+SQL["lib_market_benchmark"] = q(GEO, f"""SELECT market_growth_potential, count(*) AS country_count,
+  {_r(_mean('total_customers'), 0)} AS avg_customers, {_r(_mean('total_revenue'), 0)} AS avg_revenue,
+  {_r('avg(avg_customer_value)', 2)} AS avg_customer_value FROM geo GROUP BY market_growth_potential""")
+SQL["lib_top_clv"] = q(CLV, "SELECT * FROM clv ORDER BY clv_24months DESC, customer_id LIMIT 20")
+SQL["lib_clv_segment_summary"] = q(CLV, f"""SELECT segment, count(*) AS customer_count, {_r(_mean('historical_value'), 2)} AS avg_historical,
+  {_r('avg(clv_12months)', 2)} AS avg_12m, {_r('avg(clv_24months)', 2)} AS avg_24m,
+  {_r('sum(clv_24months)', 0)} AS total_24m_forecast, {_r('avg(growth_rate)', 2)} AS avg_growth
+  FROM clv GROUP BY segment""")
+SQL["lib_best_bets"] = q(CLV, """SELECT customer_id, segment, clv_24months, forecast_confidence, growth_rate FROM clv
+  WHERE forecast_confidence = '🟢 High' ORDER BY clv_24months DESC, customer_id LIMIT 50""")
+SQL["lib_forecast_vs_actual"] = q(CLV, f"""SELECT * FROM (SELECT c.customer_id, c.segment, r.monetary AS historical_actual,
+  c.clv_12months AS forecast_12m, c.clv_24months AS forecast_24m,
+  {_r('c.clv_12months / nullif(CAST(r.monetary AS DOUBLE), 0.0)', 2)} AS growth_multiplier
+  FROM clv c JOIN rfm r ON c.customer_id = r.customer_id WHERE r.monetary > 0) x
+  ORDER BY growth_multiplier DESC, customer_id LIMIT 30""")
+SQL["lib_champions_premium"] = q(CLV, """SELECT customer_id, clv_24months, growth_rate, forecast_confidence FROM clv
+  WHERE segment = 'Champions' AND forecast_confidence = '🟢 High' ORDER BY clv_24months DESC, customer_id LIMIT 30""")
+SQL["lib_total_forecast"] = q(CLV, """SELECT CAST(sum(clv_12months) AS DECIMAL(15,2)) AS total_revenue_12m,
+  CAST(sum(clv_24months) AS DECIMAL(15,2)) AS total_revenue_24m, count(*) AS total_customers,
+  CAST(sum(clv_24months) / count(*) AS DECIMAL(10,2)) AS avg_clv_per_customer FROM clv""")

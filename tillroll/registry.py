@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll import oracle as _oracle
-from tillroll.plans import churn, clv, geo, product, rfm
+from tillroll.plans import churn, clv, dashboard, geo, library, product, rfm
 from tillroll.sources.testdata import orders_view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,5 +54,120 @@ def _clv_forecast(spark, sf_dir):
     return clv.clv_forecast(rfm.customer_rfm(orders), orders)
 
 
+# --- marts ------------------------------------------------------------------
+
+
+def _rfm(spark, sf_dir):
+    return rfm.customer_rfm(orders_view(spark, sf_dir))
+
+
+def _products(spark, sf_dir):
+    return product.product_rfm(orders_view(spark, sf_dir))
+
+
+def _churn(spark, sf_dir):
+    return churn.churn_risk(orders_view(spark, sf_dir))
+
+
+def _geo(spark, sf_dir):
+    return geo.geographic_analysis(orders_view(spark, sf_dir))
+
+
+def _clv(spark, sf_dir):
+    orders = orders_view(spark, sf_dir)
+    return clv.clv_forecast(rfm.customer_rfm(orders), orders)
+
+
+def _on(mart, fn):
+    return lambda spark, sf_dir: fn(mart(spark, sf_dir))
+
+
+def _on_orders(fn):
+    return lambda spark, sf_dir: fn(orders_view(spark, sf_dir))
+
+
+# --- dashboard datasets --------------------------------------------------------
+
+FILTER_SEGMENTS = ["Champions", "Clients Fidèles", "À Risque"]
+FILTER_RECENCY = (30, 400)
+FILTER_MONETARY = (1000, 200000)
+
+QUERIES.update(
+    {
+        "kpis": _on_orders(dashboard.kpis),
+        "top_countries": _on_orders(dashboard.top_countries),
+        "monthly_revenue": _on_orders(dashboard.monthly_revenue),
+        "rfm_filtered": _on(
+            _rfm,
+            lambda r: dashboard.filter_rfm(r, FILTER_SEGMENTS, FILTER_RECENCY, FILTER_MONETARY),
+        ),
+        "segment_kpis": _on(_rfm, dashboard.segment_kpis),
+        "segment_distribution": _on(_rfm, dashboard.segment_distribution),
+        "segment_stats": _on(_rfm, dashboard.segment_stats),
+        "rfm_points": _on(_rfm, dashboard.rfm_points),
+        "recency_histogram": _on(_rfm, lambda r: dashboard.segment_histogram(r, "recency")),
+        "monetary_histogram": _on(_rfm, lambda r: dashboard.segment_histogram(r, "monetary")),
+        "rf_heatmap": _on(_rfm, dashboard.rf_heatmap),
+        "rfm_detail": _on(_rfm, dashboard.rfm_detail),
+        "product_kpis": _on(_products, dashboard.product_kpis),
+        "performance_distribution": _on(_products, dashboard.performance_distribution),
+        "top_products": _on(_products, dashboard.top_products),
+        "product_listing": _on(_products, dashboard.product_listing),
+        "churn_bands": _on(_churn, dashboard.churn_bands),
+        "churn_histogram": _on(_churn, dashboard.churn_histogram),
+        "churn_high_risk": _on(_churn, dashboard.churn_high_risk),
+        "market_class_counts": _on(_geo, dashboard.market_class_counts),
+        "top_markets": _on(_geo, dashboard.top_markets),
+        "market_listing": _on(_geo, dashboard.market_listing),
+        "clv_totals": _on(_clv, dashboard.clv_totals),
+        "clv_by_segment": _on(_clv, dashboard.clv_by_segment),
+        "clv_top": _on(_clv, dashboard.clv_top),
+        "churn_summary": _on(_churn, dashboard.churn_summary),
+        "geo_top3": _on(_geo, dashboard.geo_top3),
+        "clv_summary": _on(_clv, dashboard.clv_summary),
+    }
+)
+
+
+# --- query library ---------------------------------------------------------------
+
+
+@register("lib_orphan_products")
+def _lib_orphans(spark, sf_dir):
+    orders = orders_view(spark, sf_dir)
+    return library.orphan_products(product.product_rfm(orders), orders)
+
+
+@register("lib_forecast_vs_actual")
+def _lib_forecast_vs_actual(spark, sf_dir):
+    orders = orders_view(spark, sf_dir)
+    r = rfm.customer_rfm(orders)
+    return library.forecast_vs_actual(clv.clv_forecast(r, orders), r)
+
+
+QUERIES.update(
+    {
+        "lib_star_products": _on(_products, library.star_products),
+        "lib_performance_summary": _on(_products, library.performance_summary),
+        "lib_revenue_rank": _on(_products, library.revenue_rank),
+        "lib_high_risk_customers": _on(_churn, library.high_risk_customers),
+        "lib_churn_distribution": _on(_churn, library.churn_distribution),
+        "lib_recommendation_breakdown": _on(_churn, library.recommendation_breakdown),
+        "lib_long_inactive": _on(_churn, library.long_inactive),
+        "lib_medium_risk_targets": _on(_churn, library.medium_risk_targets),
+        "lib_top_countries": _on(_geo, library.top_countries_by_revenue),
+        "lib_growth_opportunities": _on(_geo, library.growth_opportunities),
+        "lib_declining_markets": _on(_geo, library.declining_markets),
+        "lib_countries_ranked": _on(_geo, library.countries_ranked),
+        "lib_market_benchmark": _on(_geo, library.market_benchmark),
+        "lib_top_clv": _on(_clv, library.top_clv),
+        "lib_clv_segment_summary": _on(_clv, library.clv_segment_summary),
+        "lib_best_bets": _on(_clv, library.best_bets),
+        "lib_champions_premium": _on(_clv, library.champions_premium),
+        "lib_total_forecast": _on(_clv, library.total_forecast),
+    }
+)
+
+
 def oracle() -> dict[str, str]:
     return {k: v for k, v in _oracle.SQL.items() if k in QUERIES}
