@@ -53,45 +53,45 @@ def _rank_bucket_sum() -> str:
 
 # --- customer RFM ----------------------------------------------------------
 
-def _rfm_ctes(clean: bool = False) -> str:
+def _rfm_ctes(clean: bool = False, p: str = "rfm") -> str:
     if clean:
-        src = """
-rfm_lines AS (
+        src = f"""
+{p}_lines AS (
   SELECT *, price * quantity AS amount FROM (SELECT DISTINCT * FROM orders_v) d
   WHERE customer_id IS NOT NULL AND NOT coalesce(starts_with(invoice, 'C'), false)
     AND quantity > 0 AND price > 0
 ),"""
         shift = " + INTERVAL 1 DAY"
     else:
-        src = """
-rfm_lines AS (SELECT *, price * quantity AS amount FROM orders_v WHERE customer_id IS NOT NULL),"""
+        src = f"""
+{p}_lines AS (SELECT *, price * quantity AS amount FROM orders_v WHERE customer_id IS NOT NULL),"""
         shift = ""
     return f"""{src}
-rfm_pc AS (
+{p}_pc AS (
   SELECT customer_id, max(invoice_date) AS last_d,
          CAST(count(DISTINCT invoice) AS INTEGER) AS frequency,
          CAST(sum(amount) AS DECIMAL(38,4)) AS monetary
-  FROM rfm_lines GROUP BY customer_id
+  FROM {p}_lines GROUP BY customer_id
 ),
-rfm_ref AS (SELECT max(last_d){shift} AS ref_d FROM rfm_pc),
-rfm_m AS (
+{p}_ref AS (SELECT max(last_d){shift} AS ref_d FROM {p}_pc),
+{p}_m AS (
   SELECT customer_id, CAST(date_sub('day', last_d, ref_d) AS INTEGER) AS recency, frequency, monetary
-  FROM rfm_pc, rfm_ref WHERE monetary > 0
+  FROM {p}_pc, {p}_ref WHERE monetary > 0
 ),
-rfm_rk AS (
-  SELECT *, row_number() OVER (ORDER BY frequency, customer_id) AS rn, count(*) OVER () AS n FROM rfm_m
+{p}_rk AS (
+  SELECT *, row_number() OVER (ORDER BY frequency, customer_id) AS rn, count(*) OVER () AS n FROM {p}_m
 ),
-rfm_e AS (
+{p}_e AS (
   SELECT quantile_cont(CAST(recency AS DOUBLE), {Q5}) AS re,
          quantile_cont(CAST(monetary AS DOUBLE), {Q5}) AS me
-  FROM rfm_m
+  FROM {p}_m
 ),
-rfm_s AS (
+{p}_s AS (
   SELECT customer_id, recency, frequency, monetary,
          CAST(6 - {_bucket('recency', 're')} + {_dup_check('re', 'recency')} AS INTEGER) AS r_score,
          {_rank_bucket('rn', 'n')} AS f_score,
          CAST({_bucket('monetary', 'me')} + {_dup_check('me', 'monetary')} AS INTEGER) AS m_score
-  FROM rfm_rk, rfm_e
+  FROM {p}_rk, {p}_e
 )"""
 
 
@@ -117,12 +117,12 @@ EXPLORATION_SEGMENT = """CASE
 
 def rfm_cte(name: str = "rfm", clean: bool = False) -> str:
     seg = EXPLORATION_SEGMENT if clean else RFM_SEGMENT
-    return f"""{_rfm_ctes(clean)},
+    return f"""{_rfm_ctes(clean, name)},
 {name} AS (
   SELECT customer_id, recency, frequency, monetary, r_score, f_score, m_score,
          CAST(r_score AS VARCHAR) || CAST(f_score AS VARCHAR) || CAST(m_score AS VARCHAR) AS rfm_score,
          {seg} AS segment
-  FROM rfm_s
+  FROM {name}_s
 )"""
 
 
@@ -456,3 +456,105 @@ SQL["lib_champions_premium"] = q(CLV, """SELECT customer_id, clv_24months, growt
 SQL["lib_total_forecast"] = q(CLV, """SELECT CAST(sum(clv_12months) AS DECIMAL(15,2)) AS total_revenue_12m,
   CAST(sum(clv_24months) AS DECIMAL(15,2)) AS total_revenue_24m, count(*) AS total_customers,
   CAST(sum(clv_24months) / count(*) AS DECIMAL(10,2)) AS avg_clv_per_customer FROM clv""")
+
+# --- profiling ---------------------------------------------------------------
+
+_COLS = ["invoice", "stock_code", "description", "quantity", "invoice_date", "price", "customer_id", "country"]
+_TYPES = ["string", "string", "string", "int", "timestamp_ntz", "decimal(18,4)", "bigint", "string"]
+
+SQL["profile_columns"] = q([], "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT (SELECT count(*) FROM orders_v) AS rows, {i} AS position, '{c}' AS col_name, '{t}' AS dtype, "
+    f"(SELECT count({c}) FROM orders_v) AS non_null"
+    for i, (c, t) in enumerate(zip(_COLS, _TYPES))) + ") x")
+
+
+def _describe_num(i: int, c: str) -> str:
+    x = f"CAST({c} AS DOUBLE)"
+    return (
+        f"SELECT {i} AS position, '{c}' AS col_name, count({c}) AS count, {_r(_mean(c), 6)} AS mean, "
+        f"{_r(f'stddev_samp({x})', 6)} AS std, min({x}) AS min, {_r(f'quantile_cont({x}, 0.25)', 6)} AS p25, "
+        f"{_r(f'quantile_cont({x}, 0.5)', 6)} AS p50, {_r(f'quantile_cont({x}, 0.75)', 6)} AS p75, max({x}) AS max "
+        f"FROM orders_v"
+    )
+
+
+def _describe_txt(i: int, c: str) -> str:
+    return (
+        f"SELECT {i} AS position, '{c}' AS col_name, CAST(sum(f) AS BIGINT) AS count, count(*) AS unique, "
+        f"arg_min(v, (-f, v)) AS top, max(f) AS freq "
+        f"FROM (SELECT {c} AS v, count(*) AS f FROM orders_v WHERE {c} IS NOT NULL GROUP BY {c}) g"
+    )
+
+
+SQL["describe_numeric"] = q([], " UNION ALL ".join(_describe_num(i, c) for i, c in enumerate(["quantity", "price", "customer_id"])))
+SQL["describe_text"] = q([], " UNION ALL ".join(_describe_txt(i, c) for i, c in enumerate(["invoice", "stock_code", "description", "country"])))
+SQL["missing_values"] = q([], " UNION ALL ".join(
+    f"SELECT {i} AS position, '{c}' AS col_name, count_if({c} IS NULL) AS missing, "
+    f"{_r(f'CAST(count_if({c} IS NULL) AS DOUBLE) * 100.0 / CAST(count(*) AS DOUBLE)', 2)} AS missing_pct FROM orders_v"
+    for i, c in enumerate(_COLS)))
+SQL["duplicates"] = q([], f"""SELECT rows, rows - d AS duplicates, {_r('CAST(rows - d AS DOUBLE) * 100.0 / CAST(rows AS DOUBLE)', 2)} AS duplicate_pct
+  FROM (SELECT count(*) AS rows FROM orders_v), (SELECT count(*) AS d FROM (SELECT DISTINCT * FROM orders_v))""")
+SQL["distinct_counts"] = q([], """SELECT count(DISTINCT customer_id) AS customers, count_if(customer_id IS NULL) AS rows_without_customer,
+  count(DISTINCT invoice) AS invoices, count(DISTINCT country) AS countries FROM orders_v""")
+SQL["top_countries_by_rows"] = q([], """SELECT country, count(*) AS rows FROM orders_v WHERE country IS NOT NULL
+  GROUP BY country ORDER BY rows DESC, country LIMIT 10""")
+SQL["price_histogram"] = q([], _hist("(SELECT * FROM orders_v WHERE price BETWEEN 0 AND 50)", "price", 50, None, "lines"))
+SQL["quantity_histogram"] = q([], _hist("(SELECT * FROM orders_v WHERE quantity BETWEEN 0 AND 100)", "quantity", 50, None, "lines"))
+
+
+def _box(src: str, value: str) -> str:
+    x = f"CAST({value} AS DOUBLE)"
+    return f"""
+SELECT n, {_r('q1', 6)} AS q1, {_r('median', 6)} AS median, {_r('q3', 6)} AS q3, {_r('q3 - q1', 6)} AS iqr,
+       min(CASE WHEN {x} >= q1 - 1.5 * (q3 - q1) THEN {x} END) AS whisker_low,
+       max(CASE WHEN {x} <= q3 + 1.5 * (q3 - q1) THEN {x} END) AS whisker_high,
+       count_if({x} < q1 - 1.5 * (q3 - q1) OR {x} > q3 + 1.5 * (q3 - q1)) AS outliers
+FROM {src} s, (SELECT count(*) AS n, quantile_cont({x}, 0.25) AS q1, quantile_cont({x}, 0.5) AS median,
+                      quantile_cont({x}, 0.75) AS q3 FROM {src} t WHERE {value} IS NOT NULL) b
+WHERE {value} IS NOT NULL
+GROUP BY n, q1, median, q3"""
+
+
+SQL["price_box"] = q([], _box("(SELECT * FROM orders_v WHERE price BETWEEN 0 AND 50)", "price"))
+SQL["quantity_box"] = q([], _box("(SELECT * FROM orders_v WHERE quantity BETWEEN 0 AND 100)", "quantity"))
+SQL["anomaly_counts"] = q([], """SELECT count_if(quantity < 0) AS negative_quantity, count_if(price <= 0) AS non_positive_price,
+  count_if(customer_id IS NULL) AS missing_customer, count_if(description IS NULL OR trim(description) = '') AS empty_description
+  FROM orders_v""")
+SQL["amount_stats"] = q([], f"""SELECT CAST(min(price * quantity) AS DECIMAL(38,4)) AS min_amount,
+  CAST(max(price * quantity) AS DECIMAL(38,4)) AS max_amount, {_mean('price * quantity')} AS mean_amount,
+  CAST(sum(price * quantity) AS DECIMAL(38,4)) AS total_amount FROM orders_v""")
+SQL["date_range"] = q([], """SELECT min(invoice_date) AS first_date, max(invoice_date) AS last_date,
+  CAST(date_sub('day', min(invoice_date), max(invoice_date)) AS INTEGER) AS span_days FROM orders_v""")
+SQL["lines_per_customer"] = q([], f"""SELECT min(n) AS min_lines, max(n) AS max_lines, {_mean('n')} AS mean_lines
+  FROM (SELECT customer_id, count(*) AS n FROM orders_v WHERE customer_id IS NOT NULL GROUP BY customer_id) c""")
+SQL["exploration_segment_summary"] = q([rfm_cte(clean=True)], f"""SELECT segment, count(*) AS customers,
+  {_r(_mean('recency'), 1)} AS recency, {_r(_mean('frequency'), 1)} AS frequency, {_r(_mean('monetary'), 1)} AS monetary
+  FROM rfm GROUP BY segment""")
+SQL["cleaning_report"] = q([], """SELECT * FROM (
+  SELECT 1 AS step_no, 'duplicates' AS step, total - d0 AS removed, d0 AS remaining FROM s UNION ALL
+  SELECT 2, 'missing_customer', d0 - d1, d1 FROM s UNION ALL
+  SELECT 3, 'cancellations', d1 - d2, d2 FROM s UNION ALL
+  SELECT 4, 'non_positive', d2 - d3, d3 FROM s) x""".replace("FROM s", """FROM (SELECT (SELECT count(*) FROM orders_v) AS total,
+    count(*) AS d0, count_if(customer_id IS NOT NULL) AS d1,
+    count_if(customer_id IS NOT NULL AND NOT coalesce(starts_with(invoice, 'C'), false)) AS d2,
+    count_if(customer_id IS NOT NULL AND NOT coalesce(starts_with(invoice, 'C'), false) AND coalesce(quantity > 0 AND price > 0, false)) AS d3
+    FROM (SELECT DISTINCT * FROM orders_v) u) s"""))
+
+# --- sources -------------------------------------------------------------------
+
+SQL["csv_roundtrip"] = q([], "SELECT * FROM orders_v")
+SQL["stream_ingest"] = q([], "SELECT * FROM orders_v")
+SQL["publish_rfm"] = q([rfm_cte("rfm"), rfm_cte("prev", clean=True)], """SELECT
+  coalesce(n.customer_id, o.customer_id) AS customer_id,
+  CASE WHEN n.customer_id IS NOT NULL THEN n.recency ELSE o.recency END AS recency,
+  CASE WHEN n.customer_id IS NOT NULL THEN n.frequency ELSE o.frequency END AS frequency,
+  CAST(CASE WHEN n.customer_id IS NOT NULL THEN n.monetary ELSE o.monetary END AS DECIMAL(10,2)) AS monetary,
+  CASE WHEN n.customer_id IS NOT NULL THEN n.r_score ELSE o.r_score END AS r_score,
+  CASE WHEN n.customer_id IS NOT NULL THEN n.f_score ELSE o.f_score END AS f_score,
+  CASE WHEN n.customer_id IS NOT NULL THEN n.m_score ELSE o.m_score END AS m_score,
+  CASE WHEN n.customer_id IS NOT NULL THEN n.rfm_score ELSE o.rfm_score END AS rfm_score,
+  CASE WHEN n.customer_id IS NOT NULL THEN n.segment ELSE o.segment END AS segment,
+  n.customer_id IS NOT NULL AS updated_in_run
+FROM prev o FULL OUTER JOIN rfm n ON o.customer_id = n.customer_id""")
+SQL["price_histogram_full"] = q([], _hist("orders_v", "price", 50, None, "lines"))
+SQL["price_box_full"] = q([], _box("orders_v", "price"))

@@ -8,7 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll import oracle as _oracle
-from tillroll.plans import churn, clv, dashboard, geo, library, product, rfm
+from tillroll.plans import churn, cleaning, clv, dashboard, geo, library, product, profiling, publish, rfm
+from tillroll.session import scratch_path
+from tillroll.sources import csv_orders, export, tables
+from tillroll.streaming import folder_ingest
 from tillroll.sources.testdata import orders_view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,5 +172,71 @@ QUERIES.update(
 )
 
 
+# --- profiling ---------------------------------------------------------------------
+
+QUERIES.update(
+    {
+        "profile_columns": _on_orders(profiling.column_profile),
+        "describe_numeric": _on_orders(profiling.describe_numeric),
+        "describe_text": _on_orders(profiling.describe_text),
+        "missing_values": _on_orders(profiling.missing_values),
+        "duplicates": _on_orders(profiling.duplicates),
+        "distinct_counts": _on_orders(profiling.distinct_counts),
+        "top_countries_by_rows": _on_orders(profiling.top_countries_by_rows),
+        "price_histogram": _on_orders(profiling.price_histogram),
+        "quantity_histogram": _on_orders(profiling.quantity_histogram),
+        "price_box": _on_orders(profiling.price_box),
+        "price_histogram_full": _on_orders(profiling.price_histogram_full),
+        "price_box_full": _on_orders(profiling.price_box_full),
+        "quantity_box": _on_orders(profiling.quantity_box),
+        "anomaly_counts": _on_orders(profiling.anomaly_counts),
+        "amount_stats": _on_orders(profiling.amount_stats),
+        "date_range": _on_orders(profiling.date_range),
+        "lines_per_customer": _on_orders(profiling.lines_per_customer),
+        "cleaning_report": _on_orders(cleaning.cleaning_report),
+        "exploration_segment_summary": lambda spark, sf_dir: profiling.segment_summary(
+            rfm.rfm_exploration(orders_view(spark, sf_dir))
+        ),
+    }
+)
+
+
+# --- sources ---------------------------------------------------------------------------
+
+
+@register("csv_roundtrip")
+def _csv_roundtrip(spark, sf_dir):
+    """Order lines written in the raw CSV layout (decimal comma, day-first
+    dates, several files), then ingested back by the CSV reader."""
+    path = scratch_path(spark, "csv_orders")
+    export.export_raw_orders(orders_view(spark, sf_dir), path, files=4)
+    return csv_orders.read_orders(spark, path)
+
+
+@register("stream_ingest")
+def _stream_ingest(spark, sf_dir):
+    """The same CSV files converted by the streaming folder ingest."""
+    landing = scratch_path(spark, "landing")
+    export.export_raw_orders(orders_view(spark, sf_dir), landing, files=4)
+    return folder_ingest.ingest_available(
+        spark, landing, scratch_path(spark, "bronze"), scratch_path(spark, "stream_ckpt")
+    )
+
+
+@register("publish_rfm")
+def _publish_rfm(spark, sf_dir):
+    """Exploration scores published first, then this run's customer RFM merged
+    on top: updated keys take the new values, the others keep theirs."""
+    orders = orders_view(spark, sf_dir)
+    base = scratch_path(spark, "rfm_results")
+    tables.write_version(publish.merge_results(rfm.rfm_exploration(orders), None), base)
+    publish.publish_results(spark, rfm.customer_rfm(orders), base)
+    current = tables.read_current(spark, base)
+    return current.select(
+        *[c for c in rfm.RFM_COLUMNS],
+        (current.updated_at > current.created_at).alias("updated_in_run"),
+    )
+
+
 def oracle() -> dict[str, str]:
     return {k: v for k, v in _oracle.SQL.items() if k in QUERIES}
