@@ -148,9 +148,8 @@ pr_lines AS (
   WHERE customer_id IS NOT NULL AND quantity > 0 AND price > 0
 ),
 pr_desc AS (
-  SELECT stock_code, arg_min(description, (first_d, first_inv, description)) AS product_name
-  FROM (SELECT stock_code, description, min(invoice_date) AS first_d,
-               arg_min(invoice, (invoice_date, invoice)) AS first_inv
+  SELECT stock_code, arg_min(description, (first_d, description)) AS product_name
+  FROM (SELECT stock_code, description, min(invoice_date) AS first_d
         FROM pr_lines WHERE description IS NOT NULL GROUP BY stock_code, description) d
   GROUP BY stock_code
 ),

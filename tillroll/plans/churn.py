@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import dates, labels
 from tillroll.operators import binning
-from tillroll.plans.common import require_rows, valid_customer, value_bins, with_scalars
-from tillroll.session import materialize
+from tillroll.plans.common import require_rows, value_bins, with_scalars
+from tillroll.plans.customers import customer_base
 
 CHURN_COLUMNS = [
     "customer_id",
@@ -31,32 +31,27 @@ CHURN_COLUMNS = [
 
 
 def churn_risk(
-    orders: DataFrame, strategy: str | None = None, on_duplicate_edges: str = binning.RAISE
+    orders: DataFrame,
+    strategy: str | None = None,
+    on_duplicate_edges: str = binning.RAISE,
+    base: tuple[DataFrame, int] | None = None,
 ) -> DataFrame:
-    lines = valid_customer(orders).select("customer_id", "invoice_date")
-    per_customer = materialize(
-        lines.groupBy("customer_id").agg(
-            F.max("invoice_date").alias("_last"),
-            F.count("invoice_date").cast("int").alias("frequency"),
-            F.min("invoice_date").alias("_first"),
-        ),
-        "churn_customers",
-    )
-    rows = per_customer.count()
+    """``base``: a :func:`customer_base` already built from the same orders."""
+    per_customer, rows = base if base is not None else customer_base(orders)
     one_row = require_rows(
         per_customer.agg(
-            F.max("_last").alias("_ref"),
-            F.max("_first").alias("_latest_first"),
+            F.max("last_purchase").alias("_ref"),
+            F.max("first_purchase").alias("_latest_first"),
             F.count(F.lit(1)).alias("_cnt"),
         ),
         "_cnt",
         "churn",
     )
-    days = dates.whole_days(F.col("_first"), F.col("_latest_first"))
+    days = dates.whole_days(F.col("first_purchase"), F.col("_latest_first"))
     df = with_scalars(per_customer, one_row).select(
         "customer_id",
-        dates.whole_days(F.col("_last"), F.col("_ref")).alias("recency"),
-        "frequency",
+        dates.whole_days(F.col("last_purchase"), F.col("_ref")).alias("recency"),
+        F.col("lines").alias("frequency"),
         days.alias("days_since_first_purchase"),
     )
     d = F.col("days_since_first_purchase")

@@ -36,7 +36,24 @@ def clv_forecast(rfm: DataFrame, orders: DataFrame) -> DataFrame:
         F.min("invoice_date").alias("_first"),
         F.max("invoice_date").alias("_last"),
     )
-    df = rfm.select("customer_id", "segment").join(per_customer, "customer_id")
+    return _forecast(rfm.select("customer_id", "segment").join(per_customer, "customer_id"))
+
+
+def clv_from_base(rfm: DataFrame, base: tuple[DataFrame, int]) -> DataFrame:
+    """Same forecast from the shared customer table (no pass over the lines):
+    its positive-line aggregates are exactly the per-customer sums above;
+    customers without a positive line drop out, as the inner join does."""
+    table, _ = base
+    per_customer = table.where(F.col("last_sale").isNotNull()).select(
+        "customer_id",
+        F.col("gross_amount").alias("historical_value"),
+        F.col("first_sale").alias("_first"),
+        F.col("last_sale").alias("_last"),
+    )
+    return _forecast(rfm.select("customer_id", "segment").join(per_customer, "customer_id"))
+
+
+def _forecast(df: DataFrame) -> DataFrame:
     months = F.greatest(
         F.lit(1.0),
         dates.whole_days(F.col("_first"), F.col("_last")).cast("double") / F.lit(float(labels.DAYS_PER_MONTH)),

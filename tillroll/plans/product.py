@@ -32,36 +32,53 @@ PRODUCT_COLUMNS = [
 ]
 
 
-def first_description(lines: DataFrame) -> DataFrame:
-    """(stock_code, product_name): the description of the earliest line
-    (by invoice date, then invoice, then description), NULLs skipped.
-
-    Chosen on the small (stock_code, description) grain first — a hash
-    aggregate on string keys — so the per-product pick runs over a handful
-    of rows per product instead of every line.
-    """
-    pairs = (
-        lines.where(F.col("description").isNotNull())
-        .groupBy("stock_code", "description")
-        .agg(F.min(F.struct("invoice_date", "invoice")).alias("_first"))
-    )
+def _pick_description(pairs: DataFrame) -> DataFrame:
+    """(stock_code, product_name) from the (stock_code, description, first
+    date) grain: the description first seen, ties by the smallest text."""
     return pairs.groupBy("stock_code").agg(
         F.min_by("description", F.struct(F.col("_first"), F.col("description"))).alias("product_name")
     )
 
 
-def product_rfm(orders: DataFrame, strategy: str | None = None) -> DataFrame:
-    lines = with_amount(positive_sales(orders))
-    per_product = lines.groupBy("stock_code").agg(
+def product_table(lines: DataFrame) -> DataFrame:
+    """One pass over the lines, two grouping sets, written once:
+
+    * (stock_code): last date, distinct customers, revenue, price sum/count,
+      quantity;
+    * (stock_code, description): first date of each non-null description.
+
+    Every buffer is fixed-width (hash aggregate, map-side combine). The pick
+    of the first description runs on the small pair grain only.
+    """
+    both = lines.groupingSets(
+        [["stock_code"], ["stock_code", "description"]], "stock_code", "description"
+    ).agg(
+        F.grouping_id().alias("_gid"),
         F.max("invoice_date").alias("_last"),
         F.count_distinct("customer_id").cast("int").alias("total_customers"),
         money.money_sum(F.col("amount")).alias("monetary"),
-        money.exact_mean(F.col("price")).alias("avg_price"),
+        F.sum(F.col("price")).alias("_price_sum"),
+        F.count(F.col("price")).alias("_price_n"),
         F.sum("quantity").cast("long").alias("total_quantity"),
+        F.min("invoice_date").alias("_first"),
     )
-    per_product = materialize(
-        per_product.join(first_description(lines), "stock_code", "left"), "products"
+    table = materialize(both, "product_sets")
+    per_product = table.where(F.col("_gid") == 1).select(
+        "stock_code",
+        "_last",
+        "total_customers",
+        "monetary",
+        (F.col("_price_sum").cast("double") / F.col("_price_n").cast("double")).alias("avg_price"),
+        "total_quantity",
+    )
+    pairs = table.where((F.col("_gid") == 0) & F.col("description").isNotNull()).select(
+        "stock_code", "description", "_first"
     )
+    return per_product.join(_pick_description(pairs), "stock_code", "left")
+
+
+def product_rfm(orders: DataFrame, strategy: str | None = None) -> DataFrame:
+    per_product = product_table(with_amount(positive_sales(orders)))
     rows = per_product.count()
     one_row = require_rows(
         per_product.agg(F.max("_last").alias("_ref"), F.count(F.lit(1)).alias("_cnt")),

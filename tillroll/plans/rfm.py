@@ -17,18 +17,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import dates, labels, money
+from tillroll.functions import dates, labels
 from tillroll.operators import binning
-from tillroll.session import materialize
+from tillroll.plans.customers import customer_base
 from tillroll.plans import cleaning
-from tillroll.plans.common import (
-    rank_bins,
-    require_rows,
-    valid_customer,
-    value_bins,
-    with_amount,
-    with_scalars,
-)
+from tillroll.plans.common import rank_bins, require_rows, value_bins, with_scalars
 
 RFM_COLUMNS = [
     "customer_id",
@@ -43,39 +36,32 @@ RFM_COLUMNS = [
 ]
 
 
-def customer_metrics(lines: DataFrame, reference_shift_days: int = 0) -> tuple[DataFrame, int]:
+def customer_metrics(
+    lines: DataFrame, reference_shift_days: int = 0, base: tuple[DataFrame, int] | None = None
+) -> tuple[DataFrame, int]:
     """Per customer: recency (whole days to the reference date), frequency
     (distinct invoices), monetary (exact sum of price x quantity).
 
-    One aggregation over the lines, written once at customer grain
-    (:func:`materialize`): the reference date (latest last-purchase = latest
-    line date), the ranks and the quintile edges all read that table, so the
-    line scan and join run exactly once. An empty input fails the query.
+    Derived from the shared customer-grain table (one pass over the lines,
+    written once); the reference date is its latest last purchase (= the
+    latest line date), attached as a one-row broadcast. An empty input fails.
     """
-    lines = with_amount(lines)
-    per_customer = materialize(
-        lines.groupBy("customer_id").agg(
-            F.max("invoice_date").alias("_last"),
-            F.count_distinct("invoice").cast("int").alias("frequency"),
-            money.money_sum(F.col("amount")).alias("monetary"),
-        ),
-        "customers",
-    )
+    table, rows = base if base is not None else customer_base(lines)
     ref = F.col("_ref")
     if reference_shift_days:
         ref = dates.plus_days(ref, reference_shift_days)
     one_row = require_rows(
-        per_customer.agg(F.max("_last").alias("_ref"), F.count(F.lit(1)).alias("_cnt")),
+        table.agg(F.max("last_purchase").alias("_ref"), F.count(F.lit(1)).alias("_cnt")),
         "_cnt",
         "customer RFM",
     )
-    metrics = with_scalars(per_customer, one_row).select(
+    metrics = with_scalars(table, one_row).select(
         "customer_id",
-        dates.whole_days(F.col("_last"), ref).alias("recency"),
-        "frequency",
-        "monetary",
+        dates.whole_days(F.col("last_purchase"), ref).alias("recency"),
+        F.col("invoices").alias("frequency"),
+        F.col("net_amount").alias("monetary"),
     )
-    return metrics, per_customer.count()
+    return metrics, rows
 
 
 def score_rfm(
@@ -105,9 +91,15 @@ def score_rfm(
     )
 
 
-def customer_rfm(orders: DataFrame, strategy: str | None = None, on_duplicate_edges: str = binning.RAISE) -> DataFrame:
-    """The customer RFM table (one row per customer with net monetary > 0)."""
-    metrics, rows = customer_metrics(valid_customer(orders))
+def customer_rfm(
+    orders: DataFrame,
+    strategy: str | None = None,
+    on_duplicate_edges: str = binning.RAISE,
+    base: tuple[DataFrame, int] | None = None,
+) -> DataFrame:
+    """The customer RFM table (one row per customer with net monetary > 0).
+    ``base``: a :func:`customer_base` already built from the same orders."""
+    metrics, rows = customer_metrics(orders, base=base)
     scored = score_rfm(metrics.where(F.col("monetary") > 0), strategy, on_duplicate_edges, rows)
     return scored.withColumn(
         "segment", labels.customer_segment(F.col("r_score"), F.col("f_score"), F.col("m_score"))
@@ -117,7 +109,7 @@ def customer_rfm(orders: DataFrame, strategy: str | None = None, on_duplicate_ed
 def rfm_exploration(orders: DataFrame, strategy: str | None = None, on_duplicate_edges: str = binning.RAISE) -> DataFrame:
     """Exploratory RFM on cleaned lines, reference date = latest date + 1 day."""
     clean = cleaning.clean_orders(orders)
-    metrics, rows = customer_metrics(clean, reference_shift_days=1)
+    metrics, rows = customer_metrics(clean, reference_shift_days=1, base=customer_base(clean, "clean_customers"))
     scored = score_rfm(metrics.where(F.col("monetary") > 0), strategy, on_duplicate_edges, rows)
     return scored.withColumn(
         "segment", labels.exploration_segment(F.col("r_score"), F.col("f_score"))

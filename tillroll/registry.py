@@ -8,11 +8,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll import oracle as _oracle
-from tillroll.plans import churn, cleaning, clv, dashboard, geo, library, product, profiling, publish, rfm
+from tillroll.plans import churn, cleaning, clv, customers, dashboard, geo, library, product, profiling, publish, rfm
 from tillroll.session import scratch_path
 from tillroll.sources import csv_orders, export, tables
 from tillroll.streaming import folder_ingest
-from tillroll.sources.testdata import orders_view
+from tillroll.sources import testdata
+
+_VIEWS: dict[tuple[int, str], DataFrame] = {}
+
+
+def orders_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order-line view for ``sf_dir``, built once per session (a lazy plan:
+    reusing it saves the driver-side analysis, every query still reads the files)."""
+    key = (id(spark), sf_dir.rstrip("/"))
+    view = _VIEWS.get(key)
+    if view is None or view.sparkSession is not spark:
+        view = testdata.orders_view(spark, sf_dir)
+        _VIEWS[key] = view
+    return view
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,8 +66,7 @@ def _geographic_analysis(spark, sf_dir):
 
 @register("clv_forecast")
 def _clv_forecast(spark, sf_dir):
-    orders = orders_view(spark, sf_dir)
-    return clv.clv_forecast(rfm.customer_rfm(orders), orders)
+    return _clv(spark, sf_dir)
 
 
 # --- marts ------------------------------------------------------------------
@@ -78,7 +90,8 @@ def _geo(spark, sf_dir):
 
 def _clv(spark, sf_dir):
     orders = orders_view(spark, sf_dir)
-    return clv.clv_forecast(rfm.customer_rfm(orders), orders)
+    base = customers.customer_base(orders)
+    return clv.clv_from_base(rfm.customer_rfm(orders, base=base), base)
 
 
 def _on(mart, fn):
@@ -144,8 +157,9 @@ def _lib_orphans(spark, sf_dir):
 @register("lib_forecast_vs_actual")
 def _lib_forecast_vs_actual(spark, sf_dir):
     orders = orders_view(spark, sf_dir)
-    r = rfm.customer_rfm(orders)
-    return library.forecast_vs_actual(clv.clv_forecast(r, orders), r)
+    base = customers.customer_base(orders)
+    r = rfm.customer_rfm(orders, base=base)
+    return library.forecast_vs_actual(clv.clv_from_base(r, base), r)
 
 
 QUERIES.update(
