@@ -49,14 +49,22 @@ def performance_summary(products: DataFrame) -> DataFrame:
     ).orderBy(F.col("total_revenue").desc(), F.col("performance"))
 
 
-def revenue_rank(products: DataFrame) -> DataFrame:
-    """rank() by revenue, first 20 (by rank, then stock code). The window runs
-    over the product mart (bounded by the catalogue), then a top-k."""
-    ranked = products.withColumn("rank", F.rank().over(Window.orderBy(F.col("monetary").desc())))
-    return stats.top_k(
-        ranked.select("rank", "stock_code", "product_name", "monetary", "total_customers", "performance"),
-        [F.col("rank"), F.col("stock_code")],
-        20,
+def revenue_rank(products: DataFrame, k: int = 20) -> DataFrame:
+    """rank() by revenue, first ``k`` (by rank, then stock code).
+
+    Exact without ranking the whole catalogue in one task: a row's rank is
+    1 + the number of rows with strictly higher revenue, and all of those
+    come before it in the (revenue desc, stock code) order, so they are all
+    inside the distributed top-k. The window then runs over k rows only.
+    """
+    top = stats.top_k(
+        products.select("stock_code", "product_name", "monetary", "total_customers", "performance"),
+        [F.col("monetary").desc(), F.col("stock_code")],
+        k,
+    )
+    ranked = top.withColumn("rank", F.rank().over(Window.orderBy(F.col("monetary").desc())))
+    return ranked.select("rank", "stock_code", "product_name", "monetary", "total_customers", "performance").orderBy(
+        "rank", "stock_code"
     )
 
 
