@@ -97,3 +97,13 @@ def test_duplicate_edges_raise_or_collapse(spark):
     got = _value_bins(spark, values, "collapse")
     assert got[:10] == [1] * 10  # ties share the lowest bin
     assert got[10:] == sorted(got[10:]) and max(got) == 5
+
+
+@pytest.mark.parametrize("strategy", ["window", "range"])
+def test_value_count_edges_exact_with_hot_value(spark, strategy):
+    rng = np.random.default_rng(1)
+    vals = np.concatenate([rng.integers(0, 50, 3000), np.full(2000, 7), rng.normal(0, 100, 1000).round(2)])
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
+    probs = [0, 0.1, 0.25, 0.5, 0.75, 0.9, 1]
+    got = quantiles.value_count_edges(df, "v", probs, strategy=strategy).first().edges
+    assert np.allclose(got, np.quantile(vals, probs), atol=1e-9, rtol=0)

@@ -108,3 +108,46 @@ def sql_rank(df: DataFrame, order: Sequence[Column | str], out: str = "rank") ->
 def sequential_rank(df: DataFrame, order: Sequence[Column | str], out: str) -> DataFrame:
     """1..n after a sort (unique ranks); single task, for bounded marts (countries)."""
     return df.withColumn(out, F.row_number().over(Window.orderBy(*_sort_cols(order))))
+
+
+def global_running_sum(
+    df: DataFrame,
+    order: Sequence[Column | str],
+    weight: str,
+    cum_col: str = "cum",
+    total_col: str = "total",
+    strategy: str | None = None,
+    rows: int | None = None,
+) -> DataFrame:
+    """Add ``cum_col`` = running sum of ``weight`` along ``order`` (inclusive,
+    unique ordering) and ``total_col`` = the grand total.
+
+    Range form: range-partition and tag as in :func:`global_row_number`, write
+    once, then the running sum inside each partition (a window keyed by the
+    partition tag) plus the broadcast per-partition offsets.
+    """
+    strategy = resolve_strategy(df, strategy, rows)
+    cols = _sort_cols(order)
+    if strategy == WINDOW:
+        upto = Window.orderBy(*cols).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(cum_col, F.sum(weight).over(upto)).withColumn(
+            total_col, F.sum(weight).over(Window.partitionBy())
+        )
+    tagged = materialize(
+        df.repartitionByRange(*cols).sortWithinPartitions(*cols).withColumn("_pid", F.spark_partition_id()),
+        "running",
+    )
+    sums = tagged.groupBy("_pid").agg(F.sum(weight).alias("_s"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(
+        "_pid",
+        F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_off"),
+        F.sum("_s").over(Window.partitionBy()).alias(total_col),
+    )
+    local = F.sum(weight).over(Window.partitionBy("_pid").orderBy(*cols).rowsBetween(Window.unboundedPreceding, 0))
+    return (
+        tagged.withColumn("_local", local)
+        .join(F.broadcast(offsets), "_pid")
+        .withColumn(cum_col, F.col("_off") + F.col("_local"))
+        .drop("_pid", "_off", "_local")
+    )

@@ -157,20 +157,25 @@ def duplicate_report(df: DataFrame) -> DataFrame:
 
 def describe_numeric(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
     """count, mean, sample std, min, quartiles (linear), max per column, one
-    row per column; floating results rounded to ``digits`` decimals."""
+    row per column; floating results rounded to ``digits`` decimals.
+
+    Quartiles come from :func:`quantiles.value_count_edges`, exact for any
+    number of distinct values (customer ids included)."""
+    from tillroll.operators import quantiles
+
     parts = []
     for i, c in enumerate(columns):
         x = F.col(f"`{c}`")
         xd = x.cast("double")
+        q = quantiles.value_count_edges(df, c, [0.25, 0.5, 0.75]).select(F.col("edges").alias("_q"))
         parts.append(
             df.agg(
                 F.count(x).alias("count"),
                 exact_mean(x).alias("mean"),
                 F.stddev_samp(xd).alias("std"),
                 F.min(xd).alias("min"),
-                F.percentile(xd, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"),
                 F.max(xd).alias("max"),
-            ).select(
+            ).crossJoin(F.broadcast(q)).select(
                 F.lit(i).alias("position"),
                 F.lit(c).alias("column"),
                 "count",
