@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import dates, labels
 from tillroll.operators import binning
-from tillroll.plans.common import require_rows, value_bins, with_scalars
+from tillroll.plans.common import Score, add_scores, require_rows, with_scalars
 from tillroll.plans.customers import customer_base
 
 CHURN_COLUMNS = [
@@ -60,14 +60,15 @@ def churn_risk(
         "purchase_frequency_per_month",
         F.col("frequency").cast("double") / F.when(d == 0, F.lit(1.0)).otherwise(months),
     )
-    df = value_bins(
-        df, "recency", "_rw", labels.CHURN_RECENCY_WEIGHTS, bounded_domain=True,
-        key="customer_id", on_duplicate_edges=on_duplicate_edges,
-    )
-    df = value_bins(
-        df, "purchase_frequency_per_month", "_fw", labels.CHURN_FREQUENCY_WEIGHTS,
-        bounded_domain=False, key="customer_id", on_duplicate_edges=on_duplicate_edges,
-        strategy=strategy, rows=rows,
+    df = add_scores(
+        df,
+        [
+            Score("value", "recency", "customer_id", "_rw", labels.CHURN_RECENCY_WEIGHTS, bounded=True),
+            Score("value", "purchase_frequency_per_month", "customer_id", "_fw", labels.CHURN_FREQUENCY_WEIGHTS),
+        ],
+        strategy,
+        rows,
+        on_duplicate_edges,
     )
     score = (
         (F.lit(labels.CHURN_RECENCY_SHARE) * F.col("_rw") + F.lit(labels.CHURN_FREQUENCY_SHARE) * F.col("_fw"))

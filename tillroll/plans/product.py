@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import dates, labels, money
 from tillroll.operators import binning
-from tillroll.plans.common import positive_sales, rank_bins, require_rows, with_amount, with_scalars
+from tillroll.plans.common import Score, add_scores, positive_sales, require_rows, with_amount, with_scalars
 from tillroll.session import materialize
 
 PRODUCT_COLUMNS = [
@@ -88,9 +88,16 @@ def product_rfm(orders: DataFrame, strategy: str | None = None) -> DataFrame:
     df = with_scalars(per_product, one_row).withColumn(
         "recency", dates.whole_days(F.col("_last"), F.col("_ref"))
     )
-    df = rank_bins(df, ["recency", "stock_code"], "r_score", binning.INVERTED, strategy, rows)
-    df = rank_bins(df, ["total_customers", "stock_code"], "f_score", binning.DIRECT, strategy, rows)
-    df = rank_bins(df, ["monetary", "stock_code"], "m_score", binning.DIRECT, strategy, rows)
+    df = add_scores(
+        df,
+        [
+            Score("rank", "recency", "stock_code", "r_score", binning.INVERTED),
+            Score("rank", "total_customers", "stock_code", "f_score", binning.DIRECT),
+            Score("rank", "monetary", "stock_code", "m_score", binning.DIRECT),
+        ],
+        strategy,
+        rows,
+    )
     return df.select(
         "stock_code",
         "product_name",

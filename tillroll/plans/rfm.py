@@ -21,7 +21,7 @@ from tillroll.functions import dates, labels
 from tillroll.operators import binning
 from tillroll.plans.customers import customer_base
 from tillroll.plans import cleaning
-from tillroll.plans.common import rank_bins, require_rows, value_bins, with_scalars
+from tillroll.plans.common import Score, add_scores, require_rows, with_scalars
 
 RFM_COLUMNS = [
     "customer_id",
@@ -74,14 +74,16 @@ def score_rfm(
 
     ``rows`` is an upper bound on the row count when known (picks the rank form).
     """
-    df = rank_bins(metrics, ["frequency", "customer_id"], "f_score", binning.DIRECT, strategy, rows)
-    df = value_bins(
-        df, "monetary", "m_score", binning.DIRECT, bounded_domain=False, key="customer_id",
-        on_duplicate_edges=on_duplicate_edges, strategy=strategy, rows=rows,
-    )
-    df = value_bins(
-        df, "recency", "r_score", binning.INVERTED, bounded_domain=True, key="customer_id",
-        on_duplicate_edges=on_duplicate_edges,
+    df = add_scores(
+        metrics,
+        [
+            Score("rank", "frequency", "customer_id", "f_score", binning.DIRECT),
+            Score("value", "monetary", "customer_id", "m_score", binning.DIRECT),
+            Score("value", "recency", "customer_id", "r_score", binning.INVERTED, bounded=True),
+        ],
+        strategy,
+        rows,
+        on_duplicate_edges,
     )
     return df.withColumn(
         "rfm_score",
