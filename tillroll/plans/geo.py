@@ -15,11 +15,10 @@ partition, not one task with all its rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions import dates, labels, money
-from tillroll.operators import quantiles, ranking
 from tillroll.plans.common import positive_sales, require_rows, with_amount, with_scalars
 from tillroll.session import materialize
 
@@ -54,17 +53,14 @@ def geographic_analysis(orders: DataFrame) -> DataFrame:
         "geographic analysis",
     )
     named = invoices.where(F.col("country").isNotNull())
-    per_customer = (
-        named.groupBy("country", "customer_id")
-        .agg(
+    per_customer = with_scalars(
+        named.groupBy("country", "customer_id").agg(
             F.max("_last").alias("_last"),
             F.count(F.lit(1)).alias("_freq"),
             money.money_sum(F.col("_amount")).alias("_mon"),
-        )
-    )
-    per_customer = with_scalars(per_customer, one_row).withColumn(
-        "_rec", dates.whole_days(F.col("_last"), F.col("_ref"))
-    )
+        ),
+        one_row,
+    ).select("country", "_freq", "_mon", dates.whole_days(F.col("_last"), F.col("_ref")).alias("_rec"))
     per_country = per_customer.groupBy("country").agg(
         F.count(F.lit(1)).alias("total_customers"),
         money.money_sum(F.col("_mon")).alias("total_revenue"),
@@ -72,29 +68,24 @@ def geographic_analysis(orders: DataFrame) -> DataFrame:
         money.exact_mean(F.col("_freq")).alias("frequency_avg"),
         money.exact_mean(F.col("_mon")).alias("monetary_avg"),
     )
-    orders_per_country = named.groupBy("country").agg(
-        F.count_distinct("invoice").alias("total_orders")
-    )
+    orders_per_country = named.groupBy("country").agg(F.count_distinct("invoice").alias("total_orders"))
     geo = per_country.join(orders_per_country, "country")
-    geo = geo.withColumn("avg_order_value", money.ratio(F.col("total_revenue"), F.col("total_orders"))).withColumn(
-        "avg_customer_value", money.ratio(F.col("total_revenue"), F.col("total_customers"))
+    # class thresholds: exact percentiles across countries (bounded by the number of countries)
+    thresholds = geo.agg(
+        F.percentile(F.col("total_revenue").cast("double"), F.lit(0.75)).alias("_rev75"),
+        F.percentile(F.col("recency_avg").cast("double"), F.array(F.lit(0.25), F.lit(0.5))).alias("_rec"),
     )
-    # class thresholds: percentiles across countries (bounded by the number of countries)
-    rev = quantiles.percentile_edges(geo, "total_revenue", [0.75]).select(F.col("edges")[0].alias("_rev75"))
-    rec = quantiles.percentile_edges(geo, "recency_avg", [0.25, 0.5]).select(
-        F.col("edges")[0].alias("_rec25"), F.col("edges")[1].alias("_rec50")
-    )
-    geo = with_scalars(with_scalars(geo, rev), rec).withColumn(
-        "market_growth_potential",
+    geo = with_scalars(geo, thresholds).select(
+        *[c for c in GEO_COLUMNS if c not in ("avg_order_value", "avg_customer_value", "market_growth_potential", "priority_rank")],
+        money.ratio(F.col("total_revenue"), F.col("total_orders")).alias("avg_order_value"),
+        money.ratio(F.col("total_revenue"), F.col("total_customers")).alias("avg_customer_value"),
         labels.market_class(
             F.col("total_revenue").cast("double"),
             F.col("recency_avg"),
             F.col("_rev75"),
-            F.col("_rec25"),
-            F.col("_rec50"),
-        ),
-    )
-    geo = ranking.sequential_rank(
-        geo, [F.col("total_revenue").desc(), F.col("country").asc()], "priority_rank"
+            F.col("_rec")[0],
+            F.col("_rec")[1],
+        ).alias("market_growth_potential"),
+        F.row_number().over(Window.orderBy(F.col("total_revenue").desc(), F.col("country").asc())).alias("priority_rank"),
     )
     return geo.select(*GEO_COLUMNS)
