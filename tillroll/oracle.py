@@ -557,3 +557,36 @@ SQL["publish_rfm"] = q([rfm_cte("rfm"), rfm_cte("prev", clean=True)], """SELECT
 FROM prev o FULL OUTER JOIN rfm n ON o.customer_id = n.customer_id""")
 SQL["price_histogram_full"] = q([], _hist("orders_v", "price", 50, None, "lines"))
 SQL["price_box_full"] = q([], _box("orders_v", "price"))
+
+# --- cancellation invoices and remaining datasets ---------------------------------
+
+ORDERS_V_C = ORDERS_V.replace(
+    "SELECT CAST(o.o_orderkey AS VARCHAR) AS invoice,",
+    "SELECT CASE WHEN l.l_returnflag = 'R' THEN 'C' || CAST(o.o_orderkey AS VARCHAR) ELSE CAST(o.o_orderkey AS VARCHAR) END AS invoice,",
+)
+
+
+def q_c(ctes: list[str], body: str) -> str:
+    return with_ctes(ORDERS_V_C, *ctes) + "\n" + body
+
+
+SQL["customer_rfm_cancellations"] = q_c([rfm_cte()], "SELECT * FROM rfm")
+SQL["cleaning_report_cancellations"] = SQL["cleaning_report"].replace(ORDERS_V.strip(), ORDERS_V_C.strip())
+SQL["rfm_detail_counts"] = q(RFM, """SELECT (SELECT count(*) FROM rfm WHERE segment IN ('Champions', 'Clients Fidèles', 'À Risque')
+  AND recency BETWEEN 30 AND 400 AND monetary BETWEEN 1000 AND 200000) AS shown, (SELECT count(*) FROM rfm) AS total""")
+
+
+def _box_by(src: str, value: str, by: str) -> str:
+    x = f"CAST({value} AS DOUBLE)"
+    return f"""
+SELECT s.{by}, n, q1, median, q3, q3 - q1 AS iqr,
+       min(CASE WHEN {x} >= q1 - 1.5 * (q3 - q1) THEN {x} END) AS whisker_low,
+       max(CASE WHEN {x} <= q3 + 1.5 * (q3 - q1) THEN {x} END) AS whisker_high,
+       count_if({x} < q1 - 1.5 * (q3 - q1) OR {x} > q3 + 1.5 * (q3 - q1)) AS outliers
+FROM {src} s JOIN (SELECT {by}, count(*) AS n, quantile_cont({x}, 0.25) AS q1, quantile_cont({x}, 0.5) AS median,
+                          quantile_cont({x}, 0.75) AS q3 FROM {src} WHERE {value} IS NOT NULL GROUP BY {by}) b USING ({by})
+WHERE {value} IS NOT NULL
+GROUP BY s.{by}, n, q1, median, q3"""
+
+
+SQL["exploration_recency_box"] = q([rfm_cte(clean=True)], _box_by("rfm", "recency", "segment"))

@@ -7,14 +7,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.plans import churn, clv, geo, product, publish, rfm
+from tillroll.schemas import ORDER_COLUMNS
 from tillroll.sources import tables
 
 
 def run_pipeline(spark: SparkSession, orders: DataFrame, out_dir: str) -> dict[str, str]:
     """Returns the path of every table written."""
     out = out_dir.rstrip("/")
-    paths = {"raw_orders": tables.overwrite(orders, f"{out}/raw_orders")}
-    bronze = spark.read.parquet(paths["raw_orders"])  # every analysis reads the bronze table once
+    paths = {"raw_orders": tables.overwrite(tables.bronze(orders), f"{out}/raw_orders")}
+    bronze = spark.read.parquet(paths["raw_orders"]).select(*ORDER_COLUMNS)  # every analysis reads the bronze table
     customers = rfm.customer_rfm(bronze)
     paths["rfm_analysis"] = tables.overwrite(customers, f"{out}/rfm_analysis")
     silver = spark.read.parquet(paths["rfm_analysis"])

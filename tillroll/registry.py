@@ -252,5 +252,30 @@ def _publish_rfm(spark, sf_dir):
     )
 
 
+# --- cancellation invoices and remaining datasets ---------------------------------
+
+
+def _orders_c(spark, sf_dir):
+    """Order lines whose returned lines carry cancellation invoices ('C' + key)."""
+    return testdata.orders_view(spark, sf_dir, cancel_prefix=True)
+
+
+QUERIES.update(
+    {
+        "customer_rfm_cancellations": lambda spark, sf_dir: rfm.customer_rfm(_orders_c(spark, sf_dir)),
+        "cleaning_report_cancellations": lambda spark, sf_dir: cleaning.cleaning_report(_orders_c(spark, sf_dir)),
+        "rfm_detail_counts": _on(
+            _rfm,
+            lambda r: dashboard.detail_counts(
+                dashboard.filter_rfm(r, FILTER_SEGMENTS, FILTER_RECENCY, FILTER_MONETARY), r
+            ),
+        ),
+        "exploration_recency_box": lambda spark, sf_dir: profiling.segment_recency_box(
+            rfm.rfm_exploration(orders_view(spark, sf_dir))
+        ),
+    }
+)
+
+
 def oracle() -> dict[str, str]:
     return {k: v for k, v in _oracle.SQL.items() if k in QUERIES}

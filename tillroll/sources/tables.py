@@ -71,6 +71,13 @@ def check_count(df: DataFrame, expected: int, what: str) -> int:
     return n
 
 
+def bronze(orders: DataFrame) -> DataFrame:
+    """Order lines as the bronze table: a surrogate ``transaction_id`` (unique,
+    increasing within a partition, not dense — no global numbering pass) and
+    audit stamps."""
+    return with_audit(orders.select(F.monotonically_increasing_id().alias("transaction_id"), *orders.columns))
+
+
 def with_audit(df: DataFrame) -> DataFrame:
     now = F.current_timestamp()
     return df.withColumn("created_at", now).withColumn("updated_at", now)
