@@ -38,6 +38,17 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
 
 
+SPARK_TO_DUCK = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "date": "DATE",
+}
+
+
+def _duck_type(spark_type) -> str:
+    t = spark_type.simpleString()
+    return t.upper() if t.startswith("decimal") else SPARK_TO_DUCK.get(t, t)
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     sdf = QUERIES[name](spark, SF_SMALL)
@@ -45,6 +56,8 @@ def test_query_matches_oracle(spark, duck, name):
     rel = duck.sql(ORACLE[name])
     d_rows = rel.fetchall()
     assert sorted(sdf.columns) == sorted(rel.columns)
+    d_types = dict(zip(rel.columns, (str(t) for t in rel.types)))
+    assert {f.name: _duck_type(f.dataType) for f in sdf.schema.fields} == d_types
     order = sorted(sdf.columns)
     si = [sdf.columns.index(c) for c in order]
     di = [rel.columns.index(c) for c in order]

@@ -590,3 +590,25 @@ GROUP BY s.{by}, n, q1, median, q3"""
 
 
 SQL["exploration_recency_box"] = q([rfm_cte(clean=True)], _box_by("rfm", "recency", "segment"))
+
+
+def _bigint_count_if(sql: str) -> str:
+    """count_if(c) -> count(CASE WHEN c THEN 1 END): same value, BIGINT like
+    Spark's count_if (DuckDB's count_if is HUGEINT)."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        out.append(sql[i:j])
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = _bigint_count_if(sql[j + len(key):k - 1])
+        out.append(f"count(CASE WHEN {inner} THEN 1 END)")
+        i = k
+
+
+SQL = {k: _bigint_count_if(v) for k, v in SQL.items()}
