@@ -7,10 +7,11 @@ whole days), invoice count and revenue. A customer buying in two countries
 counts in both. Class from the revenue 75th percentile and recency 25th /
 50th percentiles across countries; priority rank by revenue (ties by name).
 
-Plan: one pass over the lines into an (country, customer, invoice) table,
-written once; every country figure is a roll-up of it. Per-country work is on
-that grain, so a country holding most rows costs one partial aggregate per
-partition, not one task with all its rows.
+Plan: one pass over the lines with two grouping sets, (country, customer) and
+(country), written once; every country figure is read or rolled up from that
+small table. The distinct-invoice count shuffles on (country, customer,
+invoice) after map-side combining, so a country holding most rows is spread
+over many tasks.
 """
 
 from __future__ import annotations
@@ -39,28 +40,35 @@ GEO_COLUMNS = [
 
 def geographic_analysis(orders: DataFrame) -> DataFrame:
     lines = with_amount(positive_sales(orders))
-    invoices = materialize(
-        lines.groupBy("country", "customer_id", "invoice").agg(
+    # one pass, two grouping sets, written once:
+    #   (country, customer_id): last date, distinct invoices, revenue
+    #   (country):              last date, distinct invoices (= total orders, exact
+    #                           even if an invoice spanned customers)
+    # the unnamed country is a group of its own, so the reference date covers
+    # every line
+    sets = materialize(
+        lines.groupingSets([["country", "customer_id"], ["country"]], "country", "customer_id").agg(
+            F.grouping_id().alias("_gid"),
             F.max("invoice_date").alias("_last"),
+            F.count_distinct("invoice").alias("_invoices"),
             money.money_sum(F.col("amount")).alias("_amount"),
         ),
-        "country_invoices",
+        "country_sets",
     )
-    # reference date over every line, countries with no name included
+    countries = sets.where(F.col("_gid") == 1)
     one_row = require_rows(
-        invoices.agg(F.max("_last").alias("_ref"), F.count(F.lit(1)).alias("_cnt")),
+        countries.agg(F.max("_last").alias("_ref"), F.count(F.lit(1)).alias("_cnt")),
         "_cnt",
         "geographic analysis",
     )
-    named = invoices.where(F.col("country").isNotNull())
     per_customer = with_scalars(
-        named.groupBy("country", "customer_id").agg(
-            F.max("_last").alias("_last"),
-            F.count(F.lit(1)).alias("_freq"),
-            money.money_sum(F.col("_amount")).alias("_mon"),
-        ),
-        one_row,
-    ).select("country", "_freq", "_mon", dates.whole_days(F.col("_last"), F.col("_ref")).alias("_rec"))
+        sets.where((F.col("_gid") == 0) & F.col("country").isNotNull()), one_row
+    ).select(
+        "country",
+        F.col("_invoices").alias("_freq"),
+        F.col("_amount").alias("_mon"),
+        dates.whole_days(F.col("_last"), F.col("_ref")).alias("_rec"),
+    )
     per_country = per_customer.groupBy("country").agg(
         F.count(F.lit(1)).alias("total_customers"),
         money.money_sum(F.col("_mon")).alias("total_revenue"),
@@ -68,7 +76,9 @@ def geographic_analysis(orders: DataFrame) -> DataFrame:
         money.exact_mean(F.col("_freq")).alias("frequency_avg"),
         money.exact_mean(F.col("_mon")).alias("monetary_avg"),
     )
-    orders_per_country = named.groupBy("country").agg(F.count_distinct("invoice").alias("total_orders"))
+    orders_per_country = countries.where(F.col("country").isNotNull()).select(
+        "country", F.col("_invoices").alias("total_orders")
+    )
     geo = per_country.join(orders_per_country, "country")
     # class thresholds: exact percentiles across countries (bounded by the number of countries)
     thresholds = geo.agg(
