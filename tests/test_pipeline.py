@@ -14,10 +14,12 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="test tables
 def test_pipeline_writes_every_table(spark):
     out = tempfile.mkdtemp(prefix="tillroll-pipe-")
     orders = orders_view(spark, SF_SMALL)
-    paths = pipeline.run_pipeline(spark, orders, out)
+    paths = pipeline.run_pipeline(spark, orders, out, exports=True)
     assert set(paths) == {
         "raw_orders", "rfm_analysis", "rfm_results", "product_rfm", "churn_risk", "geographic_analysis", "clv_forecast",
+        "export_rfm", "export_churn", "export_clv",
     }
+    assert spark.read.option("header", True).csv(paths["export_clv"]).count() == 30
     raw = spark.read.parquet(paths["raw_orders"])
     assert raw.count() == orders.count()
     assert raw.select("transaction_id").distinct().count() == raw.count()

@@ -6,13 +6,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.plans import churn, clv, geo, product, publish, rfm
+from tillroll.plans import churn, clv, dashboard, geo, product, publish, rfm
 from tillroll.schemas import ORDER_COLUMNS
-from tillroll.sources import tables
+from tillroll.sources import export, tables
 
 
-def run_pipeline(spark: SparkSession, orders: DataFrame, out_dir: str) -> dict[str, str]:
-    """Returns the path of every table written."""
+def run_pipeline(
+    spark: SparkSession, orders: DataFrame, out_dir: str, exports: bool = False
+) -> dict[str, str]:
+    """Returns the path of every table written (and of the CSV exports)."""
     out = out_dir.rstrip("/")
     paths = {"raw_orders": tables.overwrite(tables.bronze(orders), f"{out}/raw_orders")}
     bronze = spark.read.parquet(paths["raw_orders"]).select(*ORDER_COLUMNS)  # every analysis reads the bronze table
@@ -24,4 +26,19 @@ def run_pipeline(spark: SparkSession, orders: DataFrame, out_dir: str) -> dict[s
     paths["churn_risk"] = tables.overwrite(churn.churn_risk(bronze), f"{out}/churn_risk")
     paths["geographic_analysis"] = tables.overwrite(geo.geographic_analysis(bronze), f"{out}/geographic_analysis")
     paths["clv_forecast"] = tables.overwrite(clv.clv_forecast(silver, bronze), f"{out}/clv_forecast")
+    if exports:
+        paths.update(export_reports(spark, paths, f"{out}/exports"))
     return paths
+
+
+def export_reports(spark: SparkSession, paths: dict[str, str], out_dir: str) -> dict[str, str]:
+    """The three downloadable reports: the RFM detail table, the high-risk
+    churn list (top 50) and the CLV top 30."""
+    rfm_mart = tables.read_mart(spark, paths["rfm_analysis"], "rfm_analysis")
+    churn_mart = spark.read.parquet(paths["churn_risk"])
+    clv_mart = spark.read.parquet(paths["clv_forecast"])
+    return {
+        "export_rfm": export.export_csv(dashboard.rfm_detail(rfm_mart), f"{out_dir}/rfm_detail"),
+        "export_churn": export.export_csv(dashboard.churn_high_risk(churn_mart), f"{out_dir}/churn_high_risk"),
+        "export_clv": export.export_csv(dashboard.clv_top(clv_mart), f"{out_dir}/clv_top30"),
+    }

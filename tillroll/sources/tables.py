@@ -63,6 +63,29 @@ def scan(spark: SparkSession, path: str, columns: list[str] | None = None) -> Da
     return df.select(*columns) if columns else df
 
 
+# Default display order of each mart when loaded whole (largest first).
+MART_ORDER = {
+    "rfm_analysis": [("monetary", False)],
+    "product_rfm": [("monetary", False)],
+    "churn_risk": [("churn_score", False)],
+    "geographic_analysis": [("priority_rank", True)],
+    "clv_forecast": [("clv_24months", False)],
+}
+MART_KEY = {
+    "rfm_analysis": "customer_id",
+    "product_rfm": "stock_code",
+    "churn_risk": "customer_id",
+    "geographic_analysis": "country",
+    "clv_forecast": "customer_id",
+}
+
+
+def read_mart(spark: SparkSession, path: str, mart: str) -> DataFrame:
+    """Whole mart in its display order (the key breaks ties): a distributed sort."""
+    order = [F.col(c).asc() if asc else F.col(c).desc() for c, asc in MART_ORDER[mart]]
+    return spark.read.parquet(path).orderBy(*order, F.col(MART_KEY[mart]).asc())
+
+
 def check_count(df: DataFrame, expected: int, what: str) -> int:
     """Post-load row-count check (one count job on the written table)."""
     n = df.count()
