@@ -103,3 +103,13 @@ def test_table_versions(spark):
     tables.write_version(spark.range(5), base)
     assert tables.versions(spark, base) == [1, 2]
     assert tables.read_current(spark, base).count() == 5
+
+
+def test_day_first_parse_ignores_session_time_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        d = _folder(["1;S;X;1;14/3/2010 2:30;1,00;1;UK", "2;S;X;1;29/2/2010 10:00;1,00;1;UK"])
+        got = {r.invoice: r.invoice_date for r in csv_orders.read_orders(spark, d).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == {"1": dt.datetime(2010, 3, 14, 2, 30), "2": None}  # DST-gap time kept; Feb 29 2010 invalid

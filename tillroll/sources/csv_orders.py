@@ -14,10 +14,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.schemas import CSV_COLUMNS, CSV_DATE_FORMAT, ORDER_COLUMNS, csv_schema
+from tillroll.schemas import CSV_COLUMNS, ORDER_COLUMNS, csv_schema
 
 
 def _reader(spark_reader, locale: str, price_as_text: bool):
@@ -75,19 +75,31 @@ def to_orders(raw: DataFrame, price_as_text: bool = False, strict: bool = False)
                 F.raise_error(F.concat(F.lit("unparsable price: "), text)),
             ).otherwise(parsed)
         price = parsed
-    ts = F.try_to_timestamp(F.col("InvoiceDate"), F.lit(CSV_DATE_FORMAT)).cast("timestamp_ntz")
     return raw.select(
         F.col("Invoice").alias("invoice"),
         F.col("StockCode").alias("stock_code"),
         F.col("Description").alias("description"),
         F.col("Quantity").alias("quantity"),
-        ts.alias("invoice_date"),
+        parse_day_first(F.col("InvoiceDate")).alias("invoice_date"),
         price.cast("decimal(18,4)").alias("price"),
         F.col("`Customer ID`").alias("customer_id"),
         F.col("Country").alias("country"),
     ).select(*ORDER_COLUMNS)
 
 
+# 'd/M/yyyy H:mm' with one- or two-digit day, month and hour.
+DAY_FIRST = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})\s+(\d{1,2}):(\d{2})\s*$"
+
+
+def parse_day_first(text: Column) -> Column:
+    """'d/M/yyyy H:mm' -> TIMESTAMP_NTZ built from its fields (no time zone is
+    involved, so a wall-clock time inside a DST gap is kept as written);
+    anything that does not parse, or is not a real date, is NULL."""
+    part = [F.regexp_extract(text, DAY_FIRST, k).try_cast("int") for k in range(1, 6)]
+    day, month, year, hour, minute = part
+    return F.try_make_timestamp_ntz(year, month, day, hour, minute, F.lit(0))
+
+
 def read_orders(
     spark: SparkSession,
     path: str,

@@ -4,10 +4,9 @@ that expect the original files."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.schemas import CSV_DATE_FORMAT
 
 
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -15,6 +14,15 @@ def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+def day_first(ts: Column) -> Column:
+    """TIMESTAMP_NTZ -> 'd/M/yyyy H:mm' from its fields (no time-zone step)."""
+    return F.concat(
+        F.dayofmonth(ts).cast("string"), F.lit("/"), F.month(ts).cast("string"), F.lit("/"),
+        F.year(ts).cast("string"), F.lit(" "), F.hour(ts).cast("string"), F.lit(":"),
+        F.lpad(F.minute(ts).cast("string"), 2, "0"),
+    )
+
+
 def to_raw_layout(orders: DataFrame) -> DataFrame:
     """Order lines -> raw CSV columns as text (decimal comma, day-first dates)."""
     return orders.select(
@@ -22,7 +30,7 @@ def to_raw_layout(orders: DataFrame) -> DataFrame:
         F.col("stock_code").alias("StockCode"),
         F.col("description").alias("Description"),
         F.col("quantity").cast("string").alias("Quantity"),
-        F.date_format(F.col("invoice_date"), CSV_DATE_FORMAT).alias("InvoiceDate"),
+        day_first(F.col("invoice_date")).alias("InvoiceDate"),
         F.regexp_replace(F.col("price").cast("string"), r"\.", ",").alias("Price"),
         F.col("customer_id").cast("string").alias("Customer ID"),
         F.col("country").alias("Country"),
