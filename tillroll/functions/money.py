@@ -24,9 +24,6 @@ def money_sum(c: Column) -> Column:
     return F.sum(c).cast(SUM_TYPE)
 
 
-def as_double(c: Column) -> Column:
-    return c.cast("double")
-
 
 def ratio(num: Column, den: Column) -> Column:
     """num / den in double; NULL when den is 0 (ANSI division would raise)."""

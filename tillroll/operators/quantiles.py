@@ -56,10 +56,6 @@ def ranked_edges(
     return row.select(F.array(*edges).alias("edges"))
 
 
-def quantile_scalar(edges: DataFrame, i: int) -> Column:
-    """The i-th edge as a scalar-subquery column (evaluated once per query)."""
-    return edges.select(F.element_at("edges", i + 1)).scalar()
-
 
 def value_count_edges(
     df: DataFrame, value: str, probs: Sequence[float], strategy: str | None = None

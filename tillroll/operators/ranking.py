@@ -96,18 +96,6 @@ def global_row_number(
     )
 
 
-def sql_rank(df: DataFrame, order: Sequence[Column | str], out: str = "rank") -> DataFrame:
-    """``rank() OVER (ORDER BY ...)`` (ties share a rank, gaps after ties).
-
-    Single-task window: used on marts whose size is bounded by products or
-    countries in the library queries, always followed by a top-k.
-    """
-    return df.withColumn(out, F.rank().over(Window.orderBy(*_sort_cols(order))))
-
-
-def sequential_rank(df: DataFrame, order: Sequence[Column | str], out: str) -> DataFrame:
-    """1..n after a sort (unique ranks); single task, for bounded marts (countries)."""
-    return df.withColumn(out, F.row_number().over(Window.orderBy(*_sort_cols(order))))
 
 
 def global_running_sum(

@@ -18,7 +18,8 @@ ORDERS = T.StructType(
 ORDER_COLUMNS = [f.name for f in ORDERS.fields]
 
 # Raw order-line CSV as delivered: ';'-separated, header, decimal comma,
-# 'd/M/yyyy H:mm' dates. Dates arrive as text and are parsed leniently.
+# 'd/M/yyyy H:mm' dates (one- or two-digit fields). Dates arrive as text and
+# are parsed from their fields (sources/csv_orders.parse_day_first).
 CSV_COLUMNS = [
     "Invoice",
     "StockCode",
@@ -29,7 +30,6 @@ CSV_COLUMNS = [
     "Customer ID",
     "Country",
 ]
-CSV_DATE_FORMAT = "d/M/yyyy H:mm"
 
 
 def csv_schema(price_as_text: bool = False) -> T.StructType:
