@@ -122,3 +122,15 @@ def test_cleaning_report_steps(make_orders):
     assert rep["missing_customer"][0] == 1
     assert rep["cancellations"][0] == 1
     assert rep["non_positive"][0] == 1
+
+
+def test_hot_customer_product_and_country(spark, make_orders):
+    """A third of all lines on one customer / product / country: results equal
+    under the single-task and the distributed rank paths."""
+    rows = _rfm_rows(60)
+    hot = [line(f"h{i}", "S1", 1 + i % 3, f"2010-0{1 + i % 9}-0{1 + i % 9} 10:00", 2.5, 7, "UK") for i in range(len(rows) // 2)]
+    orders = make_orders(rows + hot).repartition(12)
+    for fn in (rfm.customer_rfm, product.product_rfm, churn.churn_risk):
+        assert sorted(fn(orders, strategy="window").collect()) == sorted(fn(orders, strategy="range").collect())
+    g = {r.country: r for r in geo.geographic_analysis(orders).collect()}
+    assert g["UK"].total_orders == orders.where((F.col("country") == "UK") & (F.col("quantity") > 0)).select("invoice").distinct().count()
