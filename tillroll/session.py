@@ -63,7 +63,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     fresh temporary folder. A cluster session without the setting is an error:
     a machine-local folder would not survive the loss of an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext, use the session setting
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

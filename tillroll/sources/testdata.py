@@ -53,8 +53,11 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     retried task gets exactly the same rows.
     """
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= cores:
+            return df
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a Spark Connect session): leave the scan as is
         return df
     return df.repartition(cores, key)
 
