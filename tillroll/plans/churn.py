@@ -37,7 +37,7 @@ def churn_risk(
     base: tuple[DataFrame, int] | None = None,
 ) -> DataFrame:
     """``base``: a :func:`customer_base` already built from the same orders."""
-    per_customer, rows = base if base is not None else customer_base(orders)
+    per_customer, rows = base if base is not None else customer_base(orders, with_invoices=False)
     one_row = require_rows(
         per_customer.agg(
             F.max("last_purchase").alias("_ref"),

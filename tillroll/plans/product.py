@@ -41,19 +41,34 @@ def _pick_description(pairs: DataFrame) -> DataFrame:
 
 
 def product_table(lines: DataFrame) -> DataFrame:
-    """One pass over the lines, two grouping sets, written once:
+    """One pass over the lines, written once, holding two grains:
 
-    * (stock_code): last date, distinct customers, revenue, price sum/count,
-      quantity;
-    * (stock_code, description): first date of each non-null description.
+    * set 0, (stock_code): last date, distinct customers, revenue, price
+      sum/count, quantity;
+    * set 1, (stock_code, description): first date of each non-null description.
 
-    Every buffer is fixed-width (hash aggregate, map-side combine). The pick
-    of the first description runs on the small pair grain only.
+    Each line is emitted once per set (a two-element explode, no second scan).
+    Set-1 rows carry no customer, so the map-side aggregate collapses them to one
+    row per (product, description) and only set-0 rows travel at the
+    (product, customer) grain the distinct count needs. Every buffer is
+    fixed-width; the pick of the first description runs on the small pair grain.
     """
-    both = lines.groupingSets(
-        [["stock_code"], ["stock_code", "description"]], "stock_code", "description"
-    ).agg(
-        F.grouping_id().alias("_gid"),
+    s = F.col("_set")
+    tagged = lines.select(
+        "stock_code", "customer_id", "description", "invoice_date", "amount", "price", "quantity",
+        F.explode(F.array(F.lit(0), F.lit(1))).alias("_set"),
+    )
+    keyed = tagged.select(
+        "_set",
+        "stock_code",
+        F.when(s == 1, F.col("description")).alias("description"),
+        F.when(s == 0, F.col("customer_id")).alias("customer_id"),
+        "invoice_date",
+        F.when(s == 0, F.col("amount")).alias("amount"),
+        F.when(s == 0, F.col("price")).alias("price"),
+        F.when(s == 0, F.col("quantity")).alias("quantity"),
+    ).where((s == 0) | F.col("description").isNotNull())
+    both = keyed.groupBy("_set", "stock_code", "description").agg(
         F.max("invoice_date").alias("_last"),
         F.count_distinct("customer_id").cast("int").alias("total_customers"),
         money.money_sum(F.col("amount")).alias("monetary"),
@@ -63,7 +78,7 @@ def product_table(lines: DataFrame) -> DataFrame:
         F.min("invoice_date").alias("_first"),
     )
     table = materialize(both, "product_sets")
-    per_product = table.where(F.col("_gid") == 1).select(
+    per_product = table.where(s == 0).select(
         "stock_code",
         "_last",
         "total_customers",
@@ -71,9 +86,7 @@ def product_table(lines: DataFrame) -> DataFrame:
         (F.col("_price_sum").cast("double") / F.col("_price_n").cast("double")).alias("avg_price"),
         "total_quantity",
     )
-    pairs = table.where((F.col("_gid") == 0) & F.col("description").isNotNull()).select(
-        "stock_code", "description", "_first"
-    )
+    pairs = table.where(s == 1).select("stock_code", "description", "_first")
     return per_product.join(_pick_description(pairs), "stock_code", "left")
 
 
