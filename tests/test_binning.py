@@ -107,3 +107,16 @@ def test_value_count_edges_exact_with_hot_value(spark, strategy):
     probs = [0, 0.1, 0.25, 0.5, 0.75, 0.9, 1]
     got = quantiles.value_count_edges(df, "v", probs, strategy=strategy).first().edges
     assert np.allclose(got, np.quantile(vals, probs), atol=1e-9, rtol=0)
+
+
+@pytest.mark.parametrize("strategy", ["window", "range"])
+def test_value_count_edges_per_group(spark, strategy):
+    rng = np.random.default_rng(5)
+    g = rng.choice(["a", "b", "c"], size=4000, p=[0.7, 0.2, 0.1])  # one hot group
+    v = rng.integers(0, 400, size=4000).astype(float)
+    df = spark.createDataFrame([(str(a), float(b)) for a, b in zip(g, v)], "g string, v double")
+    probs = [0.25, 0.5, 0.75]
+    got = {r.g: r.edges for r in quantiles.value_count_edges(df, "v", probs, strategy=strategy, by="g").collect()}
+    want = pd.DataFrame({"g": g, "v": v}).groupby("g")["v"].quantile(probs).unstack()
+    for k in "abc":
+        assert np.allclose(got[k], want.loc[k].to_numpy(), atol=1e-9, rtol=0)

@@ -58,24 +58,34 @@ def ranked_edges(
 
 
 def value_count_edges(
-    df: DataFrame, value: str, probs: Sequence[float], strategy: str | None = None
+    df: DataFrame,
+    value: str,
+    probs: Sequence[float],
+    strategy: str | None = None,
+    by: str | None = None,
 ) -> DataFrame:
-    """Exact linear quantiles of a column with any number of distinct values.
-
-    The column is first reduced to (value, count) — map-side combined, so a
-    value held by most rows is one row per map task — and written once. A
-    running count over the sorted values (distributed when large) locates the
-    order statistics at positions floor/ceil((n-1)p); the interpolation is
-    lo + frac * (hi - lo). Returns a one-row frame with ``edges``.
+    """Exact linear quantiles of a column with any number of distinct values,
+    overall or per ``by`` group.
+
+    The column is first reduced to ([group,] value, count) — map-side combined,
+    so a value held by most rows is one row per map task — and written once. A
+    running count over the sorted values (distributed when large, restarting
+    per group) locates the order statistics at positions floor/ceil((n-1)p);
+    the interpolation is lo + frac * (hi - lo). Returns one row (per group)
+    with ``edges``.
     """
     from tillroll.operators import ranking  # local: ranking imports session only
     from tillroll.session import materialize
 
+    keys = [by] if by else []
     x = F.col(value).cast("double")
     counts = materialize(
-        df.where(x.isNotNull()).groupBy(x.alias("_v")).agg(F.count(F.lit(1)).alias("_w")), "value_counts"
+        df.where(x.isNotNull()).groupBy(*keys, x.alias("_v")).agg(F.count(F.lit(1)).alias("_w")),
+        "value_counts",
+    )
+    cum = ranking.global_running_sum(
+        counts, ["_v"], "_w", "_cum", "_n", strategy, counts.count(), by=keys
     )
-    cum = ranking.global_running_sum(counts, ["_v"], "_w", "_cum", "_n", strategy, counts.count())
     start = F.col("_cum") - F.col("_w")  # 0-based index of the value's first copy
     pos = [(F.col("_n") - 1).cast("double") * F.lit(float(p)) for p in probs]
     lo = [F.floor(p) for p in pos]
@@ -95,8 +105,8 @@ def value_count_edges(
             F.max(F.when(holds(b), F.col("_v"))).alias(f"_hi{i}"),
             F.max(pos[i] - F.floor(pos[i])).alias(f"_fr{i}"),
         ]
-    row = cum.where(wanted).agg(*aggs)
+    row = cum.where(wanted).groupBy(*keys).agg(*aggs)
     edges = [
         F.col(f"_lo{i}") + F.col(f"_fr{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}")) for i in range(len(probs))
     ]
-    return row.select(F.array(*edges).alias("edges"))
+    return row.select(*keys, F.array(*edges).alias("edges"))

@@ -106,36 +106,46 @@ def global_running_sum(
     total_col: str = "total",
     strategy: str | None = None,
     rows: int | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``cum_col`` = running sum of ``weight`` along ``order`` (inclusive,
-    unique ordering) and ``total_col`` = the grand total.
+    unique ordering) restarting for each ``by`` group, and ``total_col`` = the
+    group's total.
 
-    Range form: range-partition and tag as in :func:`global_row_number`, write
-    once, then the running sum inside each partition (a window keyed by the
-    partition tag) plus the broadcast per-partition offsets.
+    Range form: range-partition on (by, order) — a group with many rows spans
+    several partitions — tag and write once; per (partition, group) sums give
+    each partition's offset inside its group (a window over that small table);
+    the running sum inside a partition is a window keyed by (partition, group).
     """
     strategy = resolve_strategy(df, strategy, rows)
-    cols = _sort_cols(order)
+    keys = list(by)
+    cols = [F.col(k).asc() for k in keys] + _sort_cols(order)
     if strategy == WINDOW:
-        upto = Window.orderBy(*cols).rowsBetween(Window.unboundedPreceding, 0)
+        upto = Window.partitionBy(*keys).orderBy(*_sort_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(cum_col, F.sum(weight).over(upto)).withColumn(
-            total_col, F.sum(weight).over(Window.partitionBy())
+            total_col, F.sum(weight).over(Window.partitionBy(*keys))
         )
     tagged = materialize(
         df.repartitionByRange(*cols).sortWithinPartitions(*cols).withColumn("_pid", F.spark_partition_id()),
         "running",
     )
-    sums = tagged.groupBy("_pid").agg(F.sum(weight).alias("_s"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    sums = tagged.groupBy("_pid", *keys).agg(F.sum(weight).alias("_s"))
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
         "_pid",
+        *keys,
         F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_off"),
-        F.sum("_s").over(Window.partitionBy()).alias(total_col),
+        F.sum("_s").over(Window.partitionBy(*keys)).alias(total_col),
+    )
+    # one row per (partition, group): bounded by the partition count when there
+    # is no grouping key, so broadcast; otherwise let the planner size it
+    offsets = F.broadcast(offsets) if not keys else offsets
+    local = F.sum(weight).over(
+        Window.partitionBy("_pid", *keys).orderBy(*_sort_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
     )
-    local = F.sum(weight).over(Window.partitionBy("_pid").orderBy(*cols).rowsBetween(Window.unboundedPreceding, 0))
     return (
         tagged.withColumn("_local", local)
-        .join(F.broadcast(offsets), "_pid")
+        .join(offsets, ["_pid", *keys])
         .withColumn(cum_col, F.col("_off") + F.col("_local"))
         .drop("_pid", "_off", "_local")
     )

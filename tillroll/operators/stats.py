@@ -71,34 +71,35 @@ def histogram(
 
 def box_summary(df: DataFrame, value: str, by: str | None = None) -> DataFrame:
     """Quartiles (linear), IQR, whiskers at the most extreme values inside
-    1.5 x IQR of the box, and the number of values outside the whiskers.
+    1.5 x IQR of the box, and the number of values outside the whiskers,
+    overall or per group.
 
-    Exact quartiles via ``percentile`` per group (value -> count map per
-    group): meant for bounded value domains such as prices in a display range.
+    Exact quartiles for any number of distinct values and groups
+    (:func:`quantiles.value_count_edges`); the whiskers are one more pass
+    joined to the per-group box (one row per group).
     """
+    from tillroll.operators import quantiles
+
     x = F.col(value).cast("double")
     keys = [by] if by else []
     base = df.where(x.isNotNull())
-    q = base.groupBy(*keys).agg(
-        F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    q = q.select(
+    counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    edges = quantiles.value_count_edges(base, value, [0.25, 0.5, 0.75], by=by)
+    q = (counts.join(edges, keys) if keys else counts.crossJoin(edges)).select(
         *keys,
         "n",
-        F.col("_q")[0].alias("q1"),
-        F.col("_q")[1].alias("median"),
-        F.col("_q")[2].alias("q3"),
+        F.col("edges")[0].alias("q1"),
+        F.col("edges")[1].alias("median"),
+        F.col("edges")[2].alias("q3"),
     ).withColumn("iqr", F.col("q3") - F.col("q1"))
     lo_fence = F.col("q1") - F.lit(1.5) * F.col("iqr")
     hi_fence = F.col("q3") + F.lit(1.5) * F.col("iqr")
-    joined = base.join(F.broadcast(q), keys) if keys else base.crossJoin(F.broadcast(q))
-    w = joined.groupBy(*keys, "n", "q1", "median", "q3", "iqr").agg(
+    joined = base.join(q, keys) if keys else base.crossJoin(F.broadcast(q))
+    return joined.groupBy(*keys, "n", "q1", "median", "q3", "iqr").agg(
         F.min(F.when(x >= lo_fence, x)).alias("whisker_low"),
         F.max(F.when(x <= hi_fence, x)).alias("whisker_high"),
         F.count_if((x < lo_fence) | (x > hi_fence)).alias("outliers"),
     )
-    return w
 
 
 def zero_filled_pivot(
