@@ -1,15 +1,17 @@
 """Exact, linearly interpolated quantiles (the 'linear' rule: position
 (n - 1) * p, interpolate between the neighbouring order statistics).
 
-Two exact strategies:
-* ``percentile`` — Spark's ``percentile`` aggregate. It keeps a value -> count
-  map, so memory grows with the number of distinct values: right for bounded
-  domains (day counts, a few hundred countries).
-* ``ranked`` — read the order statistics straight from a globally ranked frame
-  (see :mod:`tillroll.operators.ranking`): filter the <= 2 rows per probability
-  and interpolate. Memory is constant whatever the cardinality (monetary sums,
-  rates).
-Both return a one-row frame with an ``array<double>`` column ``edges``.
+Three exact strategies, each returning a one-row frame (or one row per group)
+with an ``array<double>`` column ``edges``:
+* ``percentile_edges`` — Spark's ``percentile`` aggregate. It keeps a
+  value -> count map, so memory grows with the number of distinct values: used
+  for bounded domains (day counts, the country table, small grain tables).
+* ``ranked_edges`` — read the order statistics straight from a globally ranked
+  frame (see :mod:`tillroll.operators.ranking`): filter the <= 2 rows per
+  probability and interpolate. Memory is constant whatever the cardinality.
+* ``value_count_edges`` — the same from a (value, count) table and a running
+  count, overall or per group: for columns with many repeated values (line
+  level) and for per-group quartiles.
 """
 
 from __future__ import annotations
@@ -19,10 +21,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PERCENTILE = "percentile"
-RANKED = "ranked"
-
-
 def percentile_edges(df: DataFrame, value: str, probs: Sequence[float]) -> DataFrame:
     arr = F.array(*[F.lit(float(p)) for p in probs])
     return df.agg(F.percentile(F.col(value).cast("double"), arr).alias("edges"))

@@ -7,14 +7,16 @@ one task. That is fine for a few thousand countries, not for 10^9 customers, so
 1. range-partition on the ordering (ties split by the unique key, so a value
    held by a third of all rows still spreads over many partitions), sort within
    partitions, tag each row with its partition id and local position;
-2. write that frame once as a reliable checkpoint, so every later read sees the
-   same partitions even if an executor is lost and work is recomputed;
+2. write that frame once to the shared checkpoint folder (a parquet table),
+   so every later read sees the same rows and tags even if an executor is lost
+   and work is recomputed;
 3. count rows per partition (one row per partition), turn the counts into
    offsets with a window over that tiny frame, broadcast it (its size is bounded
    by the partition count, not by the data) and add offset + local position.
 
 The ordering must be total (end it with a unique key) for results to be
-deterministic; every caller here does.
+deterministic; every caller here does. :func:`global_running_sum` is the
+weighted form (running counts over a value table, optionally per group).
 """
 
 from __future__ import annotations
