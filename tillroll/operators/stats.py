@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.money import exact_mean, ratio, round_to
+from tillroll.operators.scalars import attach_one_row
 
 
 def value_counts(df: DataFrame, key: str, count_col: str = "count", share_col: str | None = None) -> DataFrame:
@@ -21,7 +22,7 @@ def value_counts(df: DataFrame, key: str, count_col: str = "count", share_col: s
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias(count_col))
     if share_col:
         total = counts.agg(F.sum(count_col).alias("_total"))
-        counts = counts.crossJoin(F.broadcast(total)).withColumn(
+        counts = attach_one_row(counts, total).withColumn(
             share_col, ratio(F.col(count_col), F.col("_total"))
         ).drop("_total")
     return counts.orderBy(F.col(count_col).desc(), F.col(key).asc())
@@ -59,7 +60,7 @@ def histogram(
         F.least(F.lit(bins - 1), F.floor((x - lo_c) * F.lit(float(bins)) / width).cast("int"))
     )
     keys = ([by] if by else []) + ["bin"]
-    binned = base.crossJoin(F.broadcast(bounds)).withColumn("bin", idx.cast("int"))
+    binned = attach_one_row(base, bounds).withColumn("bin", idx.cast("int"))
     g = binned.groupBy(*keys, "_lo", "_hi").agg(F.count(F.lit(1)).alias(out))
     return g.select(
         *keys,
@@ -85,7 +86,7 @@ def box_summary(df: DataFrame, value: str, by: str | None = None) -> DataFrame:
     base = df.where(x.isNotNull())
     counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     edges = quantiles.value_count_edges(base, value, [0.25, 0.5, 0.75], by=by)
-    q = (counts.join(edges, keys) if keys else counts.crossJoin(edges)).select(
+    q = (counts.join(edges, keys) if keys else attach_one_row(counts, edges)).select(
         *keys,
         "n",
         F.col("edges")[0].alias("q1"),
@@ -94,7 +95,7 @@ def box_summary(df: DataFrame, value: str, by: str | None = None) -> DataFrame:
     ).withColumn("iqr", F.col("q3") - F.col("q1"))
     lo_fence = F.col("q1") - F.lit(1.5) * F.col("iqr")
     hi_fence = F.col("q3") + F.lit(1.5) * F.col("iqr")
-    joined = base.join(q, keys) if keys else base.crossJoin(F.broadcast(q))
+    joined = base.join(q, keys) if keys else attach_one_row(base, q)
     return joined.groupBy(*keys, "n", "q1", "median", "q3", "iqr").agg(
         F.min(F.when(x >= lo_fence, x)).alias("whisker_low"),
         F.max(F.when(x <= hi_fence, x)).alias("whisker_high"),
@@ -147,7 +148,7 @@ def duplicate_report(df: DataFrame) -> DataFrame:
     """Rows beyond the first of each identical full-row group, count and %."""
     total = df.agg(F.count(F.lit(1)).alias("rows"))
     distinct = df.distinct().agg(F.count(F.lit(1)).alias("distinct_rows"))
-    return total.crossJoin(distinct).select(
+    return attach_one_row(total, distinct).select(
         "rows",
         (F.col("rows") - F.col("distinct_rows")).alias("duplicates"),
         round_to(
@@ -176,7 +177,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str], digits: int = 6) ->
                 F.stddev_samp(xd).alias("std"),
                 F.min(xd).alias("min"),
                 F.max(xd).alias("max"),
-            ).crossJoin(F.broadcast(q)).select(
+            ).transform(lambda d, q=q: attach_one_row(d, q)).select(
                 F.lit(i).alias("position"),
                 F.lit(c).alias("column"),
                 "count",

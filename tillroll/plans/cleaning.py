@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.operators.scalars import attach_one_row
 from tillroll.schemas import ORDER_COLUMNS
 
 STEPS = ["duplicates", "missing_customer", "cancellations", "non_positive"]
@@ -46,7 +47,7 @@ def cleaning_report(orders: DataFrame) -> DataFrame:
         F.count_if(keep_c).alias("d2"),
         F.count_if(keep_p).alias("d3"),
     )
-    s = total.crossJoin(stats)  # both sides are exactly one row
+    s = attach_one_row(total, stats)  # both sides are exactly one row
     steps = F.array(
         F.struct(F.lit(1).alias("step_no"), F.lit(STEPS[0]).alias("step"), (F.col("total") - F.col("d0")).alias("removed"), F.col("d0").alias("remaining")),
         F.struct(F.lit(2).alias("step_no"), F.lit(STEPS[1]).alias("step"), (F.col("d0") - F.col("d1")).alias("removed"), F.col("d1").alias("remaining")),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import money
 from tillroll.operators import binning, quantiles, ranking
+from tillroll.operators.scalars import attach_one_row
 
 
 def valid_customer(df: DataFrame) -> DataFrame:
@@ -26,14 +27,8 @@ def with_amount(df: DataFrame) -> DataFrame:
 
 
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row frame (a global aggregate) to every row.
-
-    The one-row side is broadcast: its size is one row by construction, so the
-    join is a nested loop over a single build row, not a cartesian product.
-    Referencing the values as columns keeps the plan linear in size (a scalar
-    subquery would be copied into every expression that uses it).
-    """
-    return df.crossJoin(F.broadcast(one_row))
+    """See :func:`tillroll.operators.scalars.attach_one_row`."""
+    return attach_one_row(df, one_row)
 
 
 def require_rows(one_row_count: DataFrame, count_col: str, what: str) -> DataFrame:
@@ -141,7 +136,7 @@ def add_scores(
             if s.kind == "value"
         ],
     )
-    base = df.select("*", *windows).crossJoin(F.broadcast(edges))
+    base = attach_one_row(df.select("*", *windows), edges)
     outs = []
     for i, s in enumerate(scores):
         if s.kind == "rank":

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import dates, labels, money
 from tillroll.operators import stats
+from tillroll.operators.scalars import attach_one_row
 
 # --- overview (raw lines) ---------------------------------------------------
 
@@ -133,8 +134,8 @@ def rfm_detail(rfm: DataFrame) -> DataFrame:
 
 
 def detail_counts(filtered: DataFrame, rfm: DataFrame) -> DataFrame:
-    return filtered.agg(F.count(F.lit(1)).alias("shown")).crossJoin(
-        rfm.agg(F.count(F.lit(1)).alias("total"))
+    return attach_one_row(
+        filtered.agg(F.count(F.lit(1)).alias("shown")), rfm.agg(F.count(F.lit(1)).alias("total"))
     )
 
 
