@@ -134,3 +134,13 @@ def test_hot_customer_product_and_country(spark, make_orders):
         assert sorted(fn(orders, strategy="window").collect()) == sorted(fn(orders, strategy="range").collect())
     g = {r.country: r for r in geo.geographic_analysis(orders).collect()}
     assert g["UK"].total_orders == orders.where((F.col("country") == "UK") & (F.col("quantity") > 0)).select("invoice").distinct().count()
+
+
+def test_customer_without_valid_dates_is_left_out(make_orders):
+    rows = _rfm_rows()
+    rows.append(line("nd1", "S2", 4, "2010-01-01 10:00", 9.0, 500))
+    rows[-1] = rows[-1][:4] + (None,) + rows[-1][5:]  # its only date is missing
+    orders = make_orders(rows)
+    assert 500 not in {r.customer_id for r in rfm.customer_rfm(orders).collect()}
+    assert 500 not in {r.customer_id for r in churn.churn_risk(orders).collect()}
+    assert len(rfm.customer_rfm(orders).collect()) == 12

@@ -37,6 +37,7 @@ def bin_by_edges(
     bucket = F.lit(1)
     for k in range(2, q + 1):  # interior edges e[1] .. e[q-1]
         bucket = bucket + F.when(v > F.element_at(edges, k), 1).otherwise(0)
+    bucket = F.when(v.isNotNull(), bucket)  # no value, no bin
     if on_duplicate_edges == COLLAPSE:
         return bucket
     if on_duplicate_edges != RAISE:

@@ -76,7 +76,7 @@ def _rfm_ctes(clean: bool = False, p: str = "rfm") -> str:
 {p}_ref AS (SELECT max(last_d){shift} AS ref_d FROM {p}_pc),
 {p}_m AS (
   SELECT customer_id, CAST(date_sub('day', last_d, ref_d) AS INTEGER) AS recency, frequency, monetary
-  FROM {p}_pc, {p}_ref WHERE monetary > 0
+  FROM {p}_pc, {p}_ref WHERE monetary > 0 AND last_d IS NOT NULL
 ),
 {p}_rk AS (
   SELECT *, row_number() OVER (ORDER BY frequency, customer_id) AS rn, count(*) OVER () AS n FROM {p}_m
@@ -164,7 +164,7 @@ pr_agg AS (
 pr_m AS (
   SELECT a.*, d.product_name,
          CAST(date_sub('day', last_d, (SELECT max(last_d) FROM pr_agg)) AS INTEGER) AS recency
-  FROM pr_agg a LEFT JOIN pr_desc d USING (stock_code)
+  FROM pr_agg a LEFT JOIN pr_desc d USING (stock_code) WHERE a.last_d IS NOT NULL
 ),
 pr_rk AS (
   SELECT *,
@@ -200,7 +200,7 @@ ch_m AS (
          CAST(date_sub('day', last_d, (SELECT max(last_d) FROM ch_pc)) AS INTEGER) AS recency,
          frequency,
          CAST(date_sub('day', first_d, (SELECT max(first_d) FROM ch_pc)) AS INTEGER) AS days_since_first_purchase
-  FROM ch_pc
+  FROM ch_pc WHERE last_d IS NOT NULL
 ),
 ch_m2 AS (
   SELECT *, CAST(floor(days_since_first_purchase / 30.0) AS INTEGER) AS months_active,

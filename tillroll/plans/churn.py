@@ -48,7 +48,8 @@ def churn_risk(
         "churn",
     )
     days = dates.whole_days(F.col("first_purchase"), F.col("_latest_first"))
-    df = with_scalars(per_customer, one_row).select(
+    # a customer whose dates are all missing has no recency: left out before scoring
+    df = with_scalars(per_customer.where(F.col("last_purchase").isNotNull()), one_row).select(
         "customer_id",
         dates.whole_days(F.col("last_purchase"), F.col("_ref")).alias("recency"),
         F.col("lines").alias("frequency"),

@@ -98,7 +98,8 @@ def product_rfm(orders: DataFrame, strategy: str | None = None) -> DataFrame:
         "_cnt",
         "product RFM",
     )
-    df = with_scalars(per_product, one_row).withColumn(
+    # a product whose dates are all missing has no recency: left out before scoring
+    df = with_scalars(per_product.where(F.col("_last").isNotNull()), one_row).withColumn(
         "recency", dates.whole_days(F.col("_last"), F.col("_ref"))
     )
     df = add_scores(

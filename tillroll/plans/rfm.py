@@ -55,7 +55,8 @@ def customer_metrics(
         "_cnt",
         "customer RFM",
     )
-    metrics = with_scalars(table, one_row).select(
+    # a customer whose dates are all missing has no recency: left out before scoring
+    metrics = with_scalars(table.where(F.col("last_purchase").isNotNull()), one_row).select(
         "customer_id",
         dates.whole_days(F.col("last_purchase"), ref).alias("recency"),
         F.col("invoices").alias("frequency"),
