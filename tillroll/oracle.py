@@ -2,7 +2,8 @@
 
 Written independently of the Spark code, over the same pre-registered parquet
 views, as the correctness oracle: same column names and types, values equal
-row for row. Conventions shared with the Spark side: money exact as
+row for row (conditional counts are written count(CASE WHEN c THEN 1 END),
+BIGINT like Spark's count_if). Conventions shared with the Spark side: money exact as
 DECIMAL(18,4)/DECIMAL(38,4); ratios as double from exact operands; rounding
 as round(x * 10^d) / 10^d; whole days via date_sub('day', a, b); quintile
 edges via quantile_cont (position (n-1)p, linear).
@@ -361,8 +362,8 @@ SQL["monthly_revenue"] = q([], """SELECT CAST(date_trunc('month', invoice_date)
   CAST(sum(price * quantity) AS DECIMAL(38,4)) AS revenue FROM orders_v WHERE quantity > 0 GROUP BY 1 ORDER BY 1""")
 SQL["rfm_filtered"] = q(RFM, """SELECT * FROM rfm WHERE segment IN ('Champions', 'Clients Fidèles', 'À Risque')
   AND recency BETWEEN 30 AND 400 AND monetary BETWEEN 1000 AND 200000""")
-SQL["segment_kpis"] = q(RFM, """SELECT count_if(segment = 'Champions') AS champions, count_if(segment = 'À Risque') AS at_risk,
-  count_if(segment = 'Perdus') AS lost FROM rfm""")
+SQL["segment_kpis"] = q(RFM, """SELECT count(CASE WHEN segment = 'Champions' THEN 1 END) AS champions, count(CASE WHEN segment = 'À Risque' THEN 1 END) AS at_risk,
+  count(CASE WHEN segment = 'Perdus' THEN 1 END) AS lost FROM rfm""")
 SQL["segment_distribution"] = q(RFM, """SELECT segment, count(*) AS customers,
   CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER () AS DOUBLE) AS share FROM rfm GROUP BY segment""")
 SQL["segment_stats"] = q(RFM, f"""SELECT segment, count(*) AS clients, {_r(_mean('recency'), 1)} AS recence_moy,
@@ -373,33 +374,33 @@ SQL["recency_histogram"] = q(RFM, _hist("rfm", "recency", 50, "segment", "custom
 SQL["monetary_histogram"] = q(RFM, _hist("rfm", "monetary", 50, "segment", "customers"))
 SQL["rf_heatmap"] = q(RFM, """SELECT g.r_score, """ + ", ".join(f"coalesce(c.f_{v}, 0) AS f_{v}" for v in range(1, 6)) + """
   FROM (SELECT * FROM (VALUES (5), (4), (3), (2), (1)) t(r_score)) g
-  LEFT JOIN (SELECT r_score, """ + ", ".join(f"count_if(f_score = {v}) AS f_{v}" for v in range(1, 6)) + """
+  LEFT JOIN (SELECT r_score, """ + ", ".join(f"count(CASE WHEN f_score = {v} THEN 1 END) AS f_{v}" for v in range(1, 6)) + """
              FROM rfm GROUP BY r_score) c USING (r_score)""")
 SQL["rfm_detail"] = q(RFM, """SELECT customer_id AS "ID", recency AS "Récence (j)", frequency AS "Fréquence",
   monetary AS "Montant (€)", r_score AS "R", f_score AS "F", m_score AS "M", rfm_score AS "RFM", segment AS "Segment"
   FROM rfm""")
-SQL["product_kpis"] = q(PRODUCTS, """SELECT count_if(performance = 'Star') AS stars, count_if(performance = 'Orphan') AS orphans,
+SQL["product_kpis"] = q(PRODUCTS, """SELECT count(CASE WHEN performance = 'Star' THEN 1 END) AS stars, count(CASE WHEN performance = 'Orphan' THEN 1 END) AS orphans,
   count(*) AS total_products FROM products""")
 SQL["performance_distribution"] = q(PRODUCTS, "SELECT performance, count(*) AS products FROM products GROUP BY performance")
 SQL["top_products"] = q(PRODUCTS, """SELECT stock_code, product_name, performance, monetary, total_customers FROM products
   ORDER BY monetary DESC, stock_code LIMIT 10""")
 SQL["product_listing"] = q(PRODUCTS, """SELECT stock_code, product_name, performance, recency, total_customers, monetary,
   avg_price, total_quantity, r_score, f_score, m_score FROM products""")
-SQL["churn_bands"] = q(CHURN, """SELECT count_if(churn_score >= 80) AS high, count_if(churn_score >= 60 AND churn_score < 80) AS medium,
-  count_if(churn_score >= 40 AND churn_score < 60) AS low, count_if(churn_score < 40) AS very_low FROM churn""")
+SQL["churn_bands"] = q(CHURN, """SELECT count(CASE WHEN churn_score >= 80 THEN 1 END) AS high, count(CASE WHEN churn_score >= 60 AND churn_score < 80 THEN 1 END) AS medium,
+  count(CASE WHEN churn_score >= 40 AND churn_score < 60 THEN 1 END) AS low, count(CASE WHEN churn_score < 40 THEN 1 END) AS very_low FROM churn""")
 SQL["churn_histogram"] = q(CHURN, _hist("churn", "churn_score", 30, None, "customers"))
 SQL["churn_high_risk"] = q(CHURN, "SELECT * FROM churn WHERE churn_score >= 80 ORDER BY churn_score DESC, customer_id LIMIT 50")
-SQL["market_class_counts"] = q(GEO, """SELECT count_if(contains(market_growth_potential, 'Established')) AS established,
-  count_if(contains(market_growth_potential, 'Growing')) AS growing,
-  count_if(contains(market_growth_potential, 'Emerging')) AS emerging FROM geo""")
+SQL["market_class_counts"] = q(GEO, """SELECT count(CASE WHEN contains(market_growth_potential, 'Established') THEN 1 END) AS established,
+  count(CASE WHEN contains(market_growth_potential, 'Growing') THEN 1 END) AS growing,
+  count(CASE WHEN contains(market_growth_potential, 'Emerging') THEN 1 END) AS emerging FROM geo""")
 SQL["top_markets"] = q(GEO, "SELECT * FROM geo ORDER BY priority_rank LIMIT 10")
 SQL["market_listing"] = q(GEO, "SELECT * FROM geo")
 SQL["clv_totals"] = q(CLV, f"""SELECT {_r('sum(clv_12months)', 2)} AS total_clv_12, {_r('sum(clv_24months)', 2)} AS total_clv_24,
-  {_r('avg(clv_12months)', 2)} AS avg_clv_12, count_if(forecast_confidence = '🟢 High') AS high_confidence FROM clv""")
+  {_r('avg(clv_12months)', 2)} AS avg_clv_12, count(CASE WHEN forecast_confidence = '🟢 High' THEN 1 END) AS high_confidence FROM clv""")
 SQL["clv_by_segment"] = q(CLV, f"""SELECT segment, count(*) AS customers, {_r('sum(clv_12months)', 2)} AS clv_12_total,
   {_r('sum(clv_24months)', 2)} AS clv_24_total FROM clv GROUP BY segment""")
 SQL["clv_top"] = q(CLV, "SELECT * FROM clv ORDER BY clv_24months DESC, customer_id LIMIT 30")
-SQL["churn_summary"] = q(CHURN, "SELECT count_if(churn_risk = '🔴 High') AS high_risk_customers FROM churn")
+SQL["churn_summary"] = q(CHURN, "SELECT count(CASE WHEN churn_risk = '🔴 High' THEN 1 END) AS high_risk_customers FROM churn")
 SQL["geo_top3"] = q(GEO, "SELECT priority_rank, country, total_revenue FROM geo ORDER BY priority_rank LIMIT 3")
 SQL["clv_summary"] = q(CLV, f"""SELECT {_r('sum(clv_24months)', 2)} AS total_clv_24, {_r('avg(clv_12months)', 2)} AS avg_clv_12 FROM clv""")
 
@@ -488,12 +489,12 @@ def _describe_txt(i: int, c: str) -> str:
 SQL["describe_numeric"] = q([], " UNION ALL ".join(_describe_num(i, c) for i, c in enumerate(["quantity", "price", "customer_id"])))
 SQL["describe_text"] = q([], " UNION ALL ".join(_describe_txt(i, c) for i, c in enumerate(["invoice", "stock_code", "description", "country"])))
 SQL["missing_values"] = q([], " UNION ALL ".join(
-    f"SELECT {i} AS position, '{c}' AS col_name, count_if({c} IS NULL) AS missing, "
-    f"{_r(f'CAST(count_if({c} IS NULL) AS DOUBLE) * 100.0 / CAST(count(*) AS DOUBLE)', 2)} AS missing_pct FROM orders_v"
+    f"SELECT {i} AS position, '{c}' AS col_name, count(CASE WHEN {c} IS NULL THEN 1 END) AS missing, "
+    f"{_r(f'CAST(count(CASE WHEN {c} IS NULL THEN 1 END) AS DOUBLE) * 100.0 / CAST(count(*) AS DOUBLE)', 2)} AS missing_pct FROM orders_v"
     for i, c in enumerate(_COLS)))
 SQL["duplicates"] = q([], f"""SELECT rows, rows - d AS duplicates, {_r('CAST(rows - d AS DOUBLE) * 100.0 / CAST(rows AS DOUBLE)', 2)} AS duplicate_pct
   FROM (SELECT count(*) AS rows FROM orders_v), (SELECT count(*) AS d FROM (SELECT DISTINCT * FROM orders_v))""")
-SQL["distinct_counts"] = q([], """SELECT count(DISTINCT customer_id) AS customers, count_if(customer_id IS NULL) AS rows_without_customer,
+SQL["distinct_counts"] = q([], """SELECT count(DISTINCT customer_id) AS customers, count(CASE WHEN customer_id IS NULL THEN 1 END) AS rows_without_customer,
   count(DISTINCT invoice) AS invoices, count(DISTINCT country) AS countries FROM orders_v""")
 SQL["top_countries_by_rows"] = q([], """SELECT country, count(*) AS rows FROM orders_v WHERE country IS NOT NULL
   GROUP BY country ORDER BY rows DESC, country LIMIT 10""")
@@ -507,7 +508,7 @@ def _box(src: str, value: str) -> str:
 SELECT n, {_r('q1', 6)} AS q1, {_r('median', 6)} AS median, {_r('q3', 6)} AS q3, {_r('q3 - q1', 6)} AS iqr,
        min(CASE WHEN {x} >= q1 - 1.5 * (q3 - q1) THEN {x} END) AS whisker_low,
        max(CASE WHEN {x} <= q3 + 1.5 * (q3 - q1) THEN {x} END) AS whisker_high,
-       count_if({x} < q1 - 1.5 * (q3 - q1) OR {x} > q3 + 1.5 * (q3 - q1)) AS outliers
+       count(CASE WHEN {x} < q1 - 1.5 * (q3 - q1) OR {x} > q3 + 1.5 * (q3 - q1) THEN 1 END) AS outliers
 FROM {src} s, (SELECT count(*) AS n, quantile_cont({x}, 0.25) AS q1, quantile_cont({x}, 0.5) AS median,
                       quantile_cont({x}, 0.75) AS q3 FROM {src} t WHERE {value} IS NOT NULL) b
 WHERE {value} IS NOT NULL
@@ -516,8 +517,8 @@ GROUP BY n, q1, median, q3"""
 
 SQL["price_box"] = q([], _box("(SELECT * FROM orders_v WHERE price BETWEEN 0 AND 50)", "price"))
 SQL["quantity_box"] = q([], _box("(SELECT * FROM orders_v WHERE quantity BETWEEN 0 AND 100)", "quantity"))
-SQL["anomaly_counts"] = q([], """SELECT count_if(quantity < 0) AS negative_quantity, count_if(price <= 0) AS non_positive_price,
-  count_if(customer_id IS NULL) AS missing_customer, count_if(description IS NULL OR trim(description) = '') AS empty_description
+SQL["anomaly_counts"] = q([], """SELECT count(CASE WHEN quantity < 0 THEN 1 END) AS negative_quantity, count(CASE WHEN price <= 0 THEN 1 END) AS non_positive_price,
+  count(CASE WHEN customer_id IS NULL THEN 1 END) AS missing_customer, count(CASE WHEN description IS NULL OR trim(description) = '' THEN 1 END) AS empty_description
   FROM orders_v""")
 SQL["amount_stats"] = q([], f"""SELECT CAST(min(price * quantity) AS DECIMAL(38,4)) AS min_amount,
   CAST(max(price * quantity) AS DECIMAL(38,4)) AS max_amount, {_mean('price * quantity')} AS mean_amount,
@@ -534,9 +535,9 @@ SQL["cleaning_report"] = q([], """SELECT * FROM (
   SELECT 2, 'missing_customer', d0 - d1, d1 FROM s UNION ALL
   SELECT 3, 'cancellations', d1 - d2, d2 FROM s UNION ALL
   SELECT 4, 'non_positive', d2 - d3, d3 FROM s) x""".replace("FROM s", """FROM (SELECT (SELECT count(*) FROM orders_v) AS total,
-    count(*) AS d0, count_if(customer_id IS NOT NULL) AS d1,
-    count_if(customer_id IS NOT NULL AND NOT coalesce(starts_with(invoice, 'C'), false)) AS d2,
-    count_if(customer_id IS NOT NULL AND NOT coalesce(starts_with(invoice, 'C'), false) AND coalesce(quantity > 0 AND price > 0, false)) AS d3
+    count(*) AS d0, count(CASE WHEN customer_id IS NOT NULL THEN 1 END) AS d1,
+    count(CASE WHEN customer_id IS NOT NULL AND NOT coalesce(starts_with(invoice, 'C'), false) THEN 1 END) AS d2,
+    count(CASE WHEN customer_id IS NOT NULL AND NOT coalesce(starts_with(invoice, 'C'), false) AND coalesce(quantity > 0 AND price > 0, false) THEN 1 END) AS d3
     FROM (SELECT DISTINCT * FROM orders_v) u) s"""))
 
 # --- sources -------------------------------------------------------------------
@@ -582,7 +583,7 @@ def _box_by(src: str, value: str, by: str) -> str:
 SELECT s.{by}, n, q1, median, q3, q3 - q1 AS iqr,
        min(CASE WHEN {x} >= q1 - 1.5 * (q3 - q1) THEN {x} END) AS whisker_low,
        max(CASE WHEN {x} <= q3 + 1.5 * (q3 - q1) THEN {x} END) AS whisker_high,
-       count_if({x} < q1 - 1.5 * (q3 - q1) OR {x} > q3 + 1.5 * (q3 - q1)) AS outliers
+       count(CASE WHEN {x} < q1 - 1.5 * (q3 - q1) OR {x} > q3 + 1.5 * (q3 - q1) THEN 1 END) AS outliers
 FROM {src} s JOIN (SELECT {by}, count(*) AS n, quantile_cont({x}, 0.25) AS q1, quantile_cont({x}, 0.5) AS median,
                           quantile_cont({x}, 0.75) AS q3 FROM {src} WHERE {value} IS NOT NULL GROUP BY {by}) b USING ({by})
 WHERE {value} IS NOT NULL
@@ -591,24 +592,3 @@ GROUP BY s.{by}, n, q1, median, q3"""
 
 SQL["exploration_recency_box"] = q([rfm_cte(clean=True)], _box_by("rfm", "recency", "segment"))
 
-
-def _bigint_count_if(sql: str) -> str:
-    """count_if(c) -> count(CASE WHEN c THEN 1 END): same value, BIGINT like
-    Spark's count_if (DuckDB's count_if is HUGEINT)."""
-    out, i, key = [], 0, "count_if("
-    while True:
-        j = sql.find(key, i)
-        if j < 0:
-            out.append(sql[i:])
-            return "".join(out)
-        out.append(sql[i:j])
-        depth, k = 1, j + len(key)
-        while depth:
-            depth += {"(": 1, ")": -1}.get(sql[k], 0)
-            k += 1
-        inner = _bigint_count_if(sql[j + len(key):k - 1])
-        out.append(f"count(CASE WHEN {inner} THEN 1 END)")
-        i = k
-
-
-SQL = {k: _bigint_count_if(v) for k, v in SQL.items()}
