@@ -592,3 +592,5 @@ GROUP BY s.{by}, n, q1, median, q3"""
 
 SQL["exploration_recency_box"] = q([rfm_cte(clean=True)], _box_by("rfm", "recency", "segment"))
 
+
+SQL["customer_rfm_incremental"] = SQL["customer_rfm"]

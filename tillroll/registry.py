@@ -11,7 +11,7 @@ from tillroll import oracle as _oracle
 from tillroll.plans import churn, cleaning, clv, customers, dashboard, geo, library, product, profiling, publish, rfm
 from tillroll.session import scratch_path
 from tillroll.sources import csv_orders, export, tables
-from tillroll.streaming import folder_ingest
+from tillroll.streaming import customer_state, folder_ingest
 from tillroll.sources import testdata
 
 _VIEWS: dict[tuple[int, str], DataFrame] = {}
@@ -237,6 +237,23 @@ def _stream_ingest(spark, sf_dir):
     )
 
 
+@register("customer_rfm_incremental")
+def _customer_rfm_incremental(spark, sf_dir):
+    """Customer RFM from the customer table kept up to date by the streaming
+    ingest: the order lines arrive as files in two deliveries, each folded in
+    by micro-batches; the scores equal the batch computation."""
+    staging = scratch_path(spark, "staging")
+    export.export_raw_orders(orders_view(spark, sf_dir), staging, files=4)
+    files = csv_orders.list_files(spark, staging, ".csv")
+    landing, state, ckpt = (scratch_path(spark, n) for n in ("landing", "customer_state", "state_ckpt"))
+    half = len(files) // 2
+    csv_orders.copy_files(spark, files[:half], landing)
+    customer_state.update_customers(spark, landing, state, ckpt)
+    csv_orders.copy_files(spark, files[half:], landing)
+    base = customer_state.update_customers(spark, landing, state, ckpt)
+    return rfm.customer_rfm(orders_view(spark, sf_dir), base=base)
+
+
 @register("publish_rfm")
 def _publish_rfm(spark, sf_dir):
     """Exploration scores published first, then this run's customer RFM merged

@@ -54,6 +54,19 @@ def list_files(spark: SparkSession, path: str, suffix: str) -> list[str]:
     return sorted(p for p in out if p.endswith(suffix))
 
 
+def copy_files(spark: SparkSession, files: Sequence[str], dest: str) -> None:
+    """Copy files into ``dest`` on the cluster file system (landing a delivery)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    dpath = jvm.org.apache.hadoop.fs.Path(dest)
+    dfs = dpath.getFileSystem(conf)
+    dfs.mkdirs(dpath)
+    for f in files:
+        src = jvm.org.apache.hadoop.fs.Path(f)
+        target = jvm.org.apache.hadoop.fs.Path(dpath, src.getName())
+        jvm.org.apache.hadoop.fs.FileUtil.copy(src.getFileSystem(conf), src, dfs, target, False, conf)
+
+
 def require_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """Fail when a required column is missing (schema check, no job)."""
     missing = [c for c in required if c not in df.columns]
