@@ -3,6 +3,7 @@
   python -m tillroll pipeline --csv <folder> --out <dir> [--exports]
   python -m tillroll pipeline --tables <sf_dir> --out <dir> [--exports]
   python -m tillroll query <name> --tables <sf_dir> [--show N] [--csv-out <dir>]
+  python -m tillroll customers --landing <folder> --state <dir> --out <dir>
   python -m tillroll list
 
 Submit with spark-submit on a cluster (master and resources come from it);
@@ -15,9 +16,10 @@ import argparse
 import json
 
 from tillroll import registry
-from tillroll.plans import pipeline
+from tillroll.plans import churn, clv, pipeline, rfm
 from tillroll.session import build_session
-from tillroll.sources import csv_orders, export, testdata
+from tillroll.sources import csv_orders, export, tables, testdata
+from tillroll.streaming import customer_state
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -36,6 +38,11 @@ def main(argv: list[str] | None = None) -> None:
     q.add_argument("--tables", required=True)
     q.add_argument("--show", type=int, default=20)
     q.add_argument("--csv-out", default=None)
+    c = sub.add_parser("customers", help="fold new files into the customer table; write RFM, churn, CLV")
+    c.add_argument("--landing", required=True)
+    c.add_argument("--state", required=True)
+    c.add_argument("--out", required=True)
+    c.add_argument("--locale", default="fr-FR")
     sub.add_parser("list", help="list registered queries")
     args = ap.parse_args(argv)
 
@@ -50,6 +57,18 @@ def main(argv: list[str] | None = None) -> None:
             else testdata.orders_view(spark, args.tables)
         )
         print(json.dumps(pipeline.run_pipeline(spark, orders, args.out, exports=args.exports), indent=2))
+    elif args.cmd == "customers":
+        state = args.state.rstrip("/")
+        base = customer_state.update_customers(spark, args.landing, state, f"{state}/_checkpoint", args.locale)
+        scores = rfm.customer_rfm(None, base=base)
+        out = args.out.rstrip("/")
+        paths = {
+            "rfm_analysis": tables.overwrite(scores, f"{out}/rfm_analysis"),
+            "churn_risk": tables.overwrite(churn.churn_risk(None, base=base), f"{out}/churn_risk"),
+        }
+        silver = spark.read.parquet(paths["rfm_analysis"])
+        paths["clv_forecast"] = tables.overwrite(clv.clv_from_base(silver, base), f"{out}/clv_forecast")
+        print(json.dumps(paths, indent=2))
     else:
         df = registry.QUERIES[args.name](spark, args.tables)
         if args.csv_out:
