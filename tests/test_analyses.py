@@ -144,3 +144,38 @@ def test_customer_without_valid_dates_is_left_out(make_orders):
     assert 500 not in {r.customer_id for r in rfm.customer_rfm(orders).collect()}
     assert 500 not in {r.customer_id for r in churn.churn_risk(orders).collect()}
     assert len(rfm.customer_rfm(orders).collect()) == 12
+
+
+def test_first_non_null_description(make_orders):
+    rows = _rfm_rows()
+    rows += [
+        line("d1", "NEWP", 1, "2010-01-02 10:00", 3.0, 1, desc=None),
+        line("d2", "NEWP", 1, "2010-01-03 10:00", 3.0, 2, desc="LATER NAME"),
+        line("d3", "NEWP", 1, "2010-01-03 10:00", 3.0, 3, desc="A NAME SAME DAY"),
+        line("d4", "NEWP", 1, "2010-05-03 10:00", 3.0, 4, desc="LAST"),
+    ]
+    names = {r.stock_code: r.product_name for r in product.product_rfm(make_orders(rows)).collect()}
+    assert names["NEWP"] == "A NAME SAME DAY"  # earliest dated non-null, ties by text
+
+
+def test_zero_and_one_day_lifetimes(make_orders):
+    rows = _rfm_rows()
+    rows += [
+        line("z1", "S1", 2, "2010-09-20 08:00", 60.0, 300),  # single purchase: zero-day lifetime
+        line("o1", "S1", 1, "2010-09-20 08:00", 50.0, 301),
+        line("o2", "S1", 1, "2010-09-21 09:00", 50.0, 301),  # one-day lifetime
+        line("q1", "S1", 1, "2010-09-19 08:00", 5.0, 302),  # first purchase 1 day before the latest first
+    ]
+    orders = make_orders(rows)
+    ch = {r.customer_id: r for r in churn.churn_risk(orders).collect()}
+    latest_first = max(r.days_since_first_purchase for r in ch.values())
+    assert latest_first > 0
+    zero = [r for r in ch.values() if r.days_since_first_purchase == 0]
+    one = [r for r in ch.values() if r.days_since_first_purchase == 1]
+    assert zero and one
+    assert all(r.purchase_frequency_per_month == float(r.frequency) for r in zero)  # 0 -> 1
+    assert all(r.purchase_frequency_per_month == r.frequency / (1 / 30) for r in one)  # 1 day stays 1/30
+    base = customers.customer_base(orders)
+    fc = {r.customer_id: r for r in clv.clv_from_base(rfm.customer_rfm(orders, base=base), base).collect()}
+    for cid in (300, 301):  # months clipped to 1: monthly value = whole history
+        assert fc[cid].avg_monthly_value == float(fc[cid].historical_value)
