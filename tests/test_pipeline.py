@@ -40,3 +40,18 @@ def test_publish_twice_is_idempotent(spark):
     a = sorted(spark.read.parquet(first).select(*cols).collect())
     b = sorted(spark.read.parquet(second).select(*cols).collect())
     assert a == b
+
+
+def test_mart_cache_ttl_and_refresh(spark):
+    from tillroll.plans import dashboard
+    from tillroll.plans.marts import Marts
+
+    marts = Marts(lambda: orders_view(spark, SF_SMALL), ttl_seconds=3600)
+    first = marts.get("rfm")
+    assert marts.get("rfm") is first  # served from cache within the TTL
+    assert first.is_cached
+    assert dashboard.segment_stats(first).count() > 0
+    marts.refresh()
+    assert marts.get("rfm") is not first and not first.is_cached
+    assert sorted(marts.get("clv").collect()) == sorted(marts.get("clv").collect())
+    marts.close()
