@@ -15,6 +15,29 @@ from tillroll.functions import dates, labels, money
 from tillroll.operators import stats
 from tillroll.operators.scalars import attach_one_row
 
+# ---------------------------------------------------------------------------
+# FIXED VALUES (the sizes and display names of the original screens)
+# ---------------------------------------------------------------------------
+TOP_COUNTRIES = 10  # countries by distinct customers
+TOP_PRODUCTS = 10  # products by revenue
+TOP_MARKETS = 10  # markets by priority rank
+CHURN_HIGH_RISK_ROWS = 50  # high-risk churn list
+CLV_TOP_ROWS = 30  # lifetime-value top list
+SEGMENT_HISTOGRAM_BINS = 50  # recency / monetary histograms by segment
+CHURN_HISTOGRAM_BINS = 30  # churn score histogram
+DETAIL_NAMES = {
+    "customer_id": "ID",
+    "recency": "Récence (j)",
+    "frequency": "Fréquence",
+    "monetary": "Montant (€)",
+    "r_score": "R",
+    "f_score": "F",
+    "m_score": "M",
+    "rfm_score": "RFM",
+    "segment": "Segment",
+}
+# ---------------------------------------------------------------------------
+
 # --- overview (raw lines) ---------------------------------------------------
 
 
@@ -34,7 +57,7 @@ def kpis(orders: DataFrame, approx: bool = False) -> DataFrame:
     )
 
 
-def top_countries(orders: DataFrame, k: int = 10) -> DataFrame:
+def top_countries(orders: DataFrame, k: int = TOP_COUNTRIES) -> DataFrame:
     counts = (
         orders.where(F.col("customer_id").isNotNull())
         .groupBy("country")
@@ -103,7 +126,7 @@ def rfm_points(rfm: DataFrame) -> DataFrame:
     return rfm.select("customer_id", "recency", "frequency", "monetary", "segment")
 
 
-def segment_histogram(rfm: DataFrame, value: str, bins: int = 50) -> DataFrame:
+def segment_histogram(rfm: DataFrame, value: str, bins: int = SEGMENT_HISTOGRAM_BINS) -> DataFrame:
     return stats.histogram(rfm, value, bins, by="segment", out="customers")
 
 
@@ -113,17 +136,6 @@ def rf_heatmap(rfm: DataFrame) -> DataFrame:
     return grid.orderBy(F.col("r_score").desc())
 
 
-DETAIL_NAMES = {
-    "customer_id": "ID",
-    "recency": "Récence (j)",
-    "frequency": "Fréquence",
-    "monetary": "Montant (€)",
-    "r_score": "R",
-    "f_score": "F",
-    "m_score": "M",
-    "rfm_score": "RFM",
-    "segment": "Segment",
-}
 
 
 def rfm_detail(rfm: DataFrame) -> DataFrame:
@@ -155,7 +167,7 @@ def performance_distribution(products: DataFrame) -> DataFrame:
     return stats.value_counts(products, "performance", "products")
 
 
-def top_products(products: DataFrame, k: int = 10) -> DataFrame:
+def top_products(products: DataFrame, k: int = TOP_PRODUCTS) -> DataFrame:
     return stats.top_k(
         products.select("stock_code", "product_name", "performance", "monetary", "total_customers"),
         [F.col("monetary").desc(), F.col("stock_code")],
@@ -183,11 +195,11 @@ def churn_bands(churn: DataFrame) -> DataFrame:
     )
 
 
-def churn_histogram(churn: DataFrame, bins: int = 30) -> DataFrame:
+def churn_histogram(churn: DataFrame, bins: int = CHURN_HISTOGRAM_BINS) -> DataFrame:
     return stats.histogram(churn, "churn_score", bins, out="customers")
 
 
-def churn_high_risk(churn: DataFrame, k: int = 50) -> DataFrame:
+def churn_high_risk(churn: DataFrame, k: int = CHURN_HIGH_RISK_ROWS) -> DataFrame:
     return stats.top_k(
         churn.where(F.col("churn_score") >= 80),
         [F.col("churn_score").desc(), F.col("customer_id")],
@@ -207,7 +219,7 @@ def market_class_counts(geo: DataFrame) -> DataFrame:
     )
 
 
-def top_markets(geo: DataFrame, k: int = 10) -> DataFrame:
+def top_markets(geo: DataFrame, k: int = TOP_MARKETS) -> DataFrame:
     return stats.top_k(geo, [F.col("priority_rank")], k)
 
 
@@ -235,7 +247,7 @@ def clv_by_segment(clv: DataFrame) -> DataFrame:
     ).orderBy(F.col("clv_24_total").desc(), F.col("segment"))
 
 
-def clv_top(clv: DataFrame, k: int = 30) -> DataFrame:
+def clv_top(clv: DataFrame, k: int = CLV_TOP_ROWS) -> DataFrame:
     return stats.top_k(clv, [F.col("clv_24months").desc(), F.col("customer_id")], k)
 
 

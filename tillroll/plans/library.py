@@ -15,6 +15,27 @@ from tillroll.functions import labels, money
 from tillroll.operators import stats
 
 
+# ---------------------------------------------------------------------------
+# FIXED VALUES (list sizes and thresholds of the original query texts)
+# ---------------------------------------------------------------------------
+STAR_ROWS = 10
+ORPHAN_ROWS = 20
+RANK_ROWS = 20
+HIGH_RISK_ROWS = 50
+HIGH_RISK_SCORE = 80
+INACTIVE_DAYS = 180
+INACTIVE_MAX_FREQUENCY = 5
+INACTIVE_ROWS = 30
+MEDIUM_RISK_RANGE = (60, 79)
+MEDIUM_RISK_ROWS = 100
+TOP_COUNTRY_ROWS = 5
+TOP_CLV_ROWS = 20
+BEST_BET_ROWS = 50
+FORECAST_VS_ACTUAL_ROWS = 30
+CHAMPION_ROWS = 30
+# ---------------------------------------------------------------------------
+
+
 def star_products(products: DataFrame) -> DataFrame:  # top-10 stars by revenue
     return stats.top_k(
         products.where(F.col("performance") == labels.PERF_STAR).select(
@@ -22,7 +43,7 @@ def star_products(products: DataFrame) -> DataFrame:  # top-10 stars by revenue
             "monetary", "r_score", "f_score", "m_score",
         ),
         [F.col("monetary").desc(), F.col("stock_code")],
-        10,
+        STAR_ROWS,
     )
 
 
@@ -37,7 +58,7 @@ def orphan_products(products: DataFrame, orders: DataFrame) -> DataFrame:
     joined = orphans.join(sales, "stock_code", "left").withColumn(
         "total_sales", F.coalesce(F.col("total_sales"), F.lit(0)).cast("long")
     )
-    return stats.top_k(joined, [F.col("total_customers").asc(), F.col("stock_code")], 20)
+    return stats.top_k(joined, [F.col("total_customers").asc(), F.col("stock_code")], ORPHAN_ROWS)
 
 
 def performance_summary(products: DataFrame) -> DataFrame:
@@ -49,7 +70,7 @@ def performance_summary(products: DataFrame) -> DataFrame:
     ).orderBy(F.col("total_revenue").desc(), F.col("performance"))
 
 
-def revenue_rank(products: DataFrame, k: int = 20) -> DataFrame:
+def revenue_rank(products: DataFrame, k: int = RANK_ROWS) -> DataFrame:
     """rank() by revenue, first ``k`` (by rank, then stock code).
 
     Exact without ranking the whole catalogue in one task: a row's rank is
@@ -70,11 +91,11 @@ def revenue_rank(products: DataFrame, k: int = 20) -> DataFrame:
 
 def high_risk_customers(churn: DataFrame) -> DataFrame:
     return stats.top_k(
-        churn.where(F.col("churn_score") >= 80).select(
+        churn.where(F.col("churn_score") >= HIGH_RISK_SCORE).select(
             "customer_id", "churn_score", "churn_risk", "recency", "frequency", "recommendation"
         ),
         [F.col("churn_score").desc(), F.col("customer_id")],
-        50,
+        HIGH_RISK_ROWS,
     )
 
 
@@ -96,22 +117,22 @@ def recommendation_breakdown(churn: DataFrame) -> DataFrame:
 
 def long_inactive(churn: DataFrame) -> DataFrame:
     return stats.top_k(
-        churn.where((F.col("recency") > 180) & (F.col("frequency") < 5)).select(
+        churn.where((F.col("recency") > INACTIVE_DAYS) & (F.col("frequency") < INACTIVE_MAX_FREQUENCY)).select(
             "customer_id", "recency", "frequency", "months_active",
             "purchase_frequency_per_month", "churn_score",
         ),
         [F.col("recency").desc(), F.col("customer_id")],
-        30,
+        INACTIVE_ROWS,
     )
 
 
 def medium_risk_targets(churn: DataFrame) -> DataFrame:
     return stats.top_k(
-        churn.where(F.col("churn_score").between(60, 79)).select(
+        churn.where(F.col("churn_score").between(*MEDIUM_RISK_RANGE)).select(
             "customer_id", "churn_score", "recency", "frequency", "recommendation"
         ),
         [F.col("churn_score").desc(), F.col("customer_id")],
-        100,
+        MEDIUM_RISK_ROWS,
     )
 
 
@@ -122,7 +143,7 @@ def top_countries_by_revenue(geo: DataFrame) -> DataFrame:
             "avg_order_value", "avg_customer_value", "market_growth_potential",
         ),
         [F.col("priority_rank")],
-        5,
+        TOP_COUNTRY_ROWS,
     )
 
 
@@ -164,7 +185,7 @@ def market_benchmark(geo: DataFrame) -> DataFrame:
 
 
 def top_clv(clv: DataFrame) -> DataFrame:
-    return stats.top_k(clv, [F.col("clv_24months").desc(), F.col("customer_id")], 20)
+    return stats.top_k(clv, [F.col("clv_24months").desc(), F.col("customer_id")], TOP_CLV_ROWS)
 
 
 def clv_segment_summary(clv: DataFrame) -> DataFrame:
@@ -184,7 +205,7 @@ def best_bets(clv: DataFrame) -> DataFrame:
             "customer_id", "segment", "clv_24months", "forecast_confidence", "growth_rate"
         ),
         [F.col("clv_24months").desc(), F.col("customer_id")],
-        50,
+        BEST_BET_ROWS,
     )
 
 
@@ -198,7 +219,7 @@ def forecast_vs_actual(clv: DataFrame, rfm: DataFrame) -> DataFrame:
         F.col("clv_24months").alias("forecast_24m"),
         money.round_to(money.ratio(F.col("clv_12months"), F.col("monetary")), 2).alias("growth_multiplier"),
     )
-    return stats.top_k(out, [F.col("growth_multiplier").desc(), F.col("customer_id")], 30)
+    return stats.top_k(out, [F.col("growth_multiplier").desc(), F.col("customer_id")], FORECAST_VS_ACTUAL_ROWS)
 
 
 def champions_premium(clv: DataFrame) -> DataFrame:
@@ -207,7 +228,7 @@ def champions_premium(clv: DataFrame) -> DataFrame:
             (F.col("segment") == labels.SEG_CHAMPIONS) & (F.col("forecast_confidence") == labels.CONF_HIGH)
         ).select("customer_id", "clv_24months", "growth_rate", "forecast_confidence"),
         [F.col("clv_24months").desc(), F.col("customer_id")],
-        30,
+        CHAMPION_ROWS,
     )
 
 

@@ -16,8 +16,15 @@ from tillroll.schemas import ORDER_COLUMNS
 
 NUMERIC_COLUMNS = ["quantity", "price", "customer_id"]
 TEXT_COLUMNS = ["invoice", "stock_code", "description", "country"]
+
+# ---------------------------------------------------------------------------
+# FIXED VALUES (display ranges and bin count of the original profiling plots)
+# ---------------------------------------------------------------------------
 PRICE_RANGE = (0, 50)
 QUANTITY_RANGE = (0, 100)
+HISTOGRAM_BINS = 50
+TOP_COUNTRY_ROWS = 10
+# ---------------------------------------------------------------------------
 
 
 def column_profile(orders: DataFrame) -> DataFrame:
@@ -64,7 +71,7 @@ def distinct_counts(orders: DataFrame) -> DataFrame:
     )
 
 
-def top_countries_by_rows(orders: DataFrame, k: int = 10) -> DataFrame:
+def top_countries_by_rows(orders: DataFrame, k: int = TOP_COUNTRY_ROWS) -> DataFrame:
     counts = orders.where(F.col("country").isNotNull()).groupBy("country").agg(F.count(F.lit(1)).alias("rows"))
     return stats.top_k(counts, [F.col("rows").desc(), F.col("country")], k)
 
@@ -73,15 +80,15 @@ def _in_range(orders: DataFrame, col: str, rng: tuple[float, float]) -> DataFram
     return orders.where(F.col(col).between(rng[0], rng[1]))
 
 
-def price_histogram(orders: DataFrame, bins: int = 50) -> DataFrame:
+def price_histogram(orders: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     return stats.histogram(_in_range(orders, "price", PRICE_RANGE), "price", bins, out="lines")
 
 
-def quantity_histogram(orders: DataFrame, bins: int = 50) -> DataFrame:
+def quantity_histogram(orders: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     return stats.histogram(_in_range(orders, "quantity", QUANTITY_RANGE), "quantity", bins, out="lines")
 
 
-def price_histogram_full(orders: DataFrame, bins: int = 50) -> DataFrame:
+def price_histogram_full(orders: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Same histogram over every price (no display range)."""
     return stats.histogram(orders, "price", bins, out="lines")
 
