@@ -1,5 +1,10 @@
-"""Registered queries: name -> (spark, sf_dir) -> DataFrame, each reading the
-given tables through the order-line adapter."""
+"""Registered queries: name -> (spark, sf_dir) -> DataFrame.
+
+Every query reads the given tables through the order-line adapter
+(``sources/testdata.orders_view``) — or files Spark writes from them, for the
+CSV and streaming queries — and runs over all of their rows. Each has the
+DuckDB SQL of the same name in :mod:`tillroll.oracle`.
+"""
 
 from __future__ import annotations
 
@@ -10,9 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tillroll import oracle as _oracle
 from tillroll.plans import churn, cleaning, clv, customers, dashboard, geo, library, product, profiling, publish, rfm
 from tillroll.session import scratch_path
-from tillroll.sources import csv_orders, export, tables
+from tillroll.sources import csv_orders, export, tables, testdata
 from tillroll.streaming import customer_state, folder_ingest
-from tillroll.sources import testdata
 
 _VIEWS: dict[tuple[int, str], DataFrame] = {}
 
@@ -27,6 +31,7 @@ def orders_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         _VIEWS[key] = view
     return view
 
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
