@@ -7,8 +7,10 @@ Python object-building time that is not engine work). One warm-up pass runs
 first on the two smallest scale factors so JIT compilation is not billed to
 the first timed queries; then every query runs $BENCH_RUNS times (default 3)
 at the target scale and the median is reported ("queries"); the first run of
-each is reported too ("first_run"). Nothing is cached between runs: each run
-re-reads the parquet tables and recomputes everything.
+each is reported too ("first_run"). The order lines are ingested once per session
+and source folder into a bronze parquet table (the five-table join, timed as
+``ingest`` and counted in the total); every run of every query then re-reads
+that table and recomputes everything else.
 """
 
 from __future__ import annotations
@@ -57,6 +59,9 @@ def main() -> None:
     times: dict[str, float] = {}
     first: dict[str, float] = {}
     rows: dict[str, int] = {}
+    t0 = time.perf_counter()
+    rows["ingest"] = registry.orders_view(spark, sf_dir).count()
+    times["ingest"] = first["ingest"] = round(time.perf_counter() - t0, 3)
     for name in HEADLINE:
         samples = []
         for _ in range(runs):
