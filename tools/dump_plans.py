@@ -38,11 +38,12 @@ def main() -> None:
         captured.append((name, plan_text(df)))
         return orig(df, name)
 
-    for mod in (customers, product, geo, ranking):
+    for mod in (customers, product, geo, ranking, registry):
         mod.materialize = recording
     print(f"# Physical plans ({os.path.basename(sf_dir)}, local[8], 8 shuffle partitions)\n")
     print("Generated by `tools/dump_plans.py`. Each query lists the plans of the tables it writes")
-    print("once (the line passes) and then its final plan, which reads those tables.\n")
+    print("once (the order-line ingest the first time, then the line passes) and then its final")
+    print("plan, which reads those tables.\n")
     for name in HEADLINE:
         captured.clear()
         final = registry.QUERIES[name](spark, sf_dir)
