@@ -38,3 +38,22 @@ def test_upsert_properties(spark, old, new):
     assert {(r.customer_id, r.segment, r.created_at) for r in once.collect()} == {
         (r.customer_id, r.segment, r.created_at) for r in twice.collect()
     }
+
+
+@settings(max_examples=10, deadline=None)
+@given(
+    st.lists(st.integers(min_value=-500, max_value=5000), min_size=2, max_size=300),
+    st.sampled_from([7, 30, 50]),
+)
+def test_histogram_matches_numpy(spark, values, bins):
+    import numpy as np
+
+    from tillroll.operators import stats
+
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    got = {r.bin: r["count"] for r in stats.histogram(df, "x", bins).collect()}
+    counts, _ = np.histogram(np.array(values, dtype=float), bins=bins)
+    if min(values) == max(values):
+        assert got == {0: len(values)}
+    else:
+        assert got == {i: int(c) for i, c in enumerate(counts) if c}
