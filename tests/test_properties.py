@@ -57,3 +57,21 @@ def test_histogram_matches_numpy(spark, values, bins):
         assert got == {0: len(values)}
     else:
         assert got == {i: int(c) for i, c in enumerate(counts) if c}
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.integers(min_value=0, max_value=1000), min_size=4, max_size=200))
+def test_box_summary_matches_numpy(spark, values):
+    import numpy as np
+
+    from tillroll.operators import stats
+
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    r = stats.box_summary(df, "x").first()
+    x = np.array(values, dtype=float)
+    q1, med, q3 = np.quantile(x, [0.25, 0.5, 0.75])
+    lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+    assert r.n == len(values)
+    assert np.allclose([r.q1, r.median, r.q3], [q1, med, q3], atol=1e-9, rtol=0)
+    assert r.whisker_low == x[x >= lo].min() and r.whisker_high == x[x <= hi].max()
+    assert r.outliers == int(((x < lo) | (x > hi)).sum())
