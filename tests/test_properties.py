@@ -75,3 +75,17 @@ def test_box_summary_matches_numpy(spark, values):
     assert np.allclose([r.q1, r.median, r.q3], [q1, med, q3], atol=1e-9, rtol=0)
     assert r.whisker_low == x[x >= lo].min() and r.whisker_high == x[x <= hi].max()
     assert r.outliers == int(((x < lo) | (x > hi)).sum())
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.integers(min_value=-50, max_value=500), min_size=2, max_size=150))
+def test_describe_matches_pandas(spark, values):
+    from tillroll.operators import stats
+
+    df = spark.createDataFrame([(v,) for v in values], "q int")
+    r = stats.describe_numeric(df, ["q"]).first()
+    d = pd.Series(values, dtype=float).describe()
+    assert r["count"] == d["count"]
+    for mine, theirs in (("mean", "mean"), ("std", "std"), ("p25", "25%"), ("p50", "50%"), ("p75", "75%")):
+        assert abs(r[mine] - d[theirs]) <= 1e-6, mine
+    assert (r["min"], r["max"]) == (d["min"], d["max"])
