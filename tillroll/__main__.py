@@ -2,7 +2,7 @@
 
   python -m tillroll pipeline --csv <folder> --out <dir> [--exports]
   python -m tillroll pipeline --tables <sf_dir> --out <dir> [--exports]
-  python -m tillroll query <name> --tables <sf_dir> [--show N] [--csv-out <dir>]
+  python -m tillroll query <name> --tables <sf_dir> [--show N] [--csv-out <dir>] [--explain]
   python -m tillroll customers --landing <folder> --state <dir> --out <dir>
   python -m tillroll list
 
@@ -38,6 +38,7 @@ def main(argv: list[str] | None = None) -> None:
     q.add_argument("--tables", required=True)
     q.add_argument("--show", type=int, default=20)
     q.add_argument("--csv-out", default=None)
+    q.add_argument("--explain", action="store_true", help="print the formatted physical plan")
     c = sub.add_parser("customers", help="fold new files into the customer table; write RFM, churn, CLV")
     c.add_argument("--landing", required=True)
     c.add_argument("--state", required=True)
@@ -71,7 +72,9 @@ def main(argv: list[str] | None = None) -> None:
         print(json.dumps(paths, indent=2))
     else:
         df = registry.QUERIES[args.name](spark, args.tables)
-        if args.csv_out:
+        if args.explain:
+            df.explain(mode="formatted")
+        elif args.csv_out:
             export.export_csv(df, args.csv_out)
         else:
             df.show(args.show, truncate=False)
