@@ -55,3 +55,14 @@ def test_mart_cache_ttl_and_refresh(spark):
     assert marts.get("rfm") is not first and not first.is_cached
     assert sorted(marts.get("clv").collect()) == sorted(marts.get("clv").collect())
     marts.close()
+
+
+def test_approximate_kpis_close_to_exact(spark):
+    from tillroll.plans import dashboard
+
+    orders = orders_view(spark, "/root/testdata/sf0.01" if os.path.isdir("/root/testdata/sf0.01") else SF_SMALL)
+    exact = dashboard.kpis(orders).first()
+    approx = dashboard.kpis(orders, approx=True).first()
+    assert approx.total_revenue == exact.total_revenue  # sums stay exact
+    for c in ("total_orders", "total_customers", "total_products"):
+        assert abs(approx[c] - exact[c]) <= 0.04 * exact[c], c
