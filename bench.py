@@ -37,6 +37,14 @@ HEADLINE = [
     "monthly_revenue",
 ]
 WARMUP_DIRS = ["/root/testdata/sf0.001", "/root/testdata/sf0.01"]
+# Published run times of the original analyses (seconds; hardware and row
+# counts not stated), reported next to ours for reading convenience.
+PUBLISHED_RANGES = {
+    "product_rfm": [0.5, 2.0],
+    "churn_risk": [1.0, 3.0],
+    "geographic_analysis": [0.5, 1.0],
+    "clv_forecast": [1.0, 4.0],
+}
 
 
 def main() -> None:
@@ -81,6 +89,7 @@ def main() -> None:
                 "queries": times,
                 "first_run": first,
                 "runs": runs,
+                "published_ranges": PUBLISHED_RANGES,
                 "rows": rows,
                 "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
                 "cpus": cpus,
