@@ -10,12 +10,13 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
+from tillroll import registry
 from tillroll.sources.testdata import TABLES
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="test tables not present")
 
-ORACLE = entry.oracle_sql()
-QUERIES = entry.queries()
+ORACLE = registry.oracle()
+QUERIES = registry.QUERIES
 
 
 def _norm(v):
