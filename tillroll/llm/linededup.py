@@ -243,7 +243,8 @@ class LineIndex:
         filters say which may be, the exact counts which are."""
         sharded = keys.select(self.shard_of(self.shards), "k1", "k2", "_row")
         sizes = sharded.groupBy("shard").agg(F.count("*").alias("n"))
-        salts = sizes.select("shard", F.ceil(F.col("n") / PROBE_ROWS).cast("int").alias("salts"))
+        # one row a shard of SHARD_KEYS frequent keys: 10**10 such keys make 200,000 rows, 3 MB
+        salts = F.broadcast(sizes.select("shard", F.ceil(F.col("n") / PROBE_ROWS).cast("int").alias("salts")))
         probes = sharded.join(salts, "shard").select(
             "shard", F.pmod(F.xxhash64("k2", "_row"), F.col("salts")).cast("int").alias("salt"), "k1", "k2", "_row"
         )
