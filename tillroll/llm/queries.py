@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from tillroll.llm.linededup import OP4_SQL, op4_cuckoo_line_dedup
 from tillroll.llm.packing import op6_vector_best_fit_packing
+from tillroll.llm.setsketch import OP5_SQL, op5_setsketch_near_dedup
 from tillroll.llm.sharding import op10_hypergeometric_sharding
 
 QUERIES = {
     f.__name__: f
     for f in (
         op4_cuckoo_line_dedup,
+        op5_setsketch_near_dedup,
         op6_vector_best_fit_packing,
         op10_hypergeometric_sharding,
     )
 }
 ORACLE = {
     "op4_cuckoo_line_dedup": OP4_SQL,
+    "op5_setsketch_near_dedup": OP5_SQL,
 }
