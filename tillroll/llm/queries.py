@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tillroll.llm.embeddings import OP2_SQL, op2_int8_near_dedup
 from tillroll.llm.linededup import OP4_SQL, op4_cuckoo_line_dedup
 from tillroll.llm.packing import op6_vector_best_fit_packing
 from tillroll.llm.setsketch import OP5_SQL, op5_setsketch_near_dedup
@@ -10,6 +11,7 @@ from tillroll.llm.sharding import op10_hypergeometric_sharding
 QUERIES = {
     f.__name__: f
     for f in (
+        op2_int8_near_dedup,
         op4_cuckoo_line_dedup,
         op5_setsketch_near_dedup,
         op6_vector_best_fit_packing,
@@ -17,6 +19,7 @@ QUERIES = {
     )
 }
 ORACLE = {
+    "op2_int8_near_dedup": OP2_SQL,
     "op4_cuckoo_line_dedup": OP4_SQL,
     "op5_setsketch_near_dedup": OP5_SQL,
 }
