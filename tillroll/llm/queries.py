@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tillroll.llm.embeddings import OP2_SQL, op2_int8_near_dedup
 from tillroll.llm.linededup import OP4_SQL, op4_cuckoo_line_dedup
+from tillroll.llm.mixing import OP9_SQL, op9_hierarchical_mixing
 from tillroll.llm.packing import op6_vector_best_fit_packing
 from tillroll.llm.setsketch import OP5_SQL, op5_setsketch_near_dedup
 from tillroll.llm.sharding import op10_hypergeometric_sharding
@@ -15,6 +16,7 @@ QUERIES = {
         op4_cuckoo_line_dedup,
         op5_setsketch_near_dedup,
         op6_vector_best_fit_packing,
+        op9_hierarchical_mixing,
         op10_hypergeometric_sharding,
     )
 }
@@ -22,4 +24,5 @@ ORACLE = {
     "op2_int8_near_dedup": OP2_SQL,
     "op4_cuckoo_line_dedup": OP4_SQL,
     "op5_setsketch_near_dedup": OP5_SQL,
+    "op9_hierarchical_mixing": OP9_SQL,
 }
