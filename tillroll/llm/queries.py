@@ -6,12 +6,14 @@ from tillroll.llm.embeddings import OP2_SQL, op2_int8_near_dedup
 from tillroll.llm.linededup import OP4_SQL, op4_cuckoo_line_dedup
 from tillroll.llm.mixing import OP9_SQL, op9_hierarchical_mixing
 from tillroll.llm.packing import op6_vector_best_fit_packing
+from tillroll.llm.secrets import op1_markov_secret_scan
 from tillroll.llm.setsketch import OP5_SQL, op5_setsketch_near_dedup
 from tillroll.llm.sharding import op10_hypergeometric_sharding
 
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_markov_secret_scan,
         op2_int8_near_dedup,
         op4_cuckoo_line_dedup,
         op5_setsketch_near_dedup,

@@ -11,6 +11,10 @@ from tillroll.session import scratch_path
 BATCH_BYTES = 16 << 20
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 class Scratch:
     """Written tables of one operator call.
 
@@ -24,7 +28,7 @@ class Scratch:
         self.spark = spark
         self.root = scratch_path(spark, name)
         self.count = 0
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        bounded_batches(spark)
 
     def keep(self, df: DataFrame) -> DataFrame:
         self.count += 1
