@@ -27,90 +27,116 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.scratch import Scratch, table
-from tillroll.llm.texts import slices
+from tillroll.llm.texts import flat, slices, words
 
 #: Sequences that a group of pieces fills, about.
 GROUP_SEQUENCES = 1500
-#: Distinct chunks of text whose ids a Python worker remembers (about 250 bytes each).
-CACHE = 800_000
+#: Distinct words whose ids a Python worker remembers (about 40 bytes each).
+CACHE = 4_000_000
 END_ID = 0
 
 
 class Encoder:
-    """Ids of whole texts as little-endian 32-bit bytes, chunk by chunk.
+    """Ids of whole texts, put together from remembered ids of their words.
 
     The tokenizer lower-cases, drops white space and never joins across it, so a
-    text's ids are those of its white-space separated chunks, and a chunk's ids
-    can be remembered. Only ASCII space, tab and line ends separate chunks here;
-    any other white space stays inside a chunk and is left to the tokenizer.
+    text's ids are those of its white-space separated words, one after another.
+    Words are told apart by 64-bit hashes with A-Z lower-cased, all at once for a
+    batch (ten million words in one worker meet by chance with probability under
+    1e-5); each new one is tokenized once. Texts that may hold a special token
+    are tokenized whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-
-    @staticmethod
-    def _chunks(text: str) -> list[str]:
-        if text.isascii():
-            text = text.lower()
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys = np.zeros(0, dtype=np.uint64)  # sorted
+        self.at = np.zeros(0, dtype=np.int64)  # where in the pool a word's ids begin
+        self.size = np.zeros(0, dtype=np.int64)
+        self.pool = np.zeros(1 << 16, dtype="<u4")
+        self.used = 0
+
+    def _ids(self, new: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the words one after another, where each word's begin and their
+        number. Letters end in one word-end id, a full stop or comma after them is
+        another; such words are encoded as one text and cut there."""
+        plain, parts, rest = [], [], []
+        for i, w in enumerate(new):
+            core = w[:-1] if w[-1] in ".," else w
+            if core.isalpha() and (core.isascii() or max(core) < "\u0100"):
+                plain.append(i)
+                parts.append(1 if core is w else 2)
+            else:
+                rest.append(i)
+        pool, sizes = [], []
+        for a in range(0, len(plain), 1000):
+            encoded = self.tokenizer.encode(" ".join([new[i] for i in plain[a : a + 1000]]), add_special_tokens=False)
+            ids = np.asarray(encoded.ids, dtype="<u4")
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            last = np.cumsum(parts[a : a + 1000])
+            if len(ends) != last[-1]:
+                raise ValueError("the tokenizer does not end runs of letters as expected")
+            pool.append(ids)
+            sizes.append(np.diff(ends[last - 1], prepend=0))
+        for e in self.tokenizer.encode_batch_fast([new[i] for i in rest], add_special_tokens=False):
+            pool.append(np.asarray(e.ids, dtype="<u4"))
+            sizes.append(np.array([len(pool[-1])]))
+        size, at = np.empty(len(new), dtype=np.int64), np.empty(len(new), dtype=np.int64)
+        order, each = np.array(plain + rest), np.concatenate(sizes)
+        size[order], at[order] = each, np.cumsum(each) - each
+        return np.concatenate(pool), at, size
+
+    def _learn(self, keys: np.ndarray, new: list[str]) -> None:
+        ids, at, size = self._ids(new)
+        if self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool[: self.used], np.zeros(self.used + 2 * len(ids), dtype="<u4")])
+        self.pool[self.used : self.used + len(ids)] = ids
+        place = np.searchsorted(self.keys, keys)
+        self.at = np.insert(self.at, place, self.used + at)
+        self.size = np.insert(self.size, place, size)
+        self.keys = np.insert(self.keys, place, keys)
+        self.used += len(ids)
+
+    def __call__(self, column) -> list[np.ndarray]:
+        """The ids of each row of a string column."""
+        data, offsets = flat(column)
+        start, end, row, hashes = words(data, offsets)
+        keys, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.keys) > CACHE:
+            self._forget()
+        place = np.searchsorted(self.keys, keys)
+        if len(self.keys):
+            known = self.keys[np.minimum(place, len(self.keys) - 1)] == keys
         else:
-            try:  # below U+0100 lower-casing in advance gives the same ids
-                text.encode("latin-1")
-                text = text.lower()
-            except UnicodeEncodeError:
-                pass
-        return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-
-    def _ids(self, cores: list[str]) -> dict[str, bytes]:
-        """Ids of chunks. Chunks of letters alone end in one word-end id each, so
-        they are encoded as one text and cut there."""
-        plain = [c for c in cores if c.isalpha() and c < "\u0100" and max(c) < "\u0100"]
-        rest = set(cores).difference(plain)
-        out = {}
-        if plain:
-            ids = np.asarray(self.tokenizer.encode(" ".join(plain), add_special_tokens=False).ids, dtype="<u4")
-            ends = (4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()
-            if len(ends) != len(plain):
-                raise ValueError("the tokenizer has no single word end for a run of letters")
-            data, at = ids.tobytes(), 0
-            for c, e in zip(plain, ends):
-                out[c] = data[at:e]
-                at = e
-        rest = list(rest)
-        for c, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            out[c] = np.asarray(e.ids, dtype="<u4").tobytes()
+            known = np.zeros(len(keys), dtype=bool)
+        if not known.all():
+            raw = data.tobytes()
+            at = first[~known]
+            self._learn(keys[~known], [raw[a:z].decode("utf-8") for a, z in zip(start[at].tolist(), end[at].tolist())])
+            place = np.searchsorted(self.keys, keys)
+        at, size = self.at[place][which], self.size[place][which]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.pool[np.repeat(at - (ends - size), size) + np.arange(total)]
+        edges = np.concatenate([[0], ends])[np.searchsorted(row, np.arange(len(offsets)))].tolist()
+        out = [ids[a:z] for a, z in zip(edges[:-1], edges[1:])]
+        for r in np.flatnonzero(pc.match_substring(column, "<|").fill_null(False).to_numpy(zero_copy_only=False)):
+            whole = self.tokenizer.encode(column[int(r)].as_py(), add_special_tokens=False)
+            out[r] = np.asarray(whole.ids, dtype="<u4")
         return out
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        known = self.known
-        chunked = [self._chunks(t) for t in texts]
-        new = set().union(*chunked).difference(known)
-        learnt = {}
-        if new:
-            # a letter before a final comma or full stop ends a token group
-            cut = {c: c[:-1] for c in new if c[-1] in ".," and "a" <= c[-2:-1] < "\u0100" and c[-2].isalpha()}
-            cores = new.difference(cut).union(cut.values(), ".,").difference(known)
-            learnt = self._ids(list(cores))
-            look = lambda c: learnt[c] if c in learnt else known[c]
-            learnt.update([(c, look(core) + look(c[-1])) for c, core in cut.items()])
-            if len(known) + len(learnt) <= CACHE:
-                known.update(learnt)
-                learnt = {}
-            else:  # full: what is rare is looked up for this batch alone
-                learnt[""] = b""
-        if learnt:
-            return [b"".join([known.get(c) or learnt[c] for c in t]) for t in chunked]
-        return [b"".join([known[c] for c in t]) for t in chunked]
-
 
 _encoders: dict[str, Encoder] = {}
 
@@ -119,17 +145,17 @@ def _pieces(path: str, most: int):
     def run(batches):
         encode = _encoders.get(path) or _encoders.setdefault(path, Encoder(path))
         end = np.asarray([END_ID], dtype="<u4").tobytes()
+        types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
         for b in batches:
             out = [[], [], [], [], []]
             text = b.column("text")
-            coded = (x for a, z in slices(text, 1 << 20) for x in encode([t or "" for t in text[a:z].to_pylist()]))
+            coded = (x for a, z in slices(text) for x in encode(text.slice(a, z - a)))
             for doc, ids in zip(b.column("doc_id").to_pylist(), coded):
-                ids += end
+                ids = ids.tobytes() + end
                 for piece, at in enumerate(range(0, len(ids), 4 * most)):
                     part = ids[at : at + 4 * most]
                     for o, v in zip(out, (doc, piece, at // 4, len(part) // 4, zlib.crc32(part))):
                         o.append(v)
-            types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(o, t) for o, t in zip(out, types)], ["doc_id", "piece", "start", "length", "ids_crc32"]
             )
