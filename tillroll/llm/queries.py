@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tillroll.llm.embeddings import OP2_SQL, op2_int8_near_dedup
+from tillroll.llm.fingerprints import op3_lempel_ziv_fingerprints
 from tillroll.llm.linededup import OP4_SQL, op4_cuckoo_line_dedup
 from tillroll.llm.mixing import OP9_SQL, op9_hierarchical_mixing
 from tillroll.llm.packing import op6_vector_best_fit_packing
@@ -15,6 +16,7 @@ QUERIES = {
     for f in (
         op1_markov_secret_scan,
         op2_int8_near_dedup,
+        op3_lempel_ziv_fingerprints,
         op4_cuckoo_line_dedup,
         op5_setsketch_near_dedup,
         op6_vector_best_fit_packing,

@@ -17,7 +17,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 _RNG = np.random.Generator(np.random.PCG64(20240601))
-_CODE = _RNG.integers(1, 2**63, 256, dtype=np.uint64)[_LOWER]
+RAW_CODE = _RNG.integers(1, 2**63, 256, dtype=np.uint64)
+_CODE = RAW_CODE[_LOWER]
 _WEIGHT = _RNG.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHORT = _RNG.integers(1, 2**63, 64, dtype=np.uint64)
 
@@ -73,6 +74,26 @@ def slices(column, most: int = 4 << 20):
         at = end
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, codes: np.ndarray = RAW_CODE) -> np.ndarray:
+    """Hash of each of some spans of ``data`` in order; equal bytes (as told apart
+    by ``codes``) have equal hashes wherever they stand."""
+    hashes = np.empty(len(start), dtype=np.uint64)
+    at = 0
+    while at < len(start):  # whole spans, about SEGMENT bytes at a time
+        last = max(at + 1, int(np.searchsorted(end, start[at] + SEGMENT, "right")))
+        lo, hi = int(start[at]), int(end[last - 1])
+        power, inverse = _power_tables(hi - lo)
+        terms = codes[data[lo:hi]]
+        terms *= power[: hi - lo]
+        total = np.empty(hi - lo + 1, dtype=np.uint64)
+        total[0] = 0
+        np.cumsum(terms, out=total[1:])
+        s, e = start[at:last] - lo, end[at:last] - lo
+        hashes[at:last] = mix((total[e] - total[s]) * inverse[s] + (e - s).astype(np.uint64))
+        at = last
+    return hashes
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Start, end, row and hash of each word, in order."""
     n = len(data)
@@ -91,20 +112,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     after[rows[rows > 0] - 1] = False
     start = np.flatnonzero(inside & ~before)
     end = np.flatnonzero(inside & ~after) + 1
-    hashes = np.empty(len(start), dtype=np.uint64)
-    at = 0
-    while at < len(start):  # whole words, about SEGMENT bytes at a time
-        last = max(at + 1, int(np.searchsorted(end, start[at] + SEGMENT, "right")))
-        lo, hi = start[at], end[last - 1]
-        power, inverse = _power_tables(hi - lo)
-        codes = _CODE[data[lo:hi]]
-        codes *= power[: hi - lo]
-        total = np.empty(hi - lo + 1, dtype=np.uint64)
-        total[0] = 0
-        np.cumsum(codes, out=total[1:])
-        s, e = start[at:last] - lo, end[at:last] - lo
-        hashes[at:last] = mix((total[e] - total[s]) * inverse[s] + (e - s).astype(np.uint64))
-        at = last
+    hashes = span_hashes(data, start, end, _CODE)
     row = np.searchsorted(offsets, start, "right") - 1
     return start, end, row, hashes
 
