@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tillroll.llm.cotraining import op7_cotraining_quality
 from tillroll.llm.embeddings import OP2_SQL, op2_int8_near_dedup
 from tillroll.llm.fingerprints import op3_lempel_ziv_fingerprints
 from tillroll.llm.linededup import OP4_SQL, op4_cuckoo_line_dedup
@@ -20,6 +21,7 @@ QUERIES = {
         op4_cuckoo_line_dedup,
         op5_setsketch_near_dedup,
         op6_vector_best_fit_packing,
+        op7_cotraining_quality,
         op9_hierarchical_mixing,
         op10_hypergeometric_sharding,
     )
