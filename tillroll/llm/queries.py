@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tillroll.llm.chaining import op8_collinear_chaining
 from tillroll.llm.cotraining import op7_cotraining_quality
 from tillroll.llm.embeddings import OP2_SQL, op2_int8_near_dedup
 from tillroll.llm.fingerprints import op3_lempel_ziv_fingerprints
@@ -22,6 +23,7 @@ QUERIES = {
         op5_setsketch_near_dedup,
         op6_vector_best_fit_packing,
         op7_cotraining_quality,
+        op8_collinear_chaining,
         op9_hierarchical_mixing,
         op10_hypergeometric_sharding,
     )
