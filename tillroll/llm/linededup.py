@@ -285,7 +285,7 @@ def _kept(batches):
                 texts.append(b"\n".join(keep).decode("utf-8"))
                 gone.append(len(lines) - len(keep))
             else:
-                texts.append(text or "")
+                texts.append(text)
                 gone.append(0)
         rest = [n for n in b.schema.names if n not in ("text", "_drops", "_row")]
         yield pa.RecordBatch.from_arrays(
@@ -295,7 +295,8 @@ def _kept(batches):
 
 
 def dedup_lines(docs: DataFrame, min_docs: int, scratch: Scratch) -> DataFrame:
-    """``docs`` (with all columns but text) and ``_kept``, ``_lines``, ``_dropped``."""
+    """``docs`` (with all columns but text) and ``_kept`` (the text without dropped
+    lines; null stays null), ``_lines``, ``_dropped``."""
     keys = scratch.keep(row_keys(docs))
     index = LineIndex.build(keys, min_docs, scratch)
     drops = scratch.keep(
@@ -315,7 +316,7 @@ def op4_cuckoo_line_dedup(spark, sf_dir: str, min_docs: int = 10) -> DataFrame:
         "doc_id",
         F.col("_lines").alias("n_lines"),
         F.col("_dropped").alias("n_dropped"),
-        F.sha2(F.encode("_kept", "UTF-8"), 256).alias("kept_sha256"),
+        F.sha2(F.coalesce("_kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
     )
 
 
