@@ -9,6 +9,7 @@ group of links ever has to fit in one task.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,3 +51,20 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         state = new
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
+
+
+def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least node of each of ``n`` nodes' component, in memory (for a tile's links)."""
+    root = np.arange(n)
+    while len(a):
+        low = np.minimum(root[a], root[b])
+        np.minimum.at(root, root[a], low)
+        np.minimum.at(root, root[b], low)
+        while True:
+            up = root[root]
+            if (up == root).all():
+                break
+            root = up
+        open_ = root[a] != root[b]
+        a, b = a[open_], b[open_]
+    return root

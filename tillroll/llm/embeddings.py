@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.components import components
+from tillroll.llm.components import components, forest
 from tillroll.llm.scratch import Scratch, table
 
 #: Vectors in a block, about: a task multiplies two blocks, TILE columns at a time.
@@ -69,23 +69,6 @@ def cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return dot / (np.sqrt(np.einsum("ij,ij->i", x, x)) * np.sqrt(np.einsum("ij,ij->i", y, y)))
 
 
-def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Least member of each node's component."""
-    root = np.arange(n)
-    while len(a):
-        low = np.minimum(root[a], root[b])
-        np.minimum.at(root, root[a], low)
-        np.minimum.at(root, root[b], low)
-        while True:
-            up = root[root]
-            if (up == root).all():
-                break
-            root = up
-        open_ = root[a] != root[b]
-        a, b = a[open_], b[open_]
-    return root
-
-
 def _matrix(cells, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(cells), dtype=np.float64).reshape(-1, dim)
 
@@ -155,7 +138,7 @@ def _tile(threshold: float):
                 pp, qq = pp[hit], qq[hit]
                 nx += np.bincount(pp, weights=my[qq], minlength=len(x)).astype(np.int64)
                 ny += np.bincount(qq, weights=mx[pp], minlength=len(y)).astype(np.int64)
-                root = _forest(len(root), np.concatenate([pp, np.arange(len(root))]), np.concatenate([qq + offset, root]))
+                root = forest(len(root), np.concatenate([pp, np.arange(len(root))]), np.concatenate([qq + offset, root]))
                 at += 65536
         if i == j:
             nx += ny

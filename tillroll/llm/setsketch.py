@@ -9,10 +9,12 @@ equal, and both set sizes), and what may reach the threshold is verified on the
 full shingle sets of the whole texts.
 
 No bucket is expanded into pairs. Documents with equal sets are one class. First
-every class of a bucket is compared with the bucket's least id; components of
-the verified links then leave few buckets with more than one component, and only
-pairs between different components are compared further, so that no link between
-components is lost and a group of copies costs its size, not its square.
+every class of a bucket is compared with the bucket's center, the member that
+stands in the most crowded buckets. Where the verified links leave a center's
+group with more than one component, each member is described by its exact
+difference to the center; tiles of such differences give the exact similarity of
+any two members, and only the edges of a spanning forest leave a tile. So no
+link between components is lost, and a group of copies costs its size.
 
 Defined results: null or empty text and text without words has no shingles and
 links with nothing; rows that repeat an id are one node that links by any of
@@ -23,11 +25,12 @@ null, it is kept); an empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.components import components
+from tillroll.llm.components import components, forest
 from tillroll.llm.scratch import Scratch, table
 from tillroll.llm.texts import mix, shingle_sets, slices
 
@@ -38,6 +41,8 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, LIMIT = 1.001, 20.0, 2**16 - 2
 #: A pair is given up where the likelihood at its best is over exp(this) times that at the threshold.
 DOUBT = 12.0
+#: Members of a group in a block of a tile, and element meetings counted at a time.
+BLOCK, MEETINGS = 512, 1 << 21
 
 _RNG = np.random.Generator(np.random.PCG64(8101))
 _XOR = _RNG.integers(0, 2**63, REGISTERS, dtype=np.uint64)
@@ -153,24 +158,29 @@ def _likely(threshold: float):
     return run
 
 
+def _set_pairs(batch, k: int):
+    """(row, set, other set) of each pair of texts whose digests are as expected;
+    a repeated id may have other texts."""
+    sides = []
+    for text, digest in (("text", "d1"), ("y_text", "y_d1")):
+        sets, at = shingle_sets(batch.column(text), k)
+        starts = _runs(at)
+        own = np.zeros(batch.num_rows, dtype=np.int64)
+        if len(starts):
+            own[at[starts]] = set_digests(sets, starts)[0]
+        sides.append((sets, np.searchsorted(at, np.arange(batch.num_rows + 1)), own == batch.column(digest).to_numpy()))
+    (s, se, sok), (t, te, tok) = sides
+    for i in np.flatnonzero(sok & tok).tolist():
+        yield i, s[se[i] : se[i + 1]], t[te[i] : te[i + 1]]
+
+
 def _verify(k: int, percent: int):
     def run(batches):
         for b in batches:
             for a, z in slices(b.column("text"), 2 << 20):
                 part = b.slice(a, z - a)
                 keep = np.zeros(part.num_rows, dtype=bool)
-                sides = []
-                for text, digest in (("text", "d1"), ("y_text", "y_d1")):
-                    sets, at = shingle_sets(part.column(text), k)
-                    starts = _runs(at)
-                    own = np.zeros(part.num_rows, dtype=np.int64)
-                    if len(starts):
-                        own[at[starts]] = set_digests(sets, starts)[0]
-                    edges = np.searchsorted(at, np.arange(part.num_rows + 1))
-                    sides.append((sets, edges, own == part.column(digest).to_numpy()))
-                (s, se, sok), (t, te, tok) = sides
-                for i in np.flatnonzero(sok & tok).tolist():
-                    p, q = s[se[i] : se[i + 1]], t[te[i] : te[i + 1]]
+                for i, p, q in _set_pairs(part, k):
                     both = len(np.intersect1d(p, q, assume_unique=True))
                     keep[i] = 100 * both >= percent * (len(p) + len(q) - both)
                 yield pa.RecordBatch.from_arrays(
@@ -180,20 +190,125 @@ def _verify(k: int, percent: int):
     return run
 
 
+def _differences(k: int):
+    def run(batches):
+        for b in batches:
+            for a, z in slices(b.column("text"), 2 << 20):
+                part = b.slice(a, z - a)
+                found = [(i, len(p), np.setxor1d(p, q, assume_unique=True).view(np.int64)) for i, p, q in _set_pairs(part, k)]
+                at = pa.array([i for i, _, _ in found], pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(part.column(c).take(at) for c in ("y", "y_d1", "id", "minor")),
+                        pa.array([n for _, n, _ in found], pa.int64()),
+                        pa.array([d for _, _, d in found], pa.list_(pa.int64())),
+                    ],
+                    ["y", "y_d1", "id", "minor", "n", "diff"],
+                )
+
+    return run
+
+
+def overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every set of ``a`` with every set of ``b``."""
+    out = np.zeros(len(a) * len(b), dtype=np.int64)
+    (ea, ra), (eb, rb) = ((np.concatenate(s), np.repeat(np.arange(len(s)), [len(x) for x in s])) for s in (a, b))
+    order = np.argsort(eb, kind="stable")
+    eb, rb = eb[order], rb[order]
+    low, high = np.searchsorted(eb, ea, "left"), np.searchsorted(eb, ea, "right")
+    held = high - low
+    ends = np.cumsum(held)
+    at = 0
+    while at < len(ea):  # a bounded number of meetings at a time
+        done = ends[at - 1] if at else 0
+        last = max(at + 1, int(np.searchsorted(ends, done + MEETINGS, "right")))
+        n = held[at:last]
+        first = np.repeat(low[at:last] - (ends[at:last] - n - done), n)
+        places = first + np.arange(int(n.sum()))
+        out += np.bincount(np.repeat(ra[at:last], n) * len(b) + rb[places], minlength=len(out))
+        at = last
+    return out.reshape(len(a), len(b))
+
+
+def _tile(percent: int):
+    def run(key, rows):
+        left = rows[rows["minor"] & (rows["block"] == key[2])]
+        right = left if key[3] == key[2] else rows[~(rows["minor"] & (rows["block"] == key[2]))]
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        dx, dy = list(left["diff"]), list(right["diff"])
+        both = overlaps(dx, dy)
+        n = left["n"].to_numpy()[:, None] + right["n"].to_numpy()[None, :]
+        apart = np.array([len(d) for d in dx])[:, None] + np.array([len(d) for d in dy])[None, :] - 2 * both
+        common = (n - apart) // 2
+        p, q = np.nonzero(100 * common >= percent * (n - common))
+        ids = np.concatenate([left["id"].to_numpy(), right["id"].to_numpy()])
+        root = forest(len(ids), p, q + len(left))
+        out = pd.DataFrame({"a": ids, "b": ids[root]})
+        return out[out["a"] != out["b"]].drop_duplicates()
+
+    return run
+
+
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    return pairs.join(texts.select(F.col("doc_id").alias("id"), "text"), "id").join(
+        texts.select(F.col("doc_id").alias("y"), F.col("text").alias("y_text")), "y"
+    )
+
+
 def _links(pairs: DataFrame, reps: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Verified links (a, b) among ``pairs`` (id, d1, y)."""
+    """Verified links (a, b) among ``pairs`` (id, d1, y, y_d1)."""
     x = reps.select("id", "d1", "n", "regs")
-    y = reps.select(F.col("id").alias("y"), F.col("d1").alias("y_d1"), F.col("n").alias("y_n"), F.col("regs").alias("y_regs"))
+    y = reps.select(*(F.col(c).alias(f"y_{c}" if c != "id" else "y") for c in ("id", "d1", "n", "regs")))
     sized = (
         pairs.join(x, ["id", "d1"])
-        .join(y, "y")
+        .join(y, ["y", "y_d1"])
         .where(100 * F.least("n", "y_n") >= percent * F.greatest("n", "y_n"))
     )
     likely = sized.mapInArrow(_likely(percent / 100), "id long, d1 long, y long, y_d1 long")
-    both = likely.join(texts.select(F.col("doc_id").alias("id"), "text"), "id").join(
-        texts.select(F.col("doc_id").alias("y"), F.col("text").alias("y_text")), "y"
+    return _with_texts(likely, texts).mapInArrow(_verify(k, percent), "a long, b long").distinct()
+
+
+def _links_in_groups(pairs: DataFrame, found: DataFrame, texts: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
+    """Links (a, b) that join components of ``found`` among members of one center's
+    group; ``pairs`` are (id, d1, y, y_d1), y the center."""
+    own = found.select(F.col("node").alias("id"), F.col("component").alias("own"))
+    main = found.select(F.col("node").alias("y"), F.col("component").alias("main"))
+    member = (
+        pairs.join(own, "id", "left")
+        .join(main, "y", "left")
+        .select("id", "d1", "y", "y_d1", (F.coalesce("own", "id") != F.coalesce("main", "y")).alias("minor"))
+    )
+    group = ["y", "y_d1"]
+    sizes = member.groupBy(*group).agg(F.count("*").alias("all"), F.count_if("minor").alias("minors"))
+    # every pair between components has a member outside the center's component
+    sizes = scratch.keep(
+        sizes.where("minors > 0 AND all > 1").select(
+            *group,
+            F.ceil(F.col("minors") / BLOCK).cast("int").alias("minor_blocks"),
+            F.ceil((F.col("all") - F.col("minors")) / BLOCK).cast("int").alias("major_blocks"),
+        )
+    )
+    differing = scratch.keep(
+        _with_texts(member.join(sizes.select(*group), group), texts).mapInArrow(
+            _differences(k), "y long, y_d1 long, id long, minor boolean, n long, diff array<long>"
+        )
     )
-    return both.mapInArrow(_verify(k, percent), "a long, b long").distinct()
+    blocks = F.when(F.col("minor"), F.col("minor_blocks")).otherwise(F.col("major_blocks"))
+    block = F.pmod(F.xxhash64("id"), blocks).cast("int")
+    # tiles are (minor block, later minor block) and (minor block, -1 - major block)
+    ups = F.expr("transform(sequence(0, minor_blocks - 1), j -> struct(least(block, j) AS i, greatest(block, j) AS j))")
+    across = F.expr(
+        "transform(slice(sequence(0, greatest(major_blocks, 1) - 1), 1, major_blocks), j -> struct(block AS i, -1 - j AS j))"
+    )
+    from_major = F.expr("transform(sequence(0, minor_blocks - 1), i -> struct(i AS i, -1 - block AS j))")
+    tiles = (
+        differing.join(sizes, group)
+        .withColumn("block", block)
+        .withColumn("tile", F.explode(F.when(F.col("minor"), F.concat(ups, across)).otherwise(from_major)))
+        .select(*group, F.col("tile.i").alias("i"), F.col("tile.j").alias("j"), "id", "minor", "block", "n", "diff")
+    )
+    return tiles.groupBy(*group, "i", "j").applyInPandas(_tile(percent), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
@@ -213,38 +328,26 @@ def near_duplicates(docs: DataFrame, k: int, percent: int, scratch: Scratch) ->
         .drop("d2")
     )
     bands = reps.mapInArrow(_bands, "bucket long, id long, d1 long, n long")
-    buckets = bands.groupBy("bucket").agg(F.count("*").alias("held"), F.min("id").alias("center"))
-    shared = scratch.keep(bands.join(buckets.where("held > 1").drop("held"), "bucket"))
-    near = shared.select(F.col("id").alias("doc_id")).distinct()
-    texts = scratch.keep(docs.join(near, "doc_id"))
-
-    stars = shared.where("id <> center").select("id", "d1", F.col("center").alias("y")).distinct()
+    buckets = bands.groupBy("bucket").agg(F.count("*").alias("held")).where("held > 1")
+    shared = scratch.keep(bands.join(buckets, "bucket").select("bucket", "held", "id", "d1"))
+    crowd = shared.groupBy("id", "d1").agg(F.sum("held").alias("crowd"))
+    ranked = shared.join(crowd, ["id", "d1"]).groupBy("bucket").agg(F.max(F.struct("crowd", (-F.col("id")).alias("id"), "d1")).alias("top"))
+    centers = ranked.select("bucket", (-F.col("top.id")).alias("y"), F.col("top.d1").alias("y_d1"))
+    stars = scratch.keep(
+        shared.join(centers, "bucket").where("id <> y OR d1 <> y_d1").select("id", "d1", "y", "y_d1").distinct()
+    )
+    texts = scratch.keep(docs.join(shared.select(F.col("id").alias("doc_id")).distinct(), "doc_id"))
+    scratch.drop(shared)
     links = scratch.keep(_links(stars, reps, texts, k, percent))
     found = scratch.keep(components(links, scratch))
-    held = scratch.keep(
-        shared.join(found.select(F.col("node").alias("id"), F.col("component").alias("own")), "id", "left")
-        .join(found.select(F.col("node").alias("center"), F.col("component").alias("main")), "center", "left")
-        .select("bucket", "id", "d1", "n", F.coalesce("own", "id").alias("own"), "center", F.coalesce("main", "center").alias("main"))
-    )
-    # every pair between components has a side outside the bucket's main component
-    minor = held.where("own <> main").select("bucket", "id", "d1", "n", "own")
-    other = held.where("id <> center").select(
-        "bucket", F.col("id").alias("y"), F.col("n").alias("y_n"), F.col("own").alias("y_own"), "main"
-    )
-    rest = (
-        minor.join(other, "bucket")
-        .where("own <> y_own AND (y_own = main OR id < y)")
-        .where(100 * F.least("n", "y_n") >= percent * F.greatest("n", "y_n"))
-        .select("id", "d1", "y")
-        .distinct()
-    )
-    more = scratch.keep(_links(rest, reps, texts, k, percent))
-    scratch.drop(shared, held, texts, reps)
+    more = scratch.keep(_links_in_groups(stars, found, texts, k, percent, scratch))
+    scratch.drop(stars, texts, reps)
     member = some.select("doc_id", "d1", "d2").distinct().join(classes, ["d1", "d2"]).select("doc_id", "id")
     twice = member.groupBy("doc_id").agg(F.min("id").alias("a"), F.count("*").alias("c")).where("c > 1").drop("c")
     same = member.join(twice, "doc_id").select("a", F.col("id").alias("b"))
     final = scratch.keep(components(links.union(more).union(same), scratch))
     component = F.coalesce("component", "id", "doc_id")
+    linked = (F.col("n") > 0) & F.col("doc_id").isNotNull()
     return (
         rows.select("doc_id", "n", "d1", "d2")
         .join(classes, ["d1", "d2"], "left")
@@ -252,8 +355,8 @@ def near_duplicates(docs: DataFrame, k: int, percent: int, scratch: Scratch) ->
         .select(
             "doc_id",
             F.col("n").alias("n_shingles"),
-            F.when(F.col("n") > 0, component).otherwise(F.col("doc_id")).alias("component_id"),
-            F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("doc_id") == component).otherwise(F.lit(True)).alias("kept"),
+            F.when(linked, component).otherwise(F.col("doc_id")).alias("component_id"),
+            F.when(linked, F.col("doc_id") == component).otherwise(F.lit(True)).alias("kept"),
         )
     )
 
