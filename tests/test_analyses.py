@@ -19,21 +19,20 @@ def _rfm_rows(n=12):
     return rows
 
 
-@pytest.mark.parametrize("strategy", ["window", "range"])
-def test_customer_rfm_edge_rules(make_orders, strategy):
+def test_customer_rfm_edge_rules(make_orders):
     orders = make_orders(_rfm_rows())
-    out = {r.customer_id: r for r in rfm.customer_rfm(orders, strategy=strategy).collect()}
+    out = {r.customer_id: r for r in rfm.customer_rfm(orders).collect()}
     assert 99 not in out  # net monetary <= 0 -> not scored
     assert len(out) == 12
     assert all(1 <= r.r_score <= 5 and 1 <= r.f_score <= 5 and 1 <= r.m_score <= 5 for r in out.values())
     assert all(r.rfm_score == f"{r.r_score}{r.f_score}{r.m_score}" for r in out.values())
 
 
-def test_strategies_and_partitioning_agree(spark, make_orders):
+def test_partitionings_agree(spark, make_orders):
     orders = make_orders(_rfm_rows(40))
-    a = sorted(rfm.customer_rfm(orders, strategy="window").collect())
-    b = sorted(rfm.customer_rfm(orders.repartition(16), strategy="range").collect())
-    c = sorted(rfm.customer_rfm(orders.coalesce(1), strategy="range").collect())
+    a = sorted(rfm.customer_rfm(orders).collect())
+    b = sorted(rfm.customer_rfm(orders.repartition(16)).collect())
+    c = sorted(rfm.customer_rfm(orders.coalesce(1)).collect())
     assert a == b == c
 
 
@@ -125,13 +124,13 @@ def test_cleaning_report_steps(make_orders):
 
 
 def test_hot_customer_product_and_country(spark, make_orders):
-    """A third of all lines on one customer / product / country: results equal
-    under the single-task and the distributed rank paths."""
+    """A third of all lines on one customer / product / country: results do not
+    depend on the partitioning."""
     rows = _rfm_rows(60)
     hot = [line(f"h{i}", "S1", 1 + i % 3, f"2010-0{1 + i % 9}-0{1 + i % 9} 10:00", 2.5, 7, "UK") for i in range(len(rows) // 2)]
     orders = make_orders(rows + hot).repartition(12)
     for fn in (rfm.customer_rfm, product.product_rfm, churn.churn_risk):
-        assert sorted(fn(orders, strategy="window").collect()) == sorted(fn(orders, strategy="range").collect())
+        assert sorted(fn(orders).collect()) == sorted(fn(orders.coalesce(1)).collect())
     g = {r.country: r for r in geo.geographic_analysis(orders).collect()}
     assert g["UK"].total_orders == orders.where((F.col("country") == "UK") & (F.col("quantity") > 0)).select("invoice").distinct().count()
 
@@ -179,3 +178,22 @@ def test_zero_and_one_day_lifetimes(make_orders):
     fc = {r.customer_id: r for r in clv.clv_from_base(rfm.customer_rfm(orders, base=base), base).collect()}
     for cid in (300, 301):  # months clipped to 1: monthly value = whole history
         assert fc[cid].avg_monthly_value == float(fc[cid].historical_value)
+
+
+@pytest.mark.parametrize("analysis", [rfm.customer_rfm, product.product_rfm, churn.churn_risk, geo.geographic_analysis])
+def test_empty_input_fails(make_orders, analysis):
+    with pytest.raises(ValueError, match="no rows"):
+        analysis(make_orders([]))
+
+
+def test_clv_keeps_null_for_undated_sales(make_orders):
+    """A customer whose positive lines have no date: history, no forecast; both paths agree."""
+    rows = _rfm_rows()
+    rows += [line("u1", "S1", 3, None, 100.0, 777), line("u2", "S1", -1, "2010-02-02 10:00", 1.0, 777)]
+    orders = make_orders(rows)
+    base = customers.customer_base(orders)
+    r = rfm.customer_rfm(orders, base=base)
+    for out in (clv.clv_forecast(r, orders), clv.clv_from_base(r, base)):
+        (u,) = out.where("customer_id = 777").collect()
+        assert float(u.historical_value) == 300.0
+        assert u.avg_monthly_value is None and u.clv_12months is None and u.clv_24months is None

@@ -18,9 +18,9 @@ def _run(*args: str) -> str:
 
 
 def test_list_names_every_query():
-    import __spark_entry__ as entry
+    from tillroll import registry
 
-    assert set(_run("list").split()) == set(entry.queries())
+    assert set(_run("list").split()) == set(registry.QUERIES)
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="test tables not present")

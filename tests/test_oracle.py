@@ -71,13 +71,3 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "segment" in df.columns
-
-
-@pytest.mark.parametrize("name", ["customer_rfm", "product_rfm", "churn_risk", "rfm_exploration", "describe_numeric"])
-def test_distributed_rank_path_matches_oracle(spark, duck, name):
-    """Same results when every global rank takes the range-partitioned path."""
-    spark.conf.set("tillroll.rank.strategy", "range")
-    try:
-        test_query_matches_oracle(spark, duck, name)
-    finally:
-        spark.conf.unset("tillroll.rank.strategy")

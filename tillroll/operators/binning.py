@@ -3,8 +3,6 @@
 * :func:`bin_by_edges` — bins ``(e[k-1], e[k]]`` over edges at the linear
   quantiles 0, 1/q, ..., 1; the first bin includes the minimum; equal values
   always share a bin. This is not ``ntile`` (which splits ties by position).
-* :func:`bin_by_rank` — bins over a unique rank 1..n (ties already broken by
-  key): bucket = max(1, ceil(q * (rn - 1) / (n - 1))), computed in integers.
 * duplicate edges: ``on_duplicate_edges="raise"`` (default) fails the query, as
   the original does; ``"collapse"`` lets tied edges share the lowest bin.
 * labels: bucket k -> ``labels[k-1]`` (direct, inverted or weights).
@@ -52,21 +50,6 @@ def bin_by_edges(
     ).otherwise(bucket)
 
 
-def bin_by_rank(rn: Column, n: Column, q: int = 5, what: str = "rank") -> Column:
-    """Bucket 1..q of a unique 1-based rank among n rows (n = 1 fails, as a
-    single value gives duplicate edges).
-
-    ceil(q*(rn-1)/(n-1)) == floor((q*(rn-1) + n - 2) / (n - 1)) for the
-    non-negative operands here; the quotient is at most q, so the double
-    division is exact after floor.
-    """
-    num = F.lit(q) * (rn - 1) + n - 2
-    bucket = F.greatest(F.lit(1), F.floor(num / (n - 1)))
-    return F.when(
-        n <= 1, F.raise_error(F.lit(f"cannot bin {what}: fewer than two rows"))
-    ).otherwise(bucket.cast("int"))
-
-
 def label(bucket: Column, labels: Sequence[int]) -> Column:
     """Bucket k -> labels[k-1] as an int."""
     return F.element_at(F.array(*[F.lit(int(x)) for x in labels]), bucket).cast("int")
@@ -74,9 +57,3 @@ def label(bucket: Column, labels: Sequence[int]) -> Column:
 
 DIRECT = [1, 2, 3, 4, 5]
 INVERTED = [5, 4, 3, 2, 1]
-
-
-def add_rank_bins(
-    df: DataFrame, rn: str, n: str, out: str, labels: Sequence[int] = DIRECT, q: int = 5
-) -> DataFrame:
-    return df.withColumn(out, label(bin_by_rank(F.col(rn), F.col(n), q, what=out), labels))

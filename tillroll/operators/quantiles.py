@@ -1,17 +1,9 @@
 """Exact, linearly interpolated quantiles (the 'linear' rule: position
 (n - 1) * p, interpolate between the neighbouring order statistics).
 
-Three exact strategies, each returning a one-row frame (or one row per group)
-with an ``array<double>`` column ``edges``:
-* ``percentile_edges`` — Spark's ``percentile`` aggregate. It keeps a
-  value -> count map, so memory grows with the number of distinct values: used
-  for bounded domains (day counts, the country table, small grain tables).
-* ``ranked_edges`` — read the order statistics straight from a globally ranked
-  frame (see :mod:`tillroll.operators.ranking`): filter the <= 2 rows per
-  probability and interpolate. Memory is constant whatever the cardinality.
-* ``value_count_edges`` — the same from a (value, count) table and a running
-  count, overall or per group: for columns with many repeated values (line
-  level) and for per-group quartiles.
+A column is first reduced to a (value, count) table; the order statistics are
+read off a distributed running count, overall or per group. (The cut
+points of quintile scores come from :mod:`tillroll.operators.cutpoints`.)
 """
 
 from __future__ import annotations
@@ -21,69 +13,29 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-def percentile_edges(df: DataFrame, value: str, probs: Sequence[float]) -> DataFrame:
-    arr = F.array(*[F.lit(float(p)) for p in probs])
-    return df.agg(F.percentile(F.col(value).cast("double"), arr).alias("edges"))
-
-
-def ranked_edges(
-    ranked: DataFrame, value: str, probs: Sequence[float], rn: str = "rn", n: str = "n"
-) -> DataFrame:
-    """Edges from a frame that already carries ``rn`` (1..n by value) and ``n``."""
-    v = F.col(value).cast("double")
-    pos = [(F.col(n) - 1).cast("double") * F.lit(float(p)) for p in probs]
-    lo = [F.floor(p) + 1 for p in pos]
-    hi = [F.ceil(p) + 1 for p in pos]
-    wanted = None
-    for a, b in zip(lo, hi, strict=True):
-        cond = (F.col(rn) == a) | (F.col(rn) == b)
-        wanted = cond if wanted is None else (wanted | cond)
-    picked = ranked.where(wanted)
-    aggs: list[Column] = []
-    for i, (a, b) in enumerate(zip(lo, hi, strict=True)):
-        aggs += [
-            F.max(F.when(F.col(rn) == a, v)).alias(f"_lo{i}"),
-            F.max(F.when(F.col(rn) == b, v)).alias(f"_hi{i}"),
-            F.max(pos[i] - F.floor(pos[i])).alias(f"_fr{i}"),
-        ]
-    row = picked.agg(*aggs)
-    edges = [
-        F.col(f"_lo{i}") + F.col(f"_fr{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))
-        for i in range(len(probs))
-    ]
-    return row.select(F.array(*edges).alias("edges"))
+from tillroll.operators import ranking
+from tillroll.session import materialize
 
 
+def value_counts_table(df: DataFrame, value: str, by: str | None = None) -> DataFrame:
+    """([by,] _v, _w): distinct non-null values as doubles with their row counts,
+    written once. Map-side combined: a value of most rows is one row a map task."""
+    keys = [by] if by else []
+    x = F.col(value).cast("double")
+    return materialize(
+        df.where(x.isNotNull()).groupBy(*keys, x.alias("_v")).agg(F.count(F.lit(1)).alias("_w")), "value_counts"
+    )
 
-def value_count_edges(
-    df: DataFrame,
-    value: str,
-    probs: Sequence[float],
-    strategy: str | None = None,
-    by: str | None = None,
-) -> DataFrame:
-    """Exact linear quantiles of a column with any number of distinct values,
-    overall or per ``by`` group.
 
-    The column is first reduced to ([group,] value, count) — map-side combined,
-    so a value held by most rows is one row per map task — and written once. A
-    running count over the sorted values (distributed when large, restarting
-    per group) locates the order statistics at positions floor/ceil((n-1)p);
-    the interpolation is lo + frac * (hi - lo). Returns one row (per group)
-    with ``edges``.
-    """
-    from tillroll.operators import ranking  # local: ranking imports session only
-    from tillroll.session import materialize
+def edges_of_counts(counts: DataFrame, probs: Sequence[float], by: str | None = None) -> DataFrame:
+    """One row (per ``by`` group) with the quantiles as ``edges`` and the row count
+    ``n``, from a :func:`value_counts_table`.
 
+    A running count over the sorted values (distributed, restarting per group)
+    locates the order statistics at positions floor/ceil((n-1)p); the
+    interpolation is lo + frac * (hi - lo)."""
     keys = [by] if by else []
-    x = F.col(value).cast("double")
-    counts = materialize(
-        df.where(x.isNotNull()).groupBy(*keys, x.alias("_v")).agg(F.count(F.lit(1)).alias("_w")),
-        "value_counts",
-    )
-    cum = ranking.global_running_sum(
-        counts, ["_v"], "_w", "_cum", "_n", strategy, counts.count(), by=keys
-    )
+    cum = ranking.global_running_sum(counts, ["_v"], "_w", "_cum", "_n", by=keys)
     start = F.col("_cum") - F.col("_w")  # 0-based index of the value's first copy
     pos = [(F.col("_n") - 1).cast("double") * F.lit(float(p)) for p in probs]
     lo = [F.floor(p) for p in pos]
@@ -92,12 +44,10 @@ def value_count_edges(
     def holds(i):
         return (start <= i) & (i < F.col("_cum"))
 
-    wanted = None
-    for a, b in zip(lo, hi, strict=True):
-        c = holds(a) | holds(b)
-        wanted = c if wanted is None else (wanted | c)
-    aggs: list[Column] = []
+    wanted = F.lit(False)
+    aggs: list[Column] = [F.max("_n").alias("n")]
     for i, (a, b) in enumerate(zip(lo, hi, strict=True)):
+        wanted = wanted | holds(a) | holds(b)
         aggs += [
             F.max(F.when(holds(a), F.col("_v"))).alias(f"_lo{i}"),
             F.max(F.when(holds(b), F.col("_v"))).alias(f"_hi{i}"),
@@ -107,4 +57,10 @@ def value_count_edges(
     edges = [
         F.col(f"_lo{i}") + F.col(f"_fr{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}")) for i in range(len(probs))
     ]
-    return row.select(*keys, F.array(*edges).alias("edges"))
+    return row.select(*keys, "n", F.array(*edges).alias("edges"))
+
+
+def value_count_edges(df: DataFrame, value: str, probs: Sequence[float], by: str | None = None) -> DataFrame:
+    """Exact linear quantiles of a column with any number of distinct values,
+    overall or per ``by`` group: one row (per group) with ``edges``."""
+    return edges_of_counts(value_counts_table(df, value, by), probs, by).drop("n")

@@ -1,22 +1,10 @@
-"""Global ranks.
+"""Distributed running sums.
 
-``row_number() OVER (ORDER BY ...)`` with no PARTITION BY moves every row into
-one task. That is fine for a few thousand countries, not for 10^9 customers, so
-:func:`global_row_number` offers a distributed form with the same result:
-
-1. range-partition on the ordering (ties split by the unique key, so a value
-   held by a third of all rows still spreads over many partitions), sort within
-   partitions, tag each row with its partition id and local position;
-2. write that frame once to the shared checkpoint folder (a parquet table),
-   so every later read sees the same rows and tags even if an executor is lost
-   and work is recomputed;
-3. count rows per partition (one row per partition), turn the counts into
-   offsets with a window over that tiny frame, broadcast it (its size is bounded
-   by the partition count, not by the data) and add offset + local position.
-
-The ordering must be total (end it with a unique key) for results to be
-deterministic; every caller here does. :func:`global_running_sum` is the
-weighted form (running counts over a value table, optionally per group).
+A window without PARTITION BY moves every row into one task. Here the frame is
+range-partitioned on the ordering, sorted within partitions, tagged with its
+partition and written once to the shared checkpoint folder (so every later read
+sees the same rows and tags even if an executor is lost); per-partition sums give
+each partition's offset. The same plan serves any size.
 """
 
 from __future__ import annotations
@@ -28,77 +16,6 @@ from pyspark.sql import functions as F
 
 from tillroll.session import materialize
 
-RANGE = "range"
-WINDOW = "window"
-AUTO = "auto"
-# Session setting that overrides the strategy for every global rank.
-STRATEGY_CONF = "tillroll.rank.strategy"
-# Largest row count ranked in a single task under "auto". A sort of this many
-# narrow rows fits one task's memory; above it the range form is used.
-WINDOW_MAX_ROWS = 2_000_000
-
-_LOCAL_BITS = 33  # monotonically_increasing_id = partition index << 33 | position
-
-
-def _sort_cols(order: Sequence[Column | str]) -> list[Column]:
-    return [F.col(c).asc() if isinstance(c, str) else c for c in order]
-
-
-def resolve_strategy(df: DataFrame, strategy: str | None, rows: int | None = None) -> str:
-    """Pick "window" or "range".
-
-    Explicit argument first, then the session setting, else "auto": the
-    single-task window when the row count is known (``rows``, e.g. from a
-    materialized table where counting reads only file footers) and small,
-    the distributed range form otherwise.
-    """
-    chosen = strategy or df.sparkSession.conf.get(STRATEGY_CONF, AUTO)
-    if chosen == AUTO:
-        return WINDOW if rows is not None and rows <= WINDOW_MAX_ROWS else RANGE
-    return chosen
-
-
-def global_row_number(
-    df: DataFrame,
-    order: Sequence[Column | str],
-    rn_col: str = "rn",
-    n_col: str = "n",
-    strategy: str | None = None,
-    rows: int | None = None,
-) -> DataFrame:
-    """Add ``rn_col`` (1..n, unique, following ``order``) and ``n_col`` (row count)."""
-    strategy = resolve_strategy(df, strategy, rows)
-    cols = _sort_cols(order)
-    if strategy == WINDOW:
-        return df.withColumn(rn_col, F.row_number().over(Window.orderBy(*cols))).withColumn(
-            n_col, F.count(F.lit(1)).over(Window.partitionBy())
-        )
-    if strategy != RANGE:
-        raise ValueError(f"unknown rank strategy {strategy!r}")
-
-    tagged = (
-        df.repartitionByRange(*cols)
-        .sortWithinPartitions(*cols)
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_mid", F.monotonically_increasing_id())
-    )
-    tagged = materialize(tagged, "ranked")
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_pid",
-        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
-        F.sum("_cnt").over(Window.partitionBy()).alias(n_col),
-    )
-    local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), _LOCAL_BITS)
-    return (
-        tagged.join(F.broadcast(offsets), "_pid")
-        .withColumn(rn_col, (F.col("_off") + local + 1).cast("long"))
-        .drop("_pid", "_mid", "_off")
-    )
-
-
-
 
 def global_running_sum(
     df: DataFrame,
@@ -106,27 +23,19 @@ def global_running_sum(
     weight: str,
     cum_col: str = "cum",
     total_col: str = "total",
-    strategy: str | None = None,
-    rows: int | None = None,
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``cum_col`` = running sum of ``weight`` along ``order`` (inclusive,
     unique ordering) restarting for each ``by`` group, and ``total_col`` = the
     group's total.
 
-    Range form: range-partition on (by, order) — a group with many rows spans
+    Range-partition on (by, order) — a group with many rows spans
     several partitions — tag and write once; per (partition, group) sums give
     each partition's offset inside its group (a window over that small table);
     the running sum inside a partition is a window keyed by (partition, group).
     """
-    strategy = resolve_strategy(df, strategy, rows)
     keys = list(by)
-    cols = [F.col(k).asc() for k in keys] + _sort_cols(order)
-    if strategy == WINDOW:
-        upto = Window.partitionBy(*keys).orderBy(*_sort_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(cum_col, F.sum(weight).over(upto)).withColumn(
-            total_col, F.sum(weight).over(Window.partitionBy(*keys))
-        )
+    cols = [F.col(k).asc() for k in keys] + [F.col(o) if isinstance(o, str) else o for o in order]
     tagged = materialize(
         df.repartitionByRange(*cols).sortWithinPartitions(*cols).withColumn("_pid", F.spark_partition_id()),
         "running",
@@ -143,7 +52,7 @@ def global_running_sum(
     # is no grouping key, so broadcast; otherwise let the planner size it
     offsets = F.broadcast(offsets) if not keys else offsets
     local = F.sum(weight).over(
-        Window.partitionBy("_pid", *keys).orderBy(*_sort_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy("_pid", *keys).orderBy(*[F.col(o) if isinstance(o, str) else o for o in order]).rowsBetween(Window.unboundedPreceding, 0)
     )
     return (
         tagged.withColumn("_local", local)

@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.functions.money import exact_mean, ratio, round_to
+from tillroll.functions.money import ratio, round_to
+from tillroll.operators import quantiles
 from tillroll.operators.scalars import attach_one_row
 
 
@@ -73,20 +74,11 @@ def histogram(
 def box_summary(df: DataFrame, value: str, by: str | None = None) -> DataFrame:
     """Quartiles (linear), IQR, whiskers at the most extreme values inside
     1.5 x IQR of the box, and the number of values outside the whiskers,
-    overall or per group.
-
-    Exact quartiles for any number of distinct values and groups
-    (:func:`quantiles.value_count_edges`); the whiskers are one more pass
-    joined to the per-group box (one row per group).
-    """
-    from tillroll.operators import quantiles
-
-    x = F.col(value).cast("double")
+    overall or per group. The rows are read once, into a (value, count) table;
+    all figures are exact and come from it."""
     keys = [by] if by else []
-    base = df.where(x.isNotNull())
-    counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    edges = quantiles.value_count_edges(base, value, [0.25, 0.5, 0.75], by=by)
-    q = (counts.join(edges, keys) if keys else attach_one_row(counts, edges)).select(
+    counts = quantiles.value_counts_table(df, value, by)
+    q = quantiles.edges_of_counts(counts, [0.25, 0.5, 0.75], by).select(
         *keys,
         "n",
         F.col("edges")[0].alias("q1"),
@@ -95,11 +87,12 @@ def box_summary(df: DataFrame, value: str, by: str | None = None) -> DataFrame:
     ).withColumn("iqr", F.col("q3") - F.col("q1"))
     lo_fence = F.col("q1") - F.lit(1.5) * F.col("iqr")
     hi_fence = F.col("q3") + F.lit(1.5) * F.col("iqr")
-    joined = base.join(q, keys) if keys else attach_one_row(base, q)
+    v = F.col("_v")
+    joined = counts.join(q, keys) if keys else attach_one_row(counts, q)
     return joined.groupBy(*keys, "n", "q1", "median", "q3", "iqr").agg(
-        F.min(F.when(x >= lo_fence, x)).alias("whisker_low"),
-        F.max(F.when(x <= hi_fence, x)).alias("whisker_high"),
-        F.count_if((x < lo_fence) | (x > hi_fence)).alias("outliers"),
+        F.min(F.when(v >= lo_fence, v)).alias("whisker_low"),
+        F.max(F.when(v <= hi_fence, v)).alias("whisker_high"),
+        F.coalesce(F.sum(F.when((v < lo_fence) | (v > hi_fence), F.col("_w"))), F.lit(0)).alias("outliers"),
     )
 
 
@@ -145,71 +138,70 @@ def null_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 
 
 def duplicate_report(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each identical full-row group, count and %."""
-    total = df.agg(F.count(F.lit(1)).alias("rows"))
-    distinct = df.distinct().agg(F.count(F.lit(1)).alias("distinct_rows"))
-    return attach_one_row(total, distinct).select(
+    """Rows beyond the first of each identical full-row group, count and %; one pass."""
+    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_rows"))
+    both = groups.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("distinct_rows"))
+    return both.select(
         "rows",
         (F.col("rows") - F.col("distinct_rows")).alias("duplicates"),
         round_to(
-            (F.col("rows") - F.col("distinct_rows")).cast("double") * F.lit(100.0) / F.col("rows").cast("double"), 2
+            (F.col("rows") - F.col("distinct_rows")).cast("double") * F.lit(100.0) / F.nullif(F.col("rows").cast("double"), F.lit(0.0)), 2
         ).alias("duplicate_pct"),
     )
 
 
-def describe_numeric(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
-    """count, mean, sample std, min, quartiles (linear), max per column, one
-    row per column; floating results rounded to ``digits`` decimals.
+def _long(df: DataFrame, columns: Sequence[str], dtype: str) -> DataFrame:
+    """(position, value) of every cell of ``columns``."""
+    cells = [F.struct(F.lit(i).alias("position"), F.col(f"`{c}`").cast(dtype).alias("value")) for i, c in enumerate(columns)]
+    return df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*").where("value IS NOT NULL")
 
-    Quartiles come from :func:`quantiles.value_count_edges`, exact for any
-    number of distinct values (customer ids included)."""
-    from tillroll.operators import quantiles
 
-    parts = []
+def describe_numeric(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
+    """count, mean, sample std, min, quartiles (linear), max per column, one
+    row per column; floating results rounded to ``digits`` decimals. Two passes:
+    one aggregate, and one (column, value) count for the exact quartiles of all
+    columns."""
+    edges = quantiles.value_count_edges(_long(df, columns, "double"), "value", [0.25, 0.5, 0.75], by="position")
+    aggs, rows = [], []
     for i, c in enumerate(columns):
         x = F.col(f"`{c}`")
         xd = x.cast("double")
-        q = quantiles.value_count_edges(df, c, [0.25, 0.5, 0.75]).select(F.col("edges").alias("_q"))
-        parts.append(
-            df.agg(
-                F.count(x).alias("count"),
-                exact_mean(x).alias("mean"),
-                F.stddev_samp(xd).alias("std"),
-                F.min(xd).alias("min"),
-                F.max(xd).alias("max"),
-            ).transform(lambda d, q=q: attach_one_row(d, q)).select(
-                F.lit(i).alias("position"),
-                F.lit(c).alias("column"),
-                "count",
-                round_to(F.col("mean"), digits).alias("mean"),
-                round_to(F.col("std"), digits).alias("std"),
-                "min",
-                round_to(F.col("_q")[0], digits).alias("p25"),
-                round_to(F.col("_q")[1], digits).alias("p50"),
-                round_to(F.col("_q")[2], digits).alias("p75"),
-                "max",
-            )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        parts = {"count": F.count(x), "mean": exact_mean_or_null(x), "std": F.stddev_samp(xd), "min": F.min(xd), "max": F.max(xd)}
+        aggs += [v.alias(f"{k}_{i}") for k, v in parts.items()]
+        rows.append(F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"), *(F.col(f"{k}_{i}").alias(k) for k in parts)))
+    return df.agg(*aggs).select(F.inline(F.array(*rows))).join(edges, "position", "left").select(
+        "position",
+        "column",
+        "count",
+        round_to(F.col("mean"), digits).alias("mean"),
+        round_to(F.col("std"), digits).alias("std"),
+        "min",
+        round_to(F.col("edges")[0], digits).alias("p25"),
+        round_to(F.col("edges")[1], digits).alias("p50"),
+        round_to(F.col("edges")[2], digits).alias("p75"),
+        "max",
+    )
+
+
+def exact_mean_or_null(c: Column) -> Column:
+    return F.sum(c).cast("double") / F.nullif(F.count(c).cast("double"), F.lit(0.0))
 
 
 def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count (non-null), unique, top (most frequent, ties by smallest value), freq."""
-    parts = []
-    for i, c in enumerate(columns):
-        x = F.col(f"`{c}`")
-        vc = df.where(x.isNotNull()).groupBy(x.alias("_v")).agg(F.count(F.lit(1)).alias("_f"))
-        summary = vc.agg(
-            F.sum("_f").alias("count"),
-            F.count(F.lit(1)).alias("unique"),
-            F.min_by("_v", F.struct((-F.col("_f")).alias("nf"), F.col("_v"))).alias("top"),
-            F.max("_f").alias("freq"),
-        )
-        parts.append(summary.select(F.lit(i).alias("position"), F.lit(c).alias("column"), "count", "unique", "top", "freq"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """count (non-null), unique, top (most frequent, ties by smallest value), freq; one pass."""
+    counts = _long(df, columns, "string").groupBy("position", "value").agg(F.count(F.lit(1)).alias("_f"))
+    found = counts.groupBy("position").agg(
+        F.sum("_f").alias("count"),
+        F.count(F.lit(1)).alias("unique"),
+        F.min_by("value", F.struct((-F.col("_f")).alias("nf"), F.col("value"))).alias("top"),
+        F.max("_f").alias("freq"),
+    )
+    names = df.sparkSession.createDataFrame(list(enumerate(columns)), "position int, column string")
+    return names.join(found, "position", "left").select(
+        "position",
+        "column",
+        F.coalesce("count", F.lit(0)).alias("count"),
+        F.coalesce("unique", F.lit(0)).alias("unique"),
+        "top",
+        "freq",
+    )

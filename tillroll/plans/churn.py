@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import dates, labels
 from tillroll.operators import binning
-from tillroll.plans.common import Score, add_scores, require_rows, with_scalars
+from tillroll.operators.cutpoints import Score, add_scores
+from tillroll.plans.common import require_rows, with_scalars
 from tillroll.plans.customers import customer_base
 
 CHURN_COLUMNS = [
@@ -32,21 +33,13 @@ CHURN_COLUMNS = [
 
 def churn_risk(
     orders: DataFrame,
-    strategy: str | None = None,
     on_duplicate_edges: str = binning.RAISE,
     base: tuple[DataFrame, int] | None = None,
 ) -> DataFrame:
     """``base``: a :func:`customer_base` already built from the same orders."""
     per_customer, rows = base if base is not None else customer_base(orders, with_invoices=False)
-    one_row = require_rows(
-        per_customer.agg(
-            F.max("last_purchase").alias("_ref"),
-            F.max("first_purchase").alias("_latest_first"),
-            F.count(F.lit(1)).alias("_cnt"),
-        ),
-        "_cnt",
-        "churn",
-    )
+    require_rows(rows, "churn")
+    one_row = per_customer.agg(F.max("last_purchase").alias("_ref"), F.max("first_purchase").alias("_latest_first"))
     days = dates.whole_days(F.col("first_purchase"), F.col("_latest_first"))
     # a customer whose dates are all missing has no recency: left out before scoring
     df = with_scalars(per_customer.where(F.col("last_purchase").isNotNull()), one_row).select(
@@ -64,11 +57,9 @@ def churn_risk(
     df = add_scores(
         df,
         [
-            Score("value", "recency", "customer_id", "_rw", labels.CHURN_RECENCY_WEIGHTS, bounded=True),
+            Score("value", "recency", "customer_id", "_rw", labels.CHURN_RECENCY_WEIGHTS),
             Score("value", "purchase_frequency_per_month", "customer_id", "_fw", labels.CHURN_FREQUENCY_WEIGHTS),
         ],
-        strategy,
-        rows,
         on_duplicate_edges,
     )
     score = (

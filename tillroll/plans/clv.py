@@ -15,8 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import dates, labels, money
-from tillroll.plans.common import positive_sales, with_amount
+from tillroll.functions import dates, labels
+from tillroll.plans.customers import customer_base
 
 CLV_COLUMNS = [
     "customer_id",
@@ -31,20 +31,17 @@ CLV_COLUMNS = [
 
 
 def clv_forecast(rfm: DataFrame, orders: DataFrame) -> DataFrame:
-    per_customer = with_amount(positive_sales(orders)).groupBy("customer_id").agg(
-        money.money_sum(F.col("amount")).alias("historical_value"),
-        F.min("invoice_date").alias("_first"),
-        F.max("invoice_date").alias("_last"),
-    )
-    return _forecast(rfm.select("customer_id", "segment").join(per_customer, "customer_id"))
+    """:func:`clv_from_base` on a customer table built from ``orders``."""
+    return clv_from_base(rfm, customer_base(orders, with_invoices=False))
 
 
 def clv_from_base(rfm: DataFrame, base: tuple[DataFrame, int]) -> DataFrame:
-    """Same forecast from the shared customer table (no pass over the lines):
-    its positive-line aggregates are exactly the per-customer sums above;
-    customers without a positive line drop out, as the inner join does."""
+    """The forecast of every customer of ``rfm`` with a positive line, from the
+    shared customer table (no pass over the lines). A customer whose positive
+    lines have no date keeps the history; lifetime, monthly value and forecasts
+    are NULL."""
     table, _ = base
-    per_customer = table.where(F.col("last_sale").isNotNull()).select(
+    per_customer = table.where(F.col("gross_amount").isNotNull()).select(
         "customer_id",
         F.col("gross_amount").alias("historical_value"),
         F.col("first_sale").alias("_first"),
@@ -54,10 +51,8 @@ def clv_from_base(rfm: DataFrame, base: tuple[DataFrame, int]) -> DataFrame:
 
 
 def _forecast(df: DataFrame) -> DataFrame:
-    months = F.greatest(
-        F.lit(1.0),
-        dates.whole_days(F.col("_first"), F.col("_last")).cast("double") / F.lit(float(labels.DAYS_PER_MONTH)),
-    )
+    months = dates.whole_days(F.col("_first"), F.col("_last")).cast("double") / F.lit(float(labels.DAYS_PER_MONTH))
+    months = F.when(months < 1.0, F.lit(1.0)).otherwise(months)  # clipped from below; NULL stays NULL
     df = (
         df.withColumn("_months", months)
         .withColumn("avg_monthly_value", F.col("historical_value").cast("double") / F.col("_months"))

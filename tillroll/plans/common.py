@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import money
-from tillroll.operators import binning, quantiles, ranking
 from tillroll.operators.scalars import attach_one_row
 
 
@@ -31,117 +30,7 @@ def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return attach_one_row(df, one_row)
 
 
-def require_rows(one_row_count: DataFrame, count_col: str, what: str) -> DataFrame:
-    """Turn a one-row count into a guard: raises (on the executors) when 0."""
-    return one_row_count.withColumn(
-        count_col,
-        F.when(F.col(count_col) > 0, F.col(count_col)).otherwise(
-            F.raise_error(F.lit(f"no rows for {what}"))
-        ),
-    )
-
-
-def rank_bins(
-    df: DataFrame,
-    order: list[Column | str],
-    out: str,
-    labels: list[int],
-    strategy: str | None = None,
-    rows: int | None = None,
-) -> DataFrame:
-    """Quintile of the unique rank along ``order`` -> ``out`` label."""
-    ranked = ranking.global_row_number(
-        df, order, rn_col="_rn", n_col="_n", strategy=strategy, rows=rows
-    )
-    return binning.add_rank_bins(ranked, "_rn", "_n", out, labels).drop("_rn", "_n")
-
-
-def value_bins(
-    df: DataFrame,
-    value: str,
-    out: str,
-    labels: list[int],
-    bounded_domain: bool,
-    key: str,
-    on_duplicate_edges: str = binning.RAISE,
-    strategy: str | None = None,
-    rows: int | None = None,
-) -> DataFrame:
-    """Quintile by value edges -> ``out`` label.
-
-    ``bounded_domain``: the value takes few distinct values whatever the data
-    size (day counts), so Spark's exact ``percentile`` map stays small. Otherwise
-    the edges are read from a global rank of (value, key).
-    """
-    probs = binning.quantile_probs(5)
-    if bounded_domain:
-        edges = quantiles.percentile_edges(df, value, probs)
-        base = df
-    else:
-        base = ranking.global_row_number(
-            df, [value, key], rn_col="_rn", n_col="_n", strategy=strategy, rows=rows
-        )
-        edges = quantiles.ranked_edges(base, value, probs, rn="_rn", n="_n")
-        base = base.drop("_rn", "_n")
-    joined = with_scalars(base, edges.select(F.col("edges").alias("_edges")))
-    bucket = binning.bin_by_edges(F.col(value), F.col("_edges"), 5, on_duplicate_edges, what=value)
-    return joined.withColumn(out, binning.label(bucket, labels)).drop("_edges")
-
-
-class Score:
-    """One quintile score to add: ``kind`` "rank" (quintile of the unique rank
-    of (value, key)) or "value" (value-edge quintile); ``bounded``: the value
-    has a bounded number of distinct values (day counts)."""
-
-    def __init__(self, kind: str, value: str, key: str, out: str, labels: list[int], bounded: bool = False):
-        self.kind, self.value, self.key, self.out, self.labels, self.bounded = kind, value, key, out, labels, bounded
-
-
-def add_scores(
-    df: DataFrame,
-    scores: list[Score],
-    strategy: str | None = None,
-    rows: int | None = None,
-    on_duplicate_edges: str = binning.RAISE,
-) -> DataFrame:
-    """Add every score column.
-
-    Small inputs (single-task strategy): one select with all rank windows,
-    one aggregate with every edge array (exact ``percentile``: the map is
-    bounded by the row count, itself under the single-task limit), one final
-    select — a short plan and few jobs. Large inputs: each score through the
-    distributed rank / ranked edges, one after the other.
-    """
-    chosen = ranking.resolve_strategy(df, strategy, rows)
-    if chosen != ranking.WINDOW:
-        for s in scores:
-            if s.kind == "rank":
-                df = rank_bins(df, [s.value, s.key], s.out, s.labels, chosen, rows)
-            else:
-                df = value_bins(
-                    df, s.value, s.out, s.labels, s.bounded, s.key, on_duplicate_edges, chosen, rows
-                )
-        return df
-    probs = F.array(*[F.lit(p) for p in binning.quantile_probs(5)])
-    windows = [
-        F.row_number().over(Window.orderBy(F.col(s.value), F.col(s.key))).alias(f"_rn{i}")
-        for i, s in enumerate(scores)
-        if s.kind == "rank"
-    ]
-    edges = df.agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[
-            F.percentile(F.col(s.value).cast("double"), probs).alias(f"_e{i}")
-            for i, s in enumerate(scores)
-            if s.kind == "value"
-        ],
-    )
-    base = attach_one_row(df.select("*", *windows), edges)
-    outs = []
-    for i, s in enumerate(scores):
-        if s.kind == "rank":
-            bucket = binning.bin_by_rank(F.col(f"_rn{i}"), F.col("_n"), 5, what=s.out)
-        else:
-            bucket = binning.bin_by_edges(F.col(s.value), F.col(f"_e{i}"), 5, on_duplicate_edges, what=s.value)
-        outs.append(binning.label(bucket, s.labels).alias(s.out))
-    return base.select(*df.columns, *outs)
+def require_rows(rows: int, what: str) -> None:
+    """Fail on an empty input (``rows``: the count of a written grain table)."""
+    if not rows:
+        raise ValueError(f"no rows for {what}")

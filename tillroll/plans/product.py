@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import dates, labels, money
 from tillroll.operators import binning
-from tillroll.plans.common import Score, add_scores, positive_sales, require_rows, with_amount, with_scalars
+from tillroll.operators.cutpoints import Score, add_scores
+from tillroll.plans.common import positive_sales, require_rows, with_amount, with_scalars
 from tillroll.session import materialize
 
 PRODUCT_COLUMNS = [
@@ -90,14 +91,10 @@ def product_table(lines: DataFrame) -> DataFrame:
     return per_product.join(_pick_description(pairs), "stock_code", "left")
 
 
-def product_rfm(orders: DataFrame, strategy: str | None = None) -> DataFrame:
+def product_rfm(orders: DataFrame) -> DataFrame:
     per_product = product_table(with_amount(positive_sales(orders)))
-    rows = per_product.count()
-    one_row = require_rows(
-        per_product.agg(F.max("_last").alias("_ref"), F.count(F.lit(1)).alias("_cnt")),
-        "_cnt",
-        "product RFM",
-    )
+    require_rows(per_product.limit(1).count(), "product RFM")
+    one_row = per_product.agg(F.max("_last").alias("_ref"))
     # a product whose dates are all missing has no recency: left out before scoring
     df = with_scalars(per_product.where(F.col("_last").isNotNull()), one_row).withColumn(
         "recency", dates.whole_days(F.col("_last"), F.col("_ref"))
@@ -109,8 +106,6 @@ def product_rfm(orders: DataFrame, strategy: str | None = None) -> DataFrame:
             Score("rank", "total_customers", "stock_code", "f_score", binning.DIRECT),
             Score("rank", "monetary", "stock_code", "m_score", binning.DIRECT),
         ],
-        strategy,
-        rows,
     )
     return df.select(
         "stock_code",

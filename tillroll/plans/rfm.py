@@ -21,7 +21,8 @@ from tillroll.functions import dates, labels
 from tillroll.operators import binning
 from tillroll.plans.customers import customer_base
 from tillroll.plans import cleaning
-from tillroll.plans.common import Score, add_scores, require_rows, with_scalars
+from tillroll.operators.cutpoints import Score, add_scores
+from tillroll.plans.common import require_rows, with_scalars
 
 RFM_COLUMNS = [
     "customer_id",
@@ -38,7 +39,7 @@ RFM_COLUMNS = [
 
 def customer_metrics(
     lines: DataFrame, reference_shift_days: int = 0, base: tuple[DataFrame, int] | None = None
-) -> tuple[DataFrame, int]:
+) -> DataFrame:
     """Per customer: recency (whole days to the reference date), frequency
     (distinct invoices), monetary (exact sum of price x quantity).
 
@@ -50,11 +51,8 @@ def customer_metrics(
     ref = F.col("_ref")
     if reference_shift_days:
         ref = dates.plus_days(ref, reference_shift_days)
-    one_row = require_rows(
-        table.agg(F.max("last_purchase").alias("_ref"), F.count(F.lit(1)).alias("_cnt")),
-        "_cnt",
-        "customer RFM",
-    )
+    require_rows(rows, "customer RFM")
+    one_row = table.agg(F.max("last_purchase").alias("_ref"))
     # a customer whose dates are all missing has no recency: left out before scoring
     metrics = with_scalars(table.where(F.col("last_purchase").isNotNull()), one_row).select(
         "customer_id",
@@ -62,28 +60,21 @@ def customer_metrics(
         F.col("invoices").alias("frequency"),
         F.col("net_amount").alias("monetary"),
     )
-    return metrics, rows
+    return metrics
 
 
 def score_rfm(
     metrics: DataFrame,
-    strategy: str | None = None,
     on_duplicate_edges: str = binning.RAISE,
-    rows: int | None = None,
 ) -> DataFrame:
-    """R, F, M scores (1..5) and the concatenated ``rfm_score``.
-
-    ``rows`` is an upper bound on the row count when known (picks the rank form).
-    """
+    """R, F, M scores (1..5) and the concatenated ``rfm_score``."""
     df = add_scores(
         metrics,
         [
             Score("rank", "frequency", "customer_id", "f_score", binning.DIRECT),
             Score("value", "monetary", "customer_id", "m_score", binning.DIRECT),
-            Score("value", "recency", "customer_id", "r_score", binning.INVERTED, bounded=True),
+            Score("value", "recency", "customer_id", "r_score", binning.INVERTED),
         ],
-        strategy,
-        rows,
         on_duplicate_edges,
     )
     return df.withColumn(
@@ -96,24 +87,23 @@ def score_rfm(
 
 def customer_rfm(
     orders: DataFrame,
-    strategy: str | None = None,
     on_duplicate_edges: str = binning.RAISE,
     base: tuple[DataFrame, int] | None = None,
 ) -> DataFrame:
     """The customer RFM table (one row per customer with net monetary > 0).
     ``base``: a :func:`customer_base` already built from the same orders."""
-    metrics, rows = customer_metrics(orders, base=base)
-    scored = score_rfm(metrics.where(F.col("monetary") > 0), strategy, on_duplicate_edges, rows)
+    metrics = customer_metrics(orders, base=base)
+    scored = score_rfm(metrics.where(F.col("monetary") > 0), on_duplicate_edges)
     return scored.withColumn(
         "segment", labels.customer_segment(F.col("r_score"), F.col("f_score"), F.col("m_score"))
     ).select(*RFM_COLUMNS)
 
 
-def rfm_exploration(orders: DataFrame, strategy: str | None = None, on_duplicate_edges: str = binning.RAISE) -> DataFrame:
+def rfm_exploration(orders: DataFrame, on_duplicate_edges: str = binning.RAISE) -> DataFrame:
     """Exploratory RFM on cleaned lines, reference date = latest date + 1 day."""
     clean = cleaning.clean_orders(orders)
-    metrics, rows = customer_metrics(clean, reference_shift_days=1, base=customer_base(clean, "clean_customers"))
-    scored = score_rfm(metrics.where(F.col("monetary") > 0), strategy, on_duplicate_edges, rows)
+    metrics = customer_metrics(clean, reference_shift_days=1, base=customer_base(clean, "clean_customers"))
+    scored = score_rfm(metrics.where(F.col("monetary") > 0), on_duplicate_edges)
     return scored.withColumn(
         "segment", labels.exploration_segment(F.col("r_score"), F.col("f_score"))
     ).select(*RFM_COLUMNS)
