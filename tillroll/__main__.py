@@ -30,7 +30,7 @@ def main(argv: list[str] | None = None) -> None:
     src = p.add_mutually_exclusive_group(required=True)
     src.add_argument("--csv", help="folder of ';'-separated order-line CSV files")
     src.add_argument("--tables", help="folder of the star-schema parquet tables")
-    p.add_argument("--locale", default="fr-FR")
+    p.add_argument("--lenient", action="store_true", help="leave unparsable numbers NULL instead of failing")
     p.add_argument("--out", required=True)
     p.add_argument("--exports", action="store_true")
     q = sub.add_parser("query", help="run one registered query")
@@ -43,7 +43,6 @@ def main(argv: list[str] | None = None) -> None:
     c.add_argument("--landing", required=True)
     c.add_argument("--state", required=True)
     c.add_argument("--out", required=True)
-    c.add_argument("--locale", default="fr-FR")
     sub.add_parser("list", help="list registered queries")
     args = ap.parse_args(argv)
 
@@ -53,22 +52,22 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(args.master)
     if args.cmd == "pipeline":
         orders = (
-            csv_orders.read_orders(spark, args.csv, locale=args.locale)
+            csv_orders.read_orders(spark, args.csv, strict=not args.lenient)
             if args.csv
             else testdata.orders_view(spark, args.tables)
         )
         print(json.dumps(pipeline.run_pipeline(spark, orders, args.out, exports=args.exports), indent=2))
     elif args.cmd == "customers":
         state = args.state.rstrip("/")
-        base = customer_state.update_customers(spark, args.landing, state, f"{state}/_checkpoint", args.locale)
+        base = customer_state.update_customers(spark, args.landing, state, f"{state}/_checkpoint")
         scores = rfm.customer_rfm(None, base=base)
         out = args.out.rstrip("/")
         paths = {
-            "rfm_analysis": tables.overwrite(scores, f"{out}/rfm_analysis"),
-            "churn_risk": tables.overwrite(churn.churn_risk(None, base=base), f"{out}/churn_risk"),
+            "rfm_analysis": tables.write_version(scores, f"{out}/rfm_analysis"),
+            "churn_risk": tables.write_version(churn.churn_risk(None, base=base), f"{out}/churn_risk"),
         }
         silver = spark.read.parquet(paths["rfm_analysis"])
-        paths["clv_forecast"] = tables.overwrite(clv.clv_from_base(silver, base), f"{out}/clv_forecast")
+        paths["clv_forecast"] = tables.write_version(clv.clv_from_base(silver, base), f"{out}/clv_forecast")
         print(json.dumps(paths, indent=2))
     else:
         df = registry.QUERIES[args.name](spark, args.tables)

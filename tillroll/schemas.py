@@ -19,7 +19,8 @@ ORDER_COLUMNS = [f.name for f in ORDERS.fields]
 
 # Raw order-line CSV as delivered: ';'-separated, header, decimal comma,
 # 'd/M/yyyy H:mm' dates (one- or two-digit fields). Dates arrive as text and
-# are parsed from their fields (sources/csv_orders.parse_day_first).
+# are parsed from their fields (sources/csv_orders.parse_day_first); all columns
+# are read as text.
 CSV_COLUMNS = [
     "Invoice",
     "StockCode",
@@ -30,18 +31,3 @@ CSV_COLUMNS = [
     "Customer ID",
     "Country",
 ]
-
-
-def csv_schema(price_as_text: bool = False) -> T.StructType:
-    return T.StructType(
-        [
-            T.StructField("Invoice", T.StringType()),
-            T.StructField("StockCode", T.StringType()),
-            T.StructField("Description", T.StringType()),
-            T.StructField("Quantity", T.IntegerType()),
-            T.StructField("InvoiceDate", T.StringType()),
-            T.StructField("Price", T.StringType() if price_as_text else T.DecimalType(18, 4)),
-            T.StructField("Customer ID", T.LongType()),
-            T.StructField("Country", T.StringType()),
-        ]
-    )

@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
     return path
 
 
@@ -37,9 +36,13 @@ def to_raw_layout(orders: DataFrame) -> DataFrame:
     )
 
 
-def export_raw_orders(orders: DataFrame, path: str, files: int | None = None) -> str:
-    out = to_raw_layout(orders)
-    if files:
-        out = out.repartition(files)
-    out.write.mode("overwrite").option("sep", ";").option("header", True).option("encoding", "UTF-8").csv(path)
+def export_raw_orders(orders: DataFrame, path: str, mode: str = "overwrite") -> str:
+    """A file for each partition; a quote in a field is doubled, an empty text is
+    written as \"\" and a missing one as nothing."""
+    write_raw(to_raw_layout(orders), path, mode)
     return path
+
+
+def write_raw(raw: DataFrame, path: str, mode: str = "overwrite") -> None:
+    out = raw.write.mode(mode).option("sep", ";").option("header", True).option("encoding", "UTF-8")
+    out.option("escape", '"').option("emptyValue", '""').csv(path)

@@ -21,7 +21,8 @@ def _fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
-def versions(spark: SparkSession, base: str) -> list[int]:
+def versions(spark: SparkSession, base: str, finished: bool = True) -> list[int]:
+    """Version numbers under ``base``: those written to the end, or all."""
     fs, hpath = _fs(spark, base)
     if not fs.exists(hpath):
         return []
@@ -30,7 +31,7 @@ def versions(spark: SparkSession, base: str) -> list[int]:
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith(VERSION_PREFIX):
             fs2, done = _fs(spark, st.getPath().toString() + "/_SUCCESS")
-            if fs2.exists(done):
+            if not finished or fs2.exists(done):
                 out.append(int(name[len(VERSION_PREFIX):]))
     return sorted(out)
 
@@ -43,24 +44,24 @@ def read_current(spark: SparkSession, base: str) -> DataFrame | None:
 
 
 def write_version(df: DataFrame, base: str) -> str:
-    """Write ``df`` as the next version of the table at ``base``; returns its path."""
-    vs = versions(df.sparkSession, base)
-    nxt = (vs[-1] + 1) if vs else 1
-    path = f"{base.rstrip('/')}/{VERSION_PREFIX}{nxt:08d}"
+    """Write ``df`` as the next version of the table at ``base``; returns its path.
+    Numbers go past every folder there, finished or not, so a write that failed
+    never blocks the next one."""
+    taken = versions(df.sparkSession, base, finished=False)
+    path = f"{base.rstrip('/')}/{VERSION_PREFIX}{(taken[-1] if taken else 0) + 1:08d}"
     df.write.mode("error").parquet(path)
     return path
 
 
-def overwrite(df: DataFrame, path: str) -> str:
-    """Drop-and-recreate semantics for bronze/silver tables and marts."""
-    df.write.mode("overwrite").parquet(path)
-    return path
-
-
-def scan(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """Table scan with an explicit column list (pruned at the reader)."""
-    df = spark.read.parquet(path)
-    return df.select(*columns) if columns else df
+def expire(spark: SparkSession, base: str, keep: int = 2) -> None:
+    """Delete all but the ``keep`` latest finished versions, and older unfinished ones."""
+    done = versions(spark, base)
+    if len(done) <= keep:
+        return
+    for v in versions(spark, base, finished=False):
+        if v < done[-keep]:
+            fs, path = _fs(spark, f"{base.rstrip('/')}/{VERSION_PREFIX}{v:08d}")
+            fs.delete(path, True)
 
 
 # Default display order of each mart when loaded whole (largest first).
@@ -80,10 +81,14 @@ MART_KEY = {
 }
 
 
-def read_mart(spark: SparkSession, path: str, mart: str) -> DataFrame:
-    """Whole mart in its display order (the key breaks ties): a distributed sort."""
+def in_mart_order(df: DataFrame, mart: str) -> DataFrame:
+    """A whole mart in its display order (the key breaks ties): a distributed sort."""
     order = [F.col(c).asc() if asc else F.col(c).desc() for c, asc in MART_ORDER[mart]]
-    return spark.read.parquet(path).orderBy(*order, F.col(MART_KEY[mart]).asc())
+    return df.orderBy(*order, F.col(MART_KEY[mart]).asc())
+
+
+def read_mart(spark: SparkSession, path: str, mart: str) -> DataFrame:
+    return in_mart_order(spark.read.parquet(path), mart)
 
 
 def check_count(df: DataFrame, expected: int, what: str) -> int:

@@ -45,35 +45,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-repartition a scan on ``key`` when it yields fewer input partitions
-    than the cluster has cores (e.g. one large file written as a single row
-    group). At scale the scan is already split into many tasks and this is a
-    no-op; the check is planning-only (no job). Hash, not round-robin, so a
-    retried task gets exactly the same rows.
-    """
-    spark = df.sparkSession
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= cores:
-            return df
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. a Spark Connect session): leave the scan as is
-        return df
-    return df.repartition(cores, key)
-
-
 def orders_view(spark: SparkSession, sf_dir: str, cancel_prefix: bool = False) -> DataFrame:
     """Order lines in the ``raw_orders`` shape.
 
     ``cancel_prefix=True`` marks returned lines as cancellation invoices
     ('C' + order key), which is how the real data flags them.
     """
-    li = spread(
-        table(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_partkey", "l_quantity", "l_discount", "l_returnflag"
-        ),
-        "l_orderkey",
-    )
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_discount", "l_returnflag")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")

@@ -123,13 +123,13 @@ def _batch_folders(spark: SparkSession, pairs_dir: str) -> list[int]:
 
 
 def update_customers(
-    spark: SparkSession, landing: str, state: str, checkpoint: str, locale: str = "fr-FR"
+    spark: SparkSession, landing: str, state: str, checkpoint: str
 ) -> tuple[DataFrame, int]:
     """Fold every not-yet-seen file under ``landing`` into the customer table
     at ``state``; returns (current table, row count) — the ``base`` argument
     of the customer analyses."""
     query = (
-        orders_stream(spark, landing, locale)
+        orders_stream(spark, landing)
         .writeStream.foreachBatch(lambda df, bid: apply_batch(spark, df, bid, state))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -12,23 +12,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.sources.csv_orders import _reader, to_orders
+from tillroll.schemas import CSV_COLUMNS
+from tillroll.sources.csv_orders import reader, to_orders
 
 
-def orders_stream(spark: SparkSession, landing: str, locale: str = "fr-FR", max_files: int | None = None) -> DataFrame:
-    reader = _reader(spark.readStream, locale, False)
+def orders_stream(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
+    """A stream has one schema: a file whose header is not the raw layout fails."""
+    source = reader(spark.readStream, CSV_COLUMNS, True)
     if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return to_orders(reader.csv(landing))
+        source = source.option("maxFilesPerTrigger", max_files)
+    return to_orders(source.csv(landing))
 
 
 def ingest_available(
-    spark: SparkSession, landing: str, bronze: str, checkpoint: str, locale: str = "fr-FR"
+    spark: SparkSession, landing: str, bronze: str, checkpoint: str
 ) -> DataFrame:
     """Append every not-yet-ingested file under ``landing`` to ``bronze``
     (parquet), then return the bronze table."""
     query = (
-        orders_stream(spark, landing, locale)
+        orders_stream(spark, landing)
         .writeStream.format("parquet")
         .option("path", bronze)
         .option("checkpointLocation", checkpoint)
