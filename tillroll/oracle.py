@@ -542,8 +542,13 @@ SQL["cleaning_report"] = q([], """SELECT * FROM (
 
 # --- sources -------------------------------------------------------------------
 
-SQL["csv_roundtrip"] = q([], "SELECT * FROM orders_v")
-SQL["stream_ingest"] = q([], "SELECT * FROM orders_v")
+AWKWARD = """SELECT * REPLACE (CASE CAST(stock_code AS BIGINT) % 5
+    WHEN 1 THEN '"' || description || '"; x' WHEN 2 THEN description || chr(10) || description WHEN 3 THEN ''
+    ELSE description END AS description) FROM orders_v"""
+SQL["csv_roundtrip"] = q([], AWKWARD)
+SQL["stream_ingest"] = q([], AWKWARD)
+SQL["csv_reject_report"] = q([], """SELECT r.reason, (SELECT count(*) FROM orders_v WHERE CAST(stock_code AS BIGINT) % 7 = r.n) AS rows
+  FROM (VALUES ('wrong_fields', -1), ('bad_price', 1), ('bad_quantity', 3), ('bad_customer', 5), ('bad_date', 6)) r(reason, n)""")
 SQL["publish_rfm"] = q([rfm_cte("rfm"), rfm_cte("prev", clean=True)], """SELECT
   coalesce(n.customer_id, o.customer_id) AS customer_id,
   CASE WHEN n.customer_id IS NOT NULL THEN n.recency ELSE o.recency END AS recency,
@@ -594,3 +599,35 @@ SQL["exploration_recency_box"] = q([rfm_cte(clean=True)], _box_by("rfm", "recenc
 
 
 SQL["customer_rfm_incremental"] = SQL["customer_rfm"]
+
+# --- ordered marts, values to choose from, exploration datasets ----------------
+
+SQL["churn_mart"] = SQL["churn_risk"]
+SQL["clv_mart"] = SQL["clv_forecast"]
+SQL["segment_values"] = q(RFM, "SELECT DISTINCT segment FROM rfm")
+SQL["country_values"] = q([], "SELECT DISTINCT country FROM orders_v WHERE country IS NOT NULL")
+EXPLORATION = [rfm_cte(clean=True)]
+for _name, _limit in (("recency", None), ("frequency", 50), ("monetary", 5000)):
+    _src = "rfm" if _limit is None else f"(SELECT * FROM rfm WHERE {_name} <= {_limit})"
+    SQL[f"exploration_{_name}_histogram"] = q(EXPLORATION, _hist(_src, _name, 50, None, "customers"))
+SQL["exploration_describe"] = q(EXPLORATION, " UNION ALL ".join(
+    _describe_num(i, c).replace("FROM orders_v", "FROM rfm") for i, c in enumerate(["recency", "frequency", "monetary"])))
+SQL["exploration_segment_shares"] = q(EXPLORATION, """SELECT segment, count(*) AS customers,
+  round_even(CAST(count(*) AS DOUBLE) / CAST((SELECT count(*) FROM rfm) AS DOUBLE) * 100.0, 1) AS share_pct FROM rfm GROUP BY segment""")
+SQL["price_histogram_range"] = q([], _hist("(SELECT * FROM orders_v WHERE price BETWEEN 900 AND 1500)", "price", 50, None, "lines"))
+SQL["price_box_range"] = q([], _box("(SELECT * FROM orders_v WHERE price BETWEEN 900 AND 1500)", "price"))
+SQL["undated_counts"] = q([], """SELECT 'customer' AS grain, count(*) AS rows, count(CASE WHEN n = 0 THEN 1 END) AS undated
+  FROM (SELECT count(invoice_date) AS n FROM orders_v WHERE customer_id IS NOT NULL GROUP BY customer_id) UNION ALL
+SELECT 'product', count(*), count(CASE WHEN n = 0 THEN 1 END)
+  FROM (SELECT count(invoice_date) AS n FROM orders_v WHERE customer_id IS NOT NULL AND quantity > 0 AND price > 0 GROUP BY stock_code)""")
+SQL["bronze_readback"] = q([], """SELECT count(*) AS rows, count(*) AS ids, CAST(sum(quantity) AS BIGINT) AS quantity,
+  CAST(0 AS BIGINT) AS unstamped FROM orders_v""")
+SQL["pipeline_tables"] = q([rfm_cte(), PRODUCT_CTE, CHURN_CTE, GEO_CTE, CLV_CTE], " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS rows FROM {src}" for t, src in (
+        ("raw_orders", "orders_v"), ("rfm_analysis", "rfm"), ("rfm_results", "rfm"), ("product_rfm", "products"),
+        ("churn_risk", "churn"), ("geographic_analysis", "geo"), ("clv_forecast", "clv"))))
+SQL["rfm_export"] = q(RFM, """SELECT CAST(customer_id AS VARCHAR) AS "ID", CAST(recency AS VARCHAR) AS "Récence (j)",
+  CAST(frequency AS VARCHAR) AS "Fréquence", CAST(monetary AS VARCHAR) AS "Montant (€)", CAST(r_score AS VARCHAR) AS "R",
+  CAST(f_score AS VARCHAR) AS "F", CAST(m_score AS VARCHAR) AS "M", rfm_score AS "RFM", segment AS "Segment"
+  FROM rfm WHERE segment IN ('Champions', 'Clients Fidèles', 'À Risque')
+  AND recency BETWEEN 30 AND 400 AND monetary BETWEEN 1000 AND 200000""")

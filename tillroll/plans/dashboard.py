@@ -267,3 +267,11 @@ def clv_summary(clv: DataFrame) -> DataFrame:
         money.round_to(F.sum("clv_24months"), 2).alias("total_clv_24"),
         money.round_to(F.avg("clv_12months"), 2).alias("avg_clv_12"),
     )
+
+
+# --- values to choose from (filters) ------------------------------------------
+
+
+def distinct_values(df: DataFrame, column: str) -> DataFrame:
+    """Distinct non-null values of a column, sorted."""
+    return df.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column)

@@ -24,6 +24,7 @@ PRICE_RANGE = (0, 50)
 QUANTITY_RANGE = (0, 100)
 HISTOGRAM_BINS = 50
 TOP_COUNTRY_ROWS = 10
+EXPLORATION_LIMITS = {"recency": None, "frequency": 50, "monetary": 5000}
 # ---------------------------------------------------------------------------
 
 
@@ -80,8 +81,8 @@ def _in_range(orders: DataFrame, col: str, rng: tuple[float, float]) -> DataFram
     return orders.where(F.col(col).between(rng[0], rng[1]))
 
 
-def price_histogram(orders: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
-    return stats.histogram(_in_range(orders, "price", PRICE_RANGE), "price", bins, out="lines")
+def price_histogram(orders: DataFrame, bins: int = HISTOGRAM_BINS, rng: tuple[float, float] = PRICE_RANGE) -> DataFrame:
+    return stats.histogram(_in_range(orders, "price", rng), "price", bins, out="lines")
 
 
 def quantity_histogram(orders: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
@@ -107,8 +108,8 @@ def _rounded_box(df: DataFrame) -> DataFrame:
     )
 
 
-def price_box(orders: DataFrame) -> DataFrame:
-    return _rounded_box(stats.box_summary(_in_range(orders, "price", PRICE_RANGE), "price"))
+def price_box(orders: DataFrame, rng: tuple[float, float] = PRICE_RANGE) -> DataFrame:
+    return _rounded_box(stats.box_summary(_in_range(orders, "price", rng), "price"))
 
 
 def quantity_box(orders: DataFrame) -> DataFrame:
@@ -162,3 +163,20 @@ def segment_summary(rfm: DataFrame) -> DataFrame:
 
 def segment_recency_box(rfm: DataFrame) -> DataFrame:
     return stats.box_summary(rfm, "recency", by="segment")
+
+
+def exploration_histogram(rfm: DataFrame, value: str, bins: int = HISTOGRAM_BINS) -> DataFrame:
+    """Histogram of one exploration score input, up to its display limit."""
+    limit = EXPLORATION_LIMITS[value]
+    rows = rfm if limit is None else rfm.where(F.col(value) <= limit)
+    return stats.histogram(rows, value, bins, out="customers")
+
+
+def exploration_describe(rfm: DataFrame) -> DataFrame:
+    return stats.describe_numeric(rfm, ["recency", "frequency", "monetary"]).withColumnRenamed("column", "col_name")
+
+
+def exploration_shares(rfm: DataFrame) -> DataFrame:
+    """Customers per segment and their share in percent (one decimal, half to even)."""
+    counts = stats.value_counts(rfm, "segment", "customers", "_share")
+    return counts.select("segment", "customers", F.bround(F.col("_share") * F.lit(100.0), 1).alias("share_pct"))

@@ -1,7 +1,8 @@
 """Publishing the customer RFM table: guard against an empty input, round
 monetary to DECIMAL(10,2) (half up; overflow fails under ANSI), upsert on
 customer id into the persisted results (customers absent from this run keep
-their previous row), write a new table version, check the row count."""
+their previous row), write a new table version, check its row count against
+what both inputs hold."""
 
 from __future__ import annotations
 
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.plans.rfm import RFM_COLUMNS
+from tillroll.session import materialize, release
 from tillroll.sources import tables
 from tillroll.sources.upsert import upsert
 
@@ -26,11 +28,15 @@ def merge_results(rfm: DataFrame, existing: DataFrame | None) -> DataFrame:
 
 def publish_results(spark: SparkSession, rfm: DataFrame, base: str) -> str:
     """Merge into the table at ``base`` and write the next version; returns its path."""
-    if rfm.isEmpty():
+    updates = materialize(results_rows(rfm), "rfm_updates")  # read several times
+    n = updates.count()
+    if not n:
         raise ValueError("no RFM rows to publish")
-    merged = merge_results(rfm, tables.read_current(spark, base))
-    path = tables.write_version(merged, base)
-    written = spark.read.parquet(path)
-    expected = merged.sparkSession.read.parquet(path).select("customer_id").distinct().count()
-    tables.check_count(written, expected, "rfm results")
+    if updates.select("customer_id").distinct().count() != n:
+        raise ValueError("a customer has more than one RFM row")
+    existing = tables.read_current(spark, base)
+    kept = 0 if existing is None else existing.join(updates, "customer_id", "left_anti").count()
+    path = tables.write_version(upsert(existing, updates, "customer_id"), base)
+    tables.check_count(spark.read.parquet(path), kept + n, "rfm results")
+    release(updates)
     return path

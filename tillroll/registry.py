@@ -11,26 +11,46 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll import oracle as _oracle
-from tillroll.plans import churn, cleaning, clv, customers, dashboard, geo, library, product, profiling, publish, rfm
-from tillroll.session import materialize, scratch_path
+from tillroll.plans import (
+    churn, cleaning, clv, common, customers, dashboard, geo, library, pipeline, product, profiling, publish, rfm,
+)
+from tillroll.session import materialize, release, scratch_path
 from tillroll.sources import csv_orders, export, tables, testdata
 from tillroll.streaming import customer_state, folder_ingest
 
-_BRONZE: dict[tuple[int, str, bool], DataFrame] = {}
+_BRONZE: dict[tuple[int, str, bool], tuple[tuple, DataFrame]] = {}
+
+
+def _sources_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Path, size and modification time of every file of the source tables."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    out = []
+    for name in sorted(testdata.SCHEMAS):
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(conf)
+        for s in fs.listStatus(path):
+            out.append((s.getPath().toString(), s.getLen(), s.getModificationTime()))
+    return tuple(sorted(out))
 
 
 def orders_view(spark: SparkSession, sf_dir: str, cancel_prefix: bool = False) -> DataFrame:
     """The order lines of ``sf_dir`` as a bronze table: the adapter join is
     written once per session and source folder (to the shared checkpoint
     folder) and every query reads that table — as the original analyses read
-    the ingested ``raw_orders`` table instead of re-joining the sources."""
+    the ingested ``raw_orders`` table instead of re-joining the sources. It is
+    written anew when a source file has changed; the old table is then deleted."""
     key = (id(spark), sf_dir.rstrip("/"), cancel_prefix)
-    bronze = _BRONZE.get(key)
-    if bronze is None or bronze.sparkSession is not spark:
-        bronze = materialize(testdata.orders_view(spark, sf_dir, cancel_prefix), "bronze_orders")
-        _BRONZE[key] = bronze
+    state = _sources_state(spark, sf_dir)
+    held = _BRONZE.get(key)
+    if held is not None and held[1].sparkSession is spark:
+        if held[0] == state:
+            return held[1]
+        release(held[1])
+    bronze = materialize(testdata.orders_view(spark, sf_dir, cancel_prefix), "bronze_orders")
+    _BRONZE[key] = (state, bronze)
     return bronze
 
 
@@ -225,20 +245,51 @@ QUERIES.update(
 # --- sources ---------------------------------------------------------------------------
 
 
+def _awkward(orders):
+    """Order lines whose descriptions hold quotes, separators, line breaks and
+    empty texts, by line key."""
+    d, n = F.col("description"), F.col("stock_code").cast("long") % 5
+    text = (
+        F.when(n == 1, F.concat(F.lit('"'), d, F.lit('"; x')))
+        .when(n == 2, F.concat(d, F.lit("\n"), d))
+        .when(n == 3, F.lit(""))
+        .otherwise(d)
+    )
+    return orders.withColumn("description", text)
+
+
 @register("csv_roundtrip")
 def _csv_roundtrip(spark, sf_dir):
-    """Order lines written in the raw CSV layout (decimal comma, day-first
-    dates, several files), then ingested back by the CSV reader."""
+    """Order lines written in the raw CSV layout (decimal comma, day-first dates,
+    quoted descriptions), then ingested back by the CSV reader."""
     path = scratch_path(spark, "csv_orders")
-    export.export_raw_orders(orders_view(spark, sf_dir), path, files=4)
+    export.export_raw_orders(_awkward(orders_view(spark, sf_dir)), path)
     return csv_orders.read_orders(spark, path)
 
 
+@register("csv_reject_report")
+def _csv_reject_report(spark, sf_dir):
+    """Rejects by reason of a delivery of two layouts with spoilt fields."""
+    path = scratch_path(spark, "csv_spoilt")
+    raw = export.to_raw_layout(orders_view(spark, sf_dir))
+    n, odd = F.col("StockCode").cast("long") % 7, F.col("Quantity").cast("int") % 2 == 0
+    spoilt = (
+        raw.withColumn("_odd", odd)
+        .withColumn("Price", F.when(n == 1, "abc").when(n == 2, F.regexp_replace("Price", ",", ".")).otherwise(F.col("Price")))
+        .withColumn("Quantity", F.when(n == 3, "two").otherwise(F.col("Quantity")))
+        .withColumn("Customer ID", F.when(n == 4, F.concat("Customer ID", F.lit(".0"))).when(n == 5, "x1").otherwise(F.col("Customer ID")))
+        .withColumn("InvoiceDate", F.when(n == 6, "32/1/1998 9:00").otherwise(F.col("InvoiceDate")))
+    )
+    export.write_raw(spoilt.where("_odd").drop("_odd"), path)
+    export.write_raw(spoilt.where("NOT _odd").select("Country", "Price", *[c for c in raw.columns if c not in ("Country", "Price")]), path, "append")
+    return csv_orders.reject_report(csv_orders.read_raw(spark, path))
+
+
 @register("stream_ingest")
 def _stream_ingest(spark, sf_dir):
     """The same CSV files converted by the streaming folder ingest."""
     landing = scratch_path(spark, "landing")
-    export.export_raw_orders(orders_view(spark, sf_dir), landing, files=4)
+    export.export_raw_orders(_awkward(orders_view(spark, sf_dir)), landing)
     return folder_ingest.ingest_available(
         spark, landing, scratch_path(spark, "bronze"), scratch_path(spark, "stream_ckpt")
     )
@@ -249,16 +300,14 @@ def _customer_rfm_incremental(spark, sf_dir):
     """Customer RFM from the customer table kept up to date by the streaming
     ingest: the order lines arrive as files in two deliveries, each folded in
     by micro-batches; the scores equal the batch computation."""
-    staging = scratch_path(spark, "staging")
-    export.export_raw_orders(orders_view(spark, sf_dir), staging, files=4)
-    files = csv_orders.list_files(spark, staging, ".csv")
     landing, state, ckpt = (scratch_path(spark, n) for n in ("landing", "customer_state", "state_ckpt"))
-    half = len(files) // 2
-    csv_orders.copy_files(spark, files[:half], landing)
+    orders = orders_view(spark, sf_dir)
+    first = F.xxhash64("invoice", "stock_code") % 2 == 0
+    export.export_raw_orders(orders.where(first), landing)
     customer_state.update_customers(spark, landing, state, ckpt)
-    csv_orders.copy_files(spark, files[half:], landing)
+    export.export_raw_orders(orders.where(~first), landing, "append")
     base = customer_state.update_customers(spark, landing, state, ckpt)
-    return rfm.customer_rfm(orders_view(spark, sf_dir), base=base)
+    return rfm.customer_rfm(orders, base=base)
 
 
 @register("publish_rfm")
@@ -301,5 +350,80 @@ QUERIES.update(
 )
 
 
+# --- ordered marts, values to choose from, exploration datasets ----------------------
+
+
+def _exploration(spark, sf_dir):
+    return rfm.rfm_exploration(orders_view(spark, sf_dir))
+
+
+WIDE_PRICES = (900, 1500)  # a display range in which the test tables have prices
+
+QUERIES.update(
+    {
+        "churn_mart": _on(_churn, lambda d: tables.in_mart_order(d, "churn_risk")),
+        "clv_mart": _on(_clv, lambda d: tables.in_mart_order(d, "clv_forecast")),
+        "segment_values": _on(_rfm, lambda r: dashboard.distinct_values(r, "segment")),
+        "country_values": _on_orders(lambda o: dashboard.distinct_values(o, "country")),
+        "exploration_recency_histogram": _on(_exploration, lambda r: profiling.exploration_histogram(r, "recency")),
+        "exploration_frequency_histogram": _on(_exploration, lambda r: profiling.exploration_histogram(r, "frequency")),
+        "exploration_monetary_histogram": _on(_exploration, lambda r: profiling.exploration_histogram(r, "monetary")),
+        "exploration_describe": _on(_exploration, profiling.exploration_describe),
+        "exploration_segment_shares": _on(_exploration, profiling.exploration_shares),
+        "price_histogram_range": _on_orders(lambda o: profiling.price_histogram(o, rng=WIDE_PRICES)),
+        "price_box_range": _on_orders(lambda o: profiling.price_box(o, WIDE_PRICES)),
+    }
+)
+
+
+@register("undated_counts")
+def _undated_counts(spark, sf_dir):
+    """Customers and products without any valid date, which the scores leave out."""
+    orders = orders_view(spark, sf_dir)
+    grains = (
+        ("customer", common.valid_customer(orders), "customer_id"),
+        ("product", common.positive_sales(orders), "stock_code"),
+    )
+    out = None
+    for name, rows, key in grains:
+        dated = rows.groupBy(key).agg(F.count("invoice_date").alias("n"))
+        part = dated.agg(F.lit(name).alias("grain"), F.count("*").alias("rows"), F.count_if(F.col("n") == 0).alias("undated"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("bronze_readback")
+def _bronze_readback(spark, sf_dir):
+    """The bronze table written as a version and read back, with its surrogate id checked."""
+    path = tables.write_version(tables.bronze(orders_view(spark, sf_dir)), scratch_path(spark, "bronze_table"))
+    return spark.read.parquet(path).agg(
+        F.count("*").alias("rows"),
+        F.count_distinct("transaction_id").alias("ids"),
+        F.sum("quantity").alias("quantity"),
+        F.count_if(F.col("created_at").isNull() | F.col("updated_at").isNull()).alias("unstamped"),
+    )
+
+
+@register("rfm_export")
+def _rfm_export(spark, sf_dir):
+    """The filtered RFM detail exported as CSV, read back."""
+    shown = dashboard.filter_rfm(_rfm(spark, sf_dir), FILTER_SEGMENTS, FILTER_RECENCY, FILTER_MONETARY)
+    path = export.export_csv(dashboard.rfm_detail(shown), scratch_path(spark, "rfm_export"))
+    return spark.read.option("header", True).option("escape", '"').csv(path)
+
+
+@register("pipeline_tables")
+def _pipeline_tables(spark, sf_dir):
+    """Rows of every table that the whole daily run writes."""
+    paths = pipeline.run_pipeline(spark, orders_view(spark, sf_dir), scratch_path(spark, "daily_run"))
+    parts = [
+        spark.read.parquet(path).agg(F.lit(name).alias("table_name"), F.count("*").alias("rows")) for name, path in paths.items()
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def oracle() -> dict[str, str]:
     return {k: v for k, v in _oracle.SQL.items() if k in QUERIES}
