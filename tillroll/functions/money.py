@@ -3,7 +3,8 @@
 Money stays exact: line prices are DECIMAL(18,4), sums DECIMAL(38,4), so a sum
 does not depend on the order rows arrive in after a shuffle. Ratios are taken
 in double from exact operands (``exact sum -> double -> divide``), which gives
-the same bits on any engine; rounding uses ``round(x * 10^d) / 10^d``.
+the same bits on any engine. Rounding is half away from zero on decimals where the
+original rounds numeric values, half to even where it rounds data frames.
 """
 
 from __future__ import annotations
@@ -35,7 +36,18 @@ def exact_mean(c: Column) -> Column:
     return F.sum(c).cast("double") / F.count(c).cast("double")
 
 
+def exact_sum(c: Column) -> Column:
+    """Sum of doubles as decimals of six digits: independent of the order of rows."""
+    return F.sum(c.cast("decimal(28,6)"))
+
+
 def round_to(c: Column, digits: int) -> Column:
-    """Round half away from zero at ``digits`` decimals on the double value."""
+    """ROUND of a numeric value: half away from zero at ``digits`` decimals, taken
+    on the decimal value (eight digits), as a double."""
+    return F.round(c.cast("decimal(38,8)"), digits).cast("double")
+
+
+def round_even(c: Column, digits: int) -> Column:
+    """Rounding as numpy's: half to even on the scaled double."""
     scale = float(10**digits)
-    return F.round(c.cast("double") * F.lit(scale), 0) / F.lit(scale)
+    return F.rint(c.cast("double") * F.lit(scale)) / F.lit(scale)

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.functions.money import ratio, round_to
+from tillroll.functions.money import ratio, round_even, round_to
 from tillroll.operators import quantiles
 from tillroll.operators.scalars import attach_one_row
 
@@ -131,7 +131,7 @@ def null_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
         "position",
         "column",
         "missing",
-        round_to(F.col("missing").cast("double") * F.lit(100.0) / F.col("_rows").cast("double"), 2).alias(
+        round_even(F.col("missing").cast("double") * F.lit(100.0) / F.col("_rows").cast("double"), 2).alias(
             "missing_pct"
         ),
     )
@@ -144,7 +144,7 @@ def duplicate_report(df: DataFrame) -> DataFrame:
     return both.select(
         "rows",
         (F.col("rows") - F.col("distinct_rows")).alias("duplicates"),
-        round_to(
+        round_even(
             (F.col("rows") - F.col("distinct_rows")).cast("double") * F.lit(100.0) / F.nullif(F.col("rows").cast("double"), F.lit(0.0)), 2
         ).alias("duplicate_pct"),
     )

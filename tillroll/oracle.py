@@ -5,7 +5,8 @@ views, as the correctness oracle: same column names and types, values equal
 row for row (conditional counts are written count(CASE WHEN c THEN 1 END),
 BIGINT like Spark's count_if). Conventions shared with the Spark side: money exact as
 DECIMAL(18,4)/DECIMAL(38,4); ratios as double from exact operands; rounding
-as round(x * 10^d) / 10^d; whole days via date_sub('day', a, b); quintile
+half away from zero on decimals
+(ROUND) or half to even on scaled doubles (data frames); whole days via date_sub('day', a, b); quintile
 edges via quantile_cont (position (n-1)p, linear).
 """
 
@@ -323,9 +324,22 @@ SQL["clv_forecast"] = q([rfm_cte(), CLV_CTE], "SELECT * FROM clv")
 # --- dashboard datasets ------------------------------------------------------
 
 def _r(expr: str, d: int) -> str:
-    """round(x * 10^d) / 10^d on the double value (half away from zero)."""
+    """ROUND of a numeric value (half away from zero), as a double."""
+    return f"CAST(round(CAST({expr} AS DECIMAL(38,8)), {d}) AS DOUBLE)"
+
+
+def _re(expr: str, d: int) -> str:
+    """Rounding of a data frame: half to even on the scaled double."""
     s = f"{10 ** d}.0"
-    return f"(round(CAST({expr} AS DOUBLE) * {s}) / {s})"
+    return f"(round_even(CAST({expr} AS DOUBLE) * {s}, 0) / {s})"
+
+
+def _sum6(expr: str) -> str:
+    return f"sum(CAST({expr} AS DECIMAL(28,6)))"
+
+
+def _avg6(expr: str) -> str:
+    return f"CAST({_sum6(expr)} AS DOUBLE) / count({expr})"
 
 
 def _mean(expr: str) -> str:
@@ -366,9 +380,9 @@ SQL["segment_kpis"] = q(RFM, """SELECT count(CASE WHEN segment = 'Champions' THE
   count(CASE WHEN segment = 'Perdus' THEN 1 END) AS lost FROM rfm""")
 SQL["segment_distribution"] = q(RFM, """SELECT segment, count(*) AS customers,
   CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER () AS DOUBLE) AS share FROM rfm GROUP BY segment""")
-SQL["segment_stats"] = q(RFM, f"""SELECT segment, count(*) AS clients, {_r(_mean('recency'), 1)} AS recence_moy,
-  {_r(_mean('frequency'), 1)} AS frequence_moy, {_r(_mean('monetary'), 1)} AS montant_moy,
-  {_r('sum(monetary)', 1)} AS montant_total FROM rfm GROUP BY segment""")
+SQL["segment_stats"] = q(RFM, f"""SELECT segment, count(*) AS clients, {_re(_mean('recency'), 1)} AS recence_moy,
+  {_re(_mean('frequency'), 1)} AS frequence_moy, {_re(_mean('monetary'), 1)} AS montant_moy,
+  {_re('sum(monetary)', 1)} AS montant_total FROM rfm GROUP BY segment""")
 SQL["rfm_points"] = q(RFM, "SELECT customer_id, recency, frequency, monetary, segment FROM rfm")
 SQL["recency_histogram"] = q(RFM, _hist("rfm", "recency", 50, "segment", "customers"))
 SQL["monetary_histogram"] = q(RFM, _hist("rfm", "monetary", 50, "segment", "customers"))
@@ -395,14 +409,14 @@ SQL["market_class_counts"] = q(GEO, """SELECT count(CASE WHEN contains(market_gr
   count(CASE WHEN contains(market_growth_potential, 'Emerging') THEN 1 END) AS emerging FROM geo""")
 SQL["top_markets"] = q(GEO, "SELECT * FROM geo ORDER BY priority_rank LIMIT 10")
 SQL["market_listing"] = q(GEO, "SELECT * FROM geo")
-SQL["clv_totals"] = q(CLV, f"""SELECT {_r('sum(clv_12months)', 2)} AS total_clv_12, {_r('sum(clv_24months)', 2)} AS total_clv_24,
-  {_r('avg(clv_12months)', 2)} AS avg_clv_12, count(CASE WHEN forecast_confidence = '🟢 High' THEN 1 END) AS high_confidence FROM clv""")
-SQL["clv_by_segment"] = q(CLV, f"""SELECT segment, count(*) AS customers, {_r('sum(clv_12months)', 2)} AS clv_12_total,
-  {_r('sum(clv_24months)', 2)} AS clv_24_total FROM clv GROUP BY segment""")
+SQL["clv_totals"] = q(CLV, f"""SELECT {_r(_sum6('clv_12months'), 2)} AS total_clv_12, {_r(_sum6('clv_24months'), 2)} AS total_clv_24,
+  {_r(_avg6('clv_12months'), 2)} AS avg_clv_12, count(CASE WHEN forecast_confidence = '🟢 High' THEN 1 END) AS high_confidence FROM clv""")
+SQL["clv_by_segment"] = q(CLV, f"""SELECT segment, count(*) AS customers, {_r(_sum6('clv_12months'), 2)} AS clv_12_total,
+  {_r(_sum6('clv_24months'), 2)} AS clv_24_total FROM clv GROUP BY segment""")
 SQL["clv_top"] = q(CLV, "SELECT * FROM clv ORDER BY clv_24months DESC, customer_id LIMIT 30")
 SQL["churn_summary"] = q(CHURN, "SELECT count(CASE WHEN churn_risk = '🔴 High' THEN 1 END) AS high_risk_customers FROM churn")
 SQL["geo_top3"] = q(GEO, "SELECT priority_rank, country, total_revenue FROM geo ORDER BY priority_rank LIMIT 3")
-SQL["clv_summary"] = q(CLV, f"""SELECT {_r('sum(clv_24months)', 2)} AS total_clv_24, {_r('avg(clv_12months)', 2)} AS avg_clv_12 FROM clv""")
+SQL["clv_summary"] = q(CLV, f"""SELECT {_r(_sum6('clv_24months'), 2)} AS total_clv_24, {_r(_avg6('clv_12months'), 2)} AS avg_clv_12 FROM clv""")
 
 # --- query library -------------------------------------------------------------
 
@@ -418,10 +432,10 @@ SQL["lib_revenue_rank"] = q(PRODUCTS, """SELECT * FROM (SELECT CAST(rank() OVER
   stock_code, product_name, monetary, total_customers, performance FROM products) r ORDER BY rank, stock_code LIMIT 20""")
 SQL["lib_high_risk_customers"] = q(CHURN, """SELECT customer_id, churn_score, churn_risk, recency, frequency, recommendation
   FROM churn WHERE churn_score >= 80 ORDER BY churn_score DESC, customer_id LIMIT 50""")
-SQL["lib_churn_distribution"] = q(CHURN, f"""SELECT churn_risk, count(*) AS customer_count, {_r('avg(churn_score)', 1)} AS avg_score,
+SQL["lib_churn_distribution"] = q(CHURN, f"""SELECT churn_risk, count(*) AS customer_count, {_r(_avg6('churn_score'), 1)} AS avg_score,
   min(churn_score) AS min_score, max(churn_score) AS max_score FROM churn GROUP BY churn_risk""")
 SQL["lib_recommendation_breakdown"] = q(CHURN, f"""SELECT recommendation, count(*) AS customer_count,
-  {_r('avg(churn_score)', 1)} AS avg_score FROM churn GROUP BY recommendation""")
+  {_r(_avg6('churn_score'), 1)} AS avg_score FROM churn GROUP BY recommendation""")
 SQL["lib_long_inactive"] = q(CHURN, """SELECT customer_id, recency, frequency, months_active, purchase_frequency_per_month, churn_score
   FROM churn WHERE recency > 180 AND frequency < 5 ORDER BY recency DESC, customer_id LIMIT 30""")
 SQL["lib_medium_risk_targets"] = q(CHURN, """SELECT customer_id, churn_score, recency, frequency, recommendation FROM churn
@@ -438,11 +452,11 @@ SQL["lib_countries_ranked"] = q(GEO, f"""SELECT priority_rank, country, total_cu
   market_growth_potential FROM geo""")
 SQL["lib_market_benchmark"] = q(GEO, f"""SELECT market_growth_potential, count(*) AS country_count,
   {_r(_mean('total_customers'), 0)} AS avg_customers, {_r(_mean('total_revenue'), 0)} AS avg_revenue,
-  {_r('avg(avg_customer_value)', 2)} AS avg_customer_value FROM geo GROUP BY market_growth_potential""")
+  {_r(_avg6('avg_customer_value'), 2)} AS avg_customer_value FROM geo GROUP BY market_growth_potential""")
 SQL["lib_top_clv"] = q(CLV, "SELECT * FROM clv ORDER BY clv_24months DESC, customer_id LIMIT 20")
 SQL["lib_clv_segment_summary"] = q(CLV, f"""SELECT segment, count(*) AS customer_count, {_r(_mean('historical_value'), 2)} AS avg_historical,
-  {_r('avg(clv_12months)', 2)} AS avg_12m, {_r('avg(clv_24months)', 2)} AS avg_24m,
-  {_r('sum(clv_24months)', 0)} AS total_24m_forecast, {_r('avg(growth_rate)', 2)} AS avg_growth
+  {_r(_avg6('clv_12months'), 2)} AS avg_12m, {_r(_avg6('clv_24months'), 2)} AS avg_24m,
+  {_r(_sum6('clv_24months'), 0)} AS total_24m_forecast, {_r(_avg6('growth_rate'), 2)} AS avg_growth
   FROM clv GROUP BY segment""")
 SQL["lib_best_bets"] = q(CLV, """SELECT customer_id, segment, clv_24months, forecast_confidence, growth_rate FROM clv
   WHERE forecast_confidence = '🟢 High' ORDER BY clv_24months DESC, customer_id LIMIT 50""")
@@ -490,9 +504,9 @@ SQL["describe_numeric"] = q([], " UNION ALL ".join(_describe_num(i, c) for i, c
 SQL["describe_text"] = q([], " UNION ALL ".join(_describe_txt(i, c) for i, c in enumerate(["invoice", "stock_code", "description", "country"])))
 SQL["missing_values"] = q([], " UNION ALL ".join(
     f"SELECT {i} AS position, '{c}' AS col_name, count(CASE WHEN {c} IS NULL THEN 1 END) AS missing, "
-    f"{_r(f'CAST(count(CASE WHEN {c} IS NULL THEN 1 END) AS DOUBLE) * 100.0 / CAST(count(*) AS DOUBLE)', 2)} AS missing_pct FROM orders_v"
+    f"{_re(f'CAST(count(CASE WHEN {c} IS NULL THEN 1 END) AS DOUBLE) * 100.0 / CAST(count(*) AS DOUBLE)', 2)} AS missing_pct FROM orders_v"
     for i, c in enumerate(_COLS)))
-SQL["duplicates"] = q([], f"""SELECT rows, rows - d AS duplicates, {_r('CAST(rows - d AS DOUBLE) * 100.0 / CAST(rows AS DOUBLE)', 2)} AS duplicate_pct
+SQL["duplicates"] = q([], f"""SELECT rows, rows - d AS duplicates, {_re('CAST(rows - d AS DOUBLE) * 100.0 / CAST(rows AS DOUBLE)', 2)} AS duplicate_pct
   FROM (SELECT count(*) AS rows FROM orders_v), (SELECT count(*) AS d FROM (SELECT DISTINCT * FROM orders_v))""")
 SQL["distinct_counts"] = q([], """SELECT count(DISTINCT customer_id) AS customers, count(CASE WHEN customer_id IS NULL THEN 1 END) AS rows_without_customer,
   count(DISTINCT invoice) AS invoices, count(DISTINCT country) AS countries FROM orders_v""")
@@ -528,7 +542,7 @@ SQL["date_range"] = q([], """SELECT min(invoice_date) AS first_date, max(invoice
 SQL["lines_per_customer"] = q([], f"""SELECT min(n) AS min_lines, max(n) AS max_lines, {_mean('n')} AS mean_lines
   FROM (SELECT customer_id, count(*) AS n FROM orders_v WHERE customer_id IS NOT NULL GROUP BY customer_id) c""")
 SQL["exploration_segment_summary"] = q([rfm_cte(clean=True)], f"""SELECT segment, count(*) AS customers,
-  {_r(_mean('recency'), 1)} AS recency, {_r(_mean('frequency'), 1)} AS frequency, {_r(_mean('monetary'), 1)} AS monetary
+  {_re(_mean('recency'), 1)} AS recency, {_re(_mean('frequency'), 1)} AS frequency, {_re(_mean('monetary'), 1)} AS monetary
   FROM rfm GROUP BY segment""")
 SQL["cleaning_report"] = q([], """SELECT * FROM (
   SELECT 1 AS step_no, 'duplicates' AS step, total - d0 AS removed, d0 AS remaining FROM s UNION ALL
@@ -613,7 +627,7 @@ for _name, _limit in (("recency", None), ("frequency", 50), ("monetary", 5000)):
 SQL["exploration_describe"] = q(EXPLORATION, " UNION ALL ".join(
     _describe_num(i, c).replace("FROM orders_v", "FROM rfm") for i, c in enumerate(["recency", "frequency", "monetary"])))
 SQL["exploration_segment_shares"] = q(EXPLORATION, """SELECT segment, count(*) AS customers,
-  round_even(CAST(count(*) AS DOUBLE) / CAST((SELECT count(*) FROM rfm) AS DOUBLE) * 100.0, 1) AS share_pct FROM rfm GROUP BY segment""")
+  round_even(CAST(count(*) AS DOUBLE) / CAST((SELECT count(*) FROM rfm) AS DOUBLE) * 100.0 * 10.0, 0) / 10.0 AS share_pct FROM rfm GROUP BY segment""")
 SQL["price_histogram_range"] = q([], _hist("(SELECT * FROM orders_v WHERE price BETWEEN 900 AND 1500)", "price", 50, None, "lines"))
 SQL["price_box_range"] = q([], _box("(SELECT * FROM orders_v WHERE price BETWEEN 900 AND 1500)", "price"))
 SQL["undated_counts"] = q([], """SELECT 'customer' AS grain, count(*) AS rows, count(CASE WHEN n = 0 THEN 1 END) AS undated

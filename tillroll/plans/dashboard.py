@@ -113,10 +113,10 @@ def segment_stats(rfm: DataFrame) -> DataFrame:
     monetary, rounded to 1 decimal, largest total first."""
     g = rfm.groupBy("segment").agg(
         F.count(F.lit(1)).alias("clients"),
-        money.round_to(money.exact_mean(F.col("recency")), 1).alias("recence_moy"),
-        money.round_to(money.exact_mean(F.col("frequency")), 1).alias("frequence_moy"),
-        money.round_to(money.exact_mean(F.col("monetary")), 1).alias("montant_moy"),
-        money.round_to(F.sum("monetary").cast("double"), 1).alias("montant_total"),
+        money.round_even(money.exact_mean(F.col("recency")), 1).alias("recence_moy"),
+        money.round_even(money.exact_mean(F.col("frequency")), 1).alias("frequence_moy"),
+        money.round_even(money.exact_mean(F.col("monetary")), 1).alias("montant_moy"),
+        money.round_even(F.sum("monetary"), 1).alias("montant_total"),
     )
     return g.orderBy(F.col("montant_total").desc(), F.col("segment"))
 
@@ -232,9 +232,9 @@ def market_listing(geo: DataFrame) -> DataFrame:
 
 def clv_totals(clv: DataFrame) -> DataFrame:
     return clv.agg(
-        money.round_to(F.sum("clv_12months"), 2).alias("total_clv_12"),
-        money.round_to(F.sum("clv_24months"), 2).alias("total_clv_24"),
-        money.round_to(F.avg("clv_12months"), 2).alias("avg_clv_12"),
+        money.round_to(money.exact_sum(F.col("clv_12months")), 2).alias("total_clv_12"),
+        money.round_to(money.exact_sum(F.col("clv_24months")), 2).alias("total_clv_24"),
+        money.round_to(money.exact_sum(F.col("clv_12months")).cast("double") / F.count("clv_12months"), 2).alias("avg_clv_12"),
         F.count_if(F.col("forecast_confidence") == labels.CONF_HIGH).alias("high_confidence"),
     )
 
@@ -242,8 +242,8 @@ def clv_totals(clv: DataFrame) -> DataFrame:
 def clv_by_segment(clv: DataFrame) -> DataFrame:
     return clv.groupBy("segment").agg(
         F.count(F.lit(1)).alias("customers"),
-        money.round_to(F.sum("clv_12months"), 2).alias("clv_12_total"),
-        money.round_to(F.sum("clv_24months"), 2).alias("clv_24_total"),
+        money.round_to(money.exact_sum(F.col("clv_12months")), 2).alias("clv_12_total"),
+        money.round_to(money.exact_sum(F.col("clv_24months")), 2).alias("clv_24_total"),
     ).orderBy(F.col("clv_24_total").desc(), F.col("segment"))
 
 
@@ -264,8 +264,8 @@ def geo_top3(geo: DataFrame) -> DataFrame:
 
 def clv_summary(clv: DataFrame) -> DataFrame:
     return clv.agg(
-        money.round_to(F.sum("clv_24months"), 2).alias("total_clv_24"),
-        money.round_to(F.avg("clv_12months"), 2).alias("avg_clv_12"),
+        money.round_to(money.exact_sum(F.col("clv_24months")), 2).alias("total_clv_24"),
+        money.round_to(money.exact_sum(F.col("clv_12months")).cast("double") / F.count("clv_12months"), 2).alias("avg_clv_12"),
     )
 
 

@@ -102,7 +102,7 @@ def high_risk_customers(churn: DataFrame) -> DataFrame:
 def churn_distribution(churn: DataFrame) -> DataFrame:
     return churn.groupBy("churn_risk").agg(
         F.count(F.lit(1)).alias("customer_count"),
-        money.round_to(F.avg("churn_score"), 1).alias("avg_score"),
+        money.round_to(money.exact_sum(F.col("churn_score")).cast("double") / F.count("churn_score"), 1).alias("avg_score"),
         F.min("churn_score").alias("min_score"),
         F.max("churn_score").alias("max_score"),
     ).orderBy(F.col("customer_count").desc(), F.col("churn_risk"))
@@ -111,7 +111,7 @@ def churn_distribution(churn: DataFrame) -> DataFrame:
 def recommendation_breakdown(churn: DataFrame) -> DataFrame:
     return churn.groupBy("recommendation").agg(
         F.count(F.lit(1)).alias("customer_count"),
-        money.round_to(F.avg("churn_score"), 1).alias("avg_score"),
+        money.round_to(money.exact_sum(F.col("churn_score")).cast("double") / F.count("churn_score"), 1).alias("avg_score"),
     ).orderBy(F.col("customer_count").desc(), F.col("recommendation"))
 
 
@@ -180,7 +180,7 @@ def market_benchmark(geo: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("country_count"),
         money.round_to(money.exact_mean(F.col("total_customers")), 0).alias("avg_customers"),
         money.round_to(money.exact_mean(F.col("total_revenue")), 0).alias("avg_revenue"),
-        money.round_to(F.avg("avg_customer_value"), 2).alias("avg_customer_value"),
+        money.round_to(money.exact_sum(F.col("avg_customer_value")).cast("double") / F.count("avg_customer_value"), 2).alias("avg_customer_value"),
     ).orderBy(F.col("avg_revenue").desc(), F.col("market_growth_potential"))
 
 
@@ -192,10 +192,10 @@ def clv_segment_summary(clv: DataFrame) -> DataFrame:
     return clv.groupBy("segment").agg(
         F.count(F.lit(1)).alias("customer_count"),
         money.round_to(money.exact_mean(F.col("historical_value")), 2).alias("avg_historical"),
-        money.round_to(F.avg("clv_12months"), 2).alias("avg_12m"),
-        money.round_to(F.avg("clv_24months"), 2).alias("avg_24m"),
-        money.round_to(F.sum("clv_24months"), 0).alias("total_24m_forecast"),
-        money.round_to(F.avg("growth_rate"), 2).alias("avg_growth"),
+        money.round_to(money.exact_sum(F.col("clv_12months")).cast("double") / F.count("clv_12months"), 2).alias("avg_12m"),
+        money.round_to(money.exact_sum(F.col("clv_24months")).cast("double") / F.count("clv_24months"), 2).alias("avg_24m"),
+        money.round_to(money.exact_sum(F.col("clv_24months")), 0).alias("total_24m_forecast"),
+        money.round_to(money.exact_sum(F.col("growth_rate")).cast("double") / F.count("growth_rate"), 2).alias("avg_growth"),
     ).orderBy(F.col("total_24m_forecast").desc(), F.col("segment"))
 
 
@@ -234,8 +234,8 @@ def champions_premium(clv: DataFrame) -> DataFrame:
 
 def total_forecast(clv: DataFrame) -> DataFrame:
     return clv.agg(
-        F.sum("clv_12months").cast("decimal(15,2)").alias("total_revenue_12m"),
-        F.sum("clv_24months").cast("decimal(15,2)").alias("total_revenue_24m"),
+        money.exact_sum(F.col("clv_12months")).cast("decimal(15,2)").alias("total_revenue_12m"),
+        money.exact_sum(F.col("clv_24months")).cast("decimal(15,2)").alias("total_revenue_24m"),
         F.count(F.lit(1)).alias("total_customers"),
-        (F.sum("clv_24months") / F.count(F.lit(1))).cast("decimal(10,2)").alias("avg_clv_per_customer"),
+        (money.exact_sum(F.col("clv_24months")).cast("double") / F.count(F.lit(1))).cast("decimal(10,2)").alias("avg_clv_per_customer"),
     )

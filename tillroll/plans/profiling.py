@@ -155,9 +155,9 @@ def segment_summary(rfm: DataFrame) -> DataFrame:
     mean monetary first."""
     return rfm.groupBy("segment").agg(
         F.count(F.lit(1)).alias("customers"),
-        money.round_to(money.exact_mean(F.col("recency")), 1).alias("recency"),
-        money.round_to(money.exact_mean(F.col("frequency")), 1).alias("frequency"),
-        money.round_to(money.exact_mean(F.col("monetary")), 1).alias("monetary"),
+        money.round_even(money.exact_mean(F.col("recency")), 1).alias("recency"),
+        money.round_even(money.exact_mean(F.col("frequency")), 1).alias("frequency"),
+        money.round_even(money.exact_mean(F.col("monetary")), 1).alias("monetary"),
     ).orderBy(F.col("monetary").desc(), F.col("segment"))
 
 
@@ -179,4 +179,4 @@ def exploration_describe(rfm: DataFrame) -> DataFrame:
 def exploration_shares(rfm: DataFrame) -> DataFrame:
     """Customers per segment and their share in percent (one decimal, half to even)."""
     counts = stats.value_counts(rfm, "segment", "customers", "_share")
-    return counts.select("segment", "customers", F.bround(F.col("_share") * F.lit(100.0), 1).alias("share_pct"))
+    return counts.select("segment", "customers", money.round_even(F.col("_share") * F.lit(100.0), 1).alias("share_pct"))
