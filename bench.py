@@ -36,6 +36,8 @@ HEADLINE = [
     "kpis",
     "monthly_revenue",
 ]
+# Timed the same way, reported apart (not in the total).
+PROFILING = ["describe_numeric", "describe_text", "duplicates", "distinct_counts", "cleaning_report", "price_box_full", "quantity_box"]
 WARMUP_DIRS = ["/root/testdata/sf0.001", "/root/testdata/sf0.01"]
 # Published run times of the original analyses (seconds; hardware and row
 # counts not stated), reported next to ours for reading convenience.
@@ -61,7 +63,7 @@ def main() -> None:
     )
     for warm in WARMUP_DIRS:
         if os.path.isdir(warm) and os.path.abspath(warm) != os.path.abspath(sf_dir):
-            for name in HEADLINE:
+            for name in HEADLINE + PROFILING:
                 registry.QUERIES[name](spark, warm).toPandas()
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     times: dict[str, float] = {}
@@ -70,7 +72,8 @@ def main() -> None:
     t0 = time.perf_counter()
     rows["ingest"] = registry.orders_view(spark, sf_dir).count()
     times["ingest"] = first["ingest"] = round(time.perf_counter() - t0, 3)
-    for name in HEADLINE:
+    profiling: dict[str, float] = {}
+    for name in HEADLINE + PROFILING:
         samples = []
         for _ in range(runs):
             t0 = time.perf_counter()
@@ -78,7 +81,7 @@ def main() -> None:
             samples.append(time.perf_counter() - t0)
             rows[name] = len(out)
         first[name] = round(samples[0], 3)
-        times[name] = round(statistics.median(samples), 3)
+        (times if name in HEADLINE else profiling)[name] = round(statistics.median(samples), 3)
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(
         json.dumps(
@@ -87,6 +90,7 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
+                "profiling": profiling,
                 "first_run": first,
                 "runs": runs,
                 "published_ranges": PUBLISHED_RANGES,
