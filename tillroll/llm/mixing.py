@@ -28,7 +28,7 @@ from tillroll.llm.scratch import Scratch, table
 
 LEVELS = ["domain", "lang", "source"]
 #: Documents in a run of a leaf's keyed order, about.
-RUN = 10_000
+RUN = 2_000
 #: Target weights of the query and the pipeline; a child that is not named has weight 1.
 WEIGHTS = {
     "domain": {"d0": 4, "d1": 3, "d2": 2, "d3": 1},
