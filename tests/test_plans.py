@@ -10,7 +10,7 @@ import pytest
 
 from tests.conftest import SF_SMALL
 from tillroll import registry, session
-from tillroll.operators import ranking
+from tillroll.operators import cutpoints, ranking
 from tillroll.plans import customers, geo, product
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="test tables not present")
@@ -34,7 +34,7 @@ def plans(spark):
         captured.setdefault(name, _plan(df))
         return orig(df, name)
 
-    mods = (customers, product, geo, ranking)
+    mods = (customers, product, geo, cutpoints, ranking)
     for m in mods:
         m.materialize = recording
     try:
@@ -80,3 +80,16 @@ def test_final_plans_read_only_written_tables(plans):
     for name, text in finals.items():
         assert not _reads_lines(text), name  # scoring never rescans the lines
         assert "CartesianProduct" not in text, name
+
+
+def test_no_ordering_of_a_grain_table_is_in_one_task(plans):
+    written, finals = plans
+    assert "rangepartitioning" in written["cut_points"]
+    for name, text in {**finals, "cut_points": written["cut_points"]}.items():
+        if name == "geographic_analysis":  # its ranks are over the countries
+            continue
+        lines = text.splitlines()
+        for here, below in zip(lines, lines[1:]):
+            if "SinglePartition" in here:  # one-row aggregates only
+                assert "HashAggregate(keys=[]" in below, name
+        assert "Window" not in text, name

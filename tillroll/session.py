@@ -1,9 +1,10 @@
 """Session construction and lineage cutting.
 
-Every analysis is a lazy DataFrame -> DataFrame function. The only eager step in
-the library is :func:`materialize`, used where a plan must be read twice with
-exactly the same partitioning (the distributed rank), and it writes a reliable
-checkpoint into the folder the cluster names in ``spark.checkpoint.dir``.
+The analyses are lazy DataFrame -> DataFrame functions over tables they write
+once: :func:`materialize` runs a job and writes a grain table (the bronze lines,
+customers, products, countries, value counts, sorted cut-point keys) into the
+folder the cluster names in ``spark.checkpoint.dir``; :func:`release` deletes a
+table whose last reader is done. Building a query therefore runs those jobs.
 """
 
 from __future__ import annotations
