@@ -17,7 +17,7 @@ from tillroll.llm.scratch import Scratch
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
-    """One star step: links (a, b) with a > b."""
+    """One star step: links (a, b) with a > b; a large star may repeat some."""
     if large:
         both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
@@ -26,7 +26,7 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
         least = links.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
         moved = links.join(least, links.a == least.u).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         out = moved.union(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
-    return out.where("a <> b").distinct()
+    return out.where("a <> b") if large else out.where("a <> b").distinct()
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:

@@ -62,7 +62,7 @@ def flat(column) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(column, most: int = 4 << 20):
+def slices(column, most: int = 2 << 20):
     """(first row, end row) of runs of rows with about ``most`` bytes of text each."""
     _, offsets = flat(column)
     n = len(offsets) - 1
