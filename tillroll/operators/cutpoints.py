@@ -3,9 +3,10 @@
 All orderings of a table — (value, key) for rank quintiles, value alone for
 value-edge quintiles — are exploded into one narrow frame (score, value, key),
 range-partitioned and sorted once, and written with each row's partition and
-place. Row counts per (partition, score) give every place's global rank, so the
-few rows at the wanted ranks are read off: no row of the wide table moves, no
-ordering is ever in one task, and the plan is the same at any size.
+place. Row counts per (partition, score), a few numbers for the driver, give every
+place's global rank, so the few rows at the wanted ranks are read off: no row of
+the wide table moves, no ordering is ever in one task, and the plan is the same
+at any size.
 
 For n rows with unique ranks, bucket k of 5 of rank r is
 ``1 + #{j in 1..4: r > floor(j (n-1) / 5) + 1}``: the rows at those four ranks
@@ -19,7 +20,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.operators import binning
@@ -65,36 +66,34 @@ def order_statistics(df: DataFrame, scores: Sequence[Score]) -> list[tuple[int,
         .withColumn("_at", F.monotonically_increasing_id()),
         "cut_points",
     )
-    # one row for each (partition, score)
-    parts = placed.groupBy("_part", "idx").agg(F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_first"))
-    before = Window.partitionBy("idx").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.select(
-        "_part",
-        "idx",
-        (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
-        F.sum("_rows").over(Window.partitionBy("idx")).alias("n"),
-    )
-    ranked = placed.join(F.broadcast(offsets), ["_part", "idx"]).withColumn("rank", F.col("_at") + F.col("_shift"))
-    wanted = F.lit(False)
+    # a row for each (partition, score) comes to the driver, and then the wanted rows
+    parts = placed.groupBy("_part", "idx").agg(F.count(F.lit(1)).alias("rows"), F.min("_at").alias("first")).collect()
+    out: list[tuple[int, dict[int, tuple[Any, Any]]]] = []
+    places: dict[int, dict[int, int]] = {}
     for i, s in enumerate(scores):
-        here = F.lit(False)
-        for r in _ranks(s, F.col("n")):
-            here = here | (F.col("rank") == r)
-        wanted = wanted | ((F.col("idx") == i) & here)
-    picked = ranked.where(wanted).select("idx", "n", "rank", "exact", "real", "key").collect()
-    out: list[tuple[int, dict[int, tuple[Any, Any]]]] = [(0, {}) for _ in scores]
-    for r in picked:
-        value = r["exact"] if r["exact"] is not None else r["real"]
-        out[r["idx"]] = (r["n"], out[r["idx"]][1] | {r["rank"]: (value, r["key"])})
+        own = sorted((p["_part"], p["rows"], p["first"]) for p in parts if p["idx"] == i)
+        n = sum(rows for _, rows, _ in own)
+        out.append((n, {}))
+        for rank in _ranks(s, n) if n > 1 else ():
+            left = rank
+            for _, rows, first in own:
+                if left < rows:
+                    places.setdefault(first + left, {})[i] = rank
+                    break
+                left -= rows
+    if places:
+        for r in placed.where(F.col("_at").isin(sorted(places))).select("idx", "_at", "exact", "real", "key").collect():
+            value = r["exact"] if r["exact"] is not None else r["real"]
+            out[r["idx"]][1][places[r["_at"]][r["idx"]]] = (value, r["key"])
     release(placed)
     return out
 
 
-def _ranks(score: Score, n: Column) -> list[Column]:
+def _ranks(score: Score, n: int) -> set[int]:
+    """0-based ranks of the rows that the score's cuts or edges are read from."""
     if score.kind == "rank":
-        return [F.floor(F.lit(k) * (n - 1) / Q) for k in range(1, Q)]
-    places = [(n - 1).cast("double") * F.lit(p) for p in binning.quantile_probs(Q)]
-    return [f(p) for p in places for f in (F.floor, F.ceil)]
+        return {k * (n - 1) // Q for k in range(1, Q)}
+    return {f(float(n - 1) * p) for p in binning.quantile_probs(Q) for f in (math.floor, math.ceil)}
 
 
 def _bucket(score: Score, n: int, rows: dict[int, tuple[Any, Any]], dtype: str, on_duplicate_edges: str) -> Column:

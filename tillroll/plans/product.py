@@ -99,6 +99,7 @@ def product_rfm(orders: DataFrame) -> DataFrame:
     df = with_scalars(per_product.where(F.col("_last").isNotNull()), one_row).withColumn(
         "recency", dates.whole_days(F.col("_last"), F.col("_ref"))
     )
+    df = materialize(df, "products")  # the scores read it twice
     df = add_scores(
         df,
         [

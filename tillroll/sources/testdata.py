@@ -24,6 +24,9 @@ TABLES = (
 ).split()
 
 
+# Session setting for the number of partitions of the order lines.
+INPUT_PARTITIONS = "tillroll.input.partitions"
+
 # Declared schemas of the star-schema tables the adapter reads: reading with a
 # schema skips the footer-inference job a schema-less read starts per table.
 SCHEMAS = {
@@ -51,7 +54,14 @@ def orders_view(spark: SparkSession, sf_dir: str, cancel_prefix: bool = False) -
     ``cancel_prefix=True`` marks returned lines as cancellation invoices
     ('C' + order key), which is how the real data flags them.
     """
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_discount", "l_returnflag")
+    # dealt by the join key into as many partitions as a shuffle has (or the setting
+    # says), whatever the files' layout; a shuffled join on that key reuses it
+    parts = spark.conf.get(INPUT_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    li = (
+        table(spark, sf_dir, "lineitem")
+        .select("l_orderkey", "l_partkey", "l_quantity", "l_discount", "l_returnflag")
+        .repartition(int(parts), "l_orderkey")
+    )
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
