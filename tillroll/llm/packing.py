@@ -149,7 +149,7 @@ def _pieces(path: str, most: int):
         for b in batches:
             out = [[], [], [], [], []]
             text = b.column("text")
-            coded = (x for a, z in slices(text) for x in encode(text.slice(a, z - a)))
+            coded = (x for a, z in slices(text, 4 << 20) for x in encode(text.slice(a, z - a)))
             for doc, ids in zip(b.column("doc_id").to_pylist(), coded):
                 ids = ids.tobytes() + end
                 for piece, at in enumerate(range(0, len(ids), 4 * most)):
