@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tillroll.llm.audit import OP11_SQL, op11_filter_interaction_audit
 from tillroll.llm.chaining import op8_collinear_chaining
 from tillroll.llm.cotraining import op7_cotraining_quality
 from tillroll.llm.embeddings import OP2_SQL, op2_int8_near_dedup
@@ -26,6 +27,7 @@ QUERIES = {
         op8_collinear_chaining,
         op9_hierarchical_mixing,
         op10_hypergeometric_sharding,
+        op11_filter_interaction_audit,
     )
 }
 ORACLE = {
@@ -33,4 +35,5 @@ ORACLE = {
     "op4_cuckoo_line_dedup": OP4_SQL,
     "op5_setsketch_near_dedup": OP5_SQL,
     "op9_hierarchical_mixing": OP9_SQL,
+    "op11_filter_interaction_audit": OP11_SQL,
 }
