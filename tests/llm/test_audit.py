@@ -29,8 +29,8 @@ def brute_force(rows, labels):
     for i, t, *_ in rows:
         if i is not None:
             least[t or ""] = min(least.get(t or "", i), i)
-    good = {i for i, q, _ in labels if q == 1}
-    toxic = {i for i, _, x in labels if x == 1}
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, x in labels if x == 1 and i is not None}
     docs = []
     for i, t, lang, *_ in rows:
         f = failing(t or "")
