@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tillroll.llm.alignment import op13_cross_tokenizer_alignment
 from tillroll.llm.audit import OP11_SQL, op11_filter_interaction_audit
 from tillroll.llm.chaining import op8_collinear_chaining
 from tillroll.llm.cotraining import op7_cotraining_quality
@@ -13,6 +14,7 @@ from tillroll.llm.packing import op6_vector_best_fit_packing
 from tillroll.llm.secrets import op1_markov_secret_scan
 from tillroll.llm.setsketch import OP5_SQL, op5_setsketch_near_dedup
 from tillroll.llm.sharding import op10_hypergeometric_sharding
+from tillroll.llm.topk import OP12_SQL, op12_exact_topk_search
 
 QUERIES = {
     f.__name__: f
@@ -28,6 +30,8 @@ QUERIES = {
         op9_hierarchical_mixing,
         op10_hypergeometric_sharding,
         op11_filter_interaction_audit,
+        op12_exact_topk_search,
+        op13_cross_tokenizer_alignment,
     )
 }
 ORACLE = {
@@ -36,4 +40,5 @@ ORACLE = {
     "op5_setsketch_near_dedup": OP5_SQL,
     "op9_hierarchical_mixing": OP9_SQL,
     "op11_filter_interaction_audit": OP11_SQL,
+    "op12_exact_topk_search": OP12_SQL,
 }
