@@ -33,6 +33,7 @@ import json
 import re
 from array import array
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -82,6 +83,9 @@ class ByteVocabulary:
         ).encode_ordinary
         self.size = max(self.bytes) + 1
 
+    def joined(self, ids) -> bytes:
+        return b"".join(map(self.bytes.__getitem__, ids))
+
 
 class PieceVocabulary:
     """A piece vocabulary (model file): ids of a text and the bytes of each id."""
@@ -97,12 +101,15 @@ class PieceVocabulary:
         #: Whether a space can only begin a piece, so that units stand alone.
         self.by_unit = not any(re.search(f"[^{_SPACE}]{_SPACE}", model.id_to_piece(i)) for i in range(self.size))
 
+    joined = ByteVocabulary.joined
+
 
 class Units(dict):
     """Number of each unit (without its space); a new one is encoded when it is asked for."""
 
     def __init__(self, a: ByteVocabulary, b: PieceVocabulary):
         self.a, self.b = a, b
+        self.lengths = [np.array([len(v.bytes.get(i, b"")) for i in range(v.size)]) for v in (a, b)]
         self.forget()
 
     def forget(self) -> None:
@@ -117,19 +124,47 @@ class Units(dict):
             ids = vocabulary.encode(text)
             self.ids[k].extend(ids)
             self.sizes[k].append(len(ids))
-            whole &= b"".join(map(vocabulary.bytes.__getitem__, ids)) == wanted
+            whole &= vocabulary.joined(ids) == wanted
         self.whole.append(whole)
         self[unit] = n = len(self)
         return n
 
-    def of(self, text: str) -> list[int]:
-        """The units of a text that is not empty."""
-        if not self.b.by_unit:
-            return [self[text]]
-        spaced = " " + text
-        if _ODD.search(spaced):
-            return [self[u[1:]] for u in _UNIT.split(spaced) if u]
-        return list(map(self.__getitem__, text.split(" ")))
+    def learn(self, new: list[str]) -> None:
+        """Encode units that plain spaces divide as one text, cut where they end."""
+        text = " ".join(new)
+        wanted = (" " + text).encode()
+        ends = np.cumsum([len(u.encode()) + 1 for u in new])
+        found = []
+        for vocabulary, lengths, t in ((self.a, self.lengths[0], " " + text), (self.b, self.lengths[1], text)):
+            ids = vocabulary.encode(t)
+            at = np.cumsum(lengths[ids])
+            last = np.searchsorted(at, ends)
+            if vocabulary.joined(ids) != wanted or (at[last] != ends).any():
+                return  # one by one, as they are asked for
+            found.append((ids, np.diff(last, prepend=-1)))
+        for k, (ids, sizes) in enumerate(found):
+            self.ids[k].extend(ids)
+            self.sizes[k].extend(sizes.tolist())
+        self.whole.extend([1] * len(new))
+        self.update(zip(new, range(len(self), len(self) + len(new))))
+
+    def of(self, texts: list[str]) -> list[list[int]]:
+        """The units of each text; none is empty."""
+        divided: list[list[str]] = []
+        plain: set[str] = set()
+        for text in texts:
+            spaced = " " + text
+            if not self.b.by_unit:
+                divided.append([text])
+            elif _ODD.search(spaced):
+                divided.append([u[1:] for u in _UNIT.split(spaced) if u])
+            else:
+                divided.append(text.split(" "))
+                plain.update(divided[-1])
+        new = [u for u in plain if u not in self]
+        for at in range(0, len(new), 5_000):
+            self.learn(new[at : at + 5_000])
+        return [list(map(self.__getitem__, units)) for units in divided]
 
 
 def _runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -140,8 +175,9 @@ def _runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 def _nearest(a_end, b_end, low, middle, high):
     """For each interval the position in low..high nearest to the middle whose end
-    ``b_end`` has too (-1: none), in windows of doubling width about the middle."""
-    at, todo, width = np.full(len(low), -1), np.arange(len(low)), 1
+    ``b_end`` has too (-1: none), and where it has it, in windows of doubling width
+    about the middle."""
+    at, other, todo, width = np.full(len(low), -1), np.full(len(low), -1), np.arange(len(low)), 1
     while len(todo):
         m = middle[todo]
         first, last = np.maximum(low[todo], m - width + 1), np.minimum(high[todo], m + width - 1)
@@ -149,14 +185,19 @@ def _nearest(a_end, b_end, low, middle, high):
         place = _runs(first, size)
         away = place - np.repeat(m, size)
         rank = 2 * np.abs(away) + (away > 0)
-        rank[b_end[np.searchsorted(b_end, a_end[place])] != a_end[place]] = np.iinfo(np.int64).max
-        best = np.minimum.reduceat(rank, np.cumsum(size) - size)
+        end = a_end[place]
+        q = np.searchsorted(b_end, end)
+        rank[b_end[q] != end] = np.iinfo(np.int64).max
+        begin = np.cumsum(size) - size
+        best = np.minimum.reduceat(rank, begin)
         found = best < np.iinfo(np.int64).max
         d = best[found]
-        at[todo[found]] = m[found] + np.where(d % 2 == 1, 1, -1) * (d // 2)
+        p = m[found] + np.where(d % 2 == 1, 1, -1) * (d // 2)
+        at[todo[found]] = p
+        other[todo[found]] = q[begin[found] + p - first[found]]
         todo = todo[~found & ((first > low[todo]) | (last < high[todo]))]
         width *= 2
-    return at
+    return at, other
 
 
 def shared_cuts(a_end, b_end, a_sizes, b_sizes) -> tuple[np.ndarray, np.ndarray]:
@@ -174,10 +215,9 @@ def shared_cuts(a_end, b_end, a_sizes, b_sizes) -> tuple[np.ndarray, np.ndarray]
         a_low, a_high, b_low, b_high = (x[inside] for x in (a_low, a_high, b_low, b_high))
         if not len(a_low):
             return cut_a, cut_b
-        p = _nearest(a_end, b_end, a_low, (a_low + a_high - 2) // 2, a_high - 2)
+        p, q = _nearest(a_end, b_end, a_low, (a_low + a_high - 2) // 2, a_high - 2)
         found = p >= 0  # the others are leaves
-        a_low, a_high, b_low, b_high, p = (x[found] for x in (a_low, a_high, b_low, b_high, p))
-        q = np.searchsorted(b_end, a_end[p])
+        a_low, a_high, b_low, b_high, p, q = (x[found] for x in (a_low, a_high, b_low, b_high, p, q))
         cut_a[p] = True
         cut_b[q] = True
         a_low, a_high = np.concatenate([a_low, p + 1]), np.concatenate([p + 1, a_high])
@@ -220,22 +260,18 @@ class Aligner:
     def __init__(self, byte_path: str, piece_path: str):
         self.a, self.b = ByteVocabulary(byte_path), PieceVocabulary(piece_path)
         self.units = Units(self.a, self.b)
-        self.lengths = [np.array([len(v.bytes.get(i, b"")) for i in range(v.size)]) for v in (self.a, self.b)]
         self.digits = _digits(max(self.a.size, self.b.size))
 
-    def _bytes(self, vocabulary, ids) -> bytes:
-        return b"".join(map(vocabulary.bytes.__getitem__, ids.tolist()))
-
     def __call__(self, texts: list[str | None]):
         """Rows of the texts that have tokens; for these the ids of both sides one
         after another, the sizes, and the marks of the groups' ends."""
         if len(self.units) > UNITS or max(map(len, self.units.ids)) > IDS:
             self.units.forget()
         rows = [i for i, t in enumerate(texts) if t]
-        units = [self.units.of(texts[i]) for i in rows]
+        units = self.units.of([texts[i] for i in rows])
         if not rows:
             return np.zeros(0, dtype=np.int64), None
-        flat = np.fromiter((u for d in units for u in d), dtype=np.int64)
+        flat = np.fromiter(chain.from_iterable(units), dtype=np.int64)
         each = np.array(list(map(len, units)))
         first = np.cumsum(each) - each
         sides = []
@@ -246,14 +282,14 @@ class Aligner:
         for k in np.flatnonzero(~good):  # the whole text decides
             parts = [i[o[k] - s[k] : o[k]] for i, s, o in ((i, s, np.cumsum(s)) for i, s in sides)]
             spaced = b" " + texts[rows[k]].encode()
-            good[k] = all(self._bytes(v, p) == spaced for v, p in zip((self.a, self.b), parts))
+            good[k] = all(v.joined(p.tolist()) == spaced for v, p in zip((self.a, self.b), parts))
         if not good.all():
             sides = [(ids[np.repeat(good, s)], s[good]) for ids, s in sides]
         kept = np.array(rows)[good]
         if not len(kept):
             return kept, None
         (a, a_sizes), (b, b_sizes) = sides
-        ends = [np.cumsum(n[ids]) for n, ids in zip(self.lengths, (a, b))]
+        ends = [np.cumsum(n[ids]) for n, ids in zip(self.units.lengths, (a, b))]
         return kept, (a, b, a_sizes, b_sizes, *shared_cuts(*ends, a_sizes, b_sizes))
 
 
