@@ -1,12 +1,9 @@
 """Exact cut points of several orderings at once, for quintile scores.
 
-All orderings of a table — (value, key) for rank quintiles, value alone for
-value-edge quintiles — are exploded into one narrow frame (score, value, key),
-range-partitioned and sorted once, and written with each row's partition and
-place. Row counts per (partition, score), a few numbers for the driver, give every
-place's global rank, so the few rows at the wanted ranks are read off: no row of
-the wide table moves, no ordering is ever in one task, and the plan is the same
-at any size.
+The rows at the wanted ranks of all orderings — (value, key) for rank quintiles,
+value alone for value-edge quintiles — come from :mod:`tillroll.operators.selection`:
+two actions, nothing sorted or written, the same plan at any size. They become
+literals of one projection over the table, so no row of the wide table moves.
 
 For n rows with unique ranks, bucket k of 5 of rank r is
 ``1 + #{j in 1..4: r > floor(j (n-1) / 5) + 1}``: the rows at those four ranks
@@ -24,9 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.operators import binning
-from tillroll.session import materialize, release
+from tillroll.operators.selection import Ordering, order_statistics
 
-EXACT = "decimal(38,4)"
 Q = 5
 
 
@@ -42,53 +38,6 @@ class Score:
     labels: list[int]
 
 
-def order_statistics(df: DataFrame, scores: Sequence[Score]) -> list[tuple[int, dict[int, tuple[Any, Any]]]]:
-    """For each score the row count and {0-based rank: (value, key)} at the ranks
-    its cuts or edges need. The driver gets these few rows only."""
-    types = dict(df.dtypes)
-    entries = []
-    for i, s in enumerate(scores):
-        floating = types[s.value] in ("double", "float")
-        entries.append(
-            F.struct(
-                F.lit(i).alias("idx"),
-                (F.lit(None) if floating else F.col(s.value)).cast(EXACT).alias("exact"),
-                (F.col(s.value) if floating else F.lit(None)).cast("double").alias("real"),
-                F.col(s.key).alias("key"),
-            )
-        )
-    order = ["idx", "exact", "real", "key"]
-    narrow = df.select(F.explode(F.array(*entries)).alias("s")).select("s.*").where("exact IS NOT NULL OR real IS NOT NULL")
-    placed = materialize(
-        narrow.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn("_at", F.monotonically_increasing_id()),
-        "cut_points",
-    )
-    # a row for each (partition, score) comes to the driver, and then the wanted rows
-    parts = placed.groupBy("_part", "idx").agg(F.count(F.lit(1)).alias("rows"), F.min("_at").alias("first")).collect()
-    out: list[tuple[int, dict[int, tuple[Any, Any]]]] = []
-    places: dict[int, dict[int, int]] = {}
-    for i, s in enumerate(scores):
-        own = sorted((p["_part"], p["rows"], p["first"]) for p in parts if p["idx"] == i)
-        n = sum(rows for _, rows, _ in own)
-        out.append((n, {}))
-        for rank in _ranks(s, n) if n > 1 else ():
-            left = rank
-            for _, rows, first in own:
-                if left < rows:
-                    places.setdefault(first + left, {})[i] = rank
-                    break
-                left -= rows
-    if places:
-        for r in placed.where(F.col("_at").isin(sorted(places))).select("idx", "_at", "exact", "real", "key").collect():
-            value = r["exact"] if r["exact"] is not None else r["real"]
-            out[r["idx"]][1][places[r["_at"]][r["idx"]]] = (value, r["key"])
-    release(placed)
-    return out
-
-
 def _ranks(score: Score, n: int) -> set[int]:
     """0-based ranks of the rows that the score's cuts or edges are read from."""
     if score.kind == "rank":
@@ -96,6 +45,12 @@ def _ranks(score: Score, n: int) -> set[int]:
     return {f(float(n - 1) * p) for p in binning.quantile_probs(Q) for f in (math.floor, math.ceil)}
 
 
+def _ordering(score: Score) -> Ordering:
+    ends = (0.0, 1.0) if score.kind == "value" else ()
+    near = tuple(sorted({*ends, *binning.quantile_probs(Q)[1:-1]}))
+    return Ordering(score.value, score.key if score.kind == "rank" else None, lambda n: _ranks(score, n) if n > 1 else set(), near)
+
+
 def _bucket(score: Score, n: int, rows: dict[int, tuple[Any, Any]], dtype: str, on_duplicate_edges: str) -> Column:
     v, key = F.col(score.value), F.col(score.key)
     if n <= 1:
@@ -119,12 +74,12 @@ def _bucket(score: Score, n: int, rows: dict[int, tuple[Any, Any]], dtype: str,
 
 
 def add_scores(df: DataFrame, scores: Sequence[Score], on_duplicate_edges: str = binning.RAISE) -> DataFrame:
-    """Every score column in one projection over ``df`` (read once for the cut
+    """Every score column in one projection over ``df`` (read twice for the cut
     points and once by the result; give a written table)."""
     if on_duplicate_edges not in (binning.RAISE, binning.COLLAPSE):
         raise ValueError(f"unknown duplicate-edge policy {on_duplicate_edges!r}")
     types = dict(df.dtypes)
-    found = order_statistics(df, scores)
+    found = order_statistics(df, [_ordering(s) for s in scores])
     outs = [
         binning.label(_bucket(s, n, rows, types[s.value], on_duplicate_edges), s.labels).alias(s.out)
         for s, (n, rows) in zip(scores, found)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tillroll.functions import dates, labels
 from tillroll.operators import binning
 from tillroll.operators.cutpoints import Score, add_scores
-from tillroll.plans.common import require_rows, with_scalars
+from tillroll.plans.common import require_rows, with_latest
 from tillroll.plans.customers import customer_base
 
 CHURN_COLUMNS = [
@@ -39,10 +39,10 @@ def churn_risk(
     """``base``: a :func:`customer_base` already built from the same orders."""
     per_customer, rows = base if base is not None else customer_base(orders, with_invoices=False)
     require_rows(rows, "churn")
-    one_row = per_customer.agg(F.max("last_purchase").alias("_ref"), F.max("first_purchase").alias("_latest_first"))
     days = dates.whole_days(F.col("first_purchase"), F.col("_latest_first"))
     # a customer whose dates are all missing has no recency: left out before scoring
-    df = with_scalars(per_customer.where(F.col("last_purchase").isNotNull()), one_row).select(
+    dated = per_customer.where(F.col("last_purchase").isNotNull())
+    df = with_latest(dated, per_customer, _ref="last_purchase", _latest_first="first_purchase").select(
         "customer_id",
         dates.whole_days(F.col("last_purchase"), F.col("_ref")).alias("recency"),
         F.col("lines").alias("frequency"),

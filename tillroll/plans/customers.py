@@ -18,13 +18,14 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import money
 from tillroll.plans.common import valid_customer, with_amount
-from tillroll.session import materialize
+from tillroll.session import materialize, observed
 
 
 def customer_base(
     orders: DataFrame, name: str = "customers", with_invoices: bool = True
 ) -> tuple[DataFrame, int]:
-    """(table, row count). Columns: customer_id, last_purchase, first_purchase,
+    """(table, row count), the count and the latest dates observed as the table is
+    written. Columns: customer_id, last_purchase, first_purchase,
     invoices, lines, net_amount, gross_amount, first_sale, last_sale.
 
     ``with_invoices=False`` leaves ``invoices`` NULL and skips the distinct
@@ -46,5 +47,6 @@ def customer_base(
             F.max(F.when(pos, date)).alias("last_sale"),
         ),
         name,
+        {"last_purchase": F.max("last_purchase"), "first_purchase": F.max("first_purchase")},
     )
-    return base, base.count()
+    return base, observed(base)["rows"]

@@ -7,10 +7,10 @@ whole days), invoice count and revenue. A customer buying in two countries
 counts in both. Class from the revenue 75th percentile and recency 25th /
 50th percentiles across countries; priority rank by revenue (ties by name).
 
-Plan: one pass over the lines with two grouping sets, (country, customer) and
-(country), written once; every country figure is read or rolled up from that
-small table. The distinct-invoice count shuffles on (country, customer,
-invoice) after map-side combining, so a country holding most rows is spread
+Plan: one pass over the lines to the finest grain, (country, customer, invoice),
+written once and rolled up twice: to customers of a country (whose invoices are
+then rows) and to the distinct invoices of a country. The grain shuffles after
+map-side combining on all three keys, so a country holding most rows is spread
 over many tasks.
 """
 
@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions import dates, labels, money
-from tillroll.plans.common import positive_sales, require_rows, with_amount, with_scalars
-from tillroll.session import materialize
+from tillroll.plans.common import positive_sales, require_rows, with_amount, with_latest, with_scalars
+from tillroll.session import materialize, observed
 
 GEO_COLUMNS = [
     "country",
@@ -40,32 +40,23 @@ GEO_COLUMNS = [
 
 def geographic_analysis(orders: DataFrame) -> DataFrame:
     lines = with_amount(positive_sales(orders))
-    # one pass, two grouping sets, written once:
-    #   (country, customer_id): last date, distinct invoices, revenue
-    #   (country):              last date, distinct invoices (= total orders, exact
-    #                           even if an invoice spanned customers)
-    # the unnamed country is a group of its own, so the reference date covers
-    # every line
-    sets = materialize(
-        lines.groupingSets([["country", "customer_id"], ["country"]], "country", "customer_id").agg(
-            F.grouping_id().alias("_gid"),
-            F.max("invoice_date").alias("_last"),
-            F.count_distinct("invoice").alias("_invoices"),
-            money.money_sum(F.col("amount")).alias("_amount"),
+    # the unnamed country is part of the grain, so the reference date covers every line
+    grain = materialize(
+        lines.groupBy("country", "customer_id", "invoice").agg(
+            F.max("invoice_date").alias("_last"), money.money_sum(F.col("amount")).alias("_amount")
         ),
-        "country_sets",
-    )
-    countries = sets.where(F.col("_gid") == 1)
-    require_rows(countries.limit(1).count(), "geographic analysis")
-    one_row = countries.agg(F.max("_last").alias("_ref"))
-    per_customer = with_scalars(
-        sets.where((F.col("_gid") == 0) & F.col("country").isNotNull()), one_row
-    ).select(
-        "country",
-        F.col("_invoices").alias("_freq"),
-        F.col("_amount").alias("_mon"),
-        dates.whole_days(F.col("_last"), F.col("_ref")).alias("_rec"),
+        "country_invoices",
+        {"_last": F.max("_last")},
     )
+    require_rows(observed(grain)["rows"], "geographic analysis")
+    named = grain.where(F.col("country").isNotNull())
+    per_customer = with_latest(
+        named.groupBy("country", "customer_id").agg(
+            F.max("_last").alias("_last"), F.count("invoice").alias("_freq"), money.money_sum(F.col("_amount")).alias("_mon")
+        ),
+        grain,
+        _ref="_last",
+    ).select("country", "_freq", "_mon", dates.whole_days(F.col("_last"), F.col("_ref")).alias("_rec"))
     per_country = per_customer.groupBy("country").agg(
         F.count(F.lit(1)).alias("total_customers"),
         money.money_sum(F.col("_mon")).alias("total_revenue"),
@@ -73,9 +64,8 @@ def geographic_analysis(orders: DataFrame) -> DataFrame:
         money.exact_mean(F.col("_freq")).alias("frequency_avg"),
         money.exact_mean(F.col("_mon")).alias("monetary_avg"),
     )
-    orders_per_country = countries.where(F.col("country").isNotNull()).select(
-        "country", F.col("_invoices").alias("total_orders")
-    )
+    # distinct in the country, even if an invoice spans customers
+    orders_per_country = named.groupBy("country").agg(F.count_distinct("invoice").alias("total_orders"))
     geo = per_country.join(orders_per_country, "country")
     # class thresholds: exact percentiles across countries (bounded by the number of countries)
     thresholds = geo.agg(

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from tillroll.functions import dates, labels, money
 from tillroll.operators import binning
 from tillroll.operators.cutpoints import Score, add_scores
-from tillroll.plans.common import positive_sales, require_rows, with_amount, with_scalars
-from tillroll.session import materialize
+from tillroll.plans.common import positive_sales, require_rows, with_amount, with_latest
+from tillroll.session import materialize, observed
 
 PRODUCT_COLUMNS = [
     "stock_code",
@@ -42,64 +42,38 @@ def _pick_description(pairs: DataFrame) -> DataFrame:
 
 
 def product_table(lines: DataFrame) -> DataFrame:
-    """One pass over the lines, written once, holding two grains:
+    """Per stock code: last date, distinct customers, revenue, mean line price,
+    quantity; written once. One distinct count only, so no line is emitted twice:
+    partial sums by (product, customer) travel, then products."""
+    return materialize(
+        lines.groupBy("stock_code")
+        .agg(
+            F.max("invoice_date").alias("_last"),
+            F.count_distinct("customer_id").cast("int").alias("total_customers"),
+            money.money_sum(F.col("amount")).alias("monetary"),
+            money.exact_mean(F.col("price")).alias("avg_price"),
+            F.sum("quantity").cast("long").alias("total_quantity"),
+        ),
+        "products",
+        {"_last": F.max("_last")},
+    )
 
-    * set 0, (stock_code): last date, distinct customers, revenue, price
-      sum/count, quantity;
-    * set 1, (stock_code, description): first date of each non-null description.
 
-    Each line is emitted once per set (a two-element explode, no second scan).
-    Set-1 rows carry no customer, so the map-side aggregate collapses them to one
-    row per (product, description) and only set-0 rows travel at the
-    (product, customer) grain the distinct count needs. Every buffer is
-    fixed-width; the pick of the first description runs on the small pair grain.
-    """
-    s = F.col("_set")
-    tagged = lines.select(
-        "stock_code", "customer_id", "description", "invoice_date", "amount", "price", "quantity",
-        F.explode(F.array(F.lit(0), F.lit(1))).alias("_set"),
-    )
-    keyed = tagged.select(
-        "_set",
-        "stock_code",
-        F.when(s == 1, F.col("description")).alias("description"),
-        F.when(s == 0, F.col("customer_id")).alias("customer_id"),
-        "invoice_date",
-        F.when(s == 0, F.col("amount")).alias("amount"),
-        F.when(s == 0, F.col("price")).alias("price"),
-        F.when(s == 0, F.col("quantity")).alias("quantity"),
-    ).where((s == 0) | F.col("description").isNotNull())
-    both = keyed.groupBy("_set", "stock_code", "description").agg(
-        F.max("invoice_date").alias("_last"),
-        F.count_distinct("customer_id").cast("int").alias("total_customers"),
-        money.money_sum(F.col("amount")).alias("monetary"),
-        F.sum(F.col("price")).alias("_price_sum"),
-        F.count(F.col("price")).alias("_price_n"),
-        F.sum("quantity").cast("long").alias("total_quantity"),
-        F.min("invoice_date").alias("_first"),
-    )
-    table = materialize(both, "product_sets")
-    per_product = table.where(s == 0).select(
-        "stock_code",
-        "_last",
-        "total_customers",
-        "monetary",
-        (F.col("_price_sum").cast("double") / F.col("_price_n").cast("double")).alias("avg_price"),
-        "total_quantity",
-    )
-    pairs = table.where(s == 1).select("stock_code", "description", "_first")
-    return per_product.join(_pick_description(pairs), "stock_code", "left")
+def product_names(lines: DataFrame) -> DataFrame:
+    """(stock_code, product_name): a pass over three columns of the lines that
+    leaves one row for each (product, description) of a map task."""
+    described = lines.where(F.col("description").isNotNull())
+    return _pick_description(described.groupBy("stock_code", "description").agg(F.min("invoice_date").alias("_first")))
 
 
 def product_rfm(orders: DataFrame) -> DataFrame:
-    per_product = product_table(with_amount(positive_sales(orders)))
-    require_rows(per_product.limit(1).count(), "product RFM")
-    one_row = per_product.agg(F.max("_last").alias("_ref"))
+    lines = positive_sales(orders)
+    per_product = product_table(with_amount(lines))
+    require_rows(observed(per_product)["rows"], "product RFM")
     # a product whose dates are all missing has no recency: left out before scoring
-    df = with_scalars(per_product.where(F.col("_last").isNotNull()), one_row).withColumn(
+    df = with_latest(per_product.where(F.col("_last").isNotNull()), per_product, _ref="_last").withColumn(
         "recency", dates.whole_days(F.col("_last"), F.col("_ref"))
     )
-    df = materialize(df, "products")  # the scores read it twice
     df = add_scores(
         df,
         [
@@ -108,7 +82,7 @@ def product_rfm(orders: DataFrame) -> DataFrame:
             Score("rank", "monetary", "stock_code", "m_score", binning.DIRECT),
         ],
     )
-    return df.select(
+    return df.join(product_names(lines), "stock_code", "left").select(
         "stock_code",
         "product_name",
         "recency",

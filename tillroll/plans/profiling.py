@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import dates, money
-from tillroll.operators import stats
+from tillroll.operators import distinct, stats
 from tillroll.schemas import ORDER_COLUMNS
 
 NUMERIC_COLUMNS = ["quantity", "price", "customer_id"]
@@ -64,12 +64,11 @@ def duplicates(orders: DataFrame) -> DataFrame:
 
 
 def distinct_counts(orders: DataFrame) -> DataFrame:
-    return orders.agg(
-        F.count_distinct("customer_id").alias("customers"),
-        F.count_if(F.col("customer_id").isNull()).alias("rows_without_customer"),
-        F.count_distinct("invoice").alias("invoices"),
-        F.count_distinct("country").alias("countries"),
-    )
+    """Each column counted on its own; no row is expanded."""
+    names = {"customer_id": "customers", "invoice": "invoices", "country": "countries"}
+    missing = orders.agg(F.count_if(F.col("customer_id").isNull()).alias("rows_without_customer"))
+    counts = distinct.side_by_side(missing, *(distinct.distinct_count(orders, c, n) for c, n in names.items()))
+    return counts.select("customers", "rows_without_customer", "invoices", "countries")
 
 
 def top_countries_by_rows(orders: DataFrame, k: int = TOP_COUNTRY_ROWS) -> DataFrame:

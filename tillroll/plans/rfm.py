@@ -22,7 +22,7 @@ from tillroll.operators import binning
 from tillroll.plans.customers import customer_base
 from tillroll.plans import cleaning
 from tillroll.operators.cutpoints import Score, add_scores
-from tillroll.plans.common import require_rows, with_scalars
+from tillroll.plans.common import require_rows, with_latest
 
 RFM_COLUMNS = [
     "customer_id",
@@ -45,16 +45,15 @@ def customer_metrics(
 
     Derived from the shared customer-grain table (one pass over the lines,
     written once); the reference date is its latest last purchase (= the
-    latest line date), attached as a one-row broadcast. An empty input fails.
+    latest line date), known since the table was written. An empty input fails.
     """
     table, rows = base if base is not None else customer_base(lines)
     ref = F.col("_ref")
     if reference_shift_days:
         ref = dates.plus_days(ref, reference_shift_days)
     require_rows(rows, "customer RFM")
-    one_row = table.agg(F.max("last_purchase").alias("_ref"))
     # a customer whose dates are all missing has no recency: left out before scoring
-    metrics = with_scalars(table.where(F.col("last_purchase").isNotNull()), one_row).select(
+    metrics = with_latest(table.where(F.col("last_purchase").isNotNull()), table, _ref="last_purchase").select(
         "customer_id",
         dates.whole_days(F.col("last_purchase"), ref).alias("recency"),
         F.col("invoices").alias("frequency"),

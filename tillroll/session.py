@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every session should carry: wall-clock arithmetic in UTC, ANSI
 # semantics, adaptive execution (partition coalescing, skew-join splitting).
@@ -90,7 +92,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     )
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", observe: dict[str, Column] | None = None) -> DataFrame:
     """Write ``df`` once as a parquet table under the shared checkpoint folder
     and return a frame reading it back.
 
@@ -100,15 +102,30 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     compressed files. Never a local checkpoint or machine-local folder: a lost
     executor must not force a recomputation that could produce different rows
     or partitions.
+
+    ``observe``: aggregates taken of the rows as they are written, without a job of
+    their own; :func:`observed` gives their values (with ``rows``, the row count).
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    seen = None
+    if observe is not None:
+        seen = Observation()
+        df = df.observe(seen, F.count(F.lit(1)).alias("rows"), *(c.alias(k) for k, c in observe.items()))
     df.write.mode("error").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch_path = path
+    if seen is not None:
+        # a plan without rows may be cut off above the observation
+        out._observed = {"rows": 0, **dict.fromkeys(observe), **seen.get}
     return out
 
 
+def observed(df: DataFrame) -> dict[str, Any] | None:
+    """The aggregates taken when the table was written, if any were."""
+    return getattr(df, "_observed", None)
+
+
 def release(*frames: DataFrame) -> None:
     """Delete the tables behind materialized frames whose last reader is done."""
     for df in frames:
