@@ -10,7 +10,7 @@ import pytest
 
 from tests.conftest import SF_SMALL
 from tillroll import registry, session
-from tillroll.operators import cutpoints, ranking
+from tillroll.operators import ranking
 from tillroll.plans import customers, geo, product
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="test tables not present")
@@ -30,11 +30,11 @@ def plans(spark):
     captured = {}
     orig = session.materialize
 
-    def recording(df, name="table"):
+    def recording(df, name="table", observe=None):
         captured.setdefault(name, _plan(df))
-        return orig(df, name)
+        return orig(df, name, observe)
 
-    mods = (customers, product, geo, cutpoints, ranking)
+    mods = (customers, product, geo, ranking)
     for m in mods:
         m.materialize = recording
     try:
@@ -58,18 +58,19 @@ def _reads_lines(text: str) -> bool:
 def test_line_passes_are_hash_aggregates_with_partial_step(plans):
     written, _ = plans
     line_passes = {k: v for k, v in written.items() if _reads_lines(v)}
-    assert {"customers", "product_sets", "country_sets"} <= set(line_passes)
+    assert {"customers", "products", "country_invoices"} <= set(line_passes)
     for name, text in line_passes.items():
         assert "SortAggregate" not in text, name
         assert "partial_" in text, name
         # every exchange above the scan feeds on a partial aggregate or the input spread
         assert "CartesianProduct" not in text, name
+        assert "Expand" not in text and "Generate" not in text, name  # no line is emitted twice
 
 
 def test_scans_read_only_needed_columns(plans):
     written, _ = plans
     assert all("stock_code" not in s for s in _line_schemas(written["customers"]))
-    assert all("country" not in s for s in _line_schemas(written["product_sets"]))
+    assert all("country" not in s for s in _line_schemas(written["products"]))
     for name, text in written.items():
         for schema in re.findall(r"lineitem\.parquet.*?ReadSchema: struct<([^>]*)>", text):
             assert "l_extendedprice" not in schema and "l_tax" not in schema and "l_shipdate" not in schema, name
@@ -78,18 +79,28 @@ def test_scans_read_only_needed_columns(plans):
 def test_final_plans_read_only_written_tables(plans):
     _, finals = plans
     for name, text in finals.items():
-        assert not _reads_lines(text), name  # scoring never rescans the lines
+        if name == "product_rfm":  # the names: three columns, a row for each (product, description) of a task
+            assert all(set(re.findall(r"(\w+):", x)) <= {"stock_code", "description", "invoice_date", "customer_id", "quantity", "price"} for x in _line_schemas(text))
+            assert "Expand" not in text and "Generate" not in text
+        else:
+            assert not _reads_lines(text), name  # scoring never rescans the lines
         assert "CartesianProduct" not in text, name
 
 
-def test_no_ordering_of_a_grain_table_is_in_one_task(plans):
+def test_no_ordering_of_a_grain_table_is_sorted_or_in_one_task(plans):
     written, finals = plans
-    assert "rangepartitioning" in written["cut_points"]
-    for name, text in {**finals, "cut_points": written["cut_points"]}.items():
+    assert "cut_points" not in written
+    for name, text in finals.items():
         if name == "geographic_analysis":  # its ranks are over the countries
             continue
+        assert "rangepartitioning" not in text and "Window" not in text, name
         lines = text.splitlines()
         for here, below in zip(lines, lines[1:]):
             if "SinglePartition" in here:  # one-row aggregates only
                 assert "HashAggregate(keys=[]" in below, name
-        assert "Window" not in text, name
+
+
+@pytest.mark.parametrize("name", ["kpis", "distinct_counts"])
+def test_distinct_counts_do_not_expand_the_lines(spark, name):
+    text = _plan(registry.QUERIES[name](spark, SF_SMALL))
+    assert "Expand" not in text and "Generate" not in text

@@ -6,8 +6,8 @@ Two actions over a table, however many orderings and ranks are asked for:
    it (``percentile_approx``: mergeable, bounded by ``ACCURACY``). The sketch's
    rank error is n / ACCURACY at most, so two of its values bracket each wanted
    rank for certain.
-2. A second aggregate counts the rows below each bracket, and the few rows inside
-   are counted by value, summed up in order and read off at the wanted ranks.
+2. A second aggregate counts the rows between the brackets, and the few rows inside
+   by value; a running sum along each ordering gives the wanted ranks.
 
 No range shuffle, no written table, no row outside a bracket moves; what comes to
 the driver is one row of sketch values and one row for each wanted rank.
@@ -25,7 +25,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Size of a sketch: its rank error is a share 1 / ACCURACY of the rows.
@@ -47,18 +47,23 @@ class Ordering:
     near: tuple[float, ...]
 
 
-def _follows(value: Column, value_type: str, key: Column | None, key_type: str | None) -> Column:
-    """A double that never falls along (value, key)."""
-    if key is None or value_type in _FLOATING:
-        return value.cast("double")
+def _quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def _follows(o: Ordering, types: dict[str, str]) -> str:
+    """SQL of a double that never falls along (value, key)."""
+    value, value_type = _quoted(o.value), types[o.value]
+    if o.key is None or value_type in _FLOATING:
+        return f"cast({value} AS double)"
     scale = int(value_type.rstrip(")").split(",")[1]) if value_type.startswith("decimal") else 0
-    whole = F.rint(value.cast("double") * F.lit(float(10**scale)))
+    whole, key, key_type = f"rint(cast({value} AS double) * 1e{scale}D)", _quoted(o.key), types[o.key]
     if key_type == "string":  # the first six bytes, as Spark orders strings
-        first = F.rpad(F.hex(F.substring(F.encode(key, "UTF-8"), 1, 6)), 12, "0")
-        return whole + F.conv(first, 16, 10).cast("double") / F.lit(float(2**48))
-    number = key.cast("double")
-    most = 130.0 if key_type in ("tinyint", "smallint", "int", "bigint") else 2100.0  # over twice any logarithm
-    return whole + F.lit(0.5) + F.signum(number) * F.log2(F.abs(number) + 1.0) / F.lit(most)
+        first = f"rpad(hex(substring(encode({key}, 'UTF-8'), 1, 6)), 12, '0')"
+        return f"{whole} + cast(conv({first}, 16, 10) AS double) / {2**48}.0D"
+    number = f"cast({key} AS double)"
+    most = "130D" if key_type in ("tinyint", "smallint", "int", "bigint") else "2100D"  # over twice any logarithm
+    return f"{whole} + 0.5D + signum({number}) * log2(abs({number}) + 1D) / {most}"
 
 
 def _grid(near: Sequence[float]) -> list[float]:
@@ -67,78 +72,90 @@ def _grid(near: Sequence[float]) -> list[float]:
     return sorted({0.0, 1.0, *(p for f in near for s in steps for p in (f - s, f + s) if 0.0 < p < 1.0)})
 
 
-def _bracket(rank: int, n: int, grid: list[float], values: list[float]) -> tuple[float | None, float | None]:
-    """Sketch values that hold the rank between them for certain (None: open)."""
+def _bracket(rank: int, n: int, grid: list[float], values: list[float]) -> tuple[float, float]:
+    """Sketch values that hold the rank between them for certain (infinite: open)."""
     error = 1.0 / ACCURACY
     below = [v for p, v in zip(grid, values) if p <= (rank - 1) / n - error]
     above = [v for p, v in zip(grid, values) if p >= (rank + 2) / n + error]
-    return (below[-1] if below else None), (above[0] if above else None)
+    return (below[-1] if below else -math.inf), (above[0] if above else math.inf)
 
 
 def order_statistics(df: DataFrame, orderings: Sequence[Ordering]) -> list[tuple[int, dict[int, tuple[Any, Any]]]]:
     """For each ordering its row count and {rank: (value, key)}; a decimal or whole
     value comes as a decimal, a floating one as a float."""
     types = dict(df.dtypes)
-    follows = [
-        _follows(F.col(o.value), types[o.value], None if o.key is None else F.col(o.key), types.get(o.key)) for o in orderings
-    ]
+    follows = [_follows(o, types) for o in orderings]
     grids = [_grid(o.near) for o in orderings]
-    sketch = df.agg(
-        *(F.count(o.value).alias(f"n{i}") for i, o in enumerate(orderings)),
-        *(F.percentile_approx(x, F.array(*map(F.lit, g)), F.lit(ACCURACY)).alias(f"q{i}") for i, (x, g) in enumerate(zip(follows, grids))),
+    sketch = df.selectExpr(
+        *(f"count({_quoted(o.value)}) AS n{i}" for i, o in enumerate(orderings)),
+        *(f"percentile_approx({x}, array({', '.join(f'{p!r}D' for p in g)}), {ACCURACY}) AS q{i}" for i, (x, g) in enumerate(zip(follows, grids))),
     ).first()
     out: list[tuple[int, dict[int, tuple[Any, Any]]]] = [(sketch[f"n{i}"], {}) for i in range(len(orderings))]
-    brackets: dict[tuple, set[int]] = {}
-    for i, o in enumerate(orderings):
-        n = out[i][0]
-        for rank in o.ranks(n) if n else ():
-            brackets.setdefault((i, *_bracket(rank, n, grids[i], sketch[f"q{i}"])), set()).add(rank)
-    _pick(df, orderings, follows, types, brackets, out)
-    missing = {(i, None, None): o.ranks(out[i][0]) - set(out[i][1]) for i, o in enumerate(orderings) if out[i][0]}
+    wanted = [o.ranks(n) if n else set() for o, (n, _) in zip(orderings, out)]
+    around = [
+        _apart([_bracket(r, n, grids[i], sketch[f"q{i}"]) for r in ranks]) for i, (ranks, (n, _)) in enumerate(zip(wanted, out))
+    ]
+    _pick(df, orderings, follows, types, wanted, around, out)
+    missing = [ranks - set(found) for ranks, (_, found) in zip(wanted, out)]
     # only if a sketch broke its bound: the whole ordering is the bracket
-    _pick(df, orderings, follows, types, {b: ranks for b, ranks in missing.items() if ranks}, out)
+    _pick(df, orderings, follows, types, missing, [[(-math.inf, math.inf)] if m else [] for m in missing], out)
     return out
 
 
-def _pick(df, orderings, follows, types, brackets, out) -> None:
-    if not brackets:
+def _apart(brackets: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    """The brackets in order, those that meet as one."""
+    out: list[tuple[float, float]] = []
+    for low, high in sorted(brackets):
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(high, out[-1][1]))
+        else:
+            out.append((low, high))
+    return out
+
+
+def _zone(x: str, brackets: list[tuple[float, float]]) -> str:
+    """SQL of where x lies: 2 j + 1 in bracket j, an even number before or after it."""
+    cases = []
+    for j, (low, high) in enumerate(brackets):
+        if low != -math.inf:
+            cases.append(f"WHEN {x} < {low!r}D THEN {2 * j}")
+        cases.append(f"WHEN {x} <= {high!r}D THEN {2 * j + 1}" if high != math.inf else f"WHEN {x} IS NOT NULL THEN {2 * j + 1}")
+    return f"CASE {' '.join(cases)} WHEN {x} IS NOT NULL THEN {2 * len(brackets)} END"
+
+
+def _pick(df, orderings, follows, types, wanted, around, out) -> None:
+    """Count rows by zone, those in a bracket by (value, key) too: one aggregate, whose
+    running sum along each ordering gives every rank in a bracket."""
+    used = [i for i, ranks in enumerate(wanted) if ranks]
+    if not used:
         return
-    below, inside, wanted = [], [], []
-    for j, ((i, low, high), ranks) in enumerate(brackets.items()):
-        o, x = orderings[i], follows[i]
-        floating = types[o.value] in _FLOATING
-        below.append(F.count_if(x < F.lit(low)) if low is not None else F.lit(0).cast("long"))
-        held = F.col(o.value).isNotNull()
-        held = held if low is None else held & (x >= F.lit(low))
-        held = held if high is None else held & (x <= F.lit(high))
-        key_type = next((types[k.key] for k in orderings if k.key is not None), "string")
-        row = F.struct(
-            F.lit(j).alias("bracket"),
-            (F.lit(None) if floating else F.col(o.value)).cast(EXACT).alias("exact"),
-            (F.col(o.value) if floating else F.lit(None)).cast("double").alias("real"),
-            (F.lit(None) if o.key is None else F.col(o.key)).cast(key_type).alias("key"),
+    key_type = next((types[o.key] for o in orderings if o.key is not None), "string")
+    named = [_quoted(c) for c in dict.fromkeys(c for i in used for c in (orderings[i].value, orderings[i].key) if c is not None)]
+    entries, holds = [], []
+    for i in used:
+        o, inside = orderings[i], f"_z{i} % 2 = 1"
+        value = f"CASE WHEN {inside} THEN {_quoted(o.value)} END"
+        exact, real = ("NULL", value) if types[o.value] in _FLOATING else (value, "NULL")
+        key = "NULL" if o.key is None else f"CASE WHEN {inside} THEN {_quoted(o.key)} END"
+        entries.append(
+            f"named_struct('idx', {i}, 'zone', _z{i}, 'exact', cast({exact} AS {EXACT}), 'real', cast({real} AS double), 'key', cast({key} AS {key_type}))"
         )
-        inside.append(F.when(held, row))
-        wanted.append(F.array(*(F.lit(r).cast("long") for r in sorted(ranks))))
-    order = ["exact", "real", "key"]
-    rows = df.select(F.explode(F.filter(F.array(*inside), lambda r: r.isNotNull())).alias("r")).select("r.*")
-    counted = rows.groupBy("bracket", *order).agg(F.count(F.lit(1)).alias("n"))  # equal rows meet before they move
-    upto = F.sum("n").over(Window.partitionBy("bracket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    starts = df.agg(F.array(*below).alias("below"))
-    place = F.element_at("below", F.col("bracket") + 1) + F.col("upto")
-    found = (
-        counted.withColumn("upto", upto)
-        .crossJoin(F.broadcast(starts))  # one row
-        .withColumn("end", place)
-        .withColumn("ranks", F.filter(F.element_at(F.array(*wanted), F.col("bracket") + 1), lambda r: (r < F.col("end")) & (r >= F.col("end") - F.col("n"))))
-        .where(F.size("ranks") > 0)
-        .select("bracket", *order, "ranks")
+        holds += [f"(idx = {i} AND upto > {r} AND upto - n <= {r})" for r in sorted(wanted[i])]
+    order = ["zone", "exact", "real", "key"]
+    counted = (
+        df.selectExpr(*named, *(f"{follows[i]} AS _x{i}" for i in used))
+        .selectExpr(*named, *(f"{_zone(f'_x{i}', around[i])} AS _z{i}" for i in used))
+        .selectExpr(f"inline(array({', '.join(entries)}))")
+        .where("zone IS NOT NULL")
+        .groupBy("idx", *order)  # equal rows meet before they move
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    names = list(brackets)
-    for r in found.collect():
+    upto = F.sum("n").over(Window.partitionBy("idx").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    for r in counted.withColumn("upto", upto).where(f"zone % 2 = 1 AND ({' OR '.join(holds)})").collect():
         value = r["exact"] if r["exact"] is not None else r["real"]
-        for rank in r["ranks"]:
-            out[names[r["bracket"]][0]][1][rank] = (value, r["key"])
+        for rank in wanted[r["idx"]]:
+            if r["upto"] - r["n"] <= rank < r["upto"]:
+                out[r["idx"]][1][rank] = (value, r["key"])
 
 
 def linear_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> list[tuple[int, list[float] | None]]:

@@ -27,6 +27,8 @@ BASE_CONF = {
     "spark.sql.exchange.reuse": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # no call site for every column expression: it costs more than the planning
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
