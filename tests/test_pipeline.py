@@ -5,7 +5,7 @@ import pytest
 
 from tests.conftest import SF_SMALL
 from tillroll.plans import pipeline, publish, rfm
-from tillroll.sources import tables
+from tillroll.sources import keyed
 from tillroll.sources.testdata import orders_view
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="test tables not present")
@@ -25,7 +25,7 @@ def test_pipeline_writes_every_table(spark):
     assert raw.select("transaction_id").distinct().count() == raw.count()
     rfm_rows = spark.read.parquet(paths["rfm_analysis"])
     assert sorted(rfm_rows.collect()) == sorted(rfm.customer_rfm(orders).collect())
-    results = spark.read.parquet(paths["rfm_results"])
+    results = pipeline.read_table(spark, "rfm_results", paths["rfm_results"])
     assert results.count() == rfm_rows.count()
     assert dict(results.dtypes)["monetary"] == "decimal(10,2)"
 
@@ -33,13 +33,12 @@ def test_pipeline_writes_every_table(spark):
 def test_publish_twice_is_idempotent(spark):
     base = tempfile.mkdtemp(prefix="tillroll-pub-") + "/rfm_results"
     scores = rfm.customer_rfm(orders_view(spark, SF_SMALL))
-    first = publish.publish_results(spark, scores, base)
-    second = publish.publish_results(spark, scores, base)
-    assert tables.versions(spark, base) == [1, 2]
+    publish.publish_results(spark, scores, base)
+    publish.publish_results(spark, scores, base)
+    assert keyed.manifests(spark, base) == [1, 2]
     cols = rfm.RFM_COLUMNS + ["created_at"]
-    a = sorted(spark.read.parquet(first).select(*cols).collect())
-    b = sorted(spark.read.parquet(second).select(*cols).collect())
-    assert a == b
+    a, b = (sorted(keyed.read(spark, base, v).select(*cols).collect()) for v in (1, 2))
+    assert a == b and len(a) == scores.count()
 
 
 def test_mart_cache_ttl_and_refresh(spark):

@@ -41,6 +41,11 @@ def run_pipeline(
     return paths
 
 
+def read_table(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """A table of :func:`run_pipeline` by its name and path."""
+    return publish.read_results(spark, path) if name == "rfm_results" else spark.read.parquet(path)
+
+
 def export_reports(spark: SparkSession, paths: dict[str, str], out_dir: str, rfm_filter: dict | None = None) -> dict[str, str]:
     """The three downloadable reports: the RFM detail table as filtered
     (``rfm_filter``: arguments of ``dashboard.filter_rfm``; None keeps all), the

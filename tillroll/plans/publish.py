@@ -1,8 +1,9 @@
 """Publishing the customer RFM table: guard against an empty input, round
-monetary to DECIMAL(10,2) (half up; overflow fails under ANSI), upsert on
+monetary to DECIMAL(10,2) (half up; overflow fails under ANSI), merge on
 customer id into the persisted results (customers absent from this run keep
-their previous row), write a new table version, check its row count against
-what both inputs hold."""
+their previous row). The results are a keyed table (``sources.keyed``): only the
+buckets that the run touches are rewritten, row counts are observed as they are
+written and checked against what both inputs hold, old versions are deleted."""
 
 from __future__ import annotations
 
@@ -10,8 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.plans.rfm import RFM_COLUMNS
-from tillroll.session import materialize, release
-from tillroll.sources import tables
+from tillroll.sources import keyed
 from tillroll.sources.upsert import upsert
 
 RESULT_MONEY = "decimal(10,2)"
@@ -26,17 +26,16 @@ def merge_results(rfm: DataFrame, existing: DataFrame | None) -> DataFrame:
     return upsert(existing, results_rows(rfm), "customer_id")
 
 
-def publish_results(spark: SparkSession, rfm: DataFrame, base: str) -> str:
-    """Merge into the table at ``base`` and write the next version; returns its path."""
-    updates = materialize(results_rows(rfm), "rfm_updates")  # read several times
-    n = updates.count()
-    if not n:
-        raise ValueError("no RFM rows to publish")
-    if updates.select("customer_id").distinct().count() != n:
-        raise ValueError("a customer has more than one RFM row")
-    existing = tables.read_current(spark, base)
-    kept = 0 if existing is None else existing.join(updates, "customer_id", "left_anti").count()
-    path = tables.write_version(upsert(existing, updates, "customer_id"), base)
-    tables.check_count(spark.read.parquet(path), kept + n, "rfm results")
-    release(updates)
-    return path
+def publish_results(spark: SparkSession, rfm: DataFrame, base: str, buckets: int = keyed.BUCKETS) -> str:
+    """Merge into the keyed table at ``base`` (made where there is none): the buckets
+    of the customers in ``rfm`` are rewritten, the others stay as they are. Returns
+    ``base``; :func:`read_results` reads it."""
+    try:
+        keyed.merge(spark, base, results_rows(rfm), "customer_id", buckets=buckets)
+    except ValueError as e:
+        raise ValueError(f"cannot publish RFM results: {e}") from None
+    return base
+
+
+def read_results(spark: SparkSession, base: str) -> DataFrame | None:
+    return keyed.read(spark, base)

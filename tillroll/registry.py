@@ -316,9 +316,9 @@ def _publish_rfm(spark, sf_dir):
     on top: updated keys take the new values, the others keep theirs."""
     orders = orders_view(spark, sf_dir)
     base = scratch_path(spark, "rfm_results")
-    tables.write_version(publish.merge_results(rfm.rfm_exploration(orders), None), base)
+    publish.publish_results(spark, rfm.rfm_exploration(orders), base)
     publish.publish_results(spark, rfm.customer_rfm(orders), base)
-    current = tables.read_current(spark, base)
+    current = publish.read_results(spark, base)
     return current.select(
         *[c for c in rfm.RFM_COLUMNS],
         (current.updated_at > current.created_at).alias("updated_in_run"),
@@ -417,7 +417,7 @@ def _pipeline_tables(spark, sf_dir):
     """Rows of every table that the whole daily run writes."""
     paths = pipeline.run_pipeline(spark, orders_view(spark, sf_dir), scratch_path(spark, "daily_run"))
     parts = [
-        spark.read.parquet(path).agg(F.lit(name).alias("table_name"), F.count("*").alias("rows")) for name, path in paths.items()
+        pipeline.read_table(spark, name, path).agg(F.lit(name).alias("table_name"), F.count("*").alias("rows")) for name, path in paths.items()
     ]
     out = parts[0]
     for p in parts[1:]:

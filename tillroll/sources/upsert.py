@@ -21,13 +21,16 @@ def upsert(
     updates: DataFrame,
     key: str | Sequence[str],
     now: Column | None = None,
+    mark: str | None = None,
 ) -> DataFrame:
+    """``mark``: name of a column to add, ``kept``, ``renewed`` or ``inserted``."""
     keys = [key] if isinstance(key, str) else list(key)
     now = now if now is not None else F.current_timestamp()
     business = [c for c in updates.columns if c not in AUDIT]
     fresh = updates.select(*business)
     if existing is None:
-        return fresh.withColumn("created_at", now).withColumn("updated_at", now)
+        out = fresh.withColumn("created_at", now).withColumn("updated_at", now)
+        return out.withColumn(mark, F.lit("inserted")) if mark else out
     old = existing.select(*business, *AUDIT).alias("o")
     new = fresh.withColumn("_hit", F.lit(True)).alias("n")
     j = old.join(new, keys, "full_outer")
@@ -38,4 +41,9 @@ def upsert(
         F.coalesce(F.col("o.created_at"), now).alias("created_at"),
         F.when(hit, now).otherwise(F.col("o.updated_at")).alias("updated_at"),
     ]
-    return j.select(*cols).select(*business, *AUDIT)
+    marks = []
+    if mark:
+        state = F.when(~hit, "kept").when(F.col("o.created_at").isNull(), "inserted").otherwise("renewed")
+        marks = [mark]
+        cols.append(state.alias(mark))
+    return j.select(*cols).select(*business, *AUDIT, *marks)
