@@ -645,3 +645,6 @@ SQL["rfm_export"] = q(RFM, """SELECT CAST(customer_id AS VARCHAR) AS "ID", CAST(
   CAST(f_score AS VARCHAR) AS "F", CAST(m_score AS VARCHAR) AS "M", rfm_score AS "RFM", segment AS "Segment"
   FROM rfm WHERE segment IN ('Champions', 'Clients Fidèles', 'À Risque')
   AND recency BETWEEN 30 AND 400 AND monetary BETWEEN 1000 AND 200000""")
+
+# the same rows from lines laid out by customer
+SQL["customer_rfm_by_customer"] = SQL["customer_rfm"]

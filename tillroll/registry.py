@@ -18,7 +18,7 @@ from tillroll.plans import (
     churn, cleaning, clv, common, customers, dashboard, geo, library, pipeline, product, profiling, publish, rfm,
 )
 from tillroll.session import materialize, release, scratch_path
-from tillroll.sources import csv_orders, export, tables, testdata
+from tillroll.sources import csv_orders, export, layout, tables, testdata
 from tillroll.streaming import customer_state, folder_ingest
 
 _BRONZE: dict[tuple[int, str, bool], tuple[tuple, DataFrame]] = {}
@@ -310,6 +310,17 @@ def _customer_rfm_incremental(spark, sf_dir):
     return rfm.customer_rfm(orders, base=base)
 
 
+@register("customer_rfm_by_customer")
+def _customer_rfm_by_customer(spark, sf_dir):
+    """Customer RFM of lines laid out by customer: equal to ``customer_rfm``, no
+    exchange of the lines for the customer key."""
+    orders = orders_view(spark, sf_dir)
+    held = layout.lay_out(orders, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    base = customers.base_of_layout(held)
+    layout.forget(held)
+    return rfm.customer_rfm(orders, base=base)
+
+
 @register("publish_rfm")
 def _publish_rfm(spark, sf_dir):
     """Exploration scores published first, then this run's customer RFM merged
