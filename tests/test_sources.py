@@ -148,3 +148,20 @@ def test_day_first_parse_ignores_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == {"1": dt.datetime(2010, 3, 14, 2, 30), "2": None}  # DST-gap time kept; Feb 29 2010 invalid
+
+
+def test_headers_of_many_files_and_quoted_line_breaks(spark, tmp_path):
+    from tillroll.sources import csv_orders
+
+    names = csv_orders.CSV_COLUMNS
+    odd = ['"Note\nof ""two"" lines; and a mark"', *names]
+    for i in range(120):
+        head = odd if i % 3 == 0 else names if i % 3 == 1 else names[::-1]
+        values = dict(zip(names, [f"I{i}", "S", "d", "1", "1/2/2010 7:45", "6,95", "7", "UK"]))
+        row = ['"a\nb"' if c == odd[0] else values[c] for c in head]
+        (tmp_path / f"f{i:03d}.csv").write_text(("\ufeff" if i % 5 == 0 else "") + ";".join(head) + "\n" + ";".join(row) + "\n", encoding="utf-8")
+    files = csv_orders.list_files(spark, str(tmp_path), ".csv")
+    headers = csv_orders.read_headers(spark, files)
+    assert headers[0][0] == 'Note\nof "two" lines; and a mark' and headers[1] == tuple(names) and headers[2] == tuple(names[::-1])
+    got = csv_orders.read_orders(spark, str(tmp_path)).collect()
+    assert sorted(r.invoice for r in got) == sorted(f"I{i}" for i in range(120)) and {str(r.price) for r in got} == {"6.9500"}

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tillroll.functions.money import ratio, round_even, round_to
 from tillroll.operators import quantiles
 from tillroll.operators.scalars import attach_one_row
+from tillroll.session import materialize, observed
 
 
 def value_counts(df: DataFrame, key: str, count_col: str = "count", share_col: str | None = None) -> DataFrame:
@@ -48,25 +49,29 @@ def histogram(
     so the maximum falls in the last bin; rows outside [lo, hi] are dropped.
     Output: [by,] bin, bin_start, bin_end, count — non-empty bins only.
     """
+    keys = [by] if by else []
     x = F.col(value).cast("double")
-    base = df.where(x.isNotNull())
+    base = df.where(x.isNotNull()).select(*keys, x.alias("_v"))
     if lo is not None and hi is not None:
-        base = base.where((x >= F.lit(float(lo))) & (x <= F.lit(float(hi))))
-        bounds = base.sparkSession.range(1).select(F.lit(float(lo)).alias("_lo"), F.lit(float(hi)).alias("_hi"))
+        low, high = float(lo), float(hi)
+        counts = base.where((F.col("_v") >= F.lit(low)) & (F.col("_v") <= F.lit(high))).withColumn("_w", F.lit(1).cast("long"))
     else:
-        bounds = base.agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
-    lo_c, hi_c = F.col("_lo"), F.col("_hi")
-    width = hi_c - lo_c
+        # the rows are read once, into (value, count); the bounds come with that write
+        counts = materialize(
+            base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_w")), "histogram", {"lo": F.min("_v"), "hi": F.max("_v")}
+        )
+        low, high = observed(counts)["lo"], observed(counts)["hi"]
+    bounded = counts.withColumns({"_lo": F.lit(low).cast("double"), "_hi": F.lit(high).cast("double")})
+    width = F.col("_hi") - F.col("_lo")
     idx = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.lit(bins - 1), F.floor((x - lo_c) * F.lit(float(bins)) / width).cast("int"))
+        F.least(F.lit(bins - 1), F.floor((F.col("_v") - F.col("_lo")) * F.lit(float(bins)) / width).cast("int"))
     )
-    keys = ([by] if by else []) + ["bin"]
-    binned = attach_one_row(base, bounds).withColumn("bin", idx.cast("int"))
-    g = binned.groupBy(*keys, "_lo", "_hi").agg(F.count(F.lit(1)).alias(out))
+    g = bounded.withColumn("bin", idx.cast("int")).groupBy(*keys, "bin", "_lo", "_hi").agg(F.sum("_w").alias(out))
     return g.select(
         *keys,
-        (lo_c + F.col("bin") * width / F.lit(float(bins))).alias("bin_start"),
-        (lo_c + (F.col("bin") + 1) * width / F.lit(float(bins))).alias("bin_end"),
+        "bin",
+        (F.col("_lo") + F.col("bin") * width / F.lit(float(bins))).alias("bin_start"),
+        (F.col("_lo") + (F.col("bin") + 1) * width / F.lit(float(bins))).alias("bin_end"),
         out,
     )
 

@@ -648,3 +648,20 @@ SQL["rfm_export"] = q(RFM, """SELECT CAST(customer_id AS VARCHAR) AS "ID", CAST(
 
 # the same rows from lines laid out by customer
 SQL["customer_rfm_by_customer"] = SQL["customer_rfm"]
+
+# the screens' datasets on the filtered table
+SQL["filter_bounds"] = q(RFM, """SELECT min(recency) AS recency_min, max(recency) AS recency_max,
+  CAST(min(monetary) AS DOUBLE) AS monetary_min, CAST(max(monetary) AS DOUBLE) AS monetary_max FROM rfm""")
+SHOWN = """(SELECT * FROM rfm WHERE segment IN ('Champions', 'Clients Fidèles', 'À Risque', 'Perdus', 'Moyens')
+  AND recency BETWEEN 0 AND 2000 AND monetary BETWEEN 1000 AND 200000)"""
+SQL["filtered_segment_distribution"] = SQL["segment_distribution"].replace("FROM rfm GROUP BY", f"FROM {SHOWN} GROUP BY")
+SQL["filtered_segment_stats"] = SQL["segment_stats"].replace("FROM rfm GROUP BY", f"FROM {SHOWN} GROUP BY")
+SQL["filtered_recency_histogram"] = q(RFM, _hist(SHOWN, "recency", 50, "segment", "customers"))
+SQL["filtered_monetary_histogram"] = q(RFM, _hist(SHOWN, "monetary", 50, "segment", "customers"))
+SQL["filtered_rf_heatmap"] = SQL["rf_heatmap"].replace("FROM rfm GROUP BY", f"FROM {SHOWN} GROUP BY")
+SQL["exploration_monetary_histogram_range"] = q(EXPLORATION, _hist("(SELECT * FROM rfm WHERE monetary <= 100000)", "monetary", 50, None, "customers"))
+
+# the tables of the daily run, row for row
+SQL["daily_rfm_results"] = q(RFM, "SELECT * REPLACE (CAST(monetary AS DECIMAL(10,2)) AS monetary) FROM rfm")
+for _daily, _table in (("churn_risk", "churn_risk"), ("clv_forecast", "clv_forecast"), ("product_rfm", "product_rfm"), ("geographic_analysis", "geographic_analysis")):
+    SQL[f"daily_{_daily}"] = SQL[_table]

@@ -83,6 +83,16 @@ def monthly_revenue(orders: DataFrame) -> DataFrame:
 # --- customer segments (RFM mart) -------------------------------------------
 
 
+def filter_bounds(rfm: DataFrame) -> DataFrame:
+    """Least and most recency and monetary: what the range filters can be set to."""
+    return rfm.agg(
+        F.min("recency").alias("recency_min"),
+        F.max("recency").alias("recency_max"),
+        F.min("monetary").cast("double").alias("monetary_min"),
+        F.max("monetary").cast("double").alias("monetary_max"),
+    )
+
+
 def filter_rfm(
     rfm: DataFrame,
     segments: Sequence[str] | None = None,

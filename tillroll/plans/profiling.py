@@ -164,9 +164,9 @@ def segment_recency_box(rfm: DataFrame) -> DataFrame:
     return stats.box_summary(rfm, "recency", by="segment")
 
 
-def exploration_histogram(rfm: DataFrame, value: str, bins: int = HISTOGRAM_BINS) -> DataFrame:
-    """Histogram of one exploration score input, up to its display limit."""
-    limit = EXPLORATION_LIMITS[value]
+def exploration_histogram(rfm: DataFrame, value: str, bins: int = HISTOGRAM_BINS, limit: float | None = None) -> DataFrame:
+    """Histogram of one exploration score input, up to its display limit (or ``limit``)."""
+    limit = EXPLORATION_LIMITS[value] if limit is None else limit
     rows = rfm if limit is None else rfm.where(F.col(value) <= limit)
     return stats.histogram(rows, value, bins, out="customers")
 

@@ -387,6 +387,56 @@ QUERIES.update(
 )
 
 
+def _on_filtered(fn):
+    """On the RFM table as the screens' filters leave it."""
+    return _on(_rfm, lambda r: fn(dashboard.filter_rfm(r, SHOWN_SEGMENTS, SHOWN_RECENCY, SHOWN_MONETARY)))
+
+
+SHOWN_SEGMENTS = ["Champions", "Clients Fidèles", "À Risque", "Perdus", "Moyens"]
+SHOWN_RECENCY = (0, 2000)
+SHOWN_MONETARY = (1000, 200000)
+WIDE_MONETARY = (0, 100_000)  # a display limit under which the test tables have customers
+
+QUERIES.update(
+    {
+        "filter_bounds": _on(_rfm, dashboard.filter_bounds),
+        "filtered_segment_distribution": _on_filtered(dashboard.segment_distribution),
+        "filtered_segment_stats": _on_filtered(dashboard.segment_stats),
+        "filtered_recency_histogram": _on_filtered(lambda r: dashboard.segment_histogram(r, "recency")),
+        "filtered_monetary_histogram": _on_filtered(lambda r: dashboard.segment_histogram(r, "monetary")),
+        "filtered_rf_heatmap": _on_filtered(dashboard.rf_heatmap),
+        "exploration_monetary_histogram_range": _on(_exploration, lambda r: profiling.exploration_histogram(r, "monetary", limit=WIDE_MONETARY[1])),
+    }
+)
+
+
+_DAILY: dict[tuple[int, str], tuple[DataFrame, dict[str, str]]] = {}
+
+
+def _daily_table(name, *columns):
+    """A table of the daily run, as written (one run a session and state of the lines)."""
+
+    def run(spark, sf_dir):
+        orders, key = orders_view(spark, sf_dir), (id(spark), sf_dir.rstrip("/"))
+        if key not in _DAILY or _DAILY[key][0] is not orders:
+            _DAILY[key] = (orders, pipeline.run_pipeline(spark, orders, scratch_path(spark, "daily_run")))
+        table = pipeline.read_table(spark, name, _DAILY[key][1][name])
+        return table.select(*columns) if columns else table
+
+    return run
+
+
+QUERIES.update(
+    {
+        "daily_rfm_results": _daily_table("rfm_results", *rfm.RFM_COLUMNS),
+        "daily_churn_risk": _daily_table("churn_risk"),
+        "daily_clv_forecast": _daily_table("clv_forecast"),
+        "daily_product_rfm": _daily_table("product_rfm"),
+        "daily_geographic_analysis": _daily_table("geographic_analysis"),
+    }
+)
+
+
 @register("undated_counts")
 def _undated_counts(spark, sf_dir):
     """Customers and products without any valid date, which the scores leave out."""

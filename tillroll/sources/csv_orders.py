@@ -19,7 +19,9 @@ comma or point, 'd/M/yyyy H:mm' dates, a folder of files read as one table.
 from __future__ import annotations
 
 import csv
+import io
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +29,8 @@ from pyspark.sql import functions as F
 from tillroll.schemas import CSV_COLUMNS, ORDER_COLUMNS
 
 CORRUPT = "_corrupt_record"
+#: Files opened at a time for their headers.
+HEADER_READERS = 32
 REASONS = ["wrong_fields", "bad_price", "bad_quantity", "bad_customer", "bad_date"]
 
 
@@ -57,8 +61,8 @@ def read_raw(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
     if not files:
         raise FileNotFoundError(f"no CSV file under {path}")
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for f in files:
-        by_header.setdefault(read_header(spark, f), []).append(f)
+    for f, header in zip(files, read_headers(spark, files)):
+        by_header.setdefault(header, []).append(f)
     out = None
     for header, same in sorted(by_header.items()):
         missing = [c for c in CSV_COLUMNS if c not in header]
@@ -69,15 +73,27 @@ def read_raw(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
     return out
 
 
+def read_headers(spark: SparkSession, files: Sequence[str]) -> list[tuple[str, ...]]:
+    """Column names of each file; many are opened at a time, and only their first
+    record is read."""
+    with ThreadPoolExecutor(max_workers=HEADER_READERS) as pool:
+        return list(pool.map(lambda f: read_header(spark, f), files))
+
+
 def read_header(spark: SparkSession, file: str) -> tuple[str, ...]:
-    """Column names of a file, from its first line."""
+    """Column names of a file, from its first record (line breaks in quoted names included)."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(file)
     stream = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(hpath)
     lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-    first = lines.readLine()
+    record = []
+    while (line := lines.readLine()) is not None:
+        record.append(line)
+        if sum(x.count('"') for x in record) % 2 == 0:  # no quote is open
+            break
     lines.close()
-    names = next(csv.reader([(first or "").removeprefix("﻿")], delimiter=";"), [])
+    text = "\n".join(record).removeprefix("﻿")
+    names = next(csv.reader(io.StringIO(text, newline=""), delimiter=";"), [])
     return tuple(n.strip() for n in names)
 
 
