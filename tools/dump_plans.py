@@ -15,10 +15,10 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from tillroll import registry, session  # noqa: E402
-from tillroll.operators import cutpoints, quantiles, ranking  # noqa: E402
+from tillroll.operators import quantiles, ranking, stats  # noqa: E402
 from tillroll.plans import customers, geo, product  # noqa: E402
 
-HEADLINE = ["customer_rfm", "product_rfm", "churn_risk", "geographic_analysis", "clv_forecast", "kpis", "describe_numeric", "duplicates", "price_box_full"]
+HEADLINE = ["customer_rfm", "product_rfm", "churn_risk", "geographic_analysis", "clv_forecast", "kpis", "distinct_counts", "describe_numeric", "duplicates", "price_box_full"]
 
 
 def plan_text(df) -> str:
@@ -34,11 +34,11 @@ def main() -> None:
     captured: list[tuple[str, str]] = []
     orig = session.materialize
 
-    def recording(df, name="table"):
+    def recording(df, name="table", observe=None):
         captured.append((name, plan_text(df)))
-        return orig(df, name)
+        return orig(df, name, observe)
 
-    for mod in (customers, product, geo, cutpoints, quantiles, ranking, registry):
+    for mod in (customers, product, geo, quantiles, ranking, stats, registry):
         mod.materialize = recording
     print(f"# Physical plans ({os.path.basename(sf_dir)}, local[8], 8 shuffle partitions)\n")
     print("Generated by `tools/dump_plans.py`. Each query lists the plans of the tables it writes")
