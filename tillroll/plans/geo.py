@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions import dates, labels, money
-from tillroll.plans.common import positive_sales, require_rows, with_amount, with_latest, with_scalars
+from tillroll.plans.common import positive_sales, require_rows, with_amount, with_latest
 from tillroll.session import materialize, observed
 
 GEO_COLUMNS = [
@@ -67,12 +67,14 @@ def geographic_analysis(orders: DataFrame) -> DataFrame:
     # distinct in the country, even if an invoice spans customers
     orders_per_country = named.groupBy("country").agg(F.count_distinct("invoice").alias("total_orders"))
     geo = per_country.join(orders_per_country, "country")
-    # class thresholds: exact percentiles across countries (bounded by the number of countries)
-    thresholds = geo.agg(
-        F.percentile(F.col("total_revenue").cast("double"), F.lit(0.75)).alias("_rev75"),
-        F.percentile(F.col("recency_avg").cast("double"), F.array(F.lit(0.25), F.lit(0.5))).alias("_rec"),
-    )
-    geo = with_scalars(geo, thresholds).select(
+    # class thresholds: exact percentiles across countries, beside each country (one
+    # window over as many rows as there are countries, so their figures are taken once)
+    every = Window.partitionBy()
+    thresholds = {
+        "_rev75": F.percentile(F.col("total_revenue").cast("double"), F.lit(0.75)).over(every),
+        "_rec": F.percentile(F.col("recency_avg").cast("double"), F.array(F.lit(0.25), F.lit(0.5))).over(every),
+    }
+    geo = geo.withColumns(thresholds).select(
         *[c for c in GEO_COLUMNS if c not in ("avg_order_value", "avg_customer_value", "market_growth_potential", "priority_rank")],
         money.ratio(F.col("total_revenue"), F.col("total_orders")).alias("avg_order_value"),
         money.ratio(F.col("total_revenue"), F.col("total_customers")).alias("avg_customer_value"),
