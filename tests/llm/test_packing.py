@@ -43,6 +43,14 @@ def test_encoder_forgets_when_full(monkeypatch):
         assert encode(pa.array([t]))[0].tolist() == ids_of(t)
 
 
+def test_words_of_one_hash_are_told_apart(monkeypatch):
+    real = packing.words
+    monkeypatch.setattr(packing, "words", lambda *a: (*real(*a)[:3], real(*a)[3] % np.uint64(7)))
+    encode = packing.Encoder(PATH)
+    texts = [r[1] for r in messy_documents()]
+    assert [x.tolist() for x in encode(pa.array(texts))] == [ids_of(t) for t in texts]
+
+
 @pytest.mark.parametrize("most", [2048, 16])
 def test_pieces_put_documents_together_again(spark, most):
     scratch = Scratch(spark, "t")

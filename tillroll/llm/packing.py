@@ -22,6 +22,7 @@ columns other than doc_id and text are not read.
 from __future__ import annotations
 
 import math
+import os
 import zlib
 
 import numpy as np
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.scratch import Scratch, table
-from tillroll.llm.texts import flat, slices, words
+from tillroll.llm.texts import RAW_CODE, _LOWER, flat, slices, span_hashes, words
 
 #: Sequences that a group of pieces fills, about.
 GROUP_SEQUENCES = 1500
@@ -40,21 +41,31 @@ GROUP_SEQUENCES = 1500
 CACHE = 4_000_000
 END_ID = 0
 
+#: Bytes of ASCII letters; the first of Latin-1 letters, and the second ones after it
+#: (all but the multiplication and division signs); a full stop and a comma.
+_LETTER, _LATIN, _STOP = (np.zeros(256, dtype=bool) for _ in range(3))
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B), 0xC3]] = True
+_LATIN[[i for i in range(0x80, 0xC0) if i not in (0x97, 0xB7)]] = True
+_STOP[[ord("."), ord(",")]] = True
+#: Codes of the hash that confirms a word, A-Z lower-cased.
+CHECK_CODE = RAW_CODE[::-1][_LOWER]
+
 
 class Encoder:
     """Ids of whole texts, put together from remembered ids of their words.
 
     The tokenizer lower-cases, drops white space and never joins across it, so a
     text's ids are those of its white-space separated words, one after another.
-    Words are told apart by 64-bit hashes with A-Z lower-cased, all at once for a
-    batch (ten million words in one worker meet by chance with probability under
-    1e-5); each new one is tokenized once. Texts that may hold a special token
-    are tokenized whole.
+    Words are looked up all at once for a batch, by a 64-bit hash with A-Z
+    lower-cased in an open-addressing table, and confirmed by a second one of other
+    codes; each new one is tokenized once. Texts that hold a word whose second hash
+    differs, or may hold a special token, are tokenized whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
@@ -62,77 +73,116 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.keys = np.zeros(0, dtype=np.uint64)  # sorted
-        self.at = np.zeros(0, dtype=np.int64)  # where in the pool a word's ids begin
-        self.size = np.zeros(0, dtype=np.int64)
+        self._empty(1 << 16)
+        self.known = 0
         self.pool = np.zeros(1 << 16, dtype="<u4")
         self.used = 0
 
-    def _ids(self, new: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _empty(self, places: int) -> None:
+        self.keys = np.zeros(places, dtype=np.uint64)  # 0: empty
+        self.check = np.zeros(places, dtype=np.uint64)
+        self.at = np.zeros(places, dtype=np.int64)  # where in the pool a word's ids begin
+        self.size = np.zeros(places, dtype=np.int32)
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """Place of each hash in the table, or the empty one where its search ends."""
+        mask = len(self.keys) - 1
+        place = (hashes & np.uint64(mask)).astype(np.int64)
+        held = self.keys[place]
+        left = np.flatnonzero((held != hashes) & (held != 0))
+        while len(left):
+            place[left] = (place[left] + 1) & mask
+            held = self.keys[place[left]]
+            left = left[(held != hashes[left]) & (held != 0)]
+        return place
+
+    def _put(self, keys, check, at, size) -> None:
+        """Adds distinct keys that are not in the table."""
+        left = np.arange(len(keys))
+        while len(left):
+            place = self._find(keys[left])
+            self.keys[place] = keys[left]  # of those that meet in an empty place one stays
+            stays = self.keys[place] == keys[left]
+            place, done = place[stays], left[stays]
+            self.check[place], self.at[place], self.size[place] = check[done], at[done], size[done]
+            left = left[~stays]
+
+    def _ids(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of the words one after another, where each word's begin and their
-        number. Letters end in one word-end id, a full stop or comma after them is
-        another; such words are encoded as one text and cut there."""
-        plain, parts, rest = [], [], []
-        for i, w in enumerate(new):
-            core = w[:-1] if w[-1] in ".," else w
-            if core.isalpha() and (core.isascii() or max(core) < "\u0100"):
-                plain.append(i)
-                parts.append(1 if core is w else 2)
-            else:
-                rest.append(i)
+        number. Letters (here ASCII and Latin-1) end in one word-end id, a full stop or
+        comma after them is another; such words are encoded as one text and cut there."""
+        size = end - start
+        total = np.cumsum(size)
+        source = np.repeat(start - (total - size), size) + np.arange(int(total[-1]))
+        byte, first = data[source], total - size
+        stop = (size > 1) & _STOP[byte[total - 1]]
+        odd = ~_LETTER[byte]
+        odd[1:] &= ~(_LATIN[byte[1:]] & (byte[:-1] == 0xC3))  # the second byte of a Latin-1 letter
+        odd[total[stop] - 1] = False
+        is_plain = np.add.reduceat(odd.astype(np.int32), first) == 0
+        plain, rest = np.flatnonzero(is_plain), np.flatnonzero(~is_plain)
+        spaced = np.full(int(size[plain].sum()) + len(plain), 0x20, dtype=np.uint8)
+        width = size[plain] + 1
+        place = np.cumsum(width) - width
+        spaced[np.arange(int(size[plain].sum())) + np.repeat(np.arange(len(plain)), size[plain])] = byte[np.repeat(is_plain, size)]
+        cuts, text = [*place[::1000].tolist(), len(spaced)], spaced.tobytes()
+        texts = [text[a:z].decode("utf-8") for a, z in zip(cuts[:-1], cuts[1:])]
         pool, sizes = [], []
-        for a in range(0, len(plain), 1000):
-            encoded = self.tokenizer.encode(" ".join([new[i] for i in plain[a : a + 1000]]), add_special_tokens=False)
-            ids = np.asarray(encoded.ids, dtype="<u4")
+        for k, e in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.asarray(e.ids, dtype="<u4")
             ends = np.flatnonzero(self.ends_word[ids]) + 1
-            last = np.cumsum(parts[a : a + 1000])
+            last = np.cumsum(1 + stop[plain[1000 * k : 1000 * (k + 1)]])
             if len(ends) != last[-1]:
                 raise ValueError("the tokenizer does not end runs of letters as expected")
             pool.append(ids)
             sizes.append(np.diff(ends[last - 1], prepend=0))
-        for e in self.tokenizer.encode_batch_fast([new[i] for i in rest], add_special_tokens=False):
+        raw = byte.tobytes()
+        others = [raw[a:z].decode("utf-8") for a, z in zip(first[rest].tolist(), total[rest].tolist())]
+        for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False):
             pool.append(np.asarray(e.ids, dtype="<u4"))
             sizes.append(np.array([len(pool[-1])]))
-        size, at = np.empty(len(new), dtype=np.int64), np.empty(len(new), dtype=np.int64)
-        order, each = np.array(plain + rest), np.concatenate(sizes)
-        size[order], at[order] = each, np.cumsum(each) - each
-        return np.concatenate(pool), at, size
+        number, at = np.empty(len(size), dtype=np.int64), np.empty(len(size), dtype=np.int64)
+        order, each = np.concatenate([plain, rest]), np.concatenate(sizes)
+        number[order], at[order] = each, np.cumsum(each) - each
+        return np.concatenate(pool), at, number
 
-    def _learn(self, keys: np.ndarray, new: list[str]) -> None:
-        ids, at, size = self._ids(new)
+    def _learn(self, keys, check, data, start, end) -> None:
+        ids, at, size = self._ids(data, start, end)
         if self.used + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool[: self.used], np.zeros(self.used + 2 * len(ids), dtype="<u4")])
         self.pool[self.used : self.used + len(ids)] = ids
-        place = np.searchsorted(self.keys, keys)
-        self.at = np.insert(self.at, place, self.used + at)
-        self.size = np.insert(self.size, place, size)
-        self.keys = np.insert(self.keys, place, keys)
+        self.known += len(keys)
+        if 2 * self.known > len(self.keys):
+            old = np.flatnonzero(self.keys)
+            held = self.keys[old], self.check[old], self.at[old], self.size[old]
+            self._empty(1 << (4 * self.known - 1).bit_length())
+            self._put(*held)
+        self._put(keys, check, self.used + at, size)
         self.used += len(ids)
 
     def __call__(self, column) -> list[np.ndarray]:
         """The ids of each row of a string column."""
         data, offsets = flat(column)
         start, end, row, hashes = words(data, offsets)
-        keys, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.keys) > CACHE:
+        hashes = np.maximum(hashes, np.uint64(1))  # 0 marks an empty place
+        check = span_hashes(data, start, end, CHECK_CODE)
+        if self.known > CACHE:
             self._forget()
-        place = np.searchsorted(self.keys, keys)
-        if len(self.keys):
-            known = self.keys[np.minimum(place, len(self.keys) - 1)] == keys
-        else:
-            known = np.zeros(len(keys), dtype=bool)
-        if not known.all():
-            raw = data.tobytes()
-            at = first[~known]
-            self._learn(keys[~known], [raw[a:z].decode("utf-8") for a, z in zip(start[at].tolist(), end[at].tolist())])
-            place = np.searchsorted(self.keys, keys)
-        at, size = self.at[place][which], self.size[place][which]
+        place = self._find(hashes)
+        new = np.flatnonzero(self.keys[place] == 0)
+        if len(new):
+            keys, first = np.unique(hashes[new], return_index=True)
+            first = new[first]
+            self._learn(keys, check[first], data, start[first], end[first])
+            place = self._find(hashes)
+        at, size = self.at[place], self.size[place].astype(np.int64)
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
         ids = self.pool[np.repeat(at - (ends - size), size) + np.arange(total)]
         edges = np.concatenate([[0], ends])[np.searchsorted(row, np.arange(len(offsets)))].tolist()
         out = [ids[a:z] for a, z in zip(edges[:-1], edges[1:])]
-        for r in np.flatnonzero(pc.match_substring(column, "<|").fill_null(False).to_numpy(zero_copy_only=False)):
+        special = pc.match_substring(column, "<|").fill_null(False).to_numpy(zero_copy_only=False)
+        for r in np.union1d(np.flatnonzero(special), row[self.check[place] != check]):
             whole = self.tokenizer.encode(column[int(r)].as_py(), add_special_tokens=False)
             out[r] = np.asarray(whole.ids, dtype="<u4")
         return out
