@@ -43,6 +43,8 @@ BASE, RATE, LIMIT = 1.001, 20.0, 2**16 - 2
 DOUBT = 12.0
 #: Members of a group in a block of a tile, and element meetings counted at a time.
 BLOCK, MEETINGS = 512, 1 << 21
+#: What a member of a group keeps beside its differences.
+GROUPED = ["y", "y_d1", "id", "minor", "minor_blocks", "major_blocks"]
 
 _RNG = np.random.Generator(np.random.PCG64(8101))
 _XOR = _RNG.integers(0, 2**63, REGISTERS, dtype=np.uint64)
@@ -199,11 +201,11 @@ def _differences(k: int):
                 at = pa.array([i for i, _, _ in found], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(part.column(c).take(at) for c in ("y", "y_d1", "id", "minor")),
+                        *(part.column(c).take(at) for c in GROUPED),
                         pa.array([n for _, n, _ in found], pa.int64()),
                         pa.array([d for _, _, d in found], pa.list_(pa.int64())),
                     ],
-                    ["y", "y_d1", "id", "minor", "n", "diff"],
+                    [*GROUPED, "n", "diff"],
                 )
 
     return run
@@ -289,9 +291,13 @@ def _links_in_groups(pairs: DataFrame, found: DataFrame, texts: DataFrame, k: in
             F.ceil((F.col("all") - F.col("minors")) / BLOCK).cast("int").alias("major_blocks"),
         )
     )
+    # the numbers of blocks go along, so that tiles are only dealt by their own key
     differing = scratch.keep(
-        _with_texts(member.join(sizes.select(*group), group), texts).mapInArrow(
-            _differences(k), "y long, y_d1 long, id long, minor boolean, n long, diff array<long>"
+        _with_texts(member.join(sizes, group), texts)
+        .select(*GROUPED, "d1", "text", "y_text")
+        .mapInArrow(
+            _differences(k),
+            "y long, y_d1 long, id long, minor boolean, minor_blocks int, major_blocks int, n long, diff array<long>",
         )
     )
     blocks = F.when(F.col("minor"), F.col("minor_blocks")).otherwise(F.col("major_blocks"))
@@ -303,8 +309,7 @@ def _links_in_groups(pairs: DataFrame, found: DataFrame, texts: DataFrame, k: in
     )
     from_major = F.expr("transform(sequence(0, minor_blocks - 1), i -> struct(i AS i, -1 - block AS j))")
     tiles = (
-        differing.join(sizes, group)
-        .withColumn("block", block)
+        differing.withColumn("block", block)
         .withColumn("tile", F.explode(F.when(F.col("minor"), F.concat(ups, across)).otherwise(from_major)))
         .select(*group, F.col("tile.i").alias("i"), F.col("tile.j").alias("j"), "id", "minor", "block", "n", "diff")
     )
