@@ -5,7 +5,7 @@ by the log-likelihood ratio of first-order character Markov models: one for each
 kind of random string (hex, base32, base62, base64) against one of ordinary
 words and identifiers. The models are trained from labelled samples: random
 strings drawn from a fixed seed and the values that the base patterns find, and
-the words of a bounded sample of the documents, also joined the way identifiers
+the words of all documents, also joined the way identifiers
 are (camelCase, snake_case, kebab-case, UPPER_CASE, paths, a number at the end).
 Transition counts are summed by Spark; the driver sees a table of fixed size.
 
@@ -39,8 +39,6 @@ ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 6, 20, 24
 KINDS = ["assign", "access", "hex", "markov"]
 _HINT = re.compile(rb"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]""")
 
-#: Documents whose words train the ordinary model (those of least keyed hash).
-TRAIN_DOCUMENTS = 2000
 #: Random strings of each kind that train its model.
 TRAIN_STRINGS = 4000
 #: A candidate has this many characters at least, and its ratio (in nats) is
@@ -179,11 +177,8 @@ def _log_model(counts: np.ndarray, smooth: float) -> np.ndarray:
 
 def train(docs: DataFrame, seed: int = 3) -> np.ndarray:
     """(kinds, SIZE, SIZE) log-likelihood ratios of a character after another."""
-    by_hash = docs.select("doc_id").orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(TRAIN_DOCUMENTS)
-    chosen = F.broadcast(by_hash.distinct())  # TRAIN_DOCUMENTS ids at most
     counts = (
-        docs.select("doc_id", "text")
-        .join(chosen, "doc_id")
+        docs.select("text")
         .mapInArrow(_training, "label string, cell long, n long")
         .groupBy("label", "cell")
         .agg(F.sum("n").alias("n"))
