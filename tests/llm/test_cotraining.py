@@ -39,6 +39,16 @@ def test_held_out_accuracy(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if r.kept}
 
 
+def test_repeated_ids_are_picked_alike_in_every_partitioning(spark):
+    rows, labels = corpus(400)
+    rows += [(r[0], rows[-1 - i][1], *r[2:]) for i, r in enumerate(rows[:40])]
+    labels = spark.createDataFrame(labels, "doc_id long, quality int")
+    docs = documents(spark, rows)
+    frames = docs.coalesce(1), docs.repartition(7, "text"), docs.orderBy("text").repartition(3)
+    got = [sorted((r.doc_id, r.p_good) for r in C.score(docs, C.train(f, labels)).collect()) for f in frames]
+    assert got[0] == got[1] == got[2]
+
+
 def test_messy_and_empty_tables(spark):
     labels = spark.createDataFrame([(0, 1), (3, 0)], "doc_id long, quality int")
     docs = documents(spark)

@@ -219,7 +219,10 @@ def train(docs: DataFrame, labels: DataFrame, seed: int = 5):
     if not ids:
         return Constant(1.0)
     chosen = F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in ids], "doc_id long"))  # LABELLED + POOL ids at most
-    found = docs.join(chosen, "doc_id").dropDuplicates(["doc_id"]).mapInArrow(_features, "doc_id long, text binary, page binary").collect()
+    # of rows that repeat an id, the one of the least digest of its text
+    first = F.min(F.struct(F.md5(F.coalesce("text", F.lit(""))).alias("digest"), *docs.columns[1:])).alias("first")
+    one = docs.join(chosen, "doc_id").groupBy("doc_id").agg(first).select("doc_id", *(f"first.{c}" for c in docs.columns[1:]))
+    found = one.mapInArrow(_features, "doc_id long, text binary, page binary").collect()
     found.sort(key=lambda r: r["doc_id"])
     views = [np.array([np.frombuffer(r[c], dtype="<f4") for r in found], dtype=np.float64) for c in ("text", "page")]
     known = np.array([r["doc_id"] in some for r in found], dtype=bool)
