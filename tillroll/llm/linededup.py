@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.scratch import Scratch, table
+from tillroll.llm.scratch import Scratch, table, unused
 
 #: Characters that are stripped from both ends of a line.
 STRIP = b" \t\n\x0b\x0c\r"
@@ -220,18 +220,6 @@ class LineIndex:
             return LineIndex.of_counts(counts, self.min_docs, self.scratch)
         return LineIndex(counts, filters, self.shards, self.min_docs, self.scratch)
 
-    def rebuilt(self, counts: DataFrame) -> "LineIndex":
-        frequent = counts.where(F.col("docs") >= self.min_docs)
-        shards = max(1, math.ceil(frequent.count() / SHARD_KEYS))
-
-        def fill(key, rows: pd.DataFrame) -> pd.DataFrame:
-            made = CuckooFilter.of(sorted(zip(rows["k1"], rows["k2"])))
-            return pd.DataFrame([(key[0], made.buckets, made.slots.tobytes())], columns=["shard", "buckets", "slots"])
-
-        sharded = frequent.select(self.shard_of(shards), "k1", "k2")
-        filters = self.scratch.keep(sharded.groupBy("shard").applyInPandas(fill, FILTERS))
-        return LineIndex(counts, filters, shards, self.min_docs, self.scratch)
-
     def insert(self, docs: DataFrame) -> "LineIndex":
         return self.changed(row_keys(docs), 1)
 
@@ -265,47 +253,56 @@ class LineIndex:
         return hits.join(exact, ["k1", "k2"])
 
 
-def _kept(batches):
-    """Adds the kept text and line counts; ``_drops`` packs the digests to drop."""
-    for b in batches:
-        texts, total, gone = [], [], []
-        for text, drops in zip(b.column("text").to_pylist(), b.column("_drops").to_pylist()):
-            lines, keys = line_keys(text)
-            total.append(len(lines))
-            if drops:
-                gone_keys = {(d["k1"], d["k2"]) for d in drops}
-                known: dict[bytes, bool] = {}
-                keep = []
-                for line, key in zip(lines, keys):
-                    drop = known.get(key)
-                    if drop is None:
-                        drop = known[key] = bool(key) and digest(key) in gone_keys
-                    if not drop:
-                        keep.append(line)
-                texts.append(b"\n".join(keep).decode("utf-8"))
-                gone.append(len(lines) - len(keep))
-            else:
-                texts.append(text)
-                gone.append(0)
-        rest = [n for n in b.schema.names if n not in ("text", "_drops", "_row")]
-        yield pa.RecordBatch.from_arrays(
-            [*(b.column(n) for n in rest), pa.array(texts, pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64())],
-            [*rest, "_kept", "_lines", "_dropped"],
-        )
+def _kept(text_name: str, drops_name: str, names: list[str]):
+    """Replaces the texts and the digests to drop by the kept text and line counts."""
+
+    def run(batches):
+        for b in batches:
+            texts, total, gone = [], [], []
+            for text, drops in zip(b.column(text_name).to_pylist(), b.column(drops_name).to_pylist()):
+                lines, keys = line_keys(text)
+                total.append(len(lines))
+                if drops:
+                    gone_keys = {(d["k1"], d["k2"]) for d in drops}
+                    known: dict[bytes, bool] = {}
+                    keep = []
+                    for line, key in zip(lines, keys):
+                        drop = known.get(key)
+                        if drop is None:
+                            drop = known[key] = bool(key) and digest(key) in gone_keys
+                        if not drop:
+                            keep.append(line)
+                    texts.append(b"\n".join(keep).decode("utf-8"))
+                    gone.append(len(lines) - len(keep))
+                else:
+                    texts.append(text)
+                    gone.append(0)
+            rest = [n for n in b.schema.names if n not in (text_name, drops_name)]
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(n) for n in rest), pa.array(texts, pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64())],
+                [*rest, *names],
+            )
+
+    return run
 
 
-def dedup_lines(docs: DataFrame, min_docs: int, scratch: Scratch) -> DataFrame:
-    """``docs`` (with all columns but text) and ``_kept`` (the text without dropped
-    lines; null stays null), ``_lines``, ``_dropped``."""
+def dedup_lines(docs: DataFrame, min_docs: int, scratch: Scratch, names=("_kept", "_lines", "_dropped")) -> DataFrame:
+    """``docs`` (with all columns but text) and, under ``names``, the text without
+    dropped lines (null stays null) and the numbers of lines and of dropped ones.
+    ``names`` must not be columns of ``docs``; other names never clash."""
+    if set(map(str.lower, names)) & set(map(str.lower, docs.columns)):
+        raise ValueError(f"columns of the documents are named like results: {names}")
+    row, drops_name = unused([*docs.columns, *names], "_row", "_drops")
     keys = scratch.keep(row_keys(docs))
     index = LineIndex.build(keys, min_docs, scratch)
     drops = scratch.keep(
-        index.frequent(keys).distinct().groupBy("_row").agg(F.collect_set(F.struct("k1", "k2")).alias("_drops"))
-    )
-    scratch.drop(keys, index.counts, index.filters)
-    joined = docs.withColumn("_row", row_number_of()).join(drops, "_row", "left").drop("_row")
+        index.frequent(keys).distinct().groupBy("_row").agg(F.collect_set(F.struct("k1", "k2")).alias(drops_name))
+    ).withColumnRenamed("_row", row)
+    joined = docs.withColumn(row, row_number_of()).join(drops, row, "left").drop(row)
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text"]
-    return joined.mapInArrow(_kept, ", ".join([*fields, "_kept string", "_lines long", "_dropped long"]))
+    added = [f"`{n}` {t}" for n, t in zip(names, ("string", "long", "long"))]
+    scratch.drop(keys, index.counts, index.filters)
+    return joined.mapInArrow(_kept("text", drops_name, list(names)), ", ".join([*fields, *added]))
 
 
 def op4_cuckoo_line_dedup(spark, sf_dir: str, min_docs: int = 10) -> DataFrame:

@@ -47,3 +47,14 @@ class Scratch:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes to be none of ``columns``."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
