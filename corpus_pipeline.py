@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm import cotraining, linededup, mixing, packing, setsketch
-from tillroll.llm.scratch import Scratch, bounded_batches, table
+from tillroll.llm.scratch import Scratch, bounded_batches, table, unused
 
 #: Lines in this many documents or more go.
 MIN_DOCS = 10
@@ -33,33 +33,39 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that ``MIN_DOCS`` documents share. Texts that
     lose nothing are unchanged; a document that loses every line has an empty text."""
-    out = linededup.dedup_lines(docs, MIN_DOCS, Scratch(spark, "pipeline_lines"))
+    kept, lines, dropped = names = unused(docs.columns, "_kept", "_lines", "_dropped")
+    out = linededup.dedup_lines(docs, MIN_DOCS, Scratch(spark, "pipeline_lines"), names)
     values = {
-        "text": F.col("_kept"),
-        "n_chars": F.when(F.col("_dropped") > 0, F.char_length("_kept").cast("long")).otherwise(F.col("n_chars")),
+        "text": F.col(kept),
+        "n_chars": F.when(F.col(dropped) > 0, F.char_length(kept).cast("long")).otherwise(F.col("n_chars")),
     }
     return out.select(*(values[c].alias(c) if c in values else F.col(f"`{c}`") for c in docs.columns))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document (the least id) of each group of near duplicates. Of rows that
-    repeat an id the one of the least digest of its text stays; null ids all stay."""
+    repeat an id the one of the least digest of its text stays, of those with equal
+    texts the one whose columns are least as JSON; null ids all stay."""
+    gone, nth = unused(docs.columns, "_gone", "_nth")
     found = setsketch.near_duplicates(docs, WORDS, PERCENT, Scratch(spark, "pipeline_near"))
-    gone = found.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    out = found.where("NOT kept").select(F.col("doc_id").alias(gone)).distinct()
+    kept = docs.join(out, F.col("doc_id") == F.col(gone), "left_anti")
     if not found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count():
         return kept
-    one = Window.partitionBy("doc_id").orderBy(F.md5(F.coalesce("text", F.lit(""))), *docs.columns)
-    first = kept.where("doc_id IS NOT NULL").withColumn("_nth", F.row_number().over(one)).where("_nth = 1").drop("_nth")
+    row = F.to_json(F.struct(*(F.col(f"`{c}`") for c in docs.columns)))  # maps have no order of their own
+    one = Window.partitionBy("doc_id").orderBy(F.md5(F.coalesce("text", F.lit(""))), row)
+    first = kept.where("doc_id IS NOT NULL").withColumn(nth, F.row_number().over(one)).where(F.col(nth) == 1).drop(nth)
     return first.unionByName(kept.where("doc_id IS NULL"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mixture at the target weights, whole and once each
-    (the last of a leaf's prefix is not cut here)."""
-    chosen = mixing.mixture(docs, Scratch(spark, "pipeline_mix"), MIX_PERCENT, max_epochs=1)
-    ids = chosen.select(F.col("doc_id").alias("_chosen")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_chosen")), "left_semi")
+    (the last of a leaf's prefix is not cut here). Rows without an id are chosen
+    together: all stay where the mixture takes one of them."""
+    (chosen,) = unused(docs.columns, "_chosen")
+    taken = mixing.mixture(docs, Scratch(spark, "pipeline_mix"), MIX_PERCENT, max_epochs=1)
+    ids = taken.select(F.col("doc_id").alias(chosen)).distinct()
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col(chosen)), "left_semi")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
