@@ -1,6 +1,7 @@
 """The pipeline stage by stage against brute force on a small fixture, and run() as a whole."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from tests.llm import test_linededup, test_packing, test_setsketch
@@ -69,6 +70,20 @@ def test_run(spark, sf_dir):
     assert out and all(sum(r.length for r in s) <= P.TOKENS for s in sequences.values())
 
 
+def test_extra_columns_named_like_internal_ones(spark, sf_dir):
+    names = ["_row", "_kept", "_DROPS", "_dropped", "_lines", "_gone", "_nth", "_chosen", "__kept", "m"]
+    messy = documents(spark).select("doc_id", "text", "lang", "source", "n_chars")
+    extra = [F.lit(f"v{i}").alias(n) for i, n in enumerate(names[:-1])] + [F.create_map(F.lit("k"), F.col("doc_id")).alias("m")]
+    plain, clashing = messy, messy.select("*", *extra)
+    for _, stage in P.STAGES[1:4]:
+        scratch = Scratch(spark, "t")
+        after, want = scratch.keep(stage(spark, clashing, sf_dir)), scratch.keep(stage(spark, plain, sf_dir))
+        assert after.columns == clashing.columns
+        assert key(after.select(*want.columns).collect()) == key(want.collect())
+        for r in after.collect():
+            assert [r[n] for n in names[:-1]] == [f"v{i}" for i in range(len(names) - 1)] and r["m"] == {"k": r["doc_id"]}
+
+
 def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
