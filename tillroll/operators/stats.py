@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.money import ratio, round_even, round_to
 from tillroll.operators import quantiles
+from tillroll.operators.distinct import distinct_row_counts
 from tillroll.operators.scalars import attach_one_row
 from tillroll.session import materialize, observed
 
@@ -143,9 +144,8 @@ def null_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 
 
 def duplicate_report(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each identical full-row group, count and %; one pass."""
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_rows"))
-    both = groups.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("distinct_rows"))
+    """Rows beyond the first of each identical full-row group, count and %."""
+    both = distinct_row_counts(df)
     return both.select(
         "rows",
         (F.col("rows") - F.col("distinct_rows")).alias("duplicates"),

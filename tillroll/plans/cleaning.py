@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.operators.distinct import distinct_row_counts
 from tillroll.schemas import ORDER_COLUMNS
 
 STEPS = ["duplicates", "missing_customer", "cancellations", "non_positive"]
@@ -32,19 +33,13 @@ def clean_orders(orders: DataFrame) -> DataFrame:
 
 
 def cleaning_report(orders: DataFrame) -> DataFrame:
-    """Rows removed by each step and rows left, in one pass over the lines:
-    (step, removed, remaining), steps in pipeline order."""
-    distinct = orders.groupBy(*ORDER_COLUMNS).agg(F.count(F.lit(1)).alias("_rows"))
+    """Rows removed by each step and rows left: (step, removed, remaining), steps in
+    pipeline order. Digests of the lines are exchanged, not the lines."""
     has_cust = F.col("customer_id").isNotNull()
     keep_c = has_cust & _not_cancelled()
     keep_p = keep_c & F.coalesce(_positive(), F.lit(False))
-    s = distinct.agg(
-        F.coalesce(F.sum("_rows"), F.lit(0)).alias("total"),
-        F.count(F.lit(1)).alias("d0"),
-        F.count_if(has_cust).alias("d1"),
-        F.count_if(keep_c).alias("d2"),
-        F.count_if(keep_p).alias("d3"),
-    )
+    s = distinct_row_counts(orders.select(*ORDER_COLUMNS), {"d1": has_cust, "d2": keep_c, "d3": keep_p})
+    s = s.withColumnsRenamed({"rows": "total", "distinct_rows": "d0"})
     steps = F.array(
         F.struct(F.lit(1).alias("step_no"), F.lit(STEPS[0]).alias("step"), (F.col("total") - F.col("d0")).alias("removed"), F.col("d0").alias("remaining")),
         F.struct(F.lit(2).alias("step_no"), F.lit(STEPS[1]).alias("step"), (F.col("d0") - F.col("d1")).alias("removed"), F.col("d1").alias("remaining")),
