@@ -77,3 +77,60 @@ def test_an_uninformative_view_gets_little_weight():
     pool = [v[:100] for v in views]
     model = C.CoTrained(views, y, np.arange(800) % 4 == 0, pool)
     assert abs(model.combination.w[0]) > 3 * abs(model.combination.w[1])
+
+
+def test_sums_over_the_table_equal_those_of_one_matrix(spark):
+    rows, labels = corpus(500)
+    rows += [(None, *rows[3][1:]), (7, *rows[9][1:])]
+    docs = documents(spark, rows)
+    features = docs.repartition(5, "text").transform(C.narrow).mapInArrow(C._features, C.FEATURES)
+    labelled = np.arange(0, 100)
+    apart = [r for r in rows if r[0] is None or r[0] >= 100]
+    text = C.text_view(pa.array([r[1] for r in apart])).astype("<f4").astype(float)
+    page = C.page_view(C.page_places([r[2] for r in apart], [r[3] for r in apart], [r[4] for r in apart]))
+    added = C._added(features, labelled)
+    assert np.allclose(added(C._moments), C._moments((text, page)), rtol=1e-9)
+    shown = [C.text_view(pa.array([r[1] for r in rows[:100]])), C.page_view(C.page_places(*zip(*[r[2:5] for r in rows[:100]])))]
+    y = np.array([dict(labels)[i] for i in range(100)], dtype=float)
+    held_out = np.arange(100) % 4 == 0
+    far, near = C.CoTrained(shown, y, held_out, added), C.CoTrained(shown, y, held_out, (text, page))
+    assert far.taught == near.taught and sum(near.taught) > 100
+    for a, b in zip(far.views, near.views):
+        assert (a.w == b.w).all()
+
+
+def plain_probability(view, platt, row):
+    """The same score by one document's features, number by number."""
+    z = view.w[-1]
+    for x, mean, scale, w in zip(row, view.mean, view.scale, view.w):
+        z += max(-C.CLIP, min(C.CLIP, (x - mean) / scale)) * w
+    odds = platt.w[0] * (max(-30, min(30, z)) - platt.mean[0]) / platt.scale[0] + platt.w[1]
+    return max(-30, min(30, odds))
+
+
+def test_scores_equal_a_plain_version(spark):
+    rows, labels = corpus(400)
+    docs = documents(spark, rows)
+    model = C.train(docs, spark.createDataFrame(labels[:200], "doc_id long, quality int"))
+    got = {r.doc_id: r for r in C.score(docs, model).collect()}
+    for i in range(0, 400, 7):
+        row = rows[i]
+        views = C.text_view(pa.array([row[1]]))[0], C.page_view(C.page_places([row[2]], [row[3]], [row[4]]))[0]
+        odds = [plain_probability(*p) for p in zip(model.views, model.calibrations, views)]
+        c = model.combination
+        both = c.w[-1] + sum(w * (o - m) / s for w, o, m, s in zip(c.w, odds, c.mean, c.scale))
+        good = 1 / (1 + np.exp(-max(-30, min(30, both))))
+        assert abs(got[i].p_text - 1 / (1 + np.exp(-odds[0]))) < 1e-9
+        assert abs(got[i].p_page - 1 / (1 + np.exp(-odds[1]))) < 1e-9
+        assert abs(got[i].p_good - good) < 1e-9 and got[i].kept == (got[i].p_good >= model.cut)
+
+
+def test_every_confident_document_teaches_and_classes_weigh_as_their_labels():
+    rng = np.random.default_rng(3)
+    y = (rng.random(400) < 0.5).astype(float)
+    truth = (rng.random(30000) < 0.9).astype(float)
+    views = [np.stack([y * 4 + rng.normal(0, 0.4, 400), rng.normal(size=400)], 1) for _ in range(2)]
+    pool = [np.stack([truth * 4 + rng.normal(0, 0.4, 30000), rng.normal(size=30000)], 1) for _ in range(2)]
+    model = C.CoTrained(views, y, np.arange(400) % 4 == 0, pool)
+    assert min(model.taught) > 30000 / 2  # no number a round, class or stratum bounds them
+    assert np.mean((model.score(pool)[2] >= 0.5) == (truth == 1)) > 0.99
