@@ -618,6 +618,8 @@ SQL["customer_rfm_incremental"] = SQL["customer_rfm"]
 
 SQL["churn_mart"] = SQL["churn_risk"]
 SQL["clv_mart"] = SQL["clv_forecast"]
+SQL["churn_risk_incremental"] = SQL["churn_risk"]
+SQL["clv_forecast_incremental"] = SQL["clv_forecast"]
 SQL["segment_values"] = q(RFM, "SELECT DISTINCT segment FROM rfm")
 SQL["country_values"] = q([], "SELECT DISTINCT country FROM orders_v WHERE country IS NOT NULL")
 EXPLORATION = [rfm_cte(clean=True)]

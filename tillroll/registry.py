@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tillroll import oracle as _oracle
 from tillroll.plans import (
-    churn, cleaning, clv, common, customers, dashboard, geo, library, pipeline, product, profiling, publish, rfm,
+    churn, cleaning, clv, common, customers, dashboard, geo, library, marts, pipeline, product, profiling, publish, rfm,
 )
 from tillroll.session import materialize, release, scratch_path
 from tillroll.sources import csv_orders, export, layout, tables, testdata
@@ -310,6 +310,29 @@ def _customer_rfm_incremental(spark, sf_dir):
     return rfm.customer_rfm(orders, base=base)
 
 
+def _delivered_mart(spark, sf_dir, name):
+    """A customer mart after a second delivery: the refresh folds its files into the
+    customer table and reads no line of the first again."""
+    landing, state, ckpt = (scratch_path(spark, n) for n in ("landing", "mart_state", "mart_ckpt"))
+    orders = orders_view(spark, sf_dir)
+    first = F.xxhash64("invoice", "stock_code") % 2 == 0
+    export.export_raw_orders(orders.where(first), landing)
+    held = marts.DeliveredMarts(spark, landing, state, ckpt, ttl_seconds=0)
+    held.get(name)
+    export.export_raw_orders(orders.where(~first), landing, "append")
+    return held.get(name)
+
+
+@register("churn_risk_incremental")
+def _churn_risk_incremental(spark, sf_dir):
+    return _delivered_mart(spark, sf_dir, "churn")
+
+
+@register("clv_forecast_incremental")
+def _clv_forecast_incremental(spark, sf_dir):
+    return _delivered_mart(spark, sf_dir, "clv")
+
+
 @register("customer_rfm_by_customer")
 def _customer_rfm_by_customer(spark, sf_dir):
     """Customer RFM of lines laid out by customer: equal to ``customer_rfm``, no
