@@ -83,6 +83,22 @@ def test_a_passage_whose_parts_have_other_least_holders(spark):
     assert len({(r.doc_id, r.other_id, r.start, r.other_start) for r in got}) == len(got)
 
 
+def test_copies_below_any_number_of_holders_of_their_parts(spark):
+    rng = random.Random(16)
+    rows, pairs = [], set()
+    for base, holders in ((0, 6), (1000, C.FEW + 8)):  # below and above the holders that are paired themselves
+        passage = prose(rng, 76).split()
+        halves = [" ".join(passage[:38]), " ".join(passage[38:])]
+        for i in range(2 * holders):
+            rows.append((base + i, " ".join([prose(rng, 30), halves[i % 2], prose(rng, 30)])))
+        for i in (500, 501):
+            rows.append((base + i, " ".join([prose(rng, 30), *passage, prose(rng, 30)])))
+        pairs.add((base + 501, base + 500, " ".join(passage)))
+    texts = dict(rows)
+    got = found(spark, rows)
+    assert {(r.doc_id, r.other_id, texts[r.doc_id][r.start : r.end]) for r in got} == pairs and len(got) == len(pairs)
+
+
 def test_recall_by_identity(spark):
     """Passages with a substituted word every few words, or at random places."""
     rng = random.Random(15)
