@@ -8,7 +8,7 @@ import re
 
 import pytest
 
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_SMALL, line
 from tillroll import registry, session
 from tillroll.operators import ranking
 from tillroll.plans import customers, geo, product
@@ -104,3 +104,13 @@ def test_no_ordering_of_a_grain_table_is_sorted_or_in_one_task(plans):
 def test_distinct_counts_do_not_expand_the_lines(spark, name):
     text = _plan(registry.QUERIES[name](spark, SF_SMALL))
     assert "Expand" not in text and "Generate" not in text
+
+
+def test_product_lines_travel_without_sums(make_orders, monkeypatch):
+    """No aggregate of the lines before their exchange: it would hold a row for each."""
+    plans = []
+    monkeypatch.setattr(product, "materialize", lambda df, *a: plans.append(df) or df)
+    product.product_table(make_orders([line("1", "a", 1, "2020-01-01 10:00", 2, 7)]))
+    plan = plans[0]._jdf.queryExecution().executedPlan().toString()
+    exchanged = plan[plan.rindex("Exchange hashpartitioning") :]
+    assert "Exchange hashpartitioning(stock_code" in exchanged and "Aggregate" not in exchanged
