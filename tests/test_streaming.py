@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_SMALL, line
 from tillroll.plans import customers
 from tillroll.session import scratch_path
 from tillroll.sources import csv_orders, export
@@ -39,3 +39,19 @@ def test_rerun_of_a_batch_gives_the_same_table(spark):
     assert first == again
     batch, _ = customers.customer_base(orders)
     assert first == sorted(batch.select(*customer_state.BASE_COLUMNS).collect())
+
+
+def test_a_batch_is_parsed_once(spark, make_orders, tmp_path):
+    rows = [line(f"i{k % 5}", "s", 1, "2020-01-01 10:00", 2, k % 3) for k in range(20)]
+    parsed = spark.sparkContext.accumulator(0)
+
+    def customer(c):
+        parsed.add(1)
+        return c
+
+    parse = F.udf(customer, "long").asNondeterministic()
+    batch = make_orders(rows + [line(None, "s", 1, "2020-01-01 10:00", 2, 0)]).withColumn("customer_id", parse("customer_id"))
+    customer_state.apply_batch(spark, batch, 0, str(tmp_path))
+    assert parsed.value == 21
+    got = {r.customer_id: r for r in spark.read.parquet(f"{tmp_path}/customers/v=00000001").collect()}
+    assert {c: (r.invoices, r.lines, int(r.net_amount)) for c, r in got.items()} == {0: (5, 8, 16), 1: (5, 7, 14), 2: (5, 6, 12)}

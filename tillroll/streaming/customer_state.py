@@ -4,8 +4,9 @@ stream of order-line files.
 Each micro-batch (``foreachBatch``, exactly-once through the stream checkpoint
 and batch-numbered output folders):
 
-1. aggregates only its own lines per customer (max/min dates, line count, net
-   and gross money, first/last positive sale — all mergeable);
+1. aggregates only its own lines, read and parsed once, per (customer, invoice)
+   and those per customer (max/min dates, line count, net and gross money,
+   first/last positive sale — all mergeable);
 2. finds its (customer, invoice) pairs that no earlier batch has seen (anti
    join against the stored pair table) and counts them per customer, so the
    distinct-invoice count stays exact across batches;
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import money
 from tillroll.plans.common import valid_customer, with_amount
+from tillroll.session import materialize, release
 from tillroll.sources import tables
 from tillroll.streaming.folder_ingest import orders_stream
 
@@ -38,13 +40,14 @@ BASE_COLUMNS = [
 ]
 
 
-def _batch_aggregates(lines: DataFrame) -> DataFrame:
+def _invoice_grain(lines: DataFrame) -> DataFrame:
+    """Mergeable figures by customer and invoice (a missing one included)."""
     pos = (F.col("quantity") > 0) & (F.col("price") > 0)
     date = F.col("invoice_date")
-    return lines.groupBy("customer_id").agg(
+    return lines.groupBy("customer_id", "invoice").agg(
         F.max(date).alias("last_purchase"),
         F.min(date).alias("first_purchase"),
-        F.count(date).cast("int").alias("lines"),
+        F.count(date).alias("lines"),
         money.money_sum(F.col("amount")).alias("net_amount"),
         money.money_sum(F.when(pos, F.col("amount"))).alias("gross_amount"),
         F.min(F.when(pos, date)).alias("first_sale"),
@@ -52,6 +55,18 @@ def _batch_aggregates(lines: DataFrame) -> DataFrame:
     )
 
 
+def _batch_aggregates(grain: DataFrame) -> DataFrame:
+    return grain.groupBy("customer_id").agg(
+        F.max("last_purchase").alias("last_purchase"),
+        F.min("first_purchase").alias("first_purchase"),
+        F.sum("lines").cast("int").alias("lines"),
+        money.money_sum(F.col("net_amount")).alias("net_amount"),
+        money.money_sum(F.col("gross_amount")).alias("gross_amount"),
+        F.min("first_sale").alias("first_sale"),
+        F.max("last_sale").alias("last_sale"),
+    )
+
+
 def _add(a: Column, b: Column) -> Column:
     """Sum that stays NULL only when both sides are NULL (like SUM over the union)."""
     return F.when(a.isNull() & b.isNull(), F.lit(None)).otherwise(
@@ -86,8 +101,8 @@ def _paths(state: str, batch_id: int) -> tuple[str, str, str]:
 def apply_batch(spark: SparkSession, batch: DataFrame, batch_id: int, state: str) -> None:
     """Fold one micro-batch of order lines into the stored customer table."""
     base_dir, pairs_out, pairs_dir = _paths(state, batch_id)
-    lines = with_amount(valid_customer(batch))
-    pairs = lines.where(F.col("invoice").isNotNull()).select("customer_id", "invoice").distinct()
+    grain = materialize(_invoice_grain(with_amount(valid_customer(batch))), "batch_invoices")
+    pairs = grain.where(F.col("invoice").isNotNull()).select("customer_id", "invoice")
     seen = None
     earlier = [
         p for p in _batch_folders(spark, pairs_dir) if p < batch_id
@@ -99,13 +114,14 @@ def apply_batch(spark: SparkSession, batch: DataFrame, batch_id: int, state: str
     new_invoices = spark.read.parquet(pairs_out).groupBy("customer_id").agg(
         F.count(F.lit(1)).cast("int").alias("invoices")
     )
-    agg = _batch_aggregates(lines).join(new_invoices, "customer_id", "left").withColumn(
+    agg = _batch_aggregates(grain).join(new_invoices, "customer_id", "left").withColumn(
         "invoices", F.coalesce(F.col("invoices"), F.lit(0))
     )
     previous = [v for v in tables.versions(spark, base_dir) if v <= batch_id]
     old = spark.read.parquet(f"{base_dir}/{tables.VERSION_PREFIX}{previous[-1]:08d}") if previous else None
     out = f"{base_dir}/{tables.VERSION_PREFIX}{batch_id + 1:08d}"
     merge(old, agg.select(*BASE_COLUMNS)).write.mode("overwrite").parquet(out)
+    release(grain)
 
 
 def _batch_folders(spark: SparkSession, pairs_dir: str) -> list[int]:
