@@ -99,6 +99,33 @@ def test_copies_below_any_number_of_holders_of_their_parts(spark):
     assert {(r.doc_id, r.other_id, texts[r.doc_id][r.start : r.end]) for r in got} == pairs and len(got) == len(pairs)
 
 
+def test_shuffle_files_go_with_their_query(spark, monkeypatch):
+    rng, cleanup, keep = random.Random(17), [], Scratch.keep
+    one = prose(rng, 60)
+    monkeypatch.setattr(Scratch, "keep", lambda self, df: (cleanup.append(spark.conf.get(C.CLEANUP)), keep(self, df))[1])
+    before = spark.conf.get(C.CLEANUP)
+    got = found(spark, [(i, " ".join([prose(rng, 30), one, prose(rng, 30)])) for i in range(2)])
+    assert [(r.doc_id, r.other_id) for r in got] == [(1, 0)]
+    assert set(cleanup) == {"true"} and spark.conf.get(C.CLEANUP) == before
+
+
+def test_edited_copies_below_any_number_of_holders_of_their_parts(spark):
+    """Three phrases, each and each two of them held by more documents than are paired
+    themselves: documents that hold all three, with other words between, are still found."""
+    rng = random.Random(18)
+    parts = [prose(rng, 18) for _ in range(3)]
+    rows = []
+    for i in range(4 * C.FEW):
+        two = [parts[k] for k in range(3) if k != i % 3]
+        rows.append((i, " ".join([prose(rng, 30), two[0], prose(rng, 2 + i % 7), two[1], prose(rng, 30)])))
+    for i in (500, 501):
+        rows.append((i, " ".join([prose(rng, 30), parts[0], prose(rng, 2), parts[1], prose(rng, 2), parts[2], prose(rng, 30)])))
+    texts = dict(rows)
+    got = [r for r in found(spark, rows) if (r.doc_id, r.other_id) == (501, 500)]
+    assert len(got) == 1
+    assert all(p in texts[501][got[0].start : got[0].end] for p in parts)
+
+
 def test_recall_by_identity(spark):
     """Passages with a substituted word every few words, or at random places."""
     rng = random.Random(15)
