@@ -265,3 +265,67 @@ def test_shared_stretches_share_a_seed():
         a, b = f"{prose(rng, 20)} {run} {prose(rng, 9)}", f"{prose(rng, 7)} {run} {prose(rng, 30)}"
         seeds, row, _ = C.seeds_of(pa.array([a, None, b]))
         assert set(seeds[row == 0]) & set(seeds[row == 2])
+
+
+def test_keys_of_seeds_in_reach():
+    rng = np.random.default_rng(19)
+    rows = sorted({(int(d), int(a), int(s)) for d, a, s in rng.integers((0, 0, 0), (4, 900, 5), (150, 3))})
+    rows = [r for r in rows for _ in range(1 + r[1] % 2)]  # rows of repeated ids
+    doc, at, seed = (pa.array([r[k] for r in rows], t) for k, t in ((0, pa.int64()), (1, pa.int32()), (2, pa.int64())))
+    whole = pa.RecordBatch.from_arrays([seed, doc, at], ["seed", "doc", "at"])
+    once = sorted(set(rows))
+    near = [(a, b) for a in once for b in once if a[0] == b[0] and C.LEAST_SPAN <= b[1] - a[1] <= C.LEAST_SPAN + C.STRETCH]
+    for step in (1, 7, 400):
+        out = [r for b in C._keys(whole.slice(k, step) for k in range(0, len(rows), step)) for r in zip(*(c.to_pylist() for c in b.columns))]
+        assert sorted(r[1:] for r in out) == sorted((a[0], a[1], b[1]) for a, b in near)
+        assert len({r[0] for r in out}) == len({(a[2], b[2]) for a, b in near})
+
+
+def test_sketches_of_a_passage_share_its_pairs_of_words():
+    rng = random.Random(20)
+    for kinds in (2, 5, 4000):  # words that repeat, too
+        for _ in range(40):
+            passage = [1 + rng.randrange(kinds) for _ in range(C.MIN_WORDS)]
+            edited = list(passage)
+            for j in rng.sample(range(C.MIN_WORDS), 8):
+                edited[j] = 10_000 + j
+            bits = []
+            for p, own in ((passage, 5000), (edited, 9000)):
+                text = [rng.randrange(own, own + 900) for _ in range(70)] + p + [rng.randrange(own, own + 900) for _ in range(70)]
+                bits.append(C.sketch(np.array(text, dtype=np.uint64), np.array([70, 90, 106])))
+            for x, y in zip(*bits):
+                assert sum(int(v).bit_count() for v in (x & y).view(np.uint64)) >= C.LEAST_ALIKE
+
+
+def test_a_line_beside_common_phrases_pairs_no_square_of_its_holders(spark, monkeypatch):
+    rng, chains, keep = random.Random(21), [], Scratch.keep
+    line, phrases = prose(rng, 20), [prose(rng, 6) for _ in range(5)]
+    rows = []
+    for i in range(240):
+        p, q = rng.sample(phrases, 2)
+        rows.append((i, " ".join([prose(rng, 30), p, prose(rng, 2 + i % 7), line, prose(rng, 2 + i % 5), q, prose(rng, 30)])))
+
+    def kept(self, df):
+        out = keep(self, df)
+        chains.extend([out.count()] if "lx" in df.columns else [])
+        return out
+
+    monkeypatch.setattr(Scratch, "keep", kept)
+    found(spark, rows)
+    assert len(chains) == C.ROUNDS + 1 and max(chains) < C.FEW * len(rows)  # their pairs are 28,680
+
+
+def test_a_passage_that_begins_twice_in_the_other_document(spark):
+    rng = random.Random(22)
+    rows, pairs = [], set()
+    for i in range(0, 60, 10):
+        passage = prose(rng, 76).split()
+        halves = [" ".join(passage[:38]), " ".join(passage[38:])]
+        rows += [(i + k, " ".join([prose(rng, 30), h, prose(rng, 30)])) for k, h in enumerate(halves + halves)]
+        # the first places of most seeds are not those of the passage
+        rows.append((i + 4, " ".join([" ".join(passage[2:30]), prose(rng, 40), *passage, prose(rng, 30)])))
+        rows.append((i + 5, " ".join([prose(rng, 30), *passage, prose(rng, 30)])))
+        pairs.add((i + 5, i + 4, " ".join(passage)))
+    texts = dict(rows)
+    got = found(spark, rows)
+    assert pairs <= {(r.doc_id, r.other_id, texts[r.doc_id][r.start : r.end]) for r in got if texts[r.other_id][r.other_start : r.other_end] == texts[r.doc_id][r.start : r.end]}
